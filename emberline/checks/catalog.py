@@ -1,4 +1,4 @@
 """All checks, collected from the modules that register them."""
 
-from . import sample_checks  # noqa: F401
+from . import band_checks, feature_checks, metric_checks, sample_checks  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -176,7 +176,7 @@ def fill_with(
 ) -> DataFrame:
     """Replace missing entries by position; ``zero`` also fills what has no median."""
     metadata = df.schema[features].metadata
-    fills = F.array(*[F.lit(m).cast("double") for m in medians])
+    fills = F.array(*[F.lit(m) for m in medians]).cast("array<double>")
     clean = F.transform(features, lambda v: null_if_nan(v.cast("double")))
     filled = F.zip_with(clean, fills, lambda v, m: F.coalesce(v, m))
     if zero:
