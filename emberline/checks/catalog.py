@@ -1,4 +1,10 @@
 """All checks, collected from the modules that register them."""
 
-from . import band_checks, feature_checks, metric_checks, sample_checks  # noqa: F401
+from . import (  # noqa: F401
+    band_checks,
+    explore_checks,
+    feature_checks,
+    metric_checks,
+    sample_checks,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401

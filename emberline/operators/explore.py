@@ -157,8 +157,8 @@ def band_count_summary(per_file: DataFrame, count: str = "bands") -> DataFrame:
 def embedding_summary(df: DataFrame, column: str = "embedding") -> DataFrame:
     """Shape and minimum, maximum, mean and population std over the whole matrix."""
     rows = df.where(F.col(column).isNotNull())
-    values = rows.select(F.explode(column).cast("double").alias("v"))
-    v = null_if_nan("v")
+    values = rows.select(F.explode(column).alias("v"))
+    v = null_if_nan(F.col("v").cast("double"))
     shape = rows.agg(F.struct(F.count(F.lit(1)).alias("rows"), F.max(F.size(column)).alias("width"))).scalar()
     stats = values.agg(
         F.min(v).alias("minimum"),
