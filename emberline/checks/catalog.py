@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     explore_checks,
     feature_checks,
     metric_checks,
+    model_checks,
     sample_checks,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401
