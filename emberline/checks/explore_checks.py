@@ -278,7 +278,7 @@ FROM (SELECT burned_area, CASE WHEN burned_area > 0 THEN 1 ELSE 0 END AS ignitio
              ln(1 + CAST(burned_area AS DOUBLE)) AS l FROM smp) t""",
 )
 def target_summary(t: Tables):
-    summary = X.target_summary(A.add_targets(t.smp))
+    summary = X.target_summary(A.add_targets(t.stored_smp))
     doubles = [n for n, kind in summary.dtypes if kind == "double" and n not in ("area_min", "area_max")]
     return _rounded(summary, *doubles)
 
@@ -298,12 +298,12 @@ FROM e CROSS JOIN range({bins}) g(i) LEFT JOIN n ON n.bin = g.i {'AND n.ignition
 
 @check("x16_histogram", _histogram_sql(50, False))
 def histogram(t: Tables):
-    return _rounded(X.histogram(t.pred, "log_pred", 50), "left", "right")
+    return _rounded(X.histogram(t.stored_pred, "log_pred", 50), "left", "right")
 
 
 @check("x16_histogram_by_class", _histogram_sql(30, True))
 def histogram_by_class(t: Tables):
-    return _rounded(X.histogram(t.pred, "log_pred", 30, by="ignition"), "left", "right")
+    return _rounded(X.histogram(t.stored_pred, "log_pred", 30, by="ignition"), "left", "right")
 
 
 @check(
@@ -342,7 +342,7 @@ SELECT round(max(q1), 6) AS q1, round(max(q2), 6) AS median, round(max(q3), 6) A
 FROM pred, q""",
 )
 def box_stats(t: Tables):
-    return _rounded(X.box_stats(t.pred, "log_pred"), "q1", "median", "q3")
+    return _rounded(X.box_stats(t.stored_pred, "log_pred"), "q1", "median", "q3")
 
 
 @check(

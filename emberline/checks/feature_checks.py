@@ -9,6 +9,7 @@ from ..operators import features as X
 from ..operators import prepare as R
 from ..operators import samples as S
 from ..schema import RGB_MEAN, RGB_STD
+from ..session import stage
 from .registry import check
 from .views import Tables
 
@@ -95,8 +96,8 @@ FROM (SELECT img, row_number() OVER (ORDER BY year, fire, img) AS k FROM smp) a
 JOIN (SELECT img AS other, row_number() OVER (ORDER BY img) AS k FROM smp) b USING (k)""",
 )
 def join_by_position(t: Tables):
-    right = t.smp.select(F.col("img").alias("other"))
-    left = t.smp.select("year", "fire", "img")
+    right = t.stored_smp.select(F.col("img").alias("other"))
+    left = t.stored_smp.select("year", "fire", "img")
     joined = X.join_by_position(left, ["year", "fire", "img"], right, ["other"], ["other"])
     return joined.select("img", "other", "lengths_agree")
 
@@ -187,8 +188,6 @@ def embed_images(t: Tables):
 
 @check("s4_embedding_table")
 def embedding_table(t: Tables):
-    from ..session import stage
-
     vectors = _vectors(t).withColumn("split", F.lit("train"))
     return stage(vectors, "split").select("img", "split", "embedding")
 
@@ -236,7 +235,7 @@ def _features(t: Tables):
         *[F.col(c).cast("double") for c in ("avg_cont", "label", "n_px")],
         F.get("embedding", 0).cast("double"),
     )
-    return t.feat.select("year", "img", packed.alias("features"))
+    return stage(t.feat.select("year", "img", packed.alias("features")))
 
 
 _COLUMNS = ["avg_cont", "label", "n_px", "embedding[1]"]

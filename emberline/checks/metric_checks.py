@@ -13,12 +13,12 @@ KEY = ["year", "fire", "img"]
 
 
 def _cap(t: Tables):
-    return H.log_area_cap(t.pred)
+    return H.log_area_cap(t.stored_pred)
 
 
 def _hazard(t: Tables):
     """Result table of the heads: predictions, actuals and hazard."""
-    table = H.prediction_table(t.pred, KEY, "p_ignition", "log_pred", _cap(t))
+    table = H.prediction_table(t.stored_pred, KEY, "p_ignition", "log_pred", _cap(t))
     return table.withColumn(
         "actual_hazard", H.actual_hazard("actual_ignition", "actual_burned_area")
     )
@@ -34,7 +34,7 @@ def _rounded(df, *columns):
 @check("h2_clip_log_area", "SELECT img, round(log_clip, 6) AS log_clip FROM scored")
 def clip_log_area(t: Tables):
     clipped = H.clip_log_area("log_pred", _cap(t))
-    return t.pred.select("img", F.round(clipped, 6).alias("log_clip"))
+    return t.stored_pred.select("img", F.round(clipped, 6).alias("log_clip"))
 
 
 @check(
@@ -42,14 +42,14 @@ def clip_log_area(t: Tables):
     "SELECT img, round(greatest(log_pred, 0), 6) AS log_clip FROM pred",
 )
 def clip_without_train(t: Tables):
-    cap = H.log_area_cap(t.pred.where("burned_area < 0"))
-    return t.pred.select("img", F.round(H.clip_log_area("log_pred", cap), 6).alias("log_clip"))
+    cap = H.log_area_cap(t.stored_pred.where("burned_area < 0"))
+    return t.stored_pred.select("img", F.round(H.clip_log_area("log_pred", cap), 6).alias("log_clip"))
 
 
 @check("h3_hazard", "SELECT img, round(hazard, 6) AS hazard_score FROM haz")
 def hazard(t: Tables):
     clipped = H.clip_log_area("log_pred", _cap(t))
-    return t.pred.select("img", F.round(H.hazard("p_ignition", clipped), 6).alias("hazard_score"))
+    return t.stored_pred.select("img", F.round(H.hazard("p_ignition", clipped), 6).alias("hazard_score"))
 
 
 @check(
@@ -57,7 +57,7 @@ def hazard(t: Tables):
     "SELECT img, CAST(ignition AS DOUBLE) * burned_area AS actual_hazard FROM pred",
 )
 def actual_hazard(t: Tables):
-    return t.pred.select(
+    return t.stored_pred.select(
         "img", H.actual_hazard("ignition", "burned_area").alias("actual_hazard")
     )
 
@@ -72,7 +72,7 @@ SELECT year, fire, img, p_ignition, round(log_clip, 6) AS log_burned_area,
 FROM haz""",
 )
 def prediction_table(t: Tables):
-    table = H.prediction_table(t.pred, KEY, "p_ignition", "log_pred", _cap(t))
+    table = H.prediction_table(t.stored_pred, KEY, "p_ignition", "log_pred", _cap(t))
     return _rounded(
         table, "log_burned_area", "burned_area", "hazard_score", "actual_log_burned_area"
     )
@@ -116,7 +116,7 @@ ORDER BY md5(concat('42|', CAST(year AS VARCHAR), '|', CAST(fire AS VARCHAR), '|
 LIMIT 1""",
 )
 def random_sample(t: Tables):
-    picked = H.random_sample(t.pred, KEY, 42)
+    picked = H.random_sample(t.stored_pred, KEY, 42)
     table = H.prediction_table(picked, KEY, "p_ignition", "log_pred", _cap(t))
     return table.select("img", F.round("hazard_score", 6).alias("hazard_score"))
 
@@ -152,7 +152,7 @@ WITH {_CURVE}
 SELECT round(sum(neg * (tp - pos) + pos * neg / 2.0::DOUBLE) / (max(p) * max(n)), 6) AS roc_auc FROM cum""",
 )
 def roc_auc(t: Tables):
-    return E.ranking_metrics(t.pred, "ignition", "p_ignition").select(
+    return E.ranking_metrics(t.stored_pred, "ignition", "p_ignition").select(
         F.round("roc_auc", 6).alias("roc_auc")
     )
 
@@ -164,7 +164,7 @@ WITH {_CURVE}
 SELECT round(sum(pos * (CAST(tp AS DOUBLE) / (tp + fp))) / max(p), 6) AS average_precision FROM cum""",
 )
 def average_precision(t: Tables):
-    return E.ranking_metrics(t.pred, "ignition", "p_ignition").select(
+    return E.ranking_metrics(t.stored_pred, "ignition", "p_ignition").select(
         F.round("average_precision", 6).alias("average_precision")
     )
 
@@ -174,7 +174,7 @@ def average_precision(t: Tables):
     "SELECT round(avg((p_ignition - ignition) * (p_ignition - ignition)), 6) AS brier_score FROM pred",
 )
 def brier_score(t: Tables):
-    return E.classification_metrics(t.pred, "ignition", "p_ignition").select(
+    return E.classification_metrics(t.stored_pred, "ignition", "p_ignition").select(
         F.round("brier_score", 6).alias("brier_score")
     )
 
@@ -190,7 +190,7 @@ SELECT round((n - fp - fn) / n, 6) AS accuracy, round(tp / (tp + fp), 6) AS prec
        round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1_score FROM c""",
 )
 def decision_metrics(t: Tables):
-    metrics = E.classification_metrics(t.pred, "ignition", "p_ignition")
+    metrics = E.classification_metrics(t.stored_pred, "ignition", "p_ignition")
     names = ("accuracy", "precision", "recall", "f1_score")
     return metrics.select(*[F.round(n, 6).alias(n) for n in names])
 
@@ -201,7 +201,7 @@ def decision_metrics(t: Tables):
 SELECT CAST(0 AS DOUBLE) AS precision, CAST(0 AS DOUBLE) AS recall, CAST(0 AS DOUBLE) AS f1_score""",
 )
 def empty_denominator(t: Tables):
-    metrics = E.classification_metrics(t.pred, "ignition", "p_ignition", threshold=2.0)
+    metrics = E.classification_metrics(t.stored_pred, "ignition", "p_ignition", threshold=2.0)
     return metrics.select("precision", "recall", "f1_score")
 
 
@@ -215,7 +215,7 @@ SELECT a AS actual, b AS predicted,
 FROM pred, (VALUES (0), (1)) x(a), (VALUES (0), (1)) y(b) GROUP BY a, b""",
 )
 def confusion_matrix(t: Tables):
-    return _rounded(E.confusion_matrix(t.pred, "ignition", "p_ignition"), "percent")
+    return _rounded(E.confusion_matrix(t.stored_pred, "ignition", "p_ignition"), "percent")
 
 
 @check(
@@ -226,7 +226,7 @@ SELECT year, count(*) AS n,
 FROM pred GROUP BY year""",
 )
 def ignition_accuracy(t: Tables):
-    metrics = E.classification_metrics(t.pred, "ignition", "p_ignition", by=["year"])
+    metrics = E.classification_metrics(t.stored_pred, "ignition", "p_ignition", by=["year"])
     return metrics.select("year", "n", F.round("accuracy", 6).alias("accuracy"))
 
 
@@ -238,7 +238,7 @@ SELECT s AS threshold, round(CAST(fp AS DOUBLE) / n, 6) AS fpr, round(CAST(tp AS
 UNION ALL SELECT CAST('infinity' AS DOUBLE), 0, 0""",
 )
 def roc_points(t: Tables):
-    return _rounded(E.roc_points(t.pred, "ignition", "p_ignition"), "fpr", "tpr")
+    return _rounded(E.roc_points(t.stored_pred, "ignition", "p_ignition"), "fpr", "tpr")
 
 
 @check(
@@ -250,7 +250,7 @@ SELECT s AS threshold, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision,
 UNION ALL SELECT CAST('infinity' AS DOUBLE), 1, 0, (SELECT round(avg(ignition), 6) FROM pred)""",
 )
 def pr_points(t: Tables):
-    points = E.pr_points(t.pred, "ignition", "p_ignition")
+    points = E.pr_points(t.stored_pred, "ignition", "p_ignition")
     return _rounded(points, "precision", "recall", "prevalence")
 
 
@@ -311,7 +311,7 @@ def spearman(t: Tables):
 SELECT n, round(rho, 6) AS rho, round(rho * sqrt((n - 2) / (1 - rho * rho)), 4) AS t FROM r""",
 )
 def spearman_t(t: Tables):
-    ranks = E.spearman(t.pred, "log_burned_area", "log_pred")
+    ranks = E.spearman(t.stored_pred, "log_burned_area", "log_pred")
     return ranks.select("n", F.round("rho", 6).alias("rho"), F.round("t", 4).alias("t"))
 
 

@@ -123,10 +123,10 @@ def _report_sql() -> str:
 
 
 def _two_models(t: Tables):
-    cap = H.log_area_cap(t.pred)
+    cap = H.log_area_cap(t.stored_pred)
     parts = []
     for model, shrink in (("boosted", 1.0), ("linear", 0.5)):
-        rows = t.pred.withColumns(
+        rows = t.stored_pred.withColumns(
             {
                 "p_ignition": F.col("p_ignition") * shrink,
                 "log_pred": H.clip_log_area("log_pred", cap) * shrink,

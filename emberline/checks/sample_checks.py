@@ -73,7 +73,7 @@ SELECT year, fire, CAST(in_fire_index AS BIGINT) AS in_fire_index,
 FROM smp""",
 )
 def sample_number(t: Tables):
-    numbered = S.number_samples(t.smp)
+    numbered = S.number_samples(t.stored_smp)
     return numbered.select("year", "fire", "in_fire_index", "sample_number", "n_samples")
 
 
@@ -87,7 +87,7 @@ WITH numbered AS (
 SELECT year, fire, img, sample_number FROM numbered WHERE sample_number IN (0, 41, n - 1, n - 7)""",
 )
 def find_samples(t: Tables):
-    found = S.find_samples(S.number_samples(t.smp), 0, 41, -1, -7)
+    found = S.find_samples(S.number_samples(t.stored_smp), 0, 41, -1, -7)
     return found.select("year", "fire", "img", "sample_number")
 
 
@@ -163,7 +163,7 @@ FROM (SELECT year, fire, img, row_number() OVER (ORDER BY {_MD5}) - 1 AS k, coun
 
 @check("sp1_random_split_exact", _EXACT)
 def random_split_exact(t: Tables):
-    return P.random_split_exact(t.smp, KEY).select(*KEY, "split")
+    return P.random_split_exact(t.stored_smp, KEY).select(*KEY, "split")
 
 
 @check(
@@ -190,7 +190,7 @@ SELECT split, count(*) AS samples,
 FROM s GROUP BY split""",
 )
 def split_report(t: Tables):
-    report = P.split_report(P.random_split_exact(t.smp, KEY))
+    report = P.split_report(P.random_split_exact(t.stored_smp, KEY))
     return report.withColumns(
         {"percent": F.round("percent", 6), "years": F.array_join("years", ",")}
     )
@@ -209,8 +209,8 @@ SELECT (SELECT count(*) FROM s) AS samples,
        (SELECT count(*) FROM s) = (SELECT count(*) FROM smp) AS complete""",
 )
 def split_checks(t: Tables):
-    split = P.random_split_exact(t.smp, KEY)
-    expected = t.smp.agg(F.count(F.lit(1))).scalar()
+    split = P.random_split_exact(t.stored_smp, KEY)
+    expected = t.stored_smp.agg(F.count(F.lit(1))).scalar()
     return P.split_checks(split, KEY, ["year", "fire"], expected)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import count_if, detection_hour, zero_if_missing
 from ..operators import samples as S
 from ..schema import FOLD_YEARS
+from ..session import stage
 
 #: Years of the check tables standing for 2018..2021 in the fold table.
 YEARS = (1995, 1996, 1997, 1998)
@@ -22,6 +23,20 @@ FOLDS = [
 ORDER = ("obs_ts", "img")
 
 
+#: Known schemas save the job that would infer them from the files.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 class Tables:
     """The driver's tables and the views derived from them, built lazily for one query."""
 
@@ -29,7 +44,9 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(
+            f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+        )
 
     @cached_property
     def px(self) -> DataFrame:
@@ -87,6 +104,16 @@ class Tables:
             F.round(F.lit(0.25) * F.col("n_px") + 4 * F.col("avg_static") - 0.8, 3).alias("log_pred"),
         )
 
+    # Tables that several passes read are stored first, as the hand-over between stages is.
+
+    @cached_property
+    def stored_smp(self) -> DataFrame:
+        return stage(self.smp)
+
+    @cached_property
+    def stored_pred(self) -> DataFrame:
+        return stage(self.pred)
+
     @cached_property
     def feat(self) -> DataFrame:
         labels = self.read("labels").select(F.col("doc_id").alias("img"), F.col("quality").alias("label"))

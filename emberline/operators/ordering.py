@@ -7,6 +7,7 @@ totals (a few hundred rows) are accumulated in order.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,28 +41,45 @@ def cut_points(keys: DataFrame, order: Sequence[str], cells: int) -> list[tuple]
     return [ordered[i] for i in sorted(picks)]
 
 
-def _at_or_after(order: Sequence[str], cut: tuple) -> Column:
+def _literal(value: object) -> str:
+    """SQL text of a cut value."""
+    if isinstance(value, bool) or value is None:
+        raise TypeError(f"not an order key: {value!r}")
+    if isinstance(value, int):
+        return f"{value}L"
+    if isinstance(value, float):
+        return f"CAST('{value!r}' AS DOUBLE)"
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    if isinstance(value, datetime.date) and not isinstance(value, datetime.datetime):
+        return f"DATE'{value.isoformat()}'"
+    raise TypeError(f"order keys are numbers, text or dates, not {type(value).__name__}")
+
+
+def _at_or_after(order: Sequence[str], cut: tuple) -> str:
     """Lexicographic ``order >= cut``."""
-    last = len(order) - 1
-    condition = F.col(order[last]) >= F.lit(cut[last])
-    for name, value in reversed(list(zip(order[:last], cut[:last]))):
-        key = F.col(name)
-        condition = (key > F.lit(value)) | ((key == F.lit(value)) & condition)
+    keys = [f"`{name}`" for name in order]
+    condition = f"{keys[-1]} >= {_literal(cut[-1])}"
+    for key, value in reversed(list(zip(keys[:-1], cut[:-1]))):
+        bound = _literal(value)
+        condition = f"({key} > {bound} OR ({key} = {bound} AND {condition}))"
     return condition
 
 
 def cell_of(order: Sequence[str], cuts: list[tuple]) -> Column:
     """Number of cuts at or before the row's key, as a balanced tree of comparisons."""
 
-    def search(low: int, high: int) -> Column:
+    def search(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         middle = (low + high) // 2
-        return F.when(_at_or_after(order, cuts[middle]), search(middle + 1, high)).otherwise(
-            search(low, middle)
+        return (
+            f"CASE WHEN {_at_or_after(order, cuts[middle])} "
+            f"THEN {search(middle + 1, high)} ELSE {search(low, middle)} END"
         )
 
-    return search(0, len(cuts))
+    return F.expr(search(0, len(cuts)))
 
 
 def prefix_sums(

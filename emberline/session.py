@@ -17,6 +17,9 @@ DEFAULTS = {
 }
 
 
+_staged: list[str] = []
+
+
 def local_session(cores: int = 8, **extra: str) -> SparkSession:
     """A session for tests and the benchmark; clusters bring their own."""
     builder = (
@@ -64,4 +67,13 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this process staged; nothing read from it may be in use any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
