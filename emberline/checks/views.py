@@ -83,7 +83,8 @@ class Tables:
 
     @cached_property
     def indexed(self) -> DataFrame:
-        return S.index_images(self.img, ORDER)
+        # Pixels are reduced once and stored; numbering and windows read the image rows.
+        return S.index_images(stage(self.img), ORDER)
 
     @cached_property
     def smp(self) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import count_if, month_day
 from ..schema import RGB_MEAN, RGB_STD
-from .joins import salted_join
+from .joins import lookup_join
 from .ordering import prefix_sums
 
 _KINDS: dict[str, Callable[[Column], Column]] = {"mean": F.avg, "max": F.max, "sum": F.sum}
@@ -174,7 +174,7 @@ def rgb_prepare(
         F.least(*[F.min(f"_p{i}") for i in range(3)]).alias("_lo"),
         F.greatest(*[F.max(f"_p{i}") for i in range(3)]).alias("_hi"),
     )
-    joined = salted_join(three, ranges, image, ["r", "c"])
+    joined = lookup_join(three, ranges, image, ["r", "c"])
     span = F.col("_hi") - F.col("_lo")
 
     def unit(i: int) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cycle_degrees
-from .joins import salted_join
+from .joins import lookup_join
 
 H, W = "height", "width"
 
@@ -23,7 +23,7 @@ def with_image_size(pixels: DataFrame, image: Sequence[str]) -> DataFrame:
         (F.max("r") + 1).alias(H),
         (F.max("c") + 1).alias(W),
     )
-    return salted_join(pixels, sizes, image, ["r", "c"])
+    return lookup_join(pixels, sizes, image, ["r", "c"])
 
 
 def _half_even(value: Column) -> Column:
@@ -93,9 +93,12 @@ def reflect_pad(pixels: DataFrame, size: int) -> DataFrame:
     ).select(*pixels.columns)
 
 
-def crop_offset(keys: Sequence[str], seed: int, attempt: int, axis: str, room: Column) -> Column:
+def crop_offset(
+    keys: Sequence[str], seed: int, attempt: Column | int, axis: str, room: Column
+) -> Column:
     """Deterministic offset in [0, room] for one attempt: both passes see the same crop."""
-    digest = F.xxhash64(*keys, F.lit(seed), F.lit(attempt), F.lit(axis))
+    attempt = F.lit(attempt) if isinstance(attempt, int) else attempt
+    digest = F.xxhash64(*keys, F.lit(seed), attempt, F.lit(axis))
     return F.pmod(digest, (room + 1).cast("bigint")).cast("int")
 
 
@@ -107,14 +110,22 @@ def best_crop(
     fire_hour: str = "fire_hour",
     label: str = "label",
     tries: int = 10,
+    days: int = 1,
+    burning: DataFrame | None = None,
 ) -> DataFrame:
     """Of ``tries`` hashed square crops keep the one with most fire in label, then in input.
 
-    All candidates are scored in one aggregation with partial sums per task; the first of equal
-    scores wins. Images must be at least ``size`` on both sides (see ``reflect_pad``).
-    ``fire_hour`` may be NULL on rows that only carry the label and the other way round, as when
-    input and label pixels of a sample come as separate rows.
+    A crop's score is the mean fire hour over its ``days`` input days plus 1000 times the mean of
+    the label; the first of equal scores wins. Images must be whole, and at least ``size`` on both
+    sides (see ``reflect_pad``). ``fire_hour`` may be NULL on rows that only carry the label and
+    the other way round, as when input and label pixels of a sample come as separate rows.
+
+    Only burning pixels, some per mille of all, add to a score: they alone are scored and
+    shuffled, and may be given as ``burning``. A sample without any keeps its first crop.
     """
+    alight = pixels if burning is None else burning
+    alight = alight.where((F.col(fire_hour) > 0) | (F.col(label) > 0))
+    area = float(size * size)
     sums = []
     for i in range(tries):
         top = crop_offset(keys, seed, i, "top", F.col(H) - size)
@@ -122,27 +133,26 @@ def best_crop(
         inside = F.col("r").between(top, top + (size - 1)) & F.col("c").between(
             left, left + (size - 1)
         )
-        fire = F.avg(F.when(inside, F.col(fire_hour).cast("double")))
-        burnt = F.avg(F.when(inside, F.col(label).cast("double")))
-        score = F.coalesce(fire, F.lit(0.0)) + 1000 * F.coalesce(burnt, F.lit(0.0))
-        sums.append(score.alias(f"_s{i}"))
-    scored = pixels.groupBy(*keys, H, W).agg(*sums)
-    best = F.greatest(*[F.col(f"_s{i}") for i in range(tries)]) if tries > 1 else F.col("_s0")
-    pick = F.coalesce(*[F.when(F.col(f"_s{i}") == best, F.lit(i)) for i in range(tries)])
-    chosen = scored.select(*keys, H, W, pick.alias("_try"))
-    offsets = chosen.select(
-        *keys,
-        _by_try(keys, seed, tries, "top", F.col(H) - size).alias("_top"),
-        _by_try(keys, seed, tries, "left", F.col(W) - size).alias("_left"),
+        worth = F.coalesce(F.col(fire_hour) / (area * days), F.lit(0.0)) + F.coalesce(
+            1000 * F.col(label) / area, F.lit(0.0)
+        )
+        sums.append(F.sum(F.when(inside, worth).otherwise(0.0)).alias(f"_s{i}"))
+    # Equal crops must not differ by the order of addition.
+    scored = alight.groupBy(*keys).agg(*sums)
+    scores = [F.round(f"_s{i}", 9) for i in range(tries)]
+    best = F.greatest(*scores) if tries > 1 else scores[0]
+    pick = F.coalesce(*[F.when(s == best, F.lit(i)) for i, s in enumerate(scores)])
+    chosen = scored.select(*keys, pick.alias("_try")).where("_try > 0")
+    placed = lookup_join(pixels, chosen, keys, ["r", "c"], how="left")
+    attempt = F.coalesce(F.col("_try"), F.lit(0))
+    offsets = placed.withColumns(
+        {
+            "_top": crop_offset(keys, seed, attempt, "top", F.col(H) - size),
+            "_left": crop_offset(keys, seed, attempt, "left", F.col(W) - size),
+        }
     )
-    placed = salted_join(pixels, offsets, keys, ["r", "c"])
-    cropped = _crop(placed, F.col("_top"), F.col("_left"), F.lit(size), F.lit(size))
-    return cropped.drop("_top", "_left")
-
-
-def _by_try(keys: Sequence[str], seed: int, tries: int, axis: str, room: Column) -> Column:
-    options = F.array(*[crop_offset(keys, seed, i, axis, room) for i in range(tries)])
-    return F.element_at(options, F.col("_try") + 1)
+    cropped = _crop(offsets, F.col("_top"), F.col("_left"), F.lit(size), F.lit(size))
+    return cropped.drop("_top", "_left", "_try")
 
 
 def coin(keys: Sequence[str], seed: int, purpose: str, sides: int = 2) -> Column:
@@ -207,10 +217,13 @@ def augment(
     fire_hour: str = "fire_hour",
     label: str = "label",
     tries: int = 10,
+    days: int = 1,
+    burning: DataFrame | None = None,
 ) -> DataFrame:
     """Training treatment: pad, best crop, flips, rotation, each drawn from the sample key."""
     padded = reflect_pad(pixels, size)
-    cropped = best_crop(padded, keys, size, seed, fire_hour, label, tries)
+    alight = None if burning is None else reflect_pad(burning, size)
+    cropped = best_crop(padded, keys, size, seed, fire_hour, label, tries, days, alight)
     flipped = flip(
         cropped, angles, coin(keys, seed, "hflip") == 1, coin(keys, seed, "vflip") == 1
     )

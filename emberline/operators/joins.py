@@ -1,4 +1,8 @@
-"""Equi-joins that stay even when one key holds a large share of the rows."""
+"""Equi-joins that stay even when one key holds a large share of the rows.
+
+The smaller side is stored first. Its row count is then known from the file footers, so whether it
+may be broadcast is decided on its real size, and it is not computed a second time.
+"""
 
 from __future__ import annotations
 
@@ -7,27 +11,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 DEFAULT_SALTS = 16
+#: Rows of a narrow stored table (keys and a few numbers, tens of bytes each) fit to broadcast.
+BROADCAST_ROWS = 400_000
 
 
-def salted_join(
+def lookup_join(
     big: DataFrame,
     small: DataFrame,
     keys: Sequence[str],
     spread: Sequence[Column | str],
     salts: int = DEFAULT_SALTS,
     how: str = "inner",
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join many rows per key to one row per key.
+    """Join many rows per key to few rows per key.
 
-    The big side spreads each key over ``salts`` partitions by hashing ``spread`` (columns that
-    vary within the key, so a retried task salts alike); the small side is repeated per salt.
+    A small table of at most ``broadcast_rows`` rows is broadcast and the big side stays where it
+    is. A larger one is shuffled: the big side spreads each key over ``salts`` partitions by
+    hashing ``spread`` (columns that vary within the key, so a retried task salts alike), and the
+    small side is repeated per salt.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
+    if how not in ("inner", "left"):
         raise ValueError(f"the big side must be kept: {how}")
+    stored = stage(small)
+    if stored.count() <= broadcast_rows:
+        return big.join(F.broadcast(stored), list(keys), how)
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     left = big.withColumn("_salt", salt)
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    right = stored.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -39,19 +53,24 @@ def hot_split_join(
     values: Sequence[str],
     spread: Sequence[Column | str],
     share: float = 0.002,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Look ``values`` up in ``table`` (one row per key, ``weight`` = its number of ``rows``).
 
-    Keys with at least ``share`` of all rows are broadcast: there can be no more than ``1/share``
-    of them, whatever the size of the table. All other keys take the shuffle join, in which the
-    rows already served are spread by hash instead of meeting on their hot key.
+    Beyond ``broadcast_rows``, keys with at least ``share`` of all rows are broadcast: there can be
+    no more than ``1/share`` of them, whatever the size of the table. All other keys take the
+    shuffle join, in which the rows already served are spread by hash instead of meeting on their
+    hot key.
     """
     key, values = list(key), list(values)
-    total = table.agg(F.sum(weight)).scalar()
+    stored = stage(table.select(*key, weight, *values))
+    if stored.count() <= broadcast_rows:
+        return rows.join(F.broadcast(stored.drop(weight)), key, "left")
+    total = stored.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) >= total * F.lit(share)
-    hot = table.where(is_hot).select(*key, *[F.col(v).alias(f"_hot_{v}") for v in values])
+    hot = stored.where(is_hot).select(*key, *[F.col(v).alias(f"_hot_{v}") for v in values])
     hot = hot.withColumn("_is_hot", F.lit(True))
-    cold = table.where(~is_hot).select(*key, *values).withColumn("_side", F.lit(0).cast("bigint"))
+    cold = stored.where(~is_hot).select(*key, *values).withColumn("_side", F.lit(0).cast("bigint"))
     first = rows.join(F.broadcast(hot), key, "left")
     side = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*spread), F.lit(1 << 20)) + 1).otherwise(
         F.lit(0).cast("bigint")

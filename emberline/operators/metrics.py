@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import count_if, is_missing
+from ..session import stage
 from .joins import hot_split_join
 from .ordering import prefix_sums
 
@@ -139,7 +140,7 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     Equal (x, y) rows collapse first. Ranks are looked up with hot values split off, so zeros
     filling a third of the table do not meet in one task. Constant input gives NULL.
     """
-    pairs = (
+    pairs = stage(
         df.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
         .where(~is_missing("_x") & ~is_missing("_y"))
         .groupBy(*by, "_x", "_y")

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 CELL = "_cell"
 SAMPLE_PER_CELL = 24
 MAX_CELLS = 256
@@ -95,10 +97,12 @@ def prefix_sums(
 
     ``df`` holds one row per ``by + order`` key (aggregate ties first, so a value shared by a third
     of the table is one row here). ``cell`` gives an order-preserving cell when the caller knows
-    one; otherwise cells come from ``cut_points``.
+    one; otherwise cells come from ``cut_points`` and the keys are stored for the three readings
+    of them. With a given ``cell`` the input is read twice: pass a stored or cheap one.
     """
     order, by = list(order), list(by)
     if cell is None:
+        df = stage(df)
         cell = cell_of(order, cut_points(df, order, cells or default_cells(df)))
     celled = df.withColumn(CELL, cell)
     sort = [F.col(name).desc() if descending else F.col(name).asc() for name in order]

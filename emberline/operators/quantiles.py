@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import null_if_nan
-from .joins import salted_join
+from ..session import stage
+from .joins import lookup_join
 from .ordering import prefix_sums
 
 ACCURACY = 5000
@@ -35,7 +36,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with ``n`` and ``quantiles`` (array aligned with ``probs``).
 
-    Missing values are skipped; a group without values gives no row.
+    Missing values are skipped; a group without values gives no row. The input is read twice:
+    pass a stored table, or one that is cheap to compute.
     """
     by, probs = list(by), [float(p) for p in probs]
     spark = df.sparkSession
@@ -103,7 +105,8 @@ def exact_quantiles(
         .alias("_at"),
     )
     # Everything below the bracket collapses to one counted row per task before the shuffle.
-    counted = keyed.groupBy(*by, "_j", "_key", "_at").agg(F.count(F.lit(1)).alias("_c"))
+    # What is left is a thin slice of the distinct values, stored as it is read twice below.
+    counted = stage(keyed.groupBy(*by, "_j", "_key", "_at").agg(F.count(F.lit(1)).alias("_c")))
     ranked = prefix_sums(counted, ["_key"], ["_c"], by=[*by, "_j"], cell=F.col("_at"))
     if by:
         placed = ranked.join(F.broadcast(targets.drop("_cuts")), [*by, "_j"])
@@ -150,6 +153,7 @@ def _full_quantiles(values: DataFrame, probs: list[float], by: list[str]) -> Dat
     """Exact path for any number of groups: order all distinct values in range cells."""
     counted = values.groupBy(*by, F.col("_v").alias("_key")).agg(F.count(F.lit(1)).alias("_c"))
     sizes = counted.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    counted = stage(counted)
     ranked = prefix_sums(counted, [*by, "_key"], ["_c"])
     starts = ranked.groupBy(*by).agg(F.min(F.col("upto__c") - F.col("_c")).alias("_start"))
     spots = sizes.join(starts, by).withColumn(
@@ -173,7 +177,7 @@ def _full_quantiles(values: DataFrame, probs: list[float], by: list[str]) -> Dat
         (F.col("_t._place") - F.floor("_t._place")).alias("_frac"),
     )
     # A group holding much of the table is spread over several tasks here.
-    placed = salted_join(ranked, spots, by, ["_key"]).withColumn(
+    placed = lookup_join(ranked, spots, by, ["_key"]).withColumn(
         "upto__c", F.col("upto__c") - F.col("_start")
     )
     return _pick(placed, by, len(probs))

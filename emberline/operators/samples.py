@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import FOLD_YEARS
-from .joins import salted_join
+from .joins import lookup_join
 from .ordering import group_ordinal, lead_by_ordinal, ordinal_chunks, prefix_sums
 
 FIRE = ("year", "fire")
@@ -34,7 +34,8 @@ def index_images(
 ) -> DataFrame:
     """Number the images of each fire from 0 in file order.
 
-    The next image is the next file, which need not be the next calendar day.
+    The next image is the next file, which need not be the next calendar day. ``images`` is read
+    twice, so store it when it is the result of reducing pixels.
     """
     cell = F.to_date(F.col(order[0])) if day is None else day
     return group_ordinal(images, fire, order, cell, INDEX)
@@ -111,7 +112,7 @@ def skip_initial(samples: DataFrame, n: int, adjust_to: int | None) -> DataFrame
 def number_samples(samples: DataFrame, fire: Sequence[str] = FIRE) -> DataFrame:
     """Dense ``sample_number`` over fires in order, and ``n_samples`` of the whole set.
 
-    Running totals go over fires, not samples; the start of a fire is joined back salted, as one
+    Running totals go over fires, not samples; the start of a fire is joined back spread, as one
     fire may hold a large share of the samples.
     """
     sizes = samples.groupBy(*fire).agg(F.count(F.lit(1)).alias("size"))
@@ -120,7 +121,7 @@ def number_samples(samples: DataFrame, fire: Sequence[str] = FIRE) -> DataFrame:
     )
     total = sizes.agg(F.sum("size")).scalar()
     return (
-        salted_join(samples, starts, fire, [INDEX])
+        lookup_join(samples, starts, fire, [INDEX])
         .withColumn("sample_number", (F.col("_start") + F.col(INDEX)).cast("bigint"))
         .withColumn("n_samples", total)
         .drop("_start")

@@ -13,13 +13,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import detection_hour, fire_label
+from ..functions import detection_hour, fire_label, zero_if_missing
 from ..operators import bands as B
 from ..operators import features as X
 from ..operators import geometry as G
 from ..operators import samples as S
-from ..operators.joins import salted_join
+from ..operators.joins import lookup_join
 from ..schema import DEGREE_BANDS, FIRE_BAND, FOLD_YEARS, IMAGE_KEY, SAMPLE_KEY
+from ..session import stage
 
 ANGLES = [f"angle_{i}" for i in DEGREE_BANDS]
 DAY, ROLE_X = "day", "is_input"
@@ -66,7 +67,7 @@ def _image_rows(pixels: DataFrame, channels: Sequence[Column], settings: BuildSe
 def uncropped_samples(pixels: DataFrame, scaler: B.Stats, settings: BuildSettings) -> DataFrame:
     """Samples from whole (or centre-cropped) images: aggregate each image once, then window."""
     channels = B.expand_channels(F.col("bands"), scaler)
-    images = S.index_images(_image_rows(pixels, channels, settings))
+    images = S.index_images(stage(_image_rows(pixels, channels, settings)))
     windows = S.leading_windows(images, settings.n_days, ["tif"], "burned_pixels")
     tif = X.flatten_days(F.transform("days", lambda d: d["tif"]))
     return windows.select(*SAMPLE_KEY, tif.alias("tif"), F.col("label").alias("burned_area"))
@@ -88,26 +89,36 @@ def sample_pixels(pixels: DataFrame, settings: BuildSettings) -> DataFrame:
     Each image is repeated for the few samples that use it; the crop is scored and chosen per
     sample, then flips and turns move coordinates and angles of all its days alike.
     """
-    images = pixels.groupBy(*IMAGE_KEY).agg(F.count(F.lit(1)).alias("n_px"))
-    roles = sample_roles(images, settings.n_days)
-    spread = salted_join(pixels, roles, IMAGE_KEY, ["r", "c"])
+    images = stage(pixels.groupBy(*IMAGE_KEY).agg(F.count(F.lit(1)).alias("n_px")))
+    roles = stage(sample_roles(images, settings.n_days))
     is_input = F.col(DAY) < settings.n_days
     fire = F.col("bands")[FIRE_BAND]
-    rows = spread.select(
-        *SAMPLE_KEY,
-        DAY,
-        is_input.alias(ROLE_X),
-        G.H,
-        G.W,
-        "r",
-        "c",
-        "bands",
-        *[F.col("bands")[i].cast("double").alias(a) for i, a in zip(DEGREE_BANDS, ANGLES)],
-        F.when(is_input, detection_hour(fire)).alias("fire_hour"),
-        F.when(~is_input, fire_label(fire)).alias("label"),
-    )
+
+    def by_sample(rows: DataFrame) -> DataFrame:
+        return lookup_join(rows, roles, IMAGE_KEY, ["r", "c"]).select(
+            *SAMPLE_KEY,
+            DAY,
+            is_input.alias(ROLE_X),
+            G.H,
+            G.W,
+            "r",
+            "c",
+            "bands",
+            *[F.col("bands")[i].cast("double").alias(a) for i, a in zip(DEGREE_BANDS, ANGLES)],
+            F.when(is_input, detection_hour(fire)).alias("fire_hour"),
+            F.when(~is_input, fire_label(fire)).alias("label"),
+        )
+
     return G.augment(
-        rows, SAMPLE_KEY, settings.crop_side, settings.seed, ANGLES, tries=settings.crop_tries
+        by_sample(pixels),
+        SAMPLE_KEY,
+        settings.crop_side,
+        settings.seed,
+        ANGLES,
+        tries=settings.crop_tries,
+        days=settings.n_days,
+        # Detections are picked out of the pixel scan before they meet their samples.
+        burning=by_sample(pixels.where(zero_if_missing(fire) > 0)),
     )
 
 
@@ -196,10 +207,10 @@ def embedding_table(
     turned = B.expand_channels(_BandList(_turned_bands()), scaler)
     planes = [crops.select(*SAMPLE_KEY, "r", "c", *_rgb(turned))]
     test = G.center_crop_32(pixels.where(F.col("year").isin(years["test"])))
-    images = test.groupBy(*IMAGE_KEY).agg(F.count(F.lit(1)).alias("n_px"))
+    images = stage(test.groupBy(*IMAGE_KEY).agg(F.count(F.lit(1)).alias("n_px")))
     roles = sample_roles(images, settings.n_days).where(F.col(DAY) == last)
     roles = S.skip_initial(roles, settings.n_days, settings.adjust_to)
-    placed = salted_join(test, roles, IMAGE_KEY, ["r", "c"])
+    placed = lookup_join(test, roles, IMAGE_KEY, ["r", "c"])
     plain = B.expand_channels(F.col("bands"), scaler)
     planes.append(placed.select(*SAMPLE_KEY, "r", "c", *_rgb(plain)))
     ready = X.rgb_prepare(planes[0].unionByName(planes[1]), SAMPLE_KEY, ["b0", "b1", "b2"])
