@@ -62,5 +62,5 @@ def write_feature_list(spark: SparkSession, names: Sequence[str], path: str) ->
 
 
 def read_feature_list(spark: SparkSession, path: str) -> list[str]:
-    lines = spark.read.option("wholetext", True).text(path).limit(2).collect()
+    lines = spark.read.text(path, wholetext=True).collect()
     return [line.strip() for row in lines for line in row["value"].split("\n") if line.strip()]
