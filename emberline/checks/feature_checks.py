@@ -108,7 +108,7 @@ def join_by_position(t: Tables):
 )
 def lengths_differ(t: Tables):
     right = t.read("embeddings").select("vec_id")
-    left = t.smp.select("img")
+    left = t.stored_smp.select("img")
     return X.join_by_position(left, ["img"], right, ["vec_id"], ["vec_id"])
 
 
@@ -119,7 +119,7 @@ SELECT img, n_px, CASE WHEN split = 'test' THEN NULL ELSE burned_area END AS bur
 FROM tagged""",
 )
 def union_splits(t: Tables):
-    fold = t.fold(0).select("img", "n_px", "burned_area", "split")
+    fold = t.stored_fold(0).select("img", "n_px", "burned_area", "split")
     parts = {n: fold.where(F.col("split") == n).drop("split") for n in ("train", "val", "test")}
     parts["test"] = parts["test"].drop("burned_area")
     return X.union_splits(parts)

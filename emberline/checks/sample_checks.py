@@ -109,7 +109,7 @@ SELECT fold_id, split, count(*) AS samples, CAST(sum(burned_area) AS BIGINT) AS
 FROM smp JOIN folds USING (year) GROUP BY fold_id, split""",
 )
 def all_folds(t: Tables):
-    per_year = t.smp.groupBy("year").agg(
+    per_year = t.stored_smp.groupBy("year").agg(
         F.count(F.lit(1)).alias("n"), F.sum("burned_area").alias("b")
     )
     folds = S.all_folds(t.spark, FOLDS)
@@ -129,7 +129,7 @@ SELECT split, count(*) AS samples, CAST(sum(CASE WHEN split = 'test' THEN in_fir
 FROM tagged WHERE split <> 'test' OR in_fire_index >= 2 GROUP BY split""",
 )
 def split_views(t: Tables):
-    views = S.split_views(t.smp, 0, n=1, adjust_to=3, folds=FOLDS)
+    views = S.split_views(t.stored_smp, 0, n=1, adjust_to=3, folds=FOLDS)
     parts = [
         v.groupBy("split", "augmented", "stats_years").agg(
             F.count(F.lit(1)).alias("samples"), F.sum("in_fire_index").alias("index_sum")

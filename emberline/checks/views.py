@@ -155,6 +155,9 @@ class Tables:
             "ts",
         )
 
+    def stored_fold(self, fold_id: int = 0) -> DataFrame:
+        return S.fold_split(self.stored_smp, fold_id, FOLDS)
+
     def fold(self, fold_id: int = 0) -> DataFrame:
         return S.fold_split(self.smp, fold_id, FOLDS)
 

@@ -152,13 +152,22 @@ def band_stats(
     )
 
 
-def prepared_bands(bands: Column) -> dict[str, Column]:
-    """The 23 source bands as ``band_stats`` wants them: hours where detected, sine of degrees."""
+def fire_hour_of(fire: Column, in_hours: bool = False) -> Column:
+    """Hour of detection, 0 for none, from hhmm or from a stored stack's hours."""
+    return zero_if_missing(fire) if in_hours else detection_hour(fire)
+
+
+def prepared_bands(bands: Column, fire_in_hours: bool = False) -> dict[str, Column]:
+    """The 23 source bands as ``band_stats`` wants them: hours where detected, sine of degrees.
+
+    Stored stacks have 0 for no detection, so there 0 is what counts as missing.
+    """
     out = {}
     for i, name in enumerate(BASE_BANDS):
         value = null_if_nan(bands[i].cast("double"))
         if i == FIRE_BAND:
-            value = F.floor(value / 100).cast("double")
+            hours = F.nullif(value, F.lit(0.0)) if fire_in_hours else F.floor(value / 100)
+            value = hours.cast("double")
         elif i in DEGREE_BANDS:
             value = sin_degrees(value)
         out[name] = value
@@ -182,13 +191,13 @@ UNSCALED = [BASE_BANDS[i] for i in (*DEGREE_BANDS, LAND_COVER_BAND)]
 # --- the whole chain on 23-band arrays ----------------------------------------------------------
 
 
-def expand_channels(bands: Column, scaler: Stats) -> list[Column]:
+def expand_channels(bands: Column, scaler: Stats, fire_in_hours: bool = False) -> list[Column]:
     """The 40 channel expressions of one pixel, every one inside generated code.
 
     Order: fire hour, sine of degrees, mask from the unscaled hour, standardise, missing to 0,
     land cover to 17 indicators.
     """
-    hour = detection_hour(bands[FIRE_BAND])
+    hour = fire_hour_of(bands[FIRE_BAND], fire_in_hours)
 
     def scaled(i: int, value: Column) -> Column:
         mean, std = scaler.get(BASE_BANDS[i], (0.0, 1.0))

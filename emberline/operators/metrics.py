@@ -50,9 +50,19 @@ def score_counts(
 
 def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score, true and false positives when everything at or above it is called."""
-    return prefix_sums(
-        score_counts(df, label, score, by), ["score"], ["pos", "neg"], by=by, descending=True
-    )
+    return _curve(score_counts(df, label, score, by), by, stored=False)
+
+
+def _curve(counts: DataFrame, by: Sequence[str], stored: bool) -> DataFrame:
+    return prefix_sums(counts, ["score"], ["pos", "neg"], by=by, descending=True, stored=stored)
+
+
+def _curve_and_totals(
+    df: DataFrame, label: str, score: str, by: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    counts = stage(score_counts(df, label, score, by))
+    totals = counts.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    return _with_totals(_curve(counts, by, stored=True), totals, by), totals
 
 
 def ranking_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
@@ -78,9 +88,8 @@ def ranking_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (
 
 def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """ROC points for every distinct score, with the origin (threshold +infinity)."""
-    curve = score_curve(df, label, score, by)
-    totals = curve.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    points = _with_totals(curve, totals, by).select(
+    curve, totals = _curve_and_totals(df, label, score, by)
+    points = curve.select(
         *by,
         F.col("score").alias("threshold"),
         F.try_divide("upto_neg", "_n").alias("fpr"),

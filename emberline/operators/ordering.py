@@ -92,17 +92,18 @@ def prefix_sums(
     descending: bool = False,
     cells: int | None = None,
     cell: Column | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add ``upto_<m>``, the sum of ``m`` over all rows up to and including the row's key.
 
     ``df`` holds one row per ``by + order`` key (aggregate ties first, so a value shared by a third
     of the table is one row here). ``cell`` gives an order-preserving cell when the caller knows
-    one; otherwise cells come from ``cut_points`` and the keys are stored for the three readings
-    of them. With a given ``cell`` the input is read twice: pass a stored or cheap one.
+    one; otherwise cells come from ``cut_points`` and the keys are stored (unless ``stored`` says
+    they are) for the three readings of them. With a given ``cell`` the input is read twice: pass a stored or cheap one.
     """
     order, by = list(order), list(by)
     if cell is None:
-        df = stage(df)
+        df = df if stored else stage(df)
         cell = cell_of(order, cut_points(df, order, cells or default_cells(df)))
     celled = df.withColumn(CELL, cell)
     sort = [F.col(name).desc() if descending else F.col(name).asc() for name in order]

@@ -130,15 +130,13 @@ def number_samples(samples: DataFrame, fire: Sequence[str] = FIRE) -> DataFrame:
 
 def find_samples(numbered: DataFrame, *targets: int) -> DataFrame:
     """Samples by dataset index; negative indices count from the end, out of range fails."""
-    total = numbered.agg(F.max("n_samples")).scalar()
-    wanted = [F.lit(t) if t >= 0 else total + F.lit(t) for t in targets]
-    in_range = F.lit(True)
-    for w in wanted:
-        in_range = in_range & (w >= 0) & (w < total)
+    total, number = F.col("n_samples"), F.col("sample_number")
+    chosen, in_range = F.lit(False), F.lit(True)
+    for t in targets:
+        at = F.lit(t) if t >= 0 else total + F.lit(t)
+        chosen = chosen | (number == at)
+        in_range = in_range & (at >= 0) & (at < total)
     failed = F.raise_error(F.lit("sample index out of range")).cast("boolean")
-    chosen = F.lit(False)
-    for w in wanted:
-        chosen = chosen | (F.col("sample_number") == w)
     return numbered.where(F.when(in_range, chosen).otherwise(failed))
 
 
@@ -168,29 +166,38 @@ def all_folds(spark, folds: Sequence[tuple] = FOLD_YEARS) -> DataFrame:
     return spark.createDataFrame(rows, "fold_id int, year int, split string")
 
 
-def split_views(
+def tag_samples(
     samples: DataFrame,
     fold_id: int,
     n: int,
     adjust_to: int | None,
     folds: Sequence[tuple] = FOLD_YEARS,
-) -> dict[str, DataFrame]:
-    """Train, validation and test samples of one fold with the treatment of each.
+) -> DataFrame:
+    """Samples of one fold with the treatment of each split, in one pass.
 
     Train and validation are cropped and augmented; test is centre-cropped and skip-adjusted. All
     three name the training years, whose statistics standardise them.
     """
+    skip = check_days(n, adjust_to)
     tagged = fold_split(samples, fold_id, folds)
+    is_test = F.col("split") == "test"
+    if skip:
+        shifted = F.when(is_test, F.col(INDEX) - skip).otherwise(F.col(INDEX))
+        tagged = tagged.where(~is_test | (F.col(INDEX) >= skip)).withColumn(INDEX, shifted)
     stats = F.array(*[F.lit(y) for y in fold_years(fold_id, folds)["train"]])
-    views = {}
-    for name in ("train", "val", "test"):
-        view = tagged.where(F.col("split") == name)
-        if name == "test":
-            view = skip_initial(view, n, adjust_to)
-        views[name] = view.withColumn("stats_years", stats).withColumn(
-            "augmented", F.lit(name != "test")
-        )
-    return views
+    return tagged.withColumn("stats_years", stats).withColumn("augmented", ~is_test)
+
+
+def split_views(
+    samples: DataFrame,
+    fold_id: int,
+    n: int,
+    adjust_to: int | None,
+    folds: Sequence[tuple] = FOLD_YEARS,
+) -> dict[str, DataFrame]:
+    """The tagged samples of one fold as three tables."""
+    tagged = tag_samples(samples, fold_id, n, adjust_to, folds)
+    return {name: tagged.where(F.col("split") == name) for name in ("train", "val", "test")}
 
 
 def dataset_overview(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..models.heads import Head
 from ..operators import metrics as E
 from ..operators import scoring as H
+from ..session import stage
 
 P_METRICS = ["roc_auc", "average_precision"]
 DECISIONS = ["brier_score", "accuracy", "precision", "recall", "f1_score"]
@@ -43,15 +44,23 @@ def metric_report(predictions: DataFrame) -> DataFrame:
 
     keys = ["model", "subset"]
     area = E.positive_subsets(predictions, "actual_burned_area")
-    log_errors = E.unpivot_metrics(
-        E.regression_metrics(area, "actual_log_burned_area", "log_burned_area", keys), keys, ERRORS
+    # Log and original scale of all models and subsets in one aggregation.
+    scales = F.array(
+        *[
+            F.struct(F.lit(s).alias("scale"), F.col(f"actual_{c}").alias("a"), F.col(c).alias("p"))
+            for s, c in (("", "log_burned_area"), ("_original", "burned_area"))
+        ]
+    )
+    scaled = area.select(*keys, F.explode(scales).alias("s")).select(*keys, "s.*")
+    errors = E.unpivot_metrics(
+        E.regression_metrics(scaled, "a", "p", [*keys, "scale"]), [*keys, "scale"], ERRORS
+    )
+    errors = errors.where((F.col("scale") == "") | (F.col("metric") != "r2")).select(
+        *keys, F.concat("metric", "scale").alias("metric"), "value"
     )
     ranks = E.unpivot_metrics(
         E.spearman(area, "actual_log_burned_area", "log_burned_area", keys), keys, ["rho"]
     ).withColumn("metric", F.lit("spearman"))
-    original = E.unpivot_metrics(
-        E.regression_metrics(area, "actual_burned_area", "burned_area", keys), keys, ["rmse", "mae"]
-    ).withColumn("metric", F.concat(F.col("metric"), F.lit("_original")))
     residuals = E.add_residual(
         predictions.where("actual_burned_area > 0"), "actual_log_burned_area", "log_burned_area"
     )
@@ -61,8 +70,7 @@ def metric_report(predictions: DataFrame) -> DataFrame:
         ["large_percent", "under_percent", "over_percent"],
     ).withColumn("subset", F.lit("positive"))
     a_rows = (
-        log_errors.unionByName(ranks)
-        .unionByName(original)
+        errors.unionByName(ranks)
         .unionByName(profile)
         .withColumn("head", F.lit("burned_area"))
     )
@@ -88,5 +96,6 @@ def compare_families(
     keys = ["head", "subset", "metric"]
     lower = ["rmse", "mae", "rmse_original", "mae_original", "brier_score"]
     lower += ["log1p_hazard_rmse", "log1p_hazard_mae"]
+    report = stage(report)
     picked = [report.where(F.col("model") == m).select(*keys, "value") for m in (ours, base)]
     return E.compare_models(picked[0], picked[1], lower, keys)

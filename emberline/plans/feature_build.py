@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import detection_hour, fire_label, zero_if_missing
+from ..functions import fire_label, zero_if_missing
 from ..operators import bands as B
 from ..operators import features as X
 from ..operators import geometry as G
@@ -36,6 +36,8 @@ class BuildSettings:
     aggregation: str = "mean"
     drop_active_fire: bool = False
     seed: int = 42
+    #: True for stored stacks: their fire band holds hours, so a detection in hour 0 is no label.
+    fire_in_hours: bool = False
     folds: tuple = tuple(FOLD_YEARS)
 
     @property
@@ -47,7 +49,7 @@ class BuildSettings:
 def fold_scaler(pixels: DataFrame, settings: BuildSettings) -> B.Stats:
     """Band statistics of the fold's training years on unaugmented pixels."""
     years = settings.folds[settings.fold_id][:2]
-    stats = B.band_stats(pixels, B.prepared_bands(F.col("bands")), [years])
+    stats = B.band_stats(pixels, B.prepared_bands(F.col("bands"), settings.fire_in_hours), [years])
     return B.fit_scaler(stats, years, untouched=B.UNSCALED)
 
 
@@ -66,7 +68,7 @@ def _image_rows(pixels: DataFrame, channels: Sequence[Column], settings: BuildSe
 
 def uncropped_samples(pixels: DataFrame, scaler: B.Stats, settings: BuildSettings) -> DataFrame:
     """Samples from whole (or centre-cropped) images: aggregate each image once, then window."""
-    channels = B.expand_channels(F.col("bands"), scaler)
+    channels = B.expand_channels(F.col("bands"), scaler, settings.fire_in_hours)
     images = S.index_images(stage(_image_rows(pixels, channels, settings)))
     windows = S.leading_windows(images, settings.n_days, ["tif"], "burned_pixels")
     tif = X.flatten_days(F.transform("days", lambda d: d["tif"]))
@@ -83,19 +85,40 @@ def sample_roles(images: DataFrame, n_days: int) -> DataFrame:
     return windows.select(*SAMPLE_KEY, F.posexplode(dates).alias(DAY, "obs_date"))
 
 
+def pixels_by_sample(pixels: DataFrame, n_days: int) -> Callable[[DataFrame], DataFrame]:
+    """A function repeating pixel rows for the samples that use their image, with ``day``.
+
+    Stored stacks carry the position of the image, so this is a projection; other tables look the
+    samples of their image up.
+    """
+    if "day_index" in pixels.columns:
+        # Position p serves samples p-n..p, as day n (the label) down to day 0.
+        days = F.sequence(F.lit(0), F.lit(n_days))
+
+        def spread(rows: DataFrame) -> DataFrame:
+            first = F.col("day_index") - F.col(DAY)
+            repeated = rows.withColumn(DAY, F.explode(days)).withColumn(SAMPLE_KEY[2], first)
+            return repeated.where((first >= 0) & (first < F.col("fire_days") - n_days))
+
+        return spread
+    images = stage(pixels.groupBy(*IMAGE_KEY).agg(F.count(F.lit(1)).alias("n_px")))
+    roles = stage(sample_roles(images, n_days))
+    return lambda rows: lookup_join(rows, roles, IMAGE_KEY, ["r", "c"])
+
+
 def sample_pixels(pixels: DataFrame, settings: BuildSettings) -> DataFrame:
     """Augmented pixels of every sample, inputs and label as separate rows.
 
     Each image is repeated for the few samples that use it; the crop is scored and chosen per
     sample, then flips and turns move coordinates and angles of all its days alike.
     """
-    images = stage(pixels.groupBy(*IMAGE_KEY).agg(F.count(F.lit(1)).alias("n_px")))
-    roles = stage(sample_roles(images, settings.n_days))
+    spread = pixels_by_sample(pixels, settings.n_days)
     is_input = F.col(DAY) < settings.n_days
     fire = F.col("bands")[FIRE_BAND]
+    hour = B.fire_hour_of(fire, settings.fire_in_hours)
 
     def by_sample(rows: DataFrame) -> DataFrame:
-        return lookup_join(rows, roles, IMAGE_KEY, ["r", "c"]).select(
+        return spread(rows).select(
             *SAMPLE_KEY,
             DAY,
             is_input.alias(ROLE_X),
@@ -105,7 +128,7 @@ def sample_pixels(pixels: DataFrame, settings: BuildSettings) -> DataFrame:
             "c",
             "bands",
             *[F.col("bands")[i].cast("double").alias(a) for i, a in zip(DEGREE_BANDS, ANGLES)],
-            F.when(is_input, detection_hour(fire)).alias("fire_hour"),
+            F.when(is_input, hour).alias("fire_hour"),
             F.when(~is_input, fire_label(fire)).alias("label"),
         )
 
@@ -130,7 +153,7 @@ def _turned_bands() -> list[Column]:
 
 def cropped_samples(augmented: DataFrame, scaler: B.Stats, settings: BuildSettings) -> DataFrame:
     """Samples from augmented pixels: one aggregate per (sample, day), then one per sample."""
-    channels = B.expand_channels(_BandList(_turned_bands()), scaler)
+    channels = B.expand_channels(_BandList(_turned_bands()), scaler, settings.fire_in_hours)
     per_day = X.spatial_agg_array(
         augmented,
         [*SAMPLE_KEY, DAY],
@@ -184,11 +207,10 @@ def feature_table(
         parts, plain = [], of("train", "val", "test")
     parts.append(uncropped_samples(G.center_crop_32(plain), scaler, settings))
     samples = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    views = S.split_views(
+    tagged = S.tag_samples(
         samples, settings.fold_id, settings.n_days, settings.adjust_to, settings.folds
     )
-    rows = views["train"].unionByName(views["val"]).unionByName(views["test"])
-    table = X.add_targets(rows.drop("stats_years", "augmented"))
+    table = X.add_targets(tagged.drop("stats_years", "augmented"))
     return table if embeddings is None else X.join_embeddings(table, embeddings, SAMPLE_KEY)
 
 
@@ -204,14 +226,12 @@ def embedding_table(
     crops = sample_pixels(
         pixels.where(F.col("year").isin([*years["train"], *years["val"]])), settings
     ).where(F.col(DAY) == last)
-    turned = B.expand_channels(_BandList(_turned_bands()), scaler)
+    turned = B.expand_channels(_BandList(_turned_bands()), scaler, settings.fire_in_hours)
     planes = [crops.select(*SAMPLE_KEY, "r", "c", *_rgb(turned))]
     test = G.center_crop_32(pixels.where(F.col("year").isin(years["test"])))
-    images = stage(test.groupBy(*IMAGE_KEY).agg(F.count(F.lit(1)).alias("n_px")))
-    roles = sample_roles(images, settings.n_days).where(F.col(DAY) == last)
-    roles = S.skip_initial(roles, settings.n_days, settings.adjust_to)
-    placed = lookup_join(test, roles, IMAGE_KEY, ["r", "c"])
-    plain = B.expand_channels(F.col("bands"), scaler)
+    placed = pixels_by_sample(test, settings.n_days)(test).where(F.col(DAY) == last)
+    placed = S.skip_initial(placed, settings.n_days, settings.adjust_to)
+    plain = B.expand_channels(F.col("bands"), scaler, settings.fire_in_hours)
     planes.append(placed.select(*SAMPLE_KEY, "r", "c", *_rgb(plain)))
     ready = X.rgb_prepare(planes[0].unionByName(planes[1]), SAMPLE_KEY, ["b0", "b1", "b2"])
     return X.embed_images(ready, SAMPLE_KEY, load)

@@ -133,6 +133,16 @@ PIXELS = T.StructType(
     ]
 )
 
+#: Stored stacks also carry each image's position in its fire and the number of images there, as a
+#: stacked file does by its time axis: which samples a pixel serves then follows without a join.
+STACK_PIXELS = T.StructType(
+    [
+        *PIXELS.fields,
+        T.StructField("day_index", T.LongType()),
+        T.StructField("fire_days", T.LongType()),
+    ]
+)
+
 PREDICTIONS = T.StructType(
     [
         T.StructField(name, T.DoubleType())

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import image_date, null_if_nan
-from ..schema import FIRE_BAND, PIXELS
+from ..operators.joins import lookup_join
+from ..operators.samples import INDEX, index_images
+from ..schema import FIRE_BAND, IMAGE_KEY, PIXELS, STACK_PIXELS
+from ..session import stage
 
 #: Pixel rows plus the centre of the image, which decoders may know.
 RASTER_PIXELS = T.StructType(
@@ -99,6 +102,15 @@ def consolidate(pixels: DataFrame) -> DataFrame:
     return pixels.withColumn("bands", bands)
 
 
+def add_positions(pixels: DataFrame) -> DataFrame:
+    """Add ``day_index`` and ``fire_days``: position of the image in its fire, images of the fire."""
+    images = stage(pixels.groupBy(*IMAGE_KEY).agg(F.count(F.lit(1)).alias("n_px")).drop("n_px"))
+    sizes = images.groupBy("year", "fire").agg(F.count(F.lit(1)).alias("fire_days"))
+    placed = index_images(images).withColumnRenamed(INDEX, "day_index")
+    placed = lookup_join(placed, sizes, ["year", "fire"], ["obs_date"])
+    return lookup_join(pixels, placed, IMAGE_KEY, ["r", "c"])
+
+
 def write_fire_stacks(pixels: DataFrame, path: str, fires_path: str | None = None) -> None:
     """Write consolidated pixels, clustered by fire, day and place, partitioned by year.
 
@@ -108,8 +120,8 @@ def write_fire_stacks(pixels: DataFrame, path: str, fires_path: str | None = Non
     """
     order = ["year", "fire", "obs_date", "r", "c"]
     (
-        consolidate(pixels)
-        .drop("lng", "lat")
+        add_positions(consolidate(pixels))
+        .select(*STACK_PIXELS.names)
         .repartitionByRange("year", "fire", "obs_date", "r")
         .sortWithinPartitions(*order)
         .write.partitionBy("year")
@@ -133,6 +145,10 @@ def fire_centres(pixels: DataFrame) -> DataFrame:
 
 
 def read_fire_stacks(spark: SparkSession, path: str) -> DataFrame:
-    """Consolidated pixels; filters on year, fire and day reach the files."""
-    columns = [f for f in PIXELS.fields if f.name != "year"] + [PIXELS["year"]]
-    return spark.read.schema(T.StructType(columns)).parquet(path).select(*PIXELS.names)
+    """Consolidated pixels; filters on year, fire and day reach the files.
+
+    The fire band is in hours there: pass ``fire_in_hours`` to the feature build.
+    """
+    fields = STACK_PIXELS.fields
+    columns = [f for f in fields if f.name != "year"] + [STACK_PIXELS["year"]]
+    return spark.read.schema(T.StructType(columns)).parquet(path).select(*STACK_PIXELS.names)

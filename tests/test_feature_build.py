@@ -104,6 +104,24 @@ def test_hot_fire_gives_the_same_rows(pixels):
         np.testing.assert_allclose(got[k]["tif"], want[k]["tif"], rtol=1e-9, atol=1e-9)
 
 
+@pytest.mark.parametrize("n", [1, 2])
+def test_stored_stacks_give_the_same_samples_without_a_join(spark, pixels, tmp_path, n):
+    from emberline.sources import rasters as R
+
+    centred = pixels.withColumns({"lng": F.lit(1.0), "lat": F.lit(2.0)})
+    R.write_fire_stacks(centred, f"{tmp_path}/stacks")
+    stacks = R.read_fire_stacks(spark, f"{tmp_path}/stacks")
+    settings = P.BuildSettings(n_days=n, crop_side=36, crop_tries=2, fire_in_hours=True)
+    got = by_key(P.feature_table(stacks, settings))
+    joined = by_key(P.feature_table(stacks.drop("day_index", "fire_days"), settings))
+    assert got.keys() == joined.keys() and len(got) == 4 * 2 * (4 - n)
+    for k in joined:
+        np.testing.assert_allclose(got[k]["tif"], joined[k]["tif"], rtol=1e-9, atol=1e-9)
+        assert got[k]["burned_area"] == joined[k]["burned_area"]
+    plan = P.sample_pixels(stacks, settings)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+
+
 def test_drop_active_fire_and_embeddings(spark, pixels):
     settings = P.BuildSettings(drop_active_fire=True)
     vectors = spark.createDataFrame(

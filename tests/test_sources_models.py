@@ -68,12 +68,16 @@ def test_ingested_pixels_and_stacks(spark, raw, images, tmp_path):
     )
     R.write_fire_stacks(pixels, f"{tmp_path}/stacks", f"{tmp_path}/fires")
     stored = R.read_fire_stacks(spark, f"{tmp_path}/stacks")
-    assert stored.columns == schema.PIXELS.names and stored.count() == pixels.count()
+    assert stored.columns == schema.STACK_PIXELS.names and stored.count() == pixels.count()
     hours = stored.where((F.col("fire") == key[1]) & (F.col("obs_date") == key[2]) & (F.col("year") == key[0]))
     hours = [r["bands"][22] for r in hours.orderBy("r", "c").collect()]
     np.testing.assert_array_equal(hours, np.floor(np.nan_to_num(bands[22]).ravel() / 100))
     plan = stored.where("year = 2018 AND fire = 'fire_1'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "EqualTo(fire,fire_1)" in plan
+    places = stored.select("year", "fire", "obs_date", "day_index", "fire_days").distinct().collect()
+    for r in places:
+        days = sorted(k[2] for k in images if k[:2] == (r["year"], r["fire"]))
+        assert days[r["day_index"]] == r["obs_date"] and r["fire_days"] == len(days)
     fires = spark.read.parquet(f"{tmp_path}/fires").collect()
     assert {(r["lng"], r["lat"], r["days"]) for r in fires} == {(-120.5, 38.25, 4)} and len(fires) == 4
 
