@@ -95,33 +95,20 @@ def band_stats(
     its years' rows, so a pixel is never repeated per fold.
     """
     wanted = sorted({y for group in year_groups for y in group})
-    prepared = pixels.where(F.col(year).isin(wanted)).select(
-        F.col(year).alias("year"),
-        *[null_if_nan(value.cast("double")).alias(f"b_{i}") for i, value in enumerate(bands.values())],
+    values = F.array(*[null_if_nan(value.cast("double")) for value in bands.values()])
+    # One row per pixel and band with a handful of buffers stays in generated code, which an
+    # aggregate over all bands side by side is too wide for.
+    narrow = pixels.where(F.col(year).isin(wanted)).select(
+        F.col(year).alias("year"), F.posexplode(values).alias("band_at", "x")
     )
-    moments = []
-    for i in range(len(bands)):
-        b = f"b_{i}"
-        moments += [
-            F.count(b).alias(f"n_{i}"),
-            F.avg(b).alias(f"m_{i}"),
-            F.var_pop(b).alias(f"v_{i}"),
-        ]
-    per_year = prepared.groupBy("year").agg(F.count(F.lit(1)).alias("rows"), *moments)
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("band"),
-                    F.col(f"n_{i}").alias("n"),
-                    F.col(f"m_{i}").alias("m"),
-                    (F.col(f"v_{i}") * F.col(f"n_{i}")).alias("ss"),
-                )
-                for i, name in enumerate(bands)
-            ]
-        )
+    per_year = narrow.groupBy("year", "band_at").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("x").alias("n"),
+        F.avg("x").alias("m"),
+        (F.var_pop("x") * F.count("x")).alias("ss"),
     )
-    long = per_year.select("year", "rows", cells.alias("s")).select("year", "rows", "s.*")
+    names = F.array(*[F.lit(n) for n in bands])
+    long = per_year.select("year", "rows", F.get(names, "band_at").alias("band"), "n", "m", "ss")
     groups = pixels.sparkSession.createDataFrame(
         [([int(y) for y in g], int(y)) for g in map(list, dict.fromkeys(map(tuple, year_groups))) for y in g],
         "train_years array<int>, year int",

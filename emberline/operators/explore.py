@@ -103,34 +103,22 @@ def band_profile(
 
     Kinds: binary or normalised within [-0.1, 1.1], continuous below 1000, raw from 1000 on.
     """
-    values = {f"b{i}": null_if_nan(v.cast("double")) for i, v in enumerate(bands.values())}
-    aggs = []
-    for b in values:
-        c = F.col(b)
-        aggs += [
-            F.min(c).alias(f"{b}_min"),
-            F.max(c).alias(f"{b}_max"),
-            F.avg(c).alias(f"{b}_avg"),
-            F.stddev_pop(c).alias(f"{b}_std"),
-            F.count(c).alias(f"{b}_n"),
-            F.coalesce(F.bool_and(c.isin(0.0, 1.0)), F.lit(True)).alias(f"{b}_bin"),
-        ]
-    wide = pixels.select(*image, *[v.alias(b) for b, v in values.items()]).groupBy(*image).agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("band"),
-                F.col(f"b{i}_min").alias("minimum"),
-                F.col(f"b{i}_max").alias("maximum"),
-                F.col(f"b{i}_avg").alias("mean"),
-                F.col(f"b{i}_std").alias("std"),
-                F.col(f"b{i}_n").alias("non_missing"),
-                F.col(f"b{i}_bin").alias("_binary"),
-            )
-            for i, name in enumerate(bands)
-        ]
+    values = F.array(*[null_if_nan(v.cast("double")) for v in bands.values()])
+    x = F.col("x")
+    stats = (
+        pixels.select(*image, F.posexplode(values).alias("band_at", "x"))
+        .groupBy(*image, "band_at")
+        .agg(
+            F.min(x).alias("minimum"),
+            F.max(x).alias("maximum"),
+            F.avg(x).alias("mean"),
+            F.stddev_pop(x).alias("std"),
+            F.count(x).alias("non_missing"),
+            F.coalesce(F.bool_and(x.isin(0.0, 1.0)), F.lit(True)).alias("_binary"),
+        )
     )
-    long = wide.select(*image, F.explode(rows).alias("s")).select(*image, "s.*")
+    names = F.array(*[F.lit(n) for n in bands])
+    long = stats.withColumn("band", F.get(names, "band_at")).drop("band_at")
     low, high = F.col("minimum"), F.col("maximum")
     kind = (
         F.when((high <= 1.1) & (low >= -0.1) & F.col("_binary"), "binary")
