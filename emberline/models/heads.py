@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_missing
 from ..operators import metrics as E
-from ..operators.prepare import drop_missing_label, fill_with, positives
+from ..operators.prepare import drop_missing_label, fill_with, order_features, positives
 from ..sources.tables import read_feature_list, write_feature_list
 
 VECTOR, WEIGHT = "_vector", "_weight"
@@ -66,8 +66,16 @@ class Head:
         return with_vector(df, self.medians, features)
 
     def score(self, df: DataFrame, name: str, features: str = "features") -> DataFrame:
-        """Probability of ignition, or predicted log area, as column ``name``."""
-        scored = self.model.transform(self.vectors(df, features))
+        """Probability of ignition, or predicted log area, as column ``name``.
+
+        Features that carry names are put into the head's order, and missing ones are an error.
+        """
+        ordered = df
+        if df.schema[features].metadata.get("names"):
+            ordered = order_features(df.withColumn("_own", F.col(features)), features, self.names)
+        scored = self.model.transform(self.vectors(ordered, features))
+        if ordered is not df:
+            scored = scored.drop(features).withColumnRenamed("_own", features)
         if self.is_classifier:
             value = vector_to_array("probability")[1]
         else:

@@ -196,25 +196,22 @@ def embed_images(
     planes: DataFrame,
     image: Sequence[str],
     load: Callable[[], Callable],
-    max_pixels: int = 4_000_000,
+    max_pixels: int | None = 4_000_000,
 ) -> DataFrame:
     """Run a user's embedding function over whole images: ``(key, embedding array<float>)``.
 
     ``load()`` is called once per task and returns ``fn(array of shape (3, H, W)) -> 1-d array``.
-    A network needs its whole image, so the pixels of one image meet in one task; an image above
-    ``max_pixels`` fails the job instead of overwhelming it.
+    A network needs its whole image, so the pixels of one image meet in one row. Images are counted
+    first (keys only, reduced within tasks), and one above ``max_pixels`` fails the job before
+    anything is gathered; None skips the count for callers that know their image sizes.
     """
-    # numpy only inside the task
-    size = F.count(F.lit(1))
+    if max_pixels is not None:
+        sizes = planes.groupBy(*image).agg(F.count(F.lit(1)).alias("pixels"))
+        oversized = sizes.where(F.col("pixels") > max_pixels).limit(1).collect()
+        if oversized:
+            raise ValueError(f"image too large to embed: {oversized[0].asDict()}")
     whole = planes.groupBy(*image).agg(
-        F.collect_list(F.struct("r", "c", "red", "green", "blue")).alias("pixels"),
-        size.alias("_size"),
-    )
-    guarded = whole.withColumn(
-        "_size",
-        F.when(F.col("_size") <= max_pixels, F.col("_size")).otherwise(
-            F.raise_error(F.lit("image too large to embed")).cast("bigint")
-        ),
+        F.collect_list(F.struct("r", "c", "red", "green", "blue")).alias("pixels")
     )
     names = list(image)
     schema = T.StructType(
@@ -244,4 +241,4 @@ def embed_images(
             columns.append(pa.array(vectors, type=pa.list_(pa.float32())))
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "embedding"])
 
-    return guarded.select(*names, "pixels", "_size").mapInArrow(run, schema)
+    return whole.mapInArrow(run, schema)

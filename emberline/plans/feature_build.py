@@ -24,6 +24,7 @@ from ..session import stage
 
 ANGLES = [f"angle_{i}" for i in DEGREE_BANDS]
 DAY, ROLE_X = "day", "is_input"
+MAX_IMAGE_PIXELS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -220,6 +221,9 @@ def embedding_table(
     settings: BuildSettings = BuildSettings(),
 ) -> DataFrame:
     """Embeddings of the last input day of every sample, from the very crops of the features."""
+    largest = pixels.agg(F.max(F.col(G.H).cast("bigint") * F.col(G.W))).first()[0] or 0
+    if max(largest, settings.crop_side**2) > MAX_IMAGE_PIXELS:
+        raise ValueError(f"image too large to embed: {largest} pixels")
     scaler = fold_scaler(pixels, settings)
     years = S.fold_years(settings.fold_id, settings.folds)
     last = settings.n_days - 1
@@ -234,7 +238,7 @@ def embedding_table(
     plain = B.expand_channels(F.col("bands"), scaler, settings.fire_in_hours)
     planes.append(placed.select(*SAMPLE_KEY, "r", "c", *_rgb(plain)))
     ready = X.rgb_prepare(planes[0].unionByName(planes[1]), SAMPLE_KEY, ["b0", "b1", "b2"])
-    return X.embed_images(ready, SAMPLE_KEY, load)
+    return X.embed_images(ready, SAMPLE_KEY, load, max_pixels=None)
 
 
 def _rgb(channels: Sequence[Column]) -> list[Column]:

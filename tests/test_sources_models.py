@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from emberline import schema
 from emberline.models import heads as M
 from emberline.operators import explore as X
+from emberline.operators.prepare import assemble_features
 from emberline.plans import evaluation, training
 from emberline.sources import inventory as I
 from emberline.sources import rasters as R
@@ -170,6 +171,13 @@ def test_heads_learn_save_and_load(spark, table, tmp_path):
     assert [r["p"] for r in a] == [r["p"] for r in b]
     assert all(0 <= r["p"] <= 1 for r in a) and len(a) == 100
 
+    # The contract: named features are brought into the head's order, missing ones are refused.
+    wide = test.select("id", *[F.col("features")[i].alias(n) for i, n in enumerate(names)])
+    turned = assemble_features(wide, ["x2", "x0", "x1"])
+    assert [r["p"] for r in head.score(turned, "p").orderBy("id").collect()] == [r["p"] for r in a]
+    with pytest.raises(ValueError, match="missing"):
+        head.score(assemble_features(wide, ["x0", "x1"]), "p")
+
     scored = None
     for family, pair in heads.items():
         part = evaluation.score_model(test, pair["p"], pair["a"], ["id"], 3.0, family)
