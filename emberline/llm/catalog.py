@@ -3,5 +3,6 @@
 from . import (  # noqa: F401
     exact_dedup,
     language_id,
+    packing,
 )
 from .common import ORACLES, QUERIES  # noqa: F401
