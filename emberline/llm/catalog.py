@@ -4,5 +4,6 @@ from . import (  # noqa: F401
     exact_dedup,
     language_id,
     packing,
+    warc,
 )
 from .common import ORACLES, QUERIES  # noqa: F401
