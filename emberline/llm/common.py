@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -167,7 +168,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
         texts = batch.column(column)
         if not len(texts):
             continue
-        sizes = np.nan_to_num(np.array(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False), float))
+        sizes = np.nan_to_num(np.array(pc.binary_length(texts).to_numpy(zero_copy_only=False), float))
         parts = (np.cumsum(sizes) // CHUNK_BYTES).astype(np.int64)
         cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(texts)]
         for lo, hi in zip(cuts, cuts[1:], strict=False):
