@@ -2,6 +2,7 @@
 
 from . import (  # noqa: F401
     exact_dedup,
+    html_text,
     language_id,
     packing,
     warc,
