@@ -61,9 +61,10 @@ def lower_ascii(text: Column) -> Column:
 
 # ---------------------------------------------------------------- words and hashes, vectorised over a batch
 
+#: Separators for ``Words`` that leave letters, digits and all non-ASCII characters.
+NOT_ALNUM = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _RNG = np.random.default_rng(20240611)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_SPACE = np.array([b == 0x20 or 0x09 <= b <= 0x0D for b in range(256)])
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
@@ -98,7 +99,7 @@ class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of some texts: ``starts``/``ends`` are byte places in ``data``,
     ``hashes`` 64-bit hashes, and text i has the words ``first[i]:first[i + 1]``."""
 
-    def __init__(self, texts: pa.Array, lower: bool, hashes: bool = True):
+    def __init__(self, texts: pa.Array, lower: bool, hashes: bool = True, separators: np.ndarray = _SPACE):
         texts = texts.fill_null("") if texts.null_count else texts
         if pa.types.is_large_string(texts.type):
             kind = np.int64
@@ -109,7 +110,7 @@ class Words:
         whole = texts.buffers()[2] if len(texts) else None
         self.data = np.frombuffer(whole, np.uint8)[base:end] if whole is not None and end > base else np.zeros(0, np.uint8)
         self.bounds = offsets.astype(np.int64) - base
-        inside = ~_SPACE[self.data]
+        inside = ~separators[self.data]
         n = len(inside)
         begin, stop = inside.copy(), np.zeros(n + 1, bool)
         if n:
