@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     exact_dedup,
     html_text,
     language_id,
+    ngram_join,
     packing,
     warc,
 )
