@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     language_id,
     ngram_join,
     packing,
+    substring_dedup,
     warc,
 )
 from .common import ORACLES, QUERIES  # noqa: F401
