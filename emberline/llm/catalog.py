@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     language_id,
     ngram_join,
     packing,
+    pii,
     substring_dedup,
     warc,
 )
