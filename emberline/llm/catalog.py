@@ -1,6 +1,7 @@
 """Queries of the training-data operators and their DuckDB SQL."""
 
 from . import (  # noqa: F401
+    chat,
     decontamination,
     exact_dedup,
     html_text,
