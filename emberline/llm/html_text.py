@@ -102,6 +102,8 @@ def parse(page: str) -> Node:
                     up = up.parent
                 if up.tag == tag:
                     node = close(up)
+            elif tag == "p":
+                node.parts.append(Node("p", node, False))  # an empty paragraph, as browsers make of it
             continue
         for above in ("p", "li", "dt", "dd", "option", "tr", "td", "th"):
             if open_tags[above] > 0 and tag in CLOSED_BY[above]:

@@ -155,6 +155,10 @@ def _joined(spans) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _equals(number: int):
+    return lambda value: value == number
+
+
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, least_seeds: int = 3, confidence: float = 0.7) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all), n_added per row.
 
@@ -174,7 +178,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     plain = F.transform("seeds", lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end")))
     out = sized_join(found.select("doc_id", "rid", plain.alias("base")), added, ["rid"], "left")
     more = F.coalesce("added", F.array().cast(f"array<{SPAN}>"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, _equals(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return out.select(
         "doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.sort_array(F.concat("base", more))).alias("spans"), F.size(more).cast("long").alias("n_added"),

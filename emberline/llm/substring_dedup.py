@@ -98,7 +98,9 @@ def _cuts(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """Order by group, and (group, from, to) in that order."""
     order = np.argsort(group, kind="stable")
     ranked = group[order]
-    at = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, int)
+    if not len(ranked):
+        return order, []
+    at = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
     return order, list(zip(ranked[at].tolist(), at.tolist(), [*at[1:].tolist(), len(ranked)], strict=True))
 
 
