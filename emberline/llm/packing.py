@@ -159,6 +159,8 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list
 
 def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset of each piece; sequences hold at most ``capacity`` without gaps."""
+    if not len(lengths):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     order = np.argsort(-lengths, kind="stable")
     sequence, rooms = np.full(len(lengths), -1), []
     whole = order[lengths[order] == capacity]
