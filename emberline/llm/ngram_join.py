@@ -8,8 +8,9 @@ is of that kind are left out early, by counting packed hashes, and only the rest
 Candidates meet on prefix shingles; a pair is kept if its sizes (length filter) and the places of
 its first common shingle (positional filter) allow the similarity, and is then verified once, after
 a look at how its sets fall apart around their middle (suffix filter). Equal sets are one class from
-the start. Groups of near copies are first linked as stars around the smallest text on a shingle;
-after that only texts of different components are paired, so a group never yields all its pairs.
+the start. Groups of near copies are first linked as stars, in a few rounds around one text of each
+size on a shingle; after that only texts of different components are paired, so a group never yields
+all its pairs.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ BLOCK_BYTES = 12 << 20
 #: Stored bytes of input for each group of hashes counted together.
 GROUP_BYTES = 16 << 20
 SEEN = np.uint16(0xFFFF)
+#: Rounds in which texts are tried with one other text on each shingle, before all pairs that are left.
+STAR_ROUNDS = 3
 
 
 def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -180,7 +183,10 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _index(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Stored prefix entries token, id, n, place of all texts, in the order of rising frequency."""
+    """Stored prefix entries token, id, n, place, rank of all texts, in the order of rising frequency.
+
+    ``place`` counts all shingles of the text before this one, ``rank`` those that another text has.
+    """
     groups = max(8, -(-stored_bytes(sets) // GROUP_BYTES))
 
     def post(rows: pa.Table) -> pa.Table:
@@ -209,7 +215,7 @@ def _index(sets: DataFrame, num: int, den: int) -> DataFrame:
         return pa.table({"block": rows["block"].combine_chunks(), "hashes": _binary(hashes), "times": _binary(counts)})
 
     def entries(left: pa.Table, right: pa.Table) -> pa.Table:
-        tokens, ids, sizes, places = [], [], [], []
+        tokens, ids, sizes, places, ranks = [], [], [], [], []
         hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in right["hashes"].to_pylist()] or [np.zeros(0, np.uint64)])
         times = np.concatenate([np.frombuffer(x, np.uint32) for x in right["times"].to_pylist()] or [np.zeros(0, np.uint32)])
         order = np.argsort(hashes)
@@ -228,13 +234,17 @@ def _index(sets: DataFrame, num: int, den: int) -> DataFrame:
                 ids.append(np.full(len(first), doc))
                 sizes.append(np.full(len(first), n))
                 places.append(alone + np.arange(len(first)))
+                ranks.append(np.arange(len(first)))
         if not tokens:
-            return pa.table({c: pa.array([], pa.int64()) for c in ("token", "id", "n", "place")})
-        return pa.table({"token": np.concatenate(tokens).view(np.int64), "id": np.concatenate(ids), "n": np.concatenate(sizes), "place": np.concatenate(places)})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("token", "id", "n", "place", "rank")})
+        return pa.table({
+            "token": np.concatenate(tokens).view(np.int64), "id": np.concatenate(ids), "n": np.concatenate(sizes),
+            "place": np.concatenate(places), "rank": np.concatenate(ranks),
+        })
 
     posted = sets.select("block", "shingles").groupBy("block").applyInArrow(post, "group long, block long, hashes binary, times binary")
     counted = posted.groupBy("group").applyInArrow(count, "block long, hashes binary, times binary")
-    found = sets.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(entries, "token long, id long, n long, place long")
+    found = sets.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(entries, "token long, id long, n long, place long, rank long")
     return stage(found)
 
 
@@ -275,16 +285,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return stage(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
 
 
-def _possible(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs (a, b) after the length and positional filters; rows: a, b, na, nb, pa, pb."""
-    fits = rows.where((F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num))
-    first = fits.groupBy("a", "b").agg(*[F.min(c).alias(c) for c in ("na", "nb", "pa", "pb")])
+def _fits(num: int, den: int):
+    """Length and positional filter of a meeting of a and b on a common shingle.
+
+    Of the shingles before it only those of other texts, ``rank`` many, can be common as well.
+    """
+    length = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
+    most = F.least("ra", "rb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    return length & (most * (den + num) >= (F.col("na") + F.col("nb")) * num)
+
+
+def _possible(met: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs (a, b) whose first common shingle allows the similarity."""
+    first = met.groupBy("a", "b").agg(*[F.min(c).alias(c) for c in ("na", "nb", "pa", "pb", "ra", "rb")])
     most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     return first.where(most * (den + num) >= (F.col("na") + F.col("nb")) * num).select("a", "b")
 
 
-def _entry(index: DataFrame, end: str, *more: str) -> DataFrame:
-    return index.select("token", F.col("id").alias(end), F.col("n").alias(f"n{end}"), F.col("place").alias(f"p{end}"), *more)
+def _entry(index: DataFrame, end: str, *more) -> DataFrame:
+    return index.select(
+        "token", F.col("id").alias(end), F.col("n").alias(f"n{end}"), F.col("place").alias(f"p{end}"), F.col("rank").alias(f"r{end}"),
+        F.col("component").alias(f"c{end}"), *more,
+    )
 
 
 def ngram_components(
@@ -315,27 +337,38 @@ def ngram_components(
 def _labels(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Stored (node, component) of the texts that are linked."""
     sets = _sets(docs, n)
-    index = _index(sets, num, den)
-    # Stars: on each shingle every text is tried with the smallest of its size class.
-    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("int").alias("size_class")
-    sized = index.select("*", size_class)
-    centres = sized.groupBy("token", "size_class").agg(F.min(F.struct("id", "n", "place")).alias("c"))
-    centres = centres.select("token", "size_class", F.col("c.id").alias("a"), F.col("c.n").alias("na"), F.col("c.place").alias("pa"))
-    stars = _entry(sized, "b", "size_class").join(centres, ["token", "size_class"]).where("a <> b")
-    linked = _verified(_possible(stars, num, den), sets, num, den)
-    first = components(linked)
+    # Sets of a pair differ in size by a factor of den / num at most: by one class, or none.
+    # (The classes are a little wider than that, so that rounding of logarithms cannot part a pair.)
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.001 * den / num))).cast("int")
+    index = _index(sets, num, den).withColumn("size_class", size_class)
+    links, labels = None, None
+    for turn in range(STAR_ROUNDS):
+        open_rows = _open(index, labels)
+        order = F.struct(F.xxhash64("id", F.lit(turn)).alias("first"), "id", "n", "place", "rank", "component")
+        centre = open_rows.groupBy("token", "size_class").agg(F.min(order).alias("x")).select("token", "size_class", "x.*")
+        stars = _entry(open_rows, "b", "size_class").join(_entry(centre, "a", "size_class"), ["token", "size_class"])
+        found = _verified(_possible(stars.where((F.col("ca") != F.col("cb")) & _fits(num, den)), num, den), sets, num, den)
+        links = found if links is None else links.union(found)
+        labels = components(links)
     # All other pairs: of different components, and only on shingles that have several.
-    named = stage(
-        sized_join(index.withColumnRenamed("id", "node"), first, ["node"], "left")
-        .select("token", F.col("node").alias("id"), "n", "place", F.coalesce("component", "node").alias("component"))
-    )
-    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    open_rows = stage(named.join(mixed, "token", "left_semi"))
-    ca, cb = F.col("component").alias("ca"), F.col("component").alias("cb")
-    near = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
-    met = _entry(open_rows, "a", ca).join(_entry(open_rows, "b", cb), "token").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & near)
+    open_rows = _open(index, labels)
+    near = F.explode(F.array(F.col("size_class"), F.col("size_class") + 1)).alias("size_class")
+    left, right = _entry(open_rows, "a", F.col("size_class").alias("own"), near), _entry(open_rows, "b", "size_class")
+    # From a's class upwards; inside one class each pair once.
+    once = (F.col("own") < F.col("size_class")) | (F.col("a") < F.col("b"))
+    met = left.join(right, ["token", "size_class"]).where((F.col("ca") != F.col("cb")) & once & _fits(num, den))
     more = _verified(_possible(met, num, den), sets, num, den)
-    return components(linked.union(more))
+    return components(links.union(more))
+
+
+def _open(index: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Stored index entries with their component, of the shingles that stand in several components."""
+    if labels is None:
+        return index.withColumn("component", F.col("id"))
+    named = sized_join(index.withColumnRenamed("id", "node"), labels, ["node"], "left")
+    named = named.withColumn("id", F.col("node")).withColumn("component", F.coalesce("component", "node"))
+    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
+    return stage(named.join(mixed, "token", "left_semi").drop("node"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
