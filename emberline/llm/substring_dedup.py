@@ -30,7 +30,7 @@ WINDOW = 35
 PARTS = 5
 #: Suffixes of one group.
 MEMORY = 2_000_000
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 5 << 20
 GROUP_BYTES = 16 << 20
 PLACE_BITS = 26
 
