@@ -171,25 +171,58 @@ def rgb_prepare(t: Tables):
     return planes.withColumns({n: F.round(n, 6) for n in ("red", "green", "blue")})
 
 
-@check("f12_embed_images")
-def embed_images(t: Tables):
-    pixels = t.px.select(
-        "img", "r", "c", "b_deg", F.coalesce("b_cont", F.lit(0.0)).alias("b_cont"), "b_static"
+_PLANE = "round(CAST(CAST((CASE WHEN hi > lo THEN ({v} - lo) / (hi - lo) ELSE 0 END - {mean}::DOUBLE) / {std}::DOUBLE AS FLOAT) AS DOUBLE), 6)"
+
+
+@check(
+    "f12_embed_images",
+    """
+WITH places AS (
+  SELECT img, r, c, max(b_deg) AS a, max(coalesce(b_cont, 0)) AS b, max(CAST(b_static AS DOUBLE)) AS d FROM px GROUP BY img, r, c),
+ends AS (
+  SELECT img, max(a) AS ah, min(a) AS al, max(b) AS bh, min(b) AS bl, max(d) AS dh, min(d) AS dl, count(*) AS pixels,
+         greatest(max(a), max(b), max(d)) AS hi, least(min(a), min(b), min(d)) AS lo FROM places GROUP BY img)
+SELECT img, pixels, """
+    + ", ".join(
+        f"{_PLANE.format(v=v, mean=RGB_MEAN[i % 3], std=RGB_STD[i % 3])} AS {v}"
+        for i, v in enumerate(("ah", "bh", "dh", "al", "bl", "dl"))
     )
-    planes = X.rgb_prepare(pixels, ["img"], ["b_deg", "b_cont", "b_static"])
+    + " FROM ends",
+)
+def embed_images(t: Tables):
+    """The function stands for a network: it gives the largest and the least value of each plane."""
+    value = {"b_deg": F.col("b_deg"), "b_cont": F.coalesce("b_cont", F.lit(0.0)), "b_static": F.col("b_static").cast("double")}
+    pixels = t.px.groupBy("img", "r", "c").agg(*[F.max(v).alias(n) for n, v in value.items()])
+    planes = X.rgb_prepare(pixels, ["img"], list(value))
 
     def load():
         import numpy as np
 
-        return lambda grid: np.concatenate([grid.max(axis=(1, 2)), grid.min(axis=(1, 2))])
+        def run(grid):
+            # Places without a pixel are 0 in the grid; only real ones are looked at.
+            real = (grid != 0).any(axis=0)
+            planes = grid[:, real]
+            return np.concatenate([planes.max(axis=1), planes.min(axis=1), [real.sum()]])
 
-    return X.embed_images(planes, ["img"], load)
+        return run
 
+    found = X.embed_images(planes, ["img"], load)
+    at = F.col("embedding")
+    names = ["ah", "bh", "dh", "al", "bl", "dl"]
+    ends = [F.round(at[i].cast("double"), 6).alias(n) for i, n in enumerate(names)]
+    return found.select("img", at[6].cast("bigint").alias("pixels"), *ends)
 
-@check("s4_embedding_table")
+
+@check(
+    "s4_embedding_table",
+    "SELECT vec_id AS img, 'train' AS split, CAST(len(embedding) AS INT) AS width, round(CAST(list_sum(embedding) AS DOUBLE), 4) AS total FROM embeddings",
+)
 def embedding_table(t: Tables):
+    """Stored by split and read back."""
     vectors = _vectors(t).withColumn("split", F.lit("train"))
-    return stage(vectors, "split").select("img", "split", "embedding")
+    read = stage(vectors, "split")
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v.cast("double"))
+    return read.select("img", "split", F.size("embedding").alias("width"), F.round(total, 4).alias("total"))
 
 
 # --- preparation --------------------------------------------------------------------------------

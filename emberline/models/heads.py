@@ -32,7 +32,7 @@ class Boosting:
     column_share: float = 0.6
     patience: int | None = 20
     seed: int = 42
-    bins: int = 64
+    bins: int = 256
 
     def _common(self) -> dict:
         return dict(
@@ -68,14 +68,13 @@ class Head:
     def score(self, df: DataFrame, name: str, features: str = "features") -> DataFrame:
         """Probability of ignition, or predicted log area, as column ``name``.
 
-        Features that carry names are put into the head's order, and missing ones are an error.
+        The features must carry names: they are put into the head's order, and a column without
+        names, or with missing ones, is an error.
         """
-        ordered = df
-        if df.schema[features].metadata.get("names"):
-            ordered = order_features(df.withColumn("_own", F.col(features)), features, self.names)
+        metadata = df.schema[features].metadata
+        ordered = order_features(df.withColumn("_own", F.col(features)), features, self.names)
         scored = self.model.transform(self.vectors(ordered, features))
-        if ordered is not df:
-            scored = scored.drop(features).withColumnRenamed("_own", features)
+        scored = scored.drop(features).withColumnRenamed("_own", features).withMetadata(features, metadata)
         if self.is_classifier:
             value = vector_to_array("probability")[1]
         else:

@@ -162,14 +162,16 @@ def prepared_bands(bands: Column, fire_in_hours: bool = False) -> dict[str, Colu
 
 
 def fit_scaler(stats: DataFrame, train_years: Sequence[int], untouched: Sequence[str] = ()) -> Stats:
-    """The statistics of one fold as numbers: one row per band, at most a few dozen."""
+    """The statistics of one fold as numbers: one row per band.
+
+    A constant band is only moved to 0 (its scale stays 1); a band without values has no entry.
+    """
     rows = (
         stats.where(F.col("train_years") == F.array(*[F.lit(int(y)) for y in train_years]))
         .where(~F.col("band").isin(list(untouched)) if untouched else F.lit(True))
-        .limit(10_000)
         .collect()
     )
-    return {r["band"]: (r["mean"], r["std"]) for r in rows if r["mean"] is not None and r["std"]}
+    return {r["band"]: (r["mean"], r["std"] or 1.0) for r in rows if r["mean"] is not None}
 
 
 UNSCALED = [BASE_BANDS[i] for i in (*DEGREE_BANDS, LAND_COVER_BAND)]

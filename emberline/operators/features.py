@@ -196,14 +196,14 @@ def embed_images(
     planes: DataFrame,
     image: Sequence[str],
     load: Callable[[], Callable],
-    max_pixels: int | None = 4_000_000,
+    max_pixels: int | None = None,
 ) -> DataFrame:
     """Run a user's embedding function over whole images: ``(key, embedding array<float>)``.
 
     ``load()`` is called once per task and returns ``fn(array of shape (3, H, W)) -> 1-d array``.
-    A network needs its whole image, so the pixels of one image meet in one row. Images are counted
-    first (keys only, reduced within tasks), and one above ``max_pixels`` fails the job before
-    anything is gathered; None skips the count for callers that know their image sizes.
+    A network needs its whole image, so the pixels of one image meet in one row, and a task holds
+    one image; two pixels at one place are an error. With ``max_pixels`` images are counted first
+    (keys only, reduced within tasks), and a larger one fails the job before anything is gathered.
     """
     if max_pixels is not None:
         sizes = planes.groupBy(*image).agg(F.count(F.lit(1)).alias("pixels"))
@@ -234,6 +234,9 @@ def embed_images(
                 r = flat.field("r").to_numpy()
                 c = flat.field("c").to_numpy()
                 grid = np.zeros((3, int(r.max()) + 1, int(c.max()) + 1), dtype=np.float32)
+                places = r.astype(np.int64) * grid.shape[2] + c
+                if len(np.unique(places)) < len(places):
+                    raise ValueError("an image has two pixels at one place")
                 for plane, name in enumerate(("red", "green", "blue")):
                     grid[plane, r, c] = flat.field(name).to_numpy(zero_copy_only=False)
                 vectors.append(np.asarray(fn(grid), dtype=np.float32).ravel().tolist())

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import count_if, is_missing
 from ..session import stage
-from .joins import hot_split_join
+from .joins import hot_split_join, lookup_join
 from .ordering import prefix_sums
 
 
@@ -128,8 +128,8 @@ def pr_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) ->
 
 def _with_totals(curve: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
     if by:
-        # `by` names models and subsets; Spark broadcasts the totals when they are small.
-        return curve.join(totals, list(by))
+        # `by` names models and subsets; their totals are broadcast after a look at how many there are.
+        return lookup_join(curve, totals, list(by), ["score"])
     pair = totals.select(F.struct("_p", "_n")).scalar()
     return curve.withColumn("_both", pair).select("*", "_both._p", "_both._n").drop("_both")
 
@@ -161,7 +161,7 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     ranked = hot_split_join(ranked, ry, [*by, "_y"], "_pairs", ["_ry"], ["_x"])
     # Ranks average (n+1)/2 exactly, so the moments are taken around it for accuracy.
     sizes = pairs.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    centred = _with_count(ranked, sizes, by)
+    centred = _with_count(ranked, sizes, by, ["_x", "_y"])
     middle = (F.col("_n") + 1) / 2
     dx, dy = F.col("_rx") - middle, F.col("_ry") - middle
     sums = centred.groupBy(*by).agg(
@@ -176,9 +176,10 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     return with_rho.withColumn("t", F.when(inside >= 0, F.col("rho") * F.sqrt(inside)))
 
 
-def _with_count(df: DataFrame, sizes: DataFrame, by: Sequence[str]) -> DataFrame:
+def _with_count(df: DataFrame, sizes: DataFrame, by: Sequence[str], spread: Sequence[str]) -> DataFrame:
     if by:
-        return df.join(sizes, list(by))
+        # Few values of `by` hold all rows: the sizes are broadcast after a look at how many there are.
+        return lookup_join(df, sizes, list(by), list(spread))
     return df.withColumn("_n", sizes.scalar())
 
 
@@ -191,11 +192,18 @@ def decision(score: Column | str, threshold: float = 0.5) -> Column:
     return (score > threshold).cast("int")
 
 
+def _judged(df: DataFrame, label: str, score: str) -> DataFrame:
+    return df.where(~is_missing(F.col(label).cast("double")) & ~is_missing(F.col(score).cast("double")))
+
+
 def classification_metrics(
     df: DataFrame, label: str, score: str, by: Sequence[str] = (), threshold: float = 0.5
 ) -> DataFrame:
-    """Brier score, accuracy, precision, recall and F1, one row per group."""
-    kept = df.where(~is_missing(F.col(label).cast("double")))
+    """Brier score, accuracy, precision, recall and F1, one row per group.
+
+    Rows without a label or without a score count nowhere, as in the ranking metrics.
+    """
+    kept = _judged(df, label, score)
     y, p = F.col(label).cast("int"), F.col(score).cast("double")
     called = decision(p, threshold)
     counted = kept.groupBy(*by).agg(
@@ -221,8 +229,9 @@ def classification_metrics(
 def confusion_matrix(
     df: DataFrame, label: str, score: str, by: Sequence[str] = (), threshold: float = 0.5
 ) -> DataFrame:
-    """All four cells per group with counts and percent of all rows, empty cells included."""
-    kept = df.where(~is_missing(F.col(label).cast("double")))
+    """All four cells per group with counts and percent of all rows with a label and a score,
+    empty cells included."""
+    kept = _judged(df, label, score)
     y, called = F.col(label).cast("int"), decision(F.col(score).cast("double"), threshold)
     grid = [(a, b) for a in (0, 1) for b in (0, 1)]
     counted = kept.groupBy(*by).agg(
@@ -280,7 +289,7 @@ def error_profile(df: DataFrame, residual: str, by: Sequence[str] = ()) -> DataF
     kept = df.where(~is_missing(residual))
     r = F.col(residual)
     sizes = kept.groupBy(*by).agg(F.stddev_samp(r).alias("_n"))
-    marked = _with_count(kept, sizes, by)
+    marked = _with_count(kept, sizes, by, [residual])
     n = F.count(F.lit(1))
     large, under, over = count_if(F.abs(r) > 2 * F.col("_n")), count_if(r > 0), count_if(r < 0)
     return marked.groupBy(*by).agg(

@@ -140,6 +140,11 @@ def common_features(p_head: Sequence[str], a_head: Sequence[str]) -> tuple[list[
     return [f for f in p_head if f in shared], [f for f in a_head if f in shared]
 
 
+def name_features(df: DataFrame, names: Sequence[str], features: str = "features") -> DataFrame:
+    """Let a feature array carry the names of its entries."""
+    return df.withMetadata(features, {**df.schema[features].metadata, "names": list(names)})
+
+
 def order_features(df: DataFrame, features: str, names: Sequence[str]) -> DataFrame:
     """Re-order a named feature array to ``names``; fails with the names that are missing."""
     have = df.schema[features].metadata.get("names")
@@ -177,10 +182,8 @@ def fill_with(
     """Replace missing entries by position; ``zero`` also fills what has no median."""
     metadata = df.schema[features].metadata
     fills = F.array(*[F.lit(m) for m in medians]).cast("array<double>")
-    clean = F.transform(features, lambda v: null_if_nan(v.cast("double")))
-    filled = F.zip_with(clean, fills, lambda v, m: F.coalesce(v, m))
-    if zero:
-        filled = F.transform(filled, lambda v: F.coalesce(v, F.lit(0.0)))
+    last = [F.lit(0.0)] if zero else []
+    filled = F.zip_with(features, fills, lambda v, m: F.coalesce(null_if_nan(v.cast("double")), m, *last))
     return df.withColumn(features, filled).withMetadata(features, metadata)
 
 

@@ -21,14 +21,17 @@ def log_area_cap(
 
 
 def clip_log_area(value: Column | str, cap: float | None) -> Column:
-    """Clip to [0, cap]; without a cap only negative values are raised to 0."""
+    """Clip to [0, cap]; without a cap only negative values are raised to 0. Missing stays missing."""
     v = F.col(value) if isinstance(value, str) else value
-    floor0 = F.greatest(v, F.lit(0.0))
-    return floor0 if cap is None else F.least(floor0, F.lit(cap))
+    clipped = F.greatest(v, F.lit(0.0))
+    if cap is not None:
+        clipped = F.least(clipped, F.lit(cap))
+    return F.when(v.isNotNull(), clipped)
 
 
 def area_from_log(value: Column | str) -> Column:
-    return F.greatest(F.expm1(value), F.lit(0.0))
+    area = F.expm1(value)
+    return F.when(area.isNotNull(), F.greatest(area, F.lit(0.0)))
 
 
 def hazard(p: Column | str, log_area: Column | str) -> Column:

@@ -18,10 +18,15 @@ ERRORS = ["rmse", "mae", "r2"]
 
 
 def score_model(
-    df: DataFrame, p: Head, a: Head, keys: Sequence[str], cap: float | None, model: str
+    df: DataFrame, p: Head, a: Head | None, keys: Sequence[str], cap: float | None, model: str
 ) -> DataFrame:
-    """The prediction table of one model: key, predictions, actual values."""
-    scored = a.score(p.score(df, "_p"), "_log")
+    """The prediction table of one model: key, predictions, actual values.
+
+    Without an area head (there was nothing to train it on) area and hazard are NULL, and only the
+    metrics of the ignition head are defined.
+    """
+    scored = p.score(df, "_p")
+    scored = scored.withColumn("_log", F.lit(None).cast("double")) if a is None else a.score(scored, "_log")
     table = H.prediction_table(scored, list(keys), "_p", "_log", cap)
     return table.withColumn("model", F.lit(model))
 

@@ -24,7 +24,6 @@ from ..session import stage
 
 ANGLES = [f"angle_{i}" for i in DEGREE_BANDS]
 DAY, ROLE_X = "day", "is_input"
-MAX_IMAGE_PIXELS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -37,8 +36,6 @@ class BuildSettings:
     aggregation: str = "mean"
     drop_active_fire: bool = False
     seed: int = 42
-    #: True for stored stacks: their fire band holds hours, so a detection in hour 0 is no label.
-    fire_in_hours: bool = False
     folds: tuple = tuple(FOLD_YEARS)
 
     @property
@@ -47,10 +44,18 @@ class BuildSettings:
         return 2 if self.drop_active_fire else 1
 
 
+def fire_in_hours(pixels: DataFrame) -> bool:
+    """Whether the fire band holds hours (stored stacks say so themselves) or hhmm times.
+
+    In hours a detection in hour 0 is no label.
+    """
+    return pixels.schema["bands"].metadata.get("fire") == "hours"
+
+
 def fold_scaler(pixels: DataFrame, settings: BuildSettings) -> B.Stats:
     """Band statistics of the fold's training years on unaugmented pixels."""
     years = settings.folds[settings.fold_id][:2]
-    stats = B.band_stats(pixels, B.prepared_bands(F.col("bands"), settings.fire_in_hours), [years])
+    stats = B.band_stats(pixels, B.prepared_bands(F.col("bands"), fire_in_hours(pixels)), [years])
     return B.fit_scaler(stats, years, untouched=B.UNSCALED)
 
 
@@ -69,7 +74,7 @@ def _image_rows(pixels: DataFrame, channels: Sequence[Column], settings: BuildSe
 
 def uncropped_samples(pixels: DataFrame, scaler: B.Stats, settings: BuildSettings) -> DataFrame:
     """Samples from whole (or centre-cropped) images: aggregate each image once, then window."""
-    channels = B.expand_channels(F.col("bands"), scaler, settings.fire_in_hours)
+    channels = B.expand_channels(F.col("bands"), scaler, fire_in_hours(pixels))
     images = S.index_images(stage(_image_rows(pixels, channels, settings)))
     windows = S.leading_windows(images, settings.n_days, ["tif"], "burned_pixels")
     tif = X.flatten_days(F.transform("days", lambda d: d["tif"]))
@@ -86,6 +91,19 @@ def sample_roles(images: DataFrame, n_days: int) -> DataFrame:
     return windows.select(*SAMPLE_KEY, F.posexplode(dates).alias(DAY, "obs_date"))
 
 
+def sample_dates(images: DataFrame, n_days: int) -> DataFrame:
+    """Dates of each sample: ``obs_date`` of the last input image, its ``day_of_year``, and
+    ``gap_days``, how far ahead the labelled image is."""
+    days = stage(sample_roles(images, n_days))
+    last = F.max(F.when(F.col(DAY) == n_days - 1, F.col("obs_date")))
+    label = F.max(F.when(F.col(DAY) == n_days, F.col("obs_date")))
+    return days.groupBy(*SAMPLE_KEY).agg(
+        last.alias("obs_date"),
+        F.dayofyear(last).alias("day_of_year"),
+        F.date_diff(label, last).alias("gap_days"),
+    )
+
+
 def pixels_by_sample(pixels: DataFrame, n_days: int) -> Callable[[DataFrame], DataFrame]:
     """A function repeating pixel rows for the samples that use their image, with ``day``.
 
@@ -116,7 +134,7 @@ def sample_pixels(pixels: DataFrame, settings: BuildSettings) -> DataFrame:
     spread = pixels_by_sample(pixels, settings.n_days)
     is_input = F.col(DAY) < settings.n_days
     fire = F.col("bands")[FIRE_BAND]
-    hour = B.fire_hour_of(fire, settings.fire_in_hours)
+    hour = B.fire_hour_of(fire, fire_in_hours(pixels))
 
     def by_sample(rows: DataFrame) -> DataFrame:
         return spread(rows).select(
@@ -154,7 +172,7 @@ def _turned_bands() -> list[Column]:
 
 def cropped_samples(augmented: DataFrame, scaler: B.Stats, settings: BuildSettings) -> DataFrame:
     """Samples from augmented pixels: one aggregate per (sample, day), then one per sample."""
-    channels = B.expand_channels(_BandList(_turned_bands()), scaler, settings.fire_in_hours)
+    channels = B.expand_channels(_BandList(_turned_bands()), scaler, fire_in_hours(augmented))
     per_day = X.spatial_agg_array(
         augmented,
         [*SAMPLE_KEY, DAY],
@@ -188,7 +206,7 @@ def feature_table(
     embeddings: DataFrame | None = None,
     augmented: bool = True,
 ) -> DataFrame:
-    """Feature rows of one fold: key, split, targets, ``tif`` array and, if given, embeddings.
+    """Feature rows of one fold: key, split, dates, targets, ``tif`` array and, if given, embeddings.
 
     Training and validation samples come from augmented crops, test samples from centre crops.
     With ``augmented=False`` all three come from centre crops.
@@ -208,6 +226,9 @@ def feature_table(
         parts, plain = [], of("train", "val", "test")
     parts.append(uncropped_samples(G.center_crop_32(plain), scaler, settings))
     samples = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # One narrow row per image; the keys of both sides are unique.
+    images = stage(of("train", "val", "test").select(*IMAGE_KEY).distinct())
+    samples = samples.join(sample_dates(images, settings.n_days), SAMPLE_KEY, "left")
     tagged = S.tag_samples(
         samples, settings.fold_id, settings.n_days, settings.adjust_to, settings.folds
     )
@@ -221,24 +242,21 @@ def embedding_table(
     settings: BuildSettings = BuildSettings(),
 ) -> DataFrame:
     """Embeddings of the last input day of every sample, from the very crops of the features."""
-    largest = pixels.agg(F.max(F.col(G.H).cast("bigint") * F.col(G.W))).first()[0] or 0
-    if max(largest, settings.crop_side**2) > MAX_IMAGE_PIXELS:
-        raise ValueError(f"image too large to embed: {largest} pixels")
     scaler = fold_scaler(pixels, settings)
     years = S.fold_years(settings.fold_id, settings.folds)
     last = settings.n_days - 1
     crops = sample_pixels(
         pixels.where(F.col("year").isin([*years["train"], *years["val"]])), settings
     ).where(F.col(DAY) == last)
-    turned = B.expand_channels(_BandList(_turned_bands()), scaler, settings.fire_in_hours)
+    turned = B.expand_channels(_BandList(_turned_bands()), scaler, fire_in_hours(pixels))
     planes = [crops.select(*SAMPLE_KEY, "r", "c", *_rgb(turned))]
     test = G.center_crop_32(pixels.where(F.col("year").isin(years["test"])))
     placed = pixels_by_sample(test, settings.n_days)(test).where(F.col(DAY) == last)
     placed = S.skip_initial(placed, settings.n_days, settings.adjust_to)
-    plain = B.expand_channels(F.col("bands"), scaler, settings.fire_in_hours)
+    plain = B.expand_channels(F.col("bands"), scaler, fire_in_hours(pixels))
     planes.append(placed.select(*SAMPLE_KEY, "r", "c", *_rgb(plain)))
     ready = X.rgb_prepare(planes[0].unionByName(planes[1]), SAMPLE_KEY, ["b0", "b1", "b2"])
-    return X.embed_images(ready, SAMPLE_KEY, load, max_pixels=None)
+    return X.embed_images(ready, SAMPLE_KEY, load)
 
 
 def _rgb(channels: Sequence[Column]) -> list[Column]:

@@ -16,17 +16,24 @@ from ..models.heads import (
     logistic_baseline,
     validation_metrics,
 )
-from ..operators.prepare import feature_medians
+from ..operators.prepare import feature_medians, name_features, order_features
 from ..session import stage
 
 COLUMNS = ["split", "ignition", "burned_area", "log_burned_area", "features"]
 
 
-def pack_features(df: DataFrame, arrays: Sequence[str], scalars: Sequence[str] = ()) -> DataFrame:
-    """All feature arrays and scalar features as one array ``features``."""
+def pack_features(df: DataFrame, arrays: dict[str, Sequence[str]], scalars: Sequence[str] = ()) -> DataFrame:
+    """All scalar features and feature arrays as one array ``features`` that carries its names.
+
+    ``arrays`` has the names of each array's entries; an array of another length fails the job.
+    """
     parts = [F.array(*[F.col(s).cast("double") for s in scalars])] if scalars else []
-    parts += [F.col(a).cast("array<double>") for a in arrays]
-    return df.withColumn("features", parts[0] if len(parts) == 1 else F.concat(*parts))
+    for a, own in arrays.items():
+        width = F.size(a) != len(own)
+        told = F.concat(F.lit(f"array {a} should have {len(own)} entries, it has "), F.size(a))
+        parts.append(F.when(width, F.raise_error(told)).otherwise(F.col(a).cast("array<double>")))
+    packed = df.withColumn("features", parts[0] if len(parts) == 1 else F.concat(*parts))
+    return name_features(packed, [*scalars, *[n for own in arrays.values() for n in own]])
 
 
 def train_heads(
@@ -37,10 +44,11 @@ def train_heads(
 ) -> dict[str, dict[str, Head | None]]:
     """``{family: {"p": head, "a": head}}`` from a table with ``split`` and ``features``.
 
-    The table is staged once: every tree level and solver step reads it again. Medians come from
-    the training rows and travel with the heads.
+    The table is staged once: every tree level and solver step reads it again. Its features must
+    carry their names and are put into the order of ``names``. Medians come from the training rows
+    and travel with the heads.
     """
-    ready = stage(table.select(*COLUMNS))
+    ready = stage(order_features(table.select(*COLUMNS), "features", names))
     train, val = (ready.where(F.col("split") == s).drop("split") for s in ("train", "val"))
     medians = feature_medians(train)
     medians += [None] * (len(names) - len(medians))

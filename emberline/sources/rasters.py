@@ -14,10 +14,10 @@ from ..operators.samples import INDEX, index_images
 from ..schema import FIRE_BAND, IMAGE_KEY, PIXELS, STACK_PIXELS
 from ..session import stage
 
-#: Pixel rows plus the centre of the image, which decoders may know.
-RASTER_PIXELS = T.StructType(
-    [*PIXELS.fields, T.StructField("lng", T.DoubleType()), T.StructField("lat", T.DoubleType())]
-)
+#: Pixel rows plus the centre of the image, which decoders may know, and the image's position.
+CENTRE = [T.StructField("lng", T.DoubleType()), T.StructField("lat", T.DoubleType())]
+POSITION = STACK_PIXELS.fields[len(PIXELS.fields) :]
+RASTER_PIXELS = T.StructType([*PIXELS.fields, *CENTRE, *POSITION])
 _BATCH = 65_536
 _IMAGE_PATH = r"/(\d{4})/([^/]+)/[^/]+$"
 
@@ -29,31 +29,44 @@ def ingest_rasters(
     decoder: Callable[[bytes], object],
     suffix: str = ".tif",
 ) -> DataFrame:
-    """Decode every image of the wanted years into pixel rows.
+    """Decode every image of the wanted years into pixel rows with the image's position in its fire.
+
+    Only the folders of those years are listed and read. Positions come from the listing, before
+    anything is decoded.
 
     ``decoder(content)`` returns an array of shape (bands, height, width), or a pair of it and
     ``(lng, lat)``. Files are decoded one by one where Spark placed them; pixels leave a task in
     small batches, so memory is bounded by the largest single image. How many files share an Arrow
     batch follows ``spark.sql.execution.arrow.maxBytesPerBatch``.
     """
+    folders = [f"{root.rstrip('/')}/{int(y)}" for y in sorted(set(years))]
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{suffix}")
-        .load(root)
     )
-    year = F.regexp_extract("path", _IMAGE_PATH, 1)
-    keyed = files.where(year != "").select(
-        year.cast("int").alias("year"),
+    present = [f for f in folders if _exists(spark, f)]
+    if not present:
+        return spark.createDataFrame([], RASTER_PIXELS)
+    keyed = files.load(present).select(
+        F.regexp_extract("path", _IMAGE_PATH, 1).try_cast("int").alias("year"),
         F.regexp_extract("path", _IMAGE_PATH, 2).alias("fire"),
         image_date(F.replace("path", F.lit(suffix), F.lit(""))).alias("obs_date"),
         "content",
     )
-    return decode_rows(keyed.where(F.col("year").isin([int(y) for y in years])), decoder)
+    keyed = keyed.where(F.col("year").isin([int(y) for y in years]))
+    # Without the content column only file names are read.
+    placed = image_positions(keyed.select(*IMAGE_KEY).distinct())
+    return decode_rows(lookup_join(keyed, placed, IMAGE_KEY, ["obs_date"]), decoder)
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def decode_rows(files: DataFrame, decoder: Callable[[bytes], object]) -> DataFrame:
-    """``(year, fire, obs_date, content)`` to pixel rows."""
+    """``(year, fire, obs_date, day_index, fire_days, content)`` to pixel rows, each file decoded once."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -68,7 +81,8 @@ def decode_rows(files: DataFrame, decoder: Callable[[bytes], object]) -> DataFra
                 raster = np.asarray(raster, dtype=np.float32)
                 bands, height, width = raster.shape
                 flat = raster.reshape(bands, height * width).T
-                keys = [batch.column(n)[i].as_py() for n in ("year", "fire", "obs_date")]
+                names = [*IMAGE_KEY, *[f.name for f in POSITION]]
+                year, fire, date, index, days = (batch.column(n)[i] for n in names)
                 for start in range(0, height * width, _BATCH):
                     part = np.ascontiguousarray(flat[start : start + _BATCH])
                     n = len(part)
@@ -76,9 +90,9 @@ def decode_rows(files: DataFrame, decoder: Callable[[bytes], object]) -> DataFra
                     offsets = np.arange(0, (n + 1) * bands, bands, dtype=np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([keys[0]] * n, pa.int32()),
-                            pa.array([keys[1]] * n, pa.string()),
-                            pa.array([keys[2]] * n, pa.date32()),
+                            pa.repeat(year, n),
+                            pa.repeat(fire, n),
+                            pa.repeat(date, n),
                             pa.array(np.full(n, height, dtype=np.int32)),
                             pa.array(np.full(n, width, dtype=np.int32)),
                             pa.array(place // width),
@@ -86,8 +100,10 @@ def decode_rows(files: DataFrame, decoder: Callable[[bytes], object]) -> DataFra
                             pa.ListArray.from_arrays(
                                 pa.array(offsets), pa.array(part.ravel(), pa.float32())
                             ),
-                            pa.array([centre[0]] * n, pa.float64()),
-                            pa.array([centre[1]] * n, pa.float64()),
+                            pa.repeat(pa.scalar(centre[0], pa.float64()), n),
+                            pa.repeat(pa.scalar(centre[1], pa.float64()), n),
+                            pa.repeat(index, n),
+                            pa.repeat(days, n),
                         ],
                         names=RASTER_PIXELS.names,
                     )
@@ -102,53 +118,61 @@ def consolidate(pixels: DataFrame) -> DataFrame:
     return pixels.withColumn("bands", bands)
 
 
-def add_positions(pixels: DataFrame) -> DataFrame:
-    """Add ``day_index`` and ``fire_days``: position of the image in its fire, images of the fire."""
-    images = stage(pixels.groupBy(*IMAGE_KEY).agg(F.count(F.lit(1)).alias("n_px")).drop("n_px"))
+def image_positions(images: DataFrame) -> DataFrame:
+    """``day_index`` and ``fire_days`` of distinct images: position in the fire, images of the fire."""
+    images = stage(images)
     sizes = images.groupBy("year", "fire").agg(F.count(F.lit(1)).alias("fire_days"))
     placed = index_images(images).withColumnRenamed(INDEX, "day_index")
-    placed = lookup_join(placed, sizes, ["year", "fire"], ["obs_date"])
+    return lookup_join(placed, sizes, ["year", "fire"], ["obs_date"])
+
+
+def add_positions(pixels: DataFrame) -> DataFrame:
+    """Add positions to pixels that were not ingested with them; reads the pixels twice."""
+    placed = image_positions(pixels.select(*IMAGE_KEY).distinct())
     return lookup_join(pixels, placed, IMAGE_KEY, ["r", "c"])
 
 
+#: Images and rows of pixels that go to one partition of stored stacks together.
+_STACK_DAYS, _STACK_ROWS = 8, 64
+
+
 def write_fire_stacks(pixels: DataFrame, path: str, fires_path: str | None = None) -> None:
     """Write consolidated pixels, clustered by fire, day and place, partitioned by year.
 
-    Ranges are cut over (year, fire, day, row), so a very large fire, or even a single very large
-    image, becomes several files, and readers prune by fire and day. ``fires_path`` receives the
-    centre of each fire's first image.
+    Partitions hold a few images of a fire, and of large images a band of rows, so a very large
+    fire, or even a single very large image, becomes several files, and readers prune by fire and
+    day. Ingested pixels carry their positions, so each is decoded and shuffled once; the centres
+    of the fires for ``fires_path`` come from what was written.
     """
     order = ["year", "fire", "obs_date", "r", "c"]
+    placed = pixels if "day_index" in pixels.columns else add_positions(pixels)
+    centre = [f.name for f in CENTRE if f.name in pixels.columns]
+    together = [F.expr(f"day_index div {_STACK_DAYS}"), F.expr(f"r div {_STACK_ROWS}")]
     (
-        add_positions(consolidate(pixels))
-        .select(*STACK_PIXELS.names)
-        .repartitionByRange("year", "fire", "obs_date", "r")
+        consolidate(placed)
+        .select(*STACK_PIXELS.names, *centre)
+        .repartition("year", "fire", *together)
         .sortWithinPartitions(*order)
         .write.partitionBy("year")
         .mode("errorifexists")
         .parquet(path)
     )
     if fires_path:
-        fire_centres(pixels).write.mode("errorifexists").parquet(fires_path)
+        fire_centres(pixels.sparkSession.read.parquet(path)).write.mode("errorifexists").parquet(fires_path)
 
 
-def fire_centres(pixels: DataFrame) -> DataFrame:
-    """Centre of each fire from its first image, with its number of days."""
-    per_image = pixels.groupBy("year", "fire", "obs_date").agg(
-        F.first("lng").alias("lng"), F.first("lat").alias("lat")
-    )
-    return per_image.groupBy("year", "fire").agg(
-        F.min_by("lng", "obs_date").alias("lng"),
-        F.min_by("lat", "obs_date").alias("lat"),
-        F.count(F.lit(1)).alias("days"),
-    )
+def fire_centres(stacks: DataFrame) -> DataFrame:
+    """Centre of each fire from its first image, with its number of days; reads first pixels only."""
+    first = stacks.where("r = 0 AND c = 0 AND day_index = 0")
+    return first.select("year", "fire", "lng", "lat", F.col("fire_days").alias("days"))
 
 
 def read_fire_stacks(spark: SparkSession, path: str) -> DataFrame:
     """Consolidated pixels; filters on year, fire and day reach the files.
 
-    The fire band is in hours there: pass ``fire_in_hours`` to the feature build.
+    The fire band is in hours there; the column ``bands`` says so to the feature build.
     """
     fields = STACK_PIXELS.fields
     columns = [f for f in fields if f.name != "year"] + [STACK_PIXELS["year"]]
-    return spark.read.schema(T.StructType(columns)).parquet(path).select(*STACK_PIXELS.names)
+    stacks = spark.read.schema(T.StructType(columns)).parquet(path).select(*STACK_PIXELS.names)
+    return stacks.withMetadata("bands", {"fire": "hours"})

@@ -128,3 +128,11 @@ def test_keep_features(spark):
 def test_missing_share(spark):
     df = column(spark, GAPS)
     assert math.isclose(B.missing_share(df, ["v"]).first()["v"], 2 / 8)
+
+
+def test_a_constant_band_becomes_zero(make):
+    stats = make([("flat", 5.0, 0.0, [2018, 2019]), ("wide", 1.0, 2.0, [2018, 2019]), ("empty", None, None, [2018, 2019])], "band string, mean double, std double, train_years array<int>")
+    scaler = B.fit_scaler(stats, [2018, 2019])
+    assert scaler == {"flat": (5.0, 1.0), "wide": (1.0, 2.0)}
+    got = B.standardize(make([(5.0, 3.0)], "flat double, wide double"), scaler).first()
+    assert tuple(got) == (0.0, 1.0)

@@ -111,13 +111,15 @@ def test_stored_stacks_give_the_same_samples_without_a_join(spark, pixels, tmp_p
     centred = pixels.withColumns({"lng": F.lit(1.0), "lat": F.lit(2.0)})
     R.write_fire_stacks(centred, f"{tmp_path}/stacks")
     stacks = R.read_fire_stacks(spark, f"{tmp_path}/stacks")
-    settings = P.BuildSettings(n_days=n, crop_side=36, crop_tries=2, fire_in_hours=True)
+    settings = P.BuildSettings(n_days=n, crop_side=36, crop_tries=2)
     got = by_key(P.feature_table(stacks, settings))
     joined = by_key(P.feature_table(stacks.drop("day_index", "fire_days"), settings))
     assert got.keys() == joined.keys() and len(got) == 4 * 2 * (4 - n)
     for k in joined:
         np.testing.assert_allclose(got[k]["tif"], joined[k]["tif"], rtol=1e-9, atol=1e-9)
         assert got[k]["burned_area"] == joined[k]["burned_area"]
+    # The stored table says itself that its fire band holds hours: the channel is not empty.
+    assert any(r["tif"][38] != 0 for r in got.values())
     plan = P.sample_pixels(stacks, settings)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
 
@@ -147,6 +149,21 @@ def test_embeddings_use_the_same_samples(pixels):
     assert {s for k, s in sides.items() if k[0] == 2021} == {(32, 32)}
 
 
+def test_dates_travel_to_the_feature_table(pixels, images):
+    from emberline.operators.features import add_month_day
+
+    for n in (1, 2):
+        table = P.feature_table(pixels, P.BuildSettings(n_days=n), augmented=False)
+        rows = by_key(add_month_day(table))
+        for (year, fire, index), r in rows.items():
+            days = sorted(k[2] for k in images if k[:2] == (year, fire))
+            assert r["obs_date"] == days[index + n - 1]
+            assert r["gap_days"] == (days[index + n] - days[index + n - 1]).days
+            assert r["day_of_year"] == r["obs_date"].timetuple().tm_yday
+            # The calendar of that operator has months of 30 days.
+            assert (r["month"], r["day_of_month"]) == ((r["day_of_year"] - 1) // 30 + 1, (r["day_of_year"] - 1) % 30 + 1)
+
+
 def test_bad_settings(pixels):
     with pytest.raises(ValueError):
         P.feature_table(pixels, P.BuildSettings(n_days=0))

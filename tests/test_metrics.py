@@ -179,3 +179,12 @@ def test_infinite_and_missing(spark):
 def test_box_of_nothing(spark):
     got = X.box_stats(spark.createDataFrame([(None,)], "v double"), "v").first()
     assert math.isnan(got["q1"]) and got["outliers"] == 0
+
+
+def test_rows_without_a_score_count_nowhere(make):
+    nan = float("nan")
+    df = make([(1, 0.9), (0, 0.1), (1, None), (0, nan)], "y int, p double")
+    m = E.classification_metrics(df, "y", "p").first()
+    assert (m["n"], m["accuracy"], m["precision"], m["recall"], m["f1_score"]) == (2, 1.0, 1.0, 1.0, 1.0)
+    cells = {(r["actual"], r["predicted"]): r["rows"] for r in E.confusion_matrix(df, "y", "p").collect()}
+    assert cells == {(0, 0): 1, (1, 1): 1, (0, 1): 0, (1, 0): 0}

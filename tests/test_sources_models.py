@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from emberline import schema
 from emberline.models import heads as M
 from emberline.operators import explore as X
-from emberline.operators.prepare import assemble_features
+from emberline.operators.prepare import assemble_features, name_features
 from emberline.plans import evaluation, training
 from emberline.sources import inventory as I
 from emberline.sources import rasters as R
@@ -83,6 +83,25 @@ def test_ingested_pixels_and_stacks(spark, raw, images, tmp_path):
     assert {(r["lng"], r["lat"], r["days"]) for r in fires} == {(-120.5, 38.25, 4)} and len(fires) == 4
 
 
+def test_each_wanted_file_is_decoded_once(spark, raw, images, tmp_path):
+    seen = f"{tmp_path}/seen"
+
+    def decode(content):
+        import io
+
+        import numpy as np
+
+        with open(seen, "ab") as log:
+            log.write(b".")
+        return np.load(io.BytesIO(content)), (1.0, 2.0)
+
+    R.write_fire_stacks(R.ingest_rasters(spark, raw, [2019, 1950], decode), f"{tmp_path}/stacks", f"{tmp_path}/fires")
+    with open(seen, "rb") as log:
+        assert len(log.read()) == sum(k[0] == 2019 for k in images)
+    assert {r["days"] for r in spark.read.parquet(f"{tmp_path}/fires").collect()} == {4}
+    assert R.ingest_rasters(spark, raw, [1950], decode).isEmpty()
+
+
 def test_listing_reports(spark, raw):
     files = I.list_files(spark, raw)
     kinds = {r["extension"]: r["files"] for r in X.files_by_extension(files).collect()}
@@ -143,9 +162,10 @@ def table(spark):
         features[1] = None if i % 9 == 0 else features[1]
         split = "train" if i < 400 else "val" if i < 500 else "test"
         rows.append((i, split, int(area > 0), area, math.log1p(area), features))
-    return spark.createDataFrame(
+    plain = spark.createDataFrame(
         rows, "id int, split string, ignition int, burned_area double, log_burned_area double, features array<double>"
     )
+    return name_features(plain, ["x0", "x1", "x2"])
 
 
 def test_heads_learn_save_and_load(spark, table, tmp_path):
@@ -177,6 +197,15 @@ def test_heads_learn_save_and_load(spark, table, tmp_path):
     assert [r["p"] for r in head.score(turned, "p").orderBy("id").collect()] == [r["p"] for r in a]
     with pytest.raises(ValueError, match="missing"):
         head.score(assemble_features(wide, ["x0", "x1"]), "p")
+    with pytest.raises(ValueError, match="no feature names"):
+        head.score(test.withColumn("features", F.array_compact("features")), "p")
+    alone = evaluation.score_model(test, head, None, ["id"], 3.0, "alone")
+    report = {(r["head"], r["metric"]): r["value"] for r in evaluation.metric_report(alone).collect()}
+    assert alone.where("hazard_score IS NOT NULL").isEmpty() and report[("ignition", "roc_auc")] > 0.9
+    packed = training.pack_features(test.withColumnRenamed("features", "own").withColumn("one", F.lit(1)), {"own": names}, ["one"])
+    assert packed.schema["features"].metadata["names"] == ["one", *names]
+    with pytest.raises(Exception, match="should have 2 entries"):
+        training.pack_features(test.withColumnRenamed("features", "own"), {"own": names[:2]}).select("features").collect()
 
     scored = None
     for family, pair in heads.items():
