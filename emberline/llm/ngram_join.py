@@ -8,9 +8,9 @@ is of that kind are left out early, by counting packed hashes, and only the rest
 Candidates meet on prefix shingles; a pair is kept if its sizes (length filter) and the places of
 its first common shingle (positional filter) allow the similarity, and is then verified once, after
 a look at how its sets fall apart around their middle (suffix filter). Equal sets are one class from
-the start. Groups of near copies are first linked as stars, in a few rounds around one text of each
-size on a shingle; after that only texts of different components are paired, so a group never yields
-all its pairs.
+the start. Groups of near copies are first linked as stars around one text of each size on a shingle;
+after that only texts of different components are paired, on their first common shingle, and only if
+their whole prefixes allow it, so a group never yields all its pairs.
 """
 
 from __future__ import annotations
@@ -31,8 +31,6 @@ BLOCK_BYTES = 12 << 20
 #: Stored bytes of input for each group of hashes counted together.
 GROUP_BYTES = 16 << 20
 SEEN = np.uint16(0xFFFF)
-#: Rounds in which texts are tried with one other text on each shingle, before all pairs that are left.
-STAR_ROUNDS = 3
 
 
 def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -183,9 +181,10 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _index(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Stored prefix entries token, id, n, place, rank of all texts, in the order of rising frequency.
+    """Stored prefix entries token, id, n, place, rank, often of all texts, in the order of rising frequency.
 
-    ``place`` counts all shingles of the text before this one, ``rank`` those that another text has.
+    ``place`` counts all shingles of the text before this one, ``rank`` those that another text
+    has, ``often`` the texts with this one.
     """
     groups = max(8, -(-stored_bytes(sets) // GROUP_BYTES))
 
@@ -215,7 +214,7 @@ def _index(sets: DataFrame, num: int, den: int) -> DataFrame:
         return pa.table({"block": rows["block"].combine_chunks(), "hashes": _binary(hashes), "times": _binary(counts)})
 
     def entries(left: pa.Table, right: pa.Table) -> pa.Table:
-        tokens, ids, sizes, places, ranks = [], [], [], [], []
+        tokens, ids, sizes, places, ranks, counts = [], [], [], [], [], []
         hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in right["hashes"].to_pylist()] or [np.zeros(0, np.uint64)])
         times = np.concatenate([np.frombuffer(x, np.uint32) for x in right["times"].to_pylist()] or [np.zeros(0, np.uint32)])
         order = np.argsort(hashes)
@@ -235,16 +234,17 @@ def _index(sets: DataFrame, num: int, den: int) -> DataFrame:
                 sizes.append(np.full(len(first), n))
                 places.append(alone + np.arange(len(first)))
                 ranks.append(np.arange(len(first)))
+                counts.append(often[first].astype(np.int64))
         if not tokens:
-            return pa.table({c: pa.array([], pa.int64()) for c in ("token", "id", "n", "place", "rank")})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("token", "id", "n", "place", "rank", "often")})
         return pa.table({
             "token": np.concatenate(tokens).view(np.int64), "id": np.concatenate(ids), "n": np.concatenate(sizes),
-            "place": np.concatenate(places), "rank": np.concatenate(ranks),
+            "place": np.concatenate(places), "rank": np.concatenate(ranks), "often": np.concatenate(counts),
         })
 
     posted = sets.select("block", "shingles").groupBy("block").applyInArrow(post, "group long, block long, hashes binary, times binary")
     counted = posted.groupBy("group").applyInArrow(count, "block long, hashes binary, times binary")
-    found = sets.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(entries, "token long, id long, n long, place long, rank long")
+    found = sets.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(entries, "token long, id long, n long, place long, rank long, often long")
     return stage(found)
 
 
@@ -341,34 +341,59 @@ def _labels(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     # (The classes are a little wider than that, so that rounding of logarithms cannot part a pair.)
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.001 * den / num))).cast("int")
     index = _index(sets, num, den).withColumn("size_class", size_class)
-    links, labels = None, None
-    for turn in range(STAR_ROUNDS):
-        open_rows = _open(index, labels)
-        order = F.struct(F.xxhash64("id", F.lit(turn)).alias("first"), "id", "n", "place", "rank", "component")
-        centre = open_rows.groupBy("token", "size_class").agg(F.min(order).alias("x")).select("token", "size_class", "x.*")
-        stars = _entry(open_rows, "b", "size_class").join(_entry(centre, "a", "size_class"), ["token", "size_class"])
-        found = _verified(_possible(stars.where((F.col("ca") != F.col("cb")) & _fits(num, den)), num, den), sets, num, den)
-        links = found if links is None else links.union(found)
-        labels = components(links)
+    # Stars: on each shingle every text is tried with that of its size with the fewest shingles of
+    # its own, the likeliest original of the others.
+    alone = index.withColumn("component", F.col("id"))
+    order = F.struct((F.col("place") - F.col("rank")).alias("own"), "id", "n", "place", "rank", "component")
+    centre = alone.groupBy("token", "size_class").agg(F.min(order).alias("x")).select("token", "size_class", "x.*")
+    stars = _entry(alone, "b", "size_class").join(_entry(centre, "a", "size_class"), ["token", "size_class"])
+    links = _verified(_possible(stars.where((F.col("ca") != F.col("cb")) & _fits(num, den)), num, den), sets, num, den)
     # All other pairs: of different components, and only on shingles that have several.
-    open_rows = _open(index, labels)
+    open_rows = _open(index, components(links))
     near = F.explode(F.array(F.col("size_class"), F.col("size_class") + 1)).alias("size_class")
-    left, right = _entry(open_rows, "a", F.col("size_class").alias("own"), near), _entry(open_rows, "b", "size_class")
+    more = ["prefix", "last", "ends"]
+    left = _entry(open_rows, "a", F.col("size_class").alias("own"), near, *[F.col(c).alias(f"{c}a") for c in more])
+    right = _entry(open_rows, "b", "size_class", *[F.col(c).alias(f"{c}b") for c in more])
     # From a's class upwards; inside one class each pair once.
     once = (F.col("own") < F.col("size_class")) | (F.col("a") < F.col("b"))
-    met = left.join(right, ["token", "size_class"]).where((F.col("ca") != F.col("cb")) & once & _fits(num, den))
+    fits = (F.col("ca") != F.col("cb")) & once & _fits(num, den) & _prefixes_fit(num, den)
+    met = left.join(right, ["token", "size_class"]).where(fits)
     more = _verified(_possible(met, num, den), sets, num, den)
     return components(links.union(more))
 
 
-def _open(index: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Stored index entries with their component, of the shingles that stand in several components."""
-    if labels is None:
-        return index.withColumn("component", F.col("id"))
+def _prefixes_fit(num: int, den: int):
+    """Whether this is the first common shingle of a pair, and its whole prefixes allow the similarity.
+
+    Up to the end of the shorter-reaching prefix all common shingles are in both prefixes; after
+    it there are no more of them than shingles of that text.
+    """
+    common = F.array_intersect("prefixa", "prefixb")
+    beyond = F.when(F.col("lasta") <= F.col("lastb"), F.col("na") - F.col("endsa")).otherwise(F.col("nb") - F.col("endsb"))
+    enough = (F.size(common) + beyond) * (den + num) >= (F.col("na") + F.col("nb")) * num
+    return enough & (F.get(common, F.lit(0)) == F.col("token"))
+
+
+def _open(index: DataFrame, labels: DataFrame) -> DataFrame:
+    """Stored entries, with component and whole prefix, of the shingles that stand in several components.
+
+    ``prefix`` has the indexed shingles of the text in order, ``last`` is the last one's place in
+    the order of all shingles, ``ends`` the number of shingles up to it. A prefix is as long as the
+    threshold asks, whatever the size of the corpus.
+    """
     named = sized_join(index.withColumnRenamed("id", "node"), labels, ["node"], "left")
-    named = named.withColumn("id", F.col("node")).withColumn("component", F.coalesce("component", "node"))
+    named = named.withColumn("id", F.col("node")).withColumn("component", F.coalesce("component", "node")).drop("node")
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    return stage(named.join(mixed, "token", "left_semi").drop("node"))
+    kept = stage(named.join(mixed, "token", "left_semi"))
+    entries = F.sort_array(F.collect_list(F.struct("rank", "token", "often", "place")))
+    # Unsigned order of the hashes, as in the index.
+    last = F.struct(F.col("x.often"), F.col("x.token").bitwiseXOR(F.lit(-(1 << 63))).alias("hash"))
+    whole = (
+        index.join(kept.select("id").distinct(), "id", "left_semi").groupBy("id").agg(entries.alias("e"))
+        .select("id", F.transform("e", lambda x: x["token"]).alias("prefix"), F.element_at("e", -1).alias("x"))
+        .select("id", "prefix", last.alias("last"), (F.col("x.place") + 1).alias("ends"))
+    )
+    return stage(kept.join(whole, "id"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
