@@ -7,5 +7,6 @@ from . import (  # noqa: F401
     metric_checks,
     model_checks,
     sample_checks,
+    source_checks,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..models import heads as M
@@ -10,7 +12,7 @@ from ..operators import scoring as H
 from ..operators.prepare import name_features
 from ..operators.splits import random_split_exact
 from ..plans import evaluation, training
-from ..session import stage
+from ..session import stage, staging_root
 from .registry import check
 from .views import Tables
 
@@ -190,3 +192,77 @@ def scored_heads(t: Tables):
     return evaluation.metric_report(stage(parts[0].unionByName(parts[1])))
 
 
+
+
+# --- heads on data where their values are known -------------------------------------------------
+
+_ONE = M.Boosting(rounds=1, depth=1, row_share=1.0, column_share=1.0, patience=None)
+
+
+def _binary(t: Tables):
+    """Rows with one feature that is 0 or 1: whether an image has more than three pixels."""
+    x = F.array((F.col("n_px") > 3).cast("double"))
+    rows = X.add_targets(t.feat.select(*KEY, "n_px", "burned_area")).withColumn("features", x)
+    return stage(name_features(rows, ["many"]))
+
+
+@check(
+    "m2_one_split_means",
+    """
+SELECT img, round(avg(ln(1 + burned_area::DOUBLE)) OVER (PARTITION BY n_px > 3), 6) AS predicted FROM feat""",
+)
+def one_split_means(t: Tables):
+    """One tree of one split gives the mean label of each side."""
+    rows = _binary(t)
+    head = M.boosted_regressor(rows, None, ["many"], [None], _ONE)
+    return head.score(rows, "predicted").select("img", F.round("predicted", 6).alias("predicted"))
+
+
+@check(
+    "m1_one_split_probability",
+    """
+WITH w AS (SELECT count(CASE WHEN burned_area = 0 THEN 1 END)::DOUBLE / count(CASE WHEN burned_area > 0 THEN 1 END) AS w FROM feat),
+g AS (SELECT img, CASE WHEN burned_area > 0 THEN w ELSE -1 END AS v, CASE WHEN burned_area > 0 THEN w ELSE 1 END AS u, n_px > 3 AS side FROM feat, w),
+f AS (SELECT img, sum(v) OVER (PARTITION BY side) / sum(u) OVER (PARTITION BY side) AS f FROM g)
+SELECT img, round(1 / (1 + exp(-2 * f)), 6) AS probability FROM f""",
+)
+def one_split_probability(t: Tables):
+    """One tree of one split gives each side the margin of its weighted labels +1 and -1."""
+    rows = _binary(t)
+    head = M.boosted_classifier(rows, None, ["many"], [None], _ONE)
+    return head.score(rows, "probability").select("img", F.round("probability", 6).alias("probability"))
+
+
+@check(
+    "m5_least_squares",
+    """
+SELECT round(regr_slope(ln(1 + burned_area::DOUBLE), n_px), 5) AS slope, round(regr_intercept(ln(1 + burned_area::DOUBLE), n_px), 5) AS intercept
+FROM feat WHERE burned_area > 0""",
+)
+def least_squares(t: Tables):
+    rows = X.add_targets(t.feat.select(*KEY, "n_px", "burned_area")).withColumn("features", F.array(F.col("n_px").cast("double")))
+    model = M.linear_baseline(stage(name_features(rows, ["n_px"])), ["n_px"], [None]).model
+    found = [(round(float(model.coefficients[0]), 5), round(float(model.intercept), 5))]
+    return t.spark.createDataFrame(found, "slope double, intercept double")
+
+
+@check("m4_h1_mean_probability", "SELECT round(avg(CASE WHEN burned_area > 0 THEN 1.0 ELSE 0.0 END), 3) AS probability FROM feat")
+def mean_probability(t: Tables):
+    """The intercept is free, so the mean probability on the training rows is the share of ignitions."""
+    rows = X.add_targets(t.feat.select(*KEY, "n_px", "avg_static", "burned_area"))
+    packed = F.array(F.col("n_px").cast("double"), F.col("avg_static"))
+    rows = stage(name_features(rows.withColumn("features", packed), ["n_px", "avg_static"]))
+    head = M.logistic_baseline(rows, ["n_px", "avg_static"], [None, None])
+    return head.score(rows, "p").agg(F.round(F.avg("p"), 3).alias("probability"))
+
+
+@check("s7_stored_head", "SELECT count(*) AS scored, count(*) AS equal FROM feat")
+def stored_head(t: Tables):
+    """A head that was stored and loaded scores every row as before."""
+    rows = _binary(t)
+    head = M.boosted_regressor(rows, None, ["many"], [None], _ONE)
+    path = f"{staging_root(t.spark).rstrip('/')}/head-{uuid.uuid4().hex}"
+    M.save_head(head, path, t.spark)
+    both = M.load_head(path, t.spark).score(head.score(rows, "before"), "after")
+    equal = F.sum((F.col("before") == F.col("after")).cast("bigint")).alias("equal")
+    return both.agg(F.count(F.lit(1)).alias("scored"), equal)
