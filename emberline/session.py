@@ -71,9 +71,20 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete what this process staged; nothing read from it may be in use any more."""
+def staged_so_far() -> int:
+    """How many tables this process has staged; marks the begin of a job for ``drop_staged``."""
+    return len(_staged)
+
+
+def drop_staged(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Delete what this process staged since then, but for what ``keep`` reads.
+
+    Nothing else read from it may be in use any more.
+    """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _staged:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+    files = keep.inputFiles() if keep is not None else []
+    kept = {p for p in _staged[since:] if any(p.rsplit("/", 1)[1] in f for f in files)}
+    for staged in [p for p in _staged[since:] if p not in kept]:
+        path = jvm.org.apache.hadoop.fs.Path(staged)
         path.getFileSystem(conf).delete(path, True)
+    _staged[since:] = [p for p in _staged[since:] if p in kept]
