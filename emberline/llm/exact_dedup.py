@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, query, stage, table
+from .common import lower_ascii, query, sized_join, stage, table
 
 
 def exact_dedup(
@@ -87,8 +87,6 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The rows of ``docs`` that stay, with all their columns; rows without an id stay as they are."""
     marks = exact_dedup(docs, id_col, text_col)
     gone = stage(marks.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(id_col)).distinct())
-    from .common import sized_join
-
     return sized_join(docs, gone, [id_col], "left_anti")
 
 

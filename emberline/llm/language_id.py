@@ -147,8 +147,7 @@ def identified(docs: DataFrame, least: float = 0.1, id_col: str = "doc_id", text
 
     Prototypes come from the labelled rows of ``docs`` outside the held-out quarter.
     """
-    names, prototypes = model = fit(docs, ~held_out(id_col), text_col)
-
+    names, prototypes = fit(docs, ~held_out(id_col), text_col)
     columns = docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +159,6 @@ def identified(docs: DataFrame, least: float = 0.1, id_col: str = "doc_id", text
                 kept.append(vector is not None and bool(len(names)) and float((prototypes @ vector).max()) >= least * float(np.linalg.norm(vector)))
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    del model
     return docs.mapInArrow(keep, docs.schema)
 
 
