@@ -9,7 +9,7 @@ from emberline.llm.exact_dedup import deduplicated
 from emberline.llm.language_id import identified
 from emberline.llm.ngram_join import one_of_each
 from emberline.llm.packing import best_fit_packing, public_tokenizer
-from emberline.session import stage
+from emberline.session import drop_staged, stage, staged_so_far
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +44,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages one after the other; each reads the stored result of the one before."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages one after the other; each reads the stored result of the one before.
+
+    What a stage stored for itself is deleted with its input once its result is stored.
+    """
+    docs, begin = spark.read.parquet(f"{sf_dir}/documents.parquet"), staged_so_far()
     for _, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir))
+        drop_staged(spark, begin, keep=docs)
     return STAGES[-1][1](spark, docs, sf_dir)
