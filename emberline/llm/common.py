@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import stage
 
@@ -17,6 +18,9 @@ BROADCAST_BYTES = 16 << 20
 #: Text bytes handled at once inside a task.
 CHUNK_BYTES = 4 << 20
 
+#: Bytes of one batch of rows handed to a task's Python side.
+BATCH_BYTES = 8 << 20
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -163,6 +167,13 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def map_batches(df: DataFrame, f, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes, since rows may hold very long texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(f, schema)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``CHUNK_BYTES`` of text (a longer text stands alone)."""
     for batch in batches:
@@ -180,4 +191,4 @@ def blob(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
 
 
-__all__ = ["BROADCAST_BYTES", "Words", "blob", "lower_ascii", "mix", "query", "sized_join", "stage", "stored_bytes", "table", "text_chunks", "windows"]
+__all__ = ["BROADCAST_BYTES", "Words", "blob", "lower_ascii", "map_batches", "mix", "query", "sized_join", "stage", "stored_bytes", "table", "text_chunks", "windows"]

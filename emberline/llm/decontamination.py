@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, Words, query, sized_join, stage, table, text_chunks, windows
+from .common import NOT_ALNUM, Words, map_batches, query, sized_join, stage, table, text_chunks, windows
 
 #: Tokens of the shortest tile, and of a seed.
 LEAST = 5
@@ -142,15 +142,15 @@ def contaminated_pairs(
     documents = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     items = stage(benchmark.select(F.col("item_id").cast("long").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL").distinct())
     schema = "id long, seed long, tokens long"
-    seeds = stage(items.mapInArrow(_seed_rows(least, None), schema).select("seed", F.col("id").alias("item_id"), F.col("tokens").alias("item_tokens")).distinct())
+    seeds = stage(map_batches(items, _seed_rows(least, None), schema).select("seed", F.col("id").alias("item_id"), F.col("tokens").alias("item_tokens")).distinct())
     allowed = np.zeros(PLACES, bool)
     # Unsigned remainder of a power of two: the low bits.
     used = seeds.select(F.col("seed").bitwiseAND(F.lit(PLACES - 1)).alias("place")).distinct().toArrow()
     allowed[used["place"].to_numpy()] = True
-    found = documents.mapInArrow(_seed_rows(least, allowed), schema).select("id", "seed")
+    found = map_batches(documents, _seed_rows(least, allowed), schema).select("id", "seed")
     pairs = sized_join(found, seeds, ["seed"], "inner").groupBy("id", "item_id").agg(F.countDistinct("seed").alias("shared"), F.max("item_tokens").alias("item_tokens"))
     # Each shared seed covers ``least`` tokens at most per place; a seed may stand at several places of the item.
-    places = items.mapInArrow(_seed_places(least), "item_id long, most long").groupBy("item_id").agg(F.max("most").alias("most"))
+    places = map_batches(items, _seed_places(least), "item_id long, most long").groupBy("item_id").agg(F.max("most").alias("most"))
     possible = sized_join(pairs, stage(places), ["item_id"], "inner").where(F.col("shared") * F.col("most") * least >= F.col("item_tokens") * coverage)
     named = sized_join(possible.select("id", "item_id"), items.select(F.col("id").alias("item_id"), F.col("text").alias("item")), ["item_id"], "inner")
     wanted = stage(named.groupBy("id").agg(F.collect_list(F.struct("item_id", "item")).alias("items")))
@@ -174,7 +174,7 @@ def contaminated_pairs(
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     joined = sized_join(documents, wanted, ["id"], "inner").select("id", "text", "items")
-    rows = joined.mapInArrow(tiled, "doc_id long, item_id long, item_tokens long, covered_tokens long, tiles long, coverage double")
+    rows = map_batches(joined, tiled, "doc_id long, item_id long, item_tokens long, covered_tokens long, tiles long, coverage double")
     best = F.max(F.struct("coverage", "covered_tokens", "item_tokens", "tiles"))
     rows = rows.groupBy("doc_id", "item_id").agg(best.alias("best"))
     return rows.select("doc_id", "item_id", *[f"best.{c}" for c in ("item_tokens", "covered_tokens", "tiles", "coverage")])

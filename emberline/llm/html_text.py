@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, sized_join, stage, table
+from .common import map_batches, query, sized_join, stage, table
 
 #: A subtree is template if it stands on at least so many different pages, and this share, of its host.
 LEAST_PAGES, LEAST_SHARE = 5, 0.05
@@ -251,7 +251,7 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
                 hashes += seen
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(hashes, pa.int64())], ["host", "content", "hash"])
 
-    rows = pages.mapInArrow(subtrees, "host string, content long, hash long")
+    rows = map_batches(pages, subtrees, "host string, content long, hash long")
     # Hash 0 stands for the page itself, so its count is the host's number of different pages.
     counts = stage(rows.distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages))
     of_host = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
@@ -283,7 +283,7 @@ def extract_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share:
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
 
     types = dict(pages.dtypes)
-    return found.mapInArrow(extract, f"page_id {types['page_id']}, url string, text string, n_chars long")
+    return map_batches(found, extract, f"page_id {types['page_id']}, url string, text string, n_chars long")
 
 
 @query("op3_html_text")

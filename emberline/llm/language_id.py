@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, table
+from .common import map_batches, query, table
 
 DIMENSIONS = 1024
 #: Symbols: 26 Latin letters, classes for all other letters by code point, and the gap between words.
@@ -39,14 +39,13 @@ def _symbols() -> np.ndarray:
     return _made["symbols"]
 
 
-def _vectors() -> np.ndarray:
-    """Trigram vectors: row ``(a * SYMBOLS + b) * SYMBOLS + c`` binds the rotated letters a, b, c."""
-    if "vectors" not in _made:
+def _vectors(codes: np.ndarray) -> np.ndarray:
+    """Trigram vectors: code ``(a * SYMBOLS + b) * SYMBOLS + c`` binds the rotated letters a, b, c."""
+    if "letters" not in _made:
         letters = np.random.default_rng(7).choice(np.array([-1, 1], np.int8), (SYMBOLS, DIMENSIONS))
         once, twice = np.roll(letters, 1, axis=1), np.roll(letters, 2, axis=1)
-        pairs = (twice[:, None, :] * once[None, :, :]).reshape(-1, 1, DIMENSIONS)
-        _made["vectors"] = (pairs * letters[None, :, :]).reshape(CODES, DIMENSIONS)
-    return _made["vectors"]
+        _made["letters"], _made["pairs"] = letters, (twice[:, None, :] * once[None, :, :]).reshape(-1, DIMENSIONS)
+    return _made["pairs"][codes // SYMBOLS] * _made["letters"][codes % SYMBOLS]
 
 
 def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -72,9 +71,9 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 def profile(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Bundle of n-gram vectors, as float32."""
-    total, vectors = np.zeros(DIMENSIONS, np.float32), _vectors()
+    total = np.zeros(DIMENSIONS, np.float32)
     for lo in range(0, len(codes), 512):
-        total += counts[lo : lo + 512].astype(np.float32) @ vectors[codes[lo : lo + 512]].astype(np.float32)
+        total += counts[lo : lo + 512].astype(np.float32) @ _vectors(codes[lo : lo + 512]).astype(np.float32)
     return total
 
 
@@ -104,7 +103,7 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
     vector per language; a task holds one count table per language.
     """
     rows = docs.where(train & F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    counts = rows.mapInArrow(_count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = map_batches(rows, _count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     found = counts.groupBy("lang").applyInArrow(_bundle, "lang string, vector array<double>").collect()
     found = sorted(found, key=lambda row: row.lang)
     matrix = np.array([row.vector for row in found], np.float64).reshape(len(found), DIMENSIONS)
@@ -134,7 +133,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(score, "doc_id long, lang_pred string, score double")
+    return map_batches(rows, score, "doc_id long, lang_pred string, score double")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -159,7 +158,7 @@ def identified(docs: DataFrame, least: float = 0.1, id_col: str = "doc_id", text
                 kept.append(vector is not None and bool(len(names)) and float((prototypes @ vector).max()) >= least * float(np.linalg.norm(vector)))
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_batches(docs, keep, docs.schema)
 
 
 @query("op6_language_id")

@@ -23,13 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blob, mix, query, sized_join, stage, stored_bytes, table, text_chunks, windows
+from .common import Words, blob, map_batches, mix, query, sized_join, stage, stored_bytes, table, text_chunks, windows
 from .components import components
 
 #: Text bytes whose shingles a task counts at once before it hands them on.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: Stored bytes of input for each group of hashes counted together.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 SEEN = np.uint16(0xFFFF)
 
 
@@ -117,7 +117,7 @@ def census(docs: DataFrame, n: int) -> DataFrame:
         known = np.frombuffer(info["d"], np.uint8) == 1
         return pa.table({"id": pa.array(ids, mask=~known), "n": sizes, "d1": d1, "d2": d2, "shared": shared})
 
-    posted = docs.mapInArrow(post, "group long, block long, a binary, b binary, c binary, d binary")
+    posted = map_batches(docs, post, "group long, block long, a binary, b binary, c binary, d binary")
     counted = posted.groupBy("group").applyInArrow(count, "block long, a binary, b binary, c binary, d binary")
     return stage(counted.groupBy("block").applyInArrow(gather, "id long, n long, d1 long, d2 long, shared long"))
 
@@ -177,7 +177,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                     ["block", "id", "n", "shingles"],
                 )
 
-    return stage(docs.mapInArrow(rows, "block long, id long, n long, shingles binary"))
+    return stage(map_batches(docs, rows, "block long, id long, n long, shingles binary"))
 
 
 def _index(sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -282,7 +282,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return stage(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
+    return stage(map_batches(both.select("a", "b", "x", "y"), verify, "a long, b long"))
 
 
 def _fits(num: int, den: int):

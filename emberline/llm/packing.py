@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, stage, table, text_chunks
+from .common import map_batches, query, stage, table, text_chunks
 
 CAPACITY = 2048
 #: Pieces of one block: large enough that its last, half-empty sequences do not matter.
@@ -27,8 +27,8 @@ BLOCK_PIECES = 32_768
 GROUPS = 24
 #: Lengths up to capacity / SMALL are left to best fit.
 SMALL = 4
-#: Words remembered by a task's tokenizer, and the longest of them.
-CACHE_WORDS, CACHE_CHARS = 1_000_000, 40
+#: Words and parts of words remembered by a task's tokenizer, and the longest of them.
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 600_000, 300_000, 40
 #: A filled configuration that leaves more than capacity / TIGHT free is taken apart for best fit.
 TIGHT = 256
 
@@ -80,9 +80,10 @@ class WordEncoder:
         """Remember the words of some texts."""
         known = self.known
         new = [w for w in set().union(*texts).difference(known) if len(w) <= CACHE_CHARS]
+        if len(self.parts) > CACHE_PARTS:
+            self.parts.clear()
         if len(known) + len(new) > CACHE_WORDS:
             known.clear()
-            self.parts.clear()
             new = [w for w in set().union(*texts) if len(w) <= CACHE_CHARS]
         plain, other = [], []
         for w in new:
@@ -120,7 +121,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_batches(rows, cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def _best_column(values: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, sized_join, stage, table, text_chunks
+from .common import map_batches, query, sized_join, stage, table, text_chunks
 
 KINDS = ["email", "ip", "card", "phone"]
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -168,7 +168,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("string"), text).alias("rid"), text.alias("text"))
-    found = stage(rows.mapInArrow(_mentions, f"doc_id long, rid long, seeds array<{MENTION}>, others array<{MENTION}>"))
+    found = stage(map_batches(rows, _mentions, f"doc_id long, rid long, seeds array<{MENTION}>, others array<{MENTION}>"))
     each = [found.select(F.lit(seed).alias("seed"), F.explode(c).alias("m")) for seed, c in ((True, "seeds"), (False, "others"))]
     edges = each[0].union(each[1]).select("seed", "m.kind", "m.value", F.explode("m.patterns").alias("pattern"))
     good = confident_patterns(edges, rounds, least_seeds, confidence)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blob, mix, query, sized_join, stage, stored_bytes, table, text_chunks, windows
+from .common import Words, blob, map_batches, mix, query, sized_join, stage, stored_bytes, table, text_chunks, windows
 
 WINDOW = 35
 #: Parts of a window: the steps in which prefixes grow.
@@ -141,7 +141,7 @@ def repeated_anchors(rows: DataFrame, window: int) -> DataFrame:
         _, cuts = _cuts(owner)
         return pa.table({"rid": pa.array([int(ids[g]) for g, _, _ in cuts], pa.int64()), "anchors": pa.array([blob(places[lo:hi]) for _, lo, hi in cuts], pa.binary())})
 
-    posted = rows.mapInArrow(post, ROW)
+    posted = map_batches(rows, post, ROW)
     counted = posted.groupBy("group").applyInArrow(count, "block long, n long, a binary, b binary, c binary")
     found = counted.groupBy("block").applyInArrow(gather, "rid long, anchors binary")
     return stage(found.dropDuplicates(["rid"]))
@@ -228,7 +228,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, memory: int = MEMORY)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(times, pa.int64())], ["group", "n"])
 
     for _ in range(min(PARTS, window) - 1):
-        counts = candidates.mapInArrow(count, "group long, n long").groupBy("group").agg(F.sum("n").alias("n"))
+        counts = map_batches(candidates, count, "group long, n long").groupBy("group").agg(F.sum("n").alias("n"))
         over = counts.where((F.col("n") > memory) & (F.shiftright("group", 40) == len(full) + 1))
         # At most (number of suffixes) / memory groups are overfull.
         found = {r.group for r in over.collect()}
@@ -283,7 +283,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, memory: int = MEMORY)
             spans.append(blob(np.stack([begins, ends], axis=1).astype(np.int64)))
         return pa.table({"rid": pa.array([int(ids[g]) for g, _, _ in cuts], pa.int64()), "spans": pa.array(spans, pa.binary())})
 
-    posted = candidates.mapInArrow(post, ROW)
+    posted = map_batches(candidates, post, ROW)
     marked = posted.groupBy("group").applyInArrow(subtree, "block long, n long, a binary, b binary, c binary")
     return stage(marked.groupBy("block").applyInArrow(gather, "rid long, spans binary").dropDuplicates(["rid"]))
 
@@ -329,7 +329,7 @@ def without_repeats(
             names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(texts, pa.string())] * kept_text, names + ["kept_text"] * kept_text)
 
-    return sized_join(keyed, spans, ["rid"], "left").select("doc_id", "text", "spans").mapInArrow(keep, schema)
+    return map_batches(sized_join(keyed, spans, ["rid"], "left").select("doc_id", "text", "spans"), keep, schema)
 
 
 SQL = r"""

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staging_root
-from .common import query, stage, table
+from .common import map_batches, query, stage, table
 
 #: Bytes read from an archive at once, and bytes of inflated data handed on at once.
 READ_BYTES, INFLATE_BYTES = 1 << 16, 1 << 18
@@ -190,7 +190,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
         if count:
             yield pa.RecordBatch.from_pydict({"path": [path], "records": [count]})
 
-    return stage(rows.mapInArrow(write, "path string, records long"))
+    return stage(map_batches(rows, write, "path string, records long"))
 
 
 READ_SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -231,7 +231,7 @@ def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
 
     # Archives are dealt out singly: a task reads whole archives one after the other.
     spread = archives.select("path", "records").repartition(F.col("path"))
-    return spread.mapInArrow(read, schema)
+    return map_batches(spread, read, schema)
 
 
 def _rows(rows: list[tuple], payloads: bool) -> pa.RecordBatch:
