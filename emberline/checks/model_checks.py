@@ -55,7 +55,7 @@ def boosted_regressor(t: Tables):
 def early_stopping(t: Tables):
     train, val, _ = _parts(t)
     medians = training.feature_medians(train)
-    settings = M.Boosting(rounds=16, depth=3, patience=3)
+    settings = M.Boosting()
     head = M.boosted_regressor(train, val, NAMES, medians, settings)
     kept = F.lit(head.model.getNumTrees).cast("int").alias("trees")
     return _metrics(head, val).select("metric", "value", kept)
