@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..models import heads as M
 from ..operators import features as X
+from ..operators import metrics as E
 from ..operators import scoring as H
 from ..operators.prepare import name_features
 from ..operators.splits import random_split_exact
@@ -173,6 +174,26 @@ def metric_report(t: Tables):
     return evaluation.metric_report(_two_models(t)).withColumn("value", F.round("value", 6))
 
 
+@check(
+    "e18_e19_by_model",
+    """
+WITH two AS ("""
+    + " UNION ALL ".join(
+        f"SELECT '{m}' AS model, log_burned_area - log_clip * {s}::DOUBLE AS e FROM haz WHERE burned_area > 0" for m, s in _SHRINK.items()
+    )
+    + """),
+d AS (SELECT model, e, stddev_samp(e) OVER (PARTITION BY model) AS sd FROM two)
+SELECT model, count(*) AS n, count(CASE WHEN abs(e) > 2 * sd THEN 1 END) AS large_errors,
+       count(CASE WHEN e > 0 THEN 1 END) AS underestimates, count(CASE WHEN e < 0 THEN 1 END) AS overestimates
+FROM d GROUP BY model""",
+)
+def error_profile_by_model(t: Tables):
+    burnt = _two_models(t).where("actual_burned_area > 0")
+    residuals = E.add_residual(burnt, "actual_log_burned_area", "log_burned_area")
+    profile = E.error_profile(residuals, "residual", ["model"])
+    return profile.select("model", "n", "large_errors", "underestimates", "overestimates")
+
+
 @check("e21_compare_families")
 def compare_families(t: Tables):
     return evaluation.compare_families(evaluation.metric_report(_two_models(t)))
