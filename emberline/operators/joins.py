@@ -11,11 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import stage, stored_bytes
 
 DEFAULT_SALTS = 16
-#: Rows of a narrow stored table (keys and a few numbers, tens of bytes each) fit to broadcast.
-BROADCAST_ROWS = 400_000
+#: A stored table of at most so many rows and bytes on disk is fit to broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 16 << 20
+
+
+def _is_small(stored: DataFrame, rows: int) -> bool:
+    return stored.count() <= rows and stored_bytes(stored) <= BROADCAST_BYTES
 
 
 def lookup_join(
@@ -29,15 +33,15 @@ def lookup_join(
 ) -> DataFrame:
     """Join many rows per key to few rows per key.
 
-    A small table of at most ``broadcast_rows`` rows is broadcast and the big side stays where it
-    is. A larger one is shuffled: the big side spreads each key over ``salts`` partitions by
+    A small table of at most ``broadcast_rows`` rows (and 16 MB) is broadcast and the big side stays
+    where it is. A larger one is shuffled: the big side spreads each key over ``salts`` partitions by
     hashing ``spread`` (columns that vary within the key, so a retried task salts alike), and the
     small side is repeated per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"the big side must be kept: {how}")
     stored = stage(small)
-    if stored.count() <= broadcast_rows:
+    if _is_small(stored, broadcast_rows):
         return big.join(F.broadcast(stored), list(keys), how)
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     left = big.withColumn("_salt", salt)
@@ -64,7 +68,7 @@ def hot_split_join(
     """
     key, values = list(key), list(values)
     stored = stage(table.select(*key, weight, *values))
-    if stored.count() <= broadcast_rows:
+    if _is_small(stored, broadcast_rows):
         return rows.join(F.broadcast(stored.drop(weight)), key, "left")
     total = stored.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) >= total * F.lit(share)
