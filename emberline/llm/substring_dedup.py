@@ -215,7 +215,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, memory: int = MEMORY)
 
     rows: rid (the same for equal rows only) and text, not null. ``text`` may hold any words.
     """
-    candidates = stage_anchored(rows, window)
+    candidates = _anchored(rows, window)
     size = max(stored_bytes(rows), 1)
     groups = max(8, -(-size // GROUP_BYTES))
     full: list[set[int]] = []
@@ -288,7 +288,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, memory: int = MEMORY)
     return stage(marked.groupBy("block").applyInArrow(gather, "rid long, spans binary").dropDuplicates(["rid"]))
 
 
-def stage_anchored(rows: DataFrame, window: int) -> DataFrame:
+def _anchored(rows: DataFrame, window: int) -> DataFrame:
     """The texts that have a repeated anchor, with the places of those anchors."""
     return sized_join(rows, repeated_anchors(rows, window), ["rid"], "inner").select("rid", "text", "anchors")
 
