@@ -101,7 +101,7 @@ def census(docs: DataFrame, n: int) -> DataFrame:
             at += len(own)
             docs_hit, times = np.unique(hits, return_counts=True)
             a.append(blob(docs_hit))
-            b.append(blob(times.astype(np.uint16)))
+            b.append(blob(times.astype(np.uint32)))
         empty = _binary([b""] * len(a))
         return pa.table({"block": rows["block"].combine_chunks(), "a": _binary(a), "b": _binary(b), "c": empty, "d": empty})
 
@@ -113,7 +113,7 @@ def census(docs: DataFrame, n: int) -> DataFrame:
         shared = local.copy()
         for a, b, d in zip(rows["a"].to_pylist(), rows["b"].to_pylist(), rows["d"].to_pylist(), strict=True):
             if not d:
-                shared[np.frombuffer(a, np.uint16)] += np.frombuffer(b, np.uint16)
+                shared[np.frombuffer(a, np.uint16)] += np.frombuffer(b, np.uint32)
         known = np.frombuffer(info["d"], np.uint8) == 1
         return pa.table({"id": pa.array(ids, mask=~known), "n": sizes, "d1": d1, "d2": d2, "shared": shared})
 

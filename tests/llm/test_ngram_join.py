@@ -106,3 +106,11 @@ def test_components_of_chains_stars_and_rings(spark):
     links = [(b, a) if rng.random() < 0.5 else (a, b) for a, b in links]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}, **{200 + i: 200 for i in range(17)}}
+
+
+def test_near_copies_with_more_shared_shingles_per_group_than_16_bits_hold(spark):
+    ws = [f"w{i}" for i in range(600_000)]
+    # Frames of their own: the texts stand in different tasks, so in different blocks.
+    docs = frame(spark, [" ".join(ws)], [5]).union(frame(spark, [" ".join(ws[:-1]) + " other"], [3]))
+    rows = ngram_components(docs.union(frame(spark, ["a b c d e f"], [1]))).collect()
+    assert sorted((r.doc_id, r.component_id) for r in rows) == [(1, 1), (3, 3), (5, 3)]
