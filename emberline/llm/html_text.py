@@ -45,30 +45,43 @@ NOISE = set(
     "notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe signup paywall disclaimer "
     "comment comments commentlist disqus replies respond feedback share sharing social search login".split()
 )
+#: Words beside one of NOISE in a name that tell how a page is laid out: no-sidebar, page-with-sidebar, share-enabled.
+STATE = set("no not non without with has have is enabled disabled".split())
+#: Names of what stands beside a page's own article, with articles of its own.
+BESIDE = set("comment comments commentlist disqus replies respond feedback related recommended trending".split())
+#: Elements that no class or id marks as noise.
+FRAME = set("html body main article".split())
 TOKEN = re.compile(r"""<(?:!--(?:.*?-->|.*)|[!?][^>]*+>?|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>)""", re.DOTALL)
 NAMED = re.compile(r"""(?:^|\s)(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 
 
 class Node:
+    """``noise``: 0 content, 1 noise by name that may hold the page's article, 2 noise with all in it."""
+
     __slots__ = ("tag", "parent", "noise", "parts")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool):
+    def __init__(self, tag: str, parent: Node | None, noise: int):
         self.tag, self.parent, self.noise, self.parts = tag, parent, noise, []
 
 
-def _is_noise(attributes: str) -> bool:
+def _noise(attributes: str) -> int:
+    """Names are taken one by one: a word of STATE keeps its own name from being noise, not the others."""
+    found = 0
     for name, a, b, c in NAMED.findall(attributes):
-        words = WORD.findall((a or b or c).lower())
-        if name.lower() != "aria-label" and not NOISE.isdisjoint(words):
-            return True
-    return False
+        if name.lower() == "aria-label":
+            continue
+        for token in (a or b or c).lower().split():
+            words = WORD.findall(token)
+            if not NOISE.isdisjoint(words) and STATE.isdisjoint(words):
+                found = max(found, 1 if BESIDE.isdisjoint(words) else 2)
+    return found
 
 
 def parse(page: str) -> Node:
     """Element tree of a page, as forgiving as browsers about missing end tags. Contents of raw
     elements (scripts, styles, ...) and comments are left out; text stays undecoded."""
-    root = node = Node("", None, False)
+    root = node = Node("", None, 0)
     open_tags: Counter[str] = Counter()
     at, size = 0, len(page)
 
@@ -103,7 +116,7 @@ def parse(page: str) -> Node:
                 if up.tag == tag:
                     node = close(up)
             elif tag == "p":
-                node.parts.append(Node("p", node, False))  # an empty paragraph, as browsers make of it
+                node.parts.append(Node("p", node, 0))  # an empty paragraph, as browsers make of it
             continue
         for above in ("p", "li", "dt", "dd", "option", "tr", "td", "th"):
             if open_tags[above] > 0 and tag in CLOSED_BY[above]:
@@ -114,14 +127,14 @@ def parse(page: str) -> Node:
                     node = close(up)
         attributes = found[3]
         if tag in VOID:
-            node.parts.append(Node(tag, node, False))
+            node.parts.append(Node(tag, node, 0))
         elif tag in RAW:
             end = re.compile(f"</{re.escape(tag)}[\\s/>]", re.IGNORECASE).search(page, at)
             close_at = page.find(">", end.start()) if end else -1
             at = close_at + 1 if close_at >= 0 else size
-            node.parts.append(Node(tag, node, True))
+            node.parts.append(Node(tag, node, 2))
         else:
-            new = Node(tag, node, tag in GONE or bool(attributes and _is_noise(attributes)))
+            new = Node(tag, node, 2 if tag in GONE else _noise(attributes) if attributes and tag not in FRAME else 0)
             node.parts.append(new)
             if not attributes.endswith("/") or tag in BLOCKS:
                 node = new
@@ -141,19 +154,21 @@ def _walk(top: Node) -> Iterator[tuple[Node, bool]]:
 
 
 def content_roots(root: Node) -> list[Node]:
-    """Outermost articles outside noise; else main; else the whole page."""
-    for wanted in ("article", "main"):
-        found, todo = [], [root]
-        while todo:
-            node = todo.pop()
-            if node.noise:
-                continue
-            if node.tag == wanted:
-                found.append(node)
-            else:
-                todo.extend(part for part in reversed(node.parts) if isinstance(part, Node))
-        if found:
-            return found
+    """Outermost articles outside noise; else main; else those inside elements that are noise by
+    name only; else the whole page."""
+    for most in (0, 1):
+        for wanted in ("article", "main"):
+            found, todo = [], [root]
+            while todo:
+                node = todo.pop()
+                if node.noise > most:
+                    continue
+                if node.tag == wanted:
+                    found.append(node)
+                else:
+                    todo.extend(part for part in reversed(node.parts) if isinstance(part, Node))
+            if found:
+                return found
     return [root]
 
 

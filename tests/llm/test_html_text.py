@@ -46,6 +46,15 @@ def test_words_of_class_names_are_whole():
     assert main_text('<div class="adequate shadow">kept</div>') == "kept"
 
 
+def test_names_of_the_frame_are_no_noise():
+    for body in ("no-sidebar", "has-sidebar cookie-consent", "sidebar"):
+        assert main_text(f'<html class="has-banner"><body class="{body}"><p>kept</p><div class="sidebar">no</div></body></html>') == "kept"
+    assert main_text('<div id="page-with-sidebar"><p>kept</p></div>') == "kept"
+    assert main_text('<div class="layout-sidebar"><article class="post share-enabled"><p>kept</p></article><p>no</p></div>') == "kept"
+    assert main_text('<div class="sidebar-layout"><main id="menu-page"><p>kept</p></main></div>') == "kept"
+    assert main_text('<p>kept</p><div id="comments"><article><p>no</p></article></div>') == "kept"
+
+
 def test_templates_are_counted_per_host_over_different_pages(spark):
     menu = "<div><p>Our shop</p><div>Call us</div></div>"
     rows = [(i, f"http://shop.example/{i}", f"<body>{menu}<div><p>Item {i} is here</p></div></body>") for i in range(8)]
