@@ -1,8 +1,8 @@
 """Main text of web pages: site templates are found by counting element subtrees per host.
 
 Each page is parsed once per pass in its task. The first pass hashes element subtrees; Spark counts
-on how many different pages of a host each hash stands; a subtree on many of them is template and
-deleted in the second pass, together with elements that are never part of an article.
+on how many different pages of a host each hash stands; a subtree on many of them (below an
+article or main: on most) is template and deleted in the second pass, together with elements that are never part of an article.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from .common import map_batches, query, sized_join, stage, table
 
 #: A subtree is template if it stands on at least so many different pages, and this share, of its host.
 LEAST_PAGES, LEAST_SHARE = 5, 0.05
+#: Below an article or main a subtree is template only if more than this share of its host's pages has it there.
+MOST_SHARE = 0.5
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template textarea iframe svg math object canvas audio video title".split())
@@ -32,6 +34,10 @@ BLOCKS = set(
 )
 #: Text blocks are never template: passages may recur on many pages and still be content.
 PROSE = set("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
+#: Parts of tables, lists and figures: below an article or main never template by themselves.
+PIECES = set("li dt dd td th tr thead tbody tfoot caption figcaption legend summary".split())
+#: Told apart from its hash elsewhere, a subtree's hash below an article or main.
+INSIDE = 0x2545F4914F6CDD1D
 #: Elements closed by the start of the elements named.
 CLOSED_BY = {
     "p": BLOCKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"},
@@ -207,6 +213,11 @@ def removable(node: Node) -> bool:
     return node.tag in BLOCKS and node.tag not in PROSE and node.tag not in ("html", "body", "article", "main")
 
 
+def inside_hashes(top: Node, hashes: dict[int, int]) -> dict[int, int]:
+    """By identity, the hashes of the elements below an article or main that may be template there."""
+    return {id(n): hashes[id(n)] ^ INSIDE for n, first in _walk(top) if first and n is not top and removable(n) and n.tag not in PIECES and id(n) in hashes}
+
+
 def main_text(page: str | None, templates: frozenset[int] = frozenset()) -> str:
     """Text blocks of a page's content, without noise and template subtrees."""
     root = parse(page or "")
@@ -221,6 +232,8 @@ def main_text(page: str | None, templates: frozenset[int] = frozenset()) -> str:
 
     for top in content_roots(root):
         hashes = subtree_hashes(top) if templates else {}
+        if top is not root:
+            hashes = inside_hashes(top, hashes)
         todo: list[object] = [top]
         while todo:
             part = todo.pop()
@@ -256,21 +269,26 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
 
     def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, keys, hashes = [], [], []
+            hosts, keys, hashes, places = [], [], [], []
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
                 root = parse(page.as_py() or "")
                 found = subtree_hashes(root)
-                seen = {0, *found.values()}
+                inside = {h for top in content_roots(root) if top is not root for h in inside_hashes(top, found).values()}
+                seen = {0: False} | dict.fromkeys(found.values(), False) | dict.fromkeys(inside, True)
                 hosts += [host] * len(seen)
                 keys += [content_key(root)] * len(seen)
                 hashes += seen
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(hashes, pa.int64())], ["host", "content", "hash"])
+                places += seen.values()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(hashes, pa.int64()), pa.array(places, pa.bool_())], ["host", "content", "hash", "inside"]
+            )
 
-    rows = map_batches(pages, subtrees, "host string, content long, hash long")
+    rows = map_batches(pages, subtrees, "host string, content long, hash long, inside boolean")
     # Hash 0 stands for the page itself, so its count is the host's number of different pages.
-    counts = stage(rows.distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages))
+    counts = stage(rows.distinct().groupBy("host", "hash", "inside").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages))
     of_host = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
-    many = counts.where("hash <> 0").join(of_host, "host").where(F.col("n") >= F.col("pages") * least_share)
+    enough = F.when(F.col("inside"), F.col("n") > F.col("pages") * MOST_SHARE).otherwise(F.col("n") >= F.col("pages") * least_share)
+    many = counts.where("hash <> 0").join(of_host, "host").where(enough)
     return stage(many.groupBy("host").agg(F.sort_array(F.collect_set("hash")).alias("templates")))
 
 

@@ -70,6 +70,18 @@ def test_templates_are_counted_per_host_over_different_pages(spark):
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
 
 
+def test_what_recurs_inside_articles_is_kept(spark):
+    table = "<table><tr><th>Year</th><td>{0}</td></tr><tr><td>Yes</td></tr></table><ul><li>Salt</li><li>{0}</li></ul>"
+    box = "<div><div>Follow us</div></div>"
+    rows = []
+    for i in range(20):
+        some = "<div>Set in a div</div>" if i < 6 else ""
+        rows.append((i, f"http://food.example/{i}", f"<article><p>Text {i}</p>{some}{table.format(i)}{box}</article>"))
+    texts = {r.page_id: r.text.split("\n\n") for r in extract_text(pages(spark, rows)).collect()}
+    for i in range(20):
+        assert texts[i] == [f"Text {i}", *(["Set in a div"] if i < 6 else []), "Year", str(i), "Yes", "Salt", str(i)]
+
+
 def test_empty_table(spark):
     assert extract_text(pages(spark, [])).collect() == []
 
