@@ -1,4 +1,4 @@
-"""Checks of the heads: trained on small settings, compared by rows only."""
+"""Checks of the heads: trained on the published settings, compared by rows only."""
 
 from __future__ import annotations
 
@@ -18,7 +18,6 @@ from .registry import check
 from .views import Tables
 
 NAMES = ["avg_cont", "avg_static", "n_px", "label"]
-FEW = M.Boosting(rounds=8, depth=3, patience=None)
 KEY = ["year", "fire", "img"]
 
 
@@ -42,14 +41,14 @@ def _metrics(head, val):
 def boosted_classifier(t: Tables):
     train, val, _ = _parts(t)
     medians = training.feature_medians(train)
-    return _metrics(M.boosted_classifier(train, None, NAMES, medians, FEW), val)
+    return _metrics(M.boosted_classifier(train, val, NAMES, medians, M.Boosting()), val)
 
 
 @check("m2_boosted_regressor")
 def boosted_regressor(t: Tables):
     train, val, _ = _parts(t)
     medians = training.feature_medians(train)
-    return _metrics(M.boosted_regressor(train, None, NAMES, medians, FEW), val)
+    return _metrics(M.boosted_regressor(train, val, NAMES, medians, M.Boosting()), val)
 
 
 @check("m3_early_stopping")
@@ -80,7 +79,7 @@ def linear_baseline(t: Tables):
 @check("m6_train_heads")
 def train_heads(t: Tables):
     table = _table(t)
-    heads = training.train_heads(table, NAMES, FEW)
+    heads = training.train_heads(table, NAMES, M.Boosting())
     return training.validation_report(heads, table.where("split = 'val'"))
 
 
@@ -203,7 +202,7 @@ def compare_families(t: Tables):
 def scored_heads(t: Tables):
     """Both families trained, scored on test rows, and reported together."""
     table = _table(t)
-    heads = training.train_heads(table, NAMES, FEW)
+    heads = training.train_heads(table, NAMES, M.Boosting())
     test, train = table.where("split = 'test'"), table.where("split = 'train'")
     cap = H.log_area_cap(train)
     parts = [

@@ -245,3 +245,25 @@ def test_no_positive_rows_no_area_baseline(table):
     nothing = table.where("burned_area = 0")
     assert M.linear_baseline(nothing, ["x0", "x1", "x2"], [0.0, 0.0, 0.0]) is None
     assert M.class_weight(nothing) == 1.0
+
+
+@pytest.mark.parametrize("name", ["boosted_classifier", "boosted_regressor", "train_heads", "scored_heads"])
+def test_checks_train_with_published_settings_and_early_stopping(monkeypatch, name):
+    from emberline.checks import model_checks as C
+
+    class Seen(Exception):
+        pass
+
+    def record(*args):
+        raise Seen(args)
+
+    monkeypatch.setattr(C, "_parts", lambda t: ("train", "val", "test"))
+    monkeypatch.setattr(C, "_table", lambda t: "table")
+    monkeypatch.setattr(C.training, "feature_medians", lambda df: [])
+    for owner, f in ((C.M, "boosted_classifier"), (C.M, "boosted_regressor"), (C.training, "train_heads")):
+        monkeypatch.setattr(owner, f, record)
+    with pytest.raises(Seen) as seen:
+        getattr(C, name)(None)
+    args = seen.value.args[0]
+    assert args[-1] == C.M.Boosting()
+    assert args[0] == "table" or args[1] == "val"
