@@ -31,6 +31,8 @@ SHAPES = {
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[\x20._/-]?[0-9]{4}){2}[\x20._/-]?[0-9]{1,7}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9])(?:\([0-9]{2,4}\)|0[0-9]{1,4}|[0-9]{3})[\x20./-]?[0-9]{3,4}[\x20./-]?[0-9]{3,4}(?![0-9])|(?<![0-9])[0-9]{3}-[0-9]{4}(?![0-9])"),
 }
+#: A loose e-mail address has one of these, or "@".
+AT = re.compile(r"\bat\b|\(at\)|\[at\]", re.IGNORECASE)
 WORDS = re.compile(r"[^\W\d_]+")
 #: Characters around a string in which its context words are looked for.
 CONTEXT = 60
@@ -85,7 +87,7 @@ def loose_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     for number, kind in enumerate(KINDS):
         if number and not DIGIT.search(text):
             break
-        if not number and not ("@" in text or re.search(r"\bdot\b|\(at\)|\[at\]|\(dot\)|\[dot\]", text, re.IGNORECASE)):
+        if not number and not ("@" in text or AT.search(text)):
             continue
         for found in SHAPES[kind].finditer(text):
             start, end = found.span()

@@ -7,7 +7,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from emberline.llm.pii import KINDS, base_spans, luhn, personal_data
+from emberline.llm.pii import KINDS, base_spans, loose_spans, luhn, personal_data
 
 from .corpus import frame
 
@@ -86,3 +86,8 @@ def test_empty_table_null_ids_repeated_rows_and_long_text(spark):
     rows = personal_data(frame(spark, ["a@b.co", "a@b.co", "a@b.co", long], [None, 1, 1, 2])).collect()
     assert len(rows) == 4 and all(r.n_email == 1 for r in rows)
     assert next(r.spans for r in rows if r.doc_id == 2) == "email:500000:500006"
+
+
+def test_loose_addresses_do_not_need_other_signs_in_the_text():
+    for address in ("jane at example.com", "jane AT example dot com", "jane(at)example.com", "jane [at] example [dot] com"):
+        assert loose_spans(f"mail: {address}", []) == [(6, 0, 6 + len(address))]
