@@ -10,6 +10,7 @@ from . import (  # noqa: F401
     packing,
     pii,
     substring_dedup,
+    vector_codes,
     warc,
 )
 from .common import ORACLES, QUERIES  # noqa: F401
