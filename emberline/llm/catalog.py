@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     language_id,
     ngram_join,
     packing,
+    phrases,
     pii,
     substring_dedup,
     vector_codes,
