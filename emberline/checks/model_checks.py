@@ -216,7 +216,9 @@ def scored_heads(t: Tables):
 
 # --- heads on data where their values are known -------------------------------------------------
 
-_ONE = M.Boosting(rounds=1, depth=1, row_share=1.0, column_share=1.0, patience=None)
+_ONE = M.Boosting(rounds=1, depth=1, rate=1.0, row_share=1.0, column_share=1.0, patience=None, l2=0.0, least_hessian=0.0)
+_THREE = M.Boosting(rounds=3, depth=2, rate=0.3, row_share=1.0, column_share=1.0, patience=None)
+_FEW = ["x0", "x1", "x2"]
 
 
 def _binary(t: Tables):
@@ -226,6 +228,57 @@ def _binary(t: Tables):
     return stage(name_features(rows, ["many"]))
 
 
+def _three_rounds_sql(logistic: bool) -> str:
+    """Three second-order trees of depth 2 with the published penalties, split by split."""
+    gradient = "w * (1 / (1 + exp(-m)) - y), w / (1 + exp(-m)) * (1 - 1 / (1 + exp(-m)))" if logistic else "m - y, 1.0::DOUBLE"
+    weight = "CASE WHEN burned_area > 0 THEN (SELECT count(CASE WHEN burned_area = 0 THEN 1 END)::DOUBLE / count(CASE WHEN burned_area > 0 THEN 1 END) FROM feat) ELSE 1 END"
+    label = "CASE WHEN burned_area > 0 THEN 1.0::DOUBLE ELSE 0 END" if logistic else "ln(1 + burned_area::DOUBLE)"
+    base = "4 * (sum(w * y) OVER () / sum(w) OVER () - 0.5)" if logistic else "avg(y) OVER ()"
+    ctes = [
+        f"d AS (SELECT img, n_px::DOUBLE AS x0, least(n_px % 4, 2)::DOUBLE AS x1, (img % 12)::DOUBLE AS x2, {label} AS y, {weight} AS w FROM feat)",
+        f"m0 AS (SELECT *, {base} AS m FROM d)",
+    ]
+    for r in range(3):
+        ctes.append(f"a{r}_0 AS (SELECT *, 1 AS node, false AS done FROM (SELECT *, {gradient.split(', ')[0]} AS g, {gradient.split(', ')[1]} AS h FROM m{r}))")
+        for level in range(2):
+            here = f"a{r}_{level}"
+            long = " UNION ALL ".join(f"SELECT node, '{f}' AS f, {f} AS x, g, h FROM {here} WHERE NOT done" for f in ("x0", "x1", "x2"))
+            ctes += [
+                f"h{r}_{level} AS (SELECT node, f, x, sum(g) AS g, sum(h) AS h FROM ({long}) GROUP BY node, f, x)",
+                f"c{r}_{level} AS (SELECT node, f, x, sum(g) OVER o AS gl, sum(h) OVER o AS hl, sum(g) OVER p AS gt, sum(h) OVER p AS ht FROM h{r}_{level}"
+                " WINDOW o AS (PARTITION BY node, f ORDER BY x), p AS (PARTITION BY node, f))",
+                f"s{r}_{level} AS (SELECT * FROM (SELECT *, gl * gl / (hl + 1) + (gt - gl) ** 2 / (ht - hl + 1) - gt * gt / (ht + 1) AS gain FROM c{r}_{level}"
+                " WHERE hl >= 1 AND ht - hl >= 1) WHERE gain > 1e-9 QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 7) DESC, f, x) = 1)",
+                f"a{r}_{level + 1} AS (SELECT a.* EXCLUDE (node, done), CASE WHEN s.f IS NULL OR a.done THEN a.node ELSE 2 * a.node +"
+                " CASE WHEN CASE s.f WHEN 'x0' THEN x0 WHEN 'x1' THEN x1 ELSE x2 END <= s.x THEN 0 ELSE 1 END END AS node, a.done OR s.f IS NULL AS done"
+                f" FROM {here} a LEFT JOIN s{r}_{level} s ON s.node = a.node AND NOT a.done)",
+            ]
+        ctes.append(f"m{r + 1} AS (SELECT img, x0, x1, x2, y, w, m - 0.3 * sum(g) OVER (PARTITION BY node) / (sum(h) OVER (PARTITION BY node) + 1) AS m FROM a{r}_2)")
+    value = "1 / (1 + exp(-m))" if logistic else "m"
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT img, round({value}, 5) AS predicted FROM m3"
+
+
+def _few(t: Tables):
+    """Rows with three features of few values, each of which has a bin."""
+    x = [F.col("n_px"), F.least(F.col("n_px") % 4, F.lit(2)), F.col("img") % 12]
+    rows = X.add_targets(t.feat.select(*KEY, "n_px", "burned_area")).withColumn("features", F.array(*[c.cast("double") for c in x]))
+    return stage(name_features(rows, _FEW))
+
+
+@check("m1_three_rounds", _three_rounds_sql(True))
+def three_rounds_classifier(t: Tables):
+    rows = _few(t)
+    head = M.boosted_classifier(rows, None, _FEW, [None] * 3, _THREE)
+    return head.score(rows, "predicted").select("img", F.round("predicted", 5).alias("predicted"))
+
+
+@check("m2_three_rounds", _three_rounds_sql(False))
+def three_rounds_regressor(t: Tables):
+    rows = _few(t)
+    head = M.boosted_regressor(rows, None, _FEW, [None] * 3, _THREE)
+    return head.score(rows, "predicted").select("img", F.round("predicted", 5).alias("predicted"))
+
+
 @check(
     "m2_one_split_means",
     """

@@ -1,14 +1,14 @@
-"""Thin use of pyspark.ml for the ignition head (P) and the burned-area head (A)."""
+"""The ignition head (P) and the burned-area head (A): boosted trees, and pyspark.ml's linear models."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,44 +16,16 @@ from ..functions import is_missing
 from ..operators import metrics as E
 from ..operators.prepare import drop_missing_label, fill_with, order_features, positives
 from ..sources.tables import read_feature_list, write_feature_list
+from .boosting import BoostedModel, Boosting, fit_trees, patience_rounds  # noqa: F401
 
 VECTOR, WEIGHT = "_vector", "_weight"
 
 
-@dataclass
-class Boosting:
-    """Settings of the boosted heads. Rounds, depth, rates and seed as published; pyspark.ml has no
-    L2 penalty on leaves and samples columns per node instead of per tree."""
-
-    rounds: int = 1000
-    depth: int = 6
-    rate: float = 0.05
-    row_share: float = 0.8
-    column_share: float = 0.6
-    patience: int | None = 20
-    seed: int = 42
-    bins: int = 256
-
-    def _common(self) -> dict:
-        return dict(
-            featuresCol=VECTOR,
-            maxIter=self.rounds,
-            maxDepth=self.depth,
-            stepSize=self.rate,
-            subsamplingRate=self.row_share,
-            featureSubsetStrategy=str(self.column_share),
-            seed=self.seed,
-            maxBins=self.bins,
-            maxMemoryInMB=1024,
-            checkpointInterval=10,
-        )
-
-
 @dataclass
 class Head:
     """A trained head with what scoring needs: feature names, medians, and its kind."""
 
-    model: PipelineModel | Model
+    model: PipelineModel | Model | BoostedModel
     label: str
     names: list[str]
     medians: list[float | None] = field(default_factory=list)
@@ -73,6 +45,11 @@ class Head:
         """
         metadata = df.schema[features].metadata
         ordered = order_features(df.withColumn("_own", F.col(features)), features, self.names)
+        if isinstance(self.model, BoostedModel):
+            filled = fill_with(ordered, self.medians, features, zero=True)
+            scored = filled.withColumn("_score", self.model.score(features))
+            scored = scored.drop(features).withColumnRenamed("_own", features).withMetadata(features, metadata)
+            return scored.select(*df.columns, F.col("_score").alias(name))
         scored = self.model.transform(self.vectors(ordered, features))
         scored = scored.drop(features).withColumnRenamed("_own", features).withMetadata(features, metadata)
         if self.is_classifier:
@@ -99,45 +76,6 @@ def class_weight(train: DataFrame, label: str = "ignition") -> float:
     return row["neg"] / row["pos"] if row["neg"] and row["pos"] else 1.0
 
 
-def patience_rounds(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Rounds to keep, and whether the losses ran ``patience`` rounds past the best one."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def fit_boosted(estimator: Estimator, train: DataFrame, val: DataFrame | None, boosting: Boosting) -> Model:
-    """Fit with early stopping on ``val``.
-
-    Rounds double until the validation loss has stopped improving: with one seed the first k trees
-    do not depend on how many follow, so the rule sees the same losses as one long fit would give,
-    and no more than twice the needed trees are grown.
-    """
-    if val is None or boosting.patience is None:
-        return estimator.fit(train)
-    rounds = min(boosting.rounds, 2 * boosting.patience)
-    while True:
-        model = estimator.copy({estimator.maxIter: rounds}).fit(train)
-        keep, stopped = patience_rounds(_losses(model, val), boosting.patience)
-        if stopped or rounds >= boosting.rounds:
-            break
-        rounds = min(boosting.rounds, 2 * rounds)
-    if keep == rounds:
-        return model
-    return estimator.copy({estimator.maxIter: keep}).fit(train)
-
-
-def _losses(model: Model, val: DataFrame) -> list[float]:
-    """Validation loss after each round: log loss, or squared error (same order as RMSE)."""
-    if isinstance(model, GBTRegressionModel):
-        return model.evaluateEachIteration(val, "squared")
-    return model.evaluateEachIteration(val)
-
-
 def boosted_classifier(
     train: DataFrame,
     val: DataFrame | None,
@@ -148,12 +86,10 @@ def boosted_classifier(
 ) -> Head:
     """Ignition head: log loss, positives weighted by ``neg/pos``."""
     b = boosting or Boosting()
-    ready = _labelled(train, medians, label)
+    ready = _gapless(train, medians, label)
     weight = class_weight(ready, label)
     ready = ready.withColumn(WEIGHT, F.when(F.col(label) == 1, weight).otherwise(1.0))
-    held = None if val is None else _labelled(val, medians, label).withColumn(WEIGHT, F.lit(1.0))
-    estimator = GBTClassifier(labelCol=label, weightCol=WEIGHT, lossType="logistic", **b._common())
-    return Head(fit_boosted(estimator, ready, held, b), label, list(names), list(medians))
+    return _boosted(ready, val, names, medians, b, label)
 
 
 def boosted_regressor(
@@ -165,11 +101,20 @@ def boosted_regressor(
     label: str = "log_burned_area",
 ) -> Head:
     """Area head on all rows with a label, those without fire included."""
-    b = boosting or Boosting()
-    held = None if val is None else _labelled(val, medians, label)
-    estimator = GBTRegressor(labelCol=label, lossType="squared", **b._common())
-    model = fit_boosted(estimator, _labelled(train, medians, label), held, b)
-    return Head(model, label, list(names), list(medians))
+    ready = _gapless(train, medians, label).withColumn(WEIGHT, F.lit(1.0))
+    return _boosted(ready, val, names, medians, boosting or Boosting(), label)
+
+
+def _boosted(ready: DataFrame, val: DataFrame | None, names, medians, b: Boosting, label: str) -> Head:
+    rows = ready.select(F.col(label).alias("label"), F.col(WEIGHT).alias("weight"), "features")
+    held = None if val is None else _gapless(val, medians, label).select(F.col(label).alias("label"), "features")
+    return Head(fit_trees(rows, held, b, label == "ignition"), label, list(names), list(medians))
+
+
+def _gapless(df: DataFrame, medians: Sequence[float | None], label: str) -> DataFrame:
+    """Labels and filled features of the rows with a label."""
+    kept = drop_missing_label(df, label).withColumn(label, F.col(label).cast("double"))
+    return fill_with(kept.select(label, "features"), medians, "features", zero=True)
 
 
 def logistic_baseline(
@@ -228,8 +173,11 @@ def validation_metrics(head: Head, val: DataFrame) -> DataFrame:
 def save_head(head: Head, path: str, spark: SparkSession) -> None:
     """Model, feature list and medians side by side under ``path``."""
     root = path.rstrip("/")
-    pipeline = head.model if isinstance(head.model, PipelineModel) else PipelineModel([head.model])
-    pipeline.save(f"{root}/model")
+    if isinstance(head.model, BoostedModel):
+        head.model.save(spark, f"{root}/trees")
+    else:
+        pipeline = head.model if isinstance(head.model, PipelineModel) else PipelineModel([head.model])
+        pipeline.save(f"{root}/model")
     write_feature_list(spark, head.names, f"{root}/features")
     rows = [(head.label, i, m) for i, m in enumerate(head.medians)] or [(head.label, None, None)]
     spark.createDataFrame(rows, "label string, position int, median double").coalesce(1).write.parquet(
@@ -240,8 +188,10 @@ def save_head(head: Head, path: str, spark: SparkSession) -> None:
 def load_head(path: str, spark: SparkSession) -> Head:
     root = path.rstrip("/")
     rows = spark.read.parquet(f"{root}/medians").orderBy("position").collect()
+    trees = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/trees")
+    boosted = trees.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(trees)
     return Head(
-        PipelineModel.load(f"{root}/model"),
+        BoostedModel.load(spark, f"{root}/trees") if boosted else PipelineModel.load(f"{root}/model"),
         rows[0]["label"],
         read_feature_list(spark, f"{root}/features"),
         [r["median"] for r in rows if r["position"] is not None],

@@ -230,15 +230,84 @@ def test_logistic_matches_its_objective(spark, table):
 
 
 def test_more_rounds_share_their_first_trees(spark, table):
-    """What early stopping by doubling rests on."""
-    medians = training.feature_medians(table)
-    val = M._labelled(table.where("split = 'val'"), medians, "log_burned_area")
-    losses = []
-    for rounds in (6, 12):
-        settings = M.Boosting(rounds=rounds, depth=3, patience=None)
-        head = M.boosted_regressor(table.where("split = 'train'"), None, ["x0", "x1", "x2"], medians, settings)
-        losses.append(head.model.evaluateEachIteration(val, "squared"))
-    np.testing.assert_allclose(losses[0], losses[1][:6])
+    """Rounds build on the ones before only, and losses are those of the validation rows."""
+    names, medians = ["x0", "x1", "x2"], training.feature_medians(table)
+    train, val = table.where("split = 'train'"), table.where("split = 'val'")
+    heads = [M.boosted_regressor(train, val, names, medians, M.Boosting(rounds=r, depth=3, patience=None)) for r in (6, 12)]
+    np.testing.assert_allclose(heads[0].model.losses, heads[1].model.losses[:6])
+    scored = heads[1].score(val, "p").select(((F.col("p") - F.col("log_burned_area")) ** 2).alias("e")).agg(F.avg("e")).first()[0]
+    np.testing.assert_allclose(heads[1].model.losses[-1], scored, rtol=1e-6)
+
+
+def test_trees_do_not_depend_on_partitions_or_order(spark, table):
+    names, medians = ["x0", "x1", "x2"], [0.0, 0.0, 0.0]
+    few = M.Boosting(rounds=3, depth=3, row_share=1.0, patience=None)
+    found = [M.boosted_classifier(rows, None, names, medians, few).model for rows in (table, table.repartition(9), table.orderBy("id").coalesce(1))]
+    for other in found[1:]:
+        for a, b in zip(found[0].trees, other.trees, strict=True):
+            assert a.feature.tolist() == b.feature.tolist() and a.threshold.tolist() == b.threshold.tolist()
+            np.testing.assert_array_equal(a.value, b.value)
+
+
+def test_early_stopping_grows_patience_trees_more_than_it_keeps(spark, table):
+    names, medians = ["x0", "x1", "x2"], training.feature_medians(table)
+    rules = M.Boosting(rounds=200, depth=2, rate=0.6, patience=4)
+    model = M.boosted_regressor(table.where("split = 'train'"), table.where("split = 'val'"), names, medians, rules).model
+    assert model.grown == len(model.trees) + 4 and len(model.losses) == model.grown
+    assert min(model.losses) == model.losses[len(model.trees) - 1]
+
+
+def plain_boosting(x, y, w, b, logistic):
+    """The same trees by plain loops over all thresholds."""
+    margin = np.full(len(y), (np.average(y, weights=w) - 0.5) * 4 if logistic else np.average(y, weights=w))
+    for _ in range(b.rounds):
+        p = 1 / (1 + np.exp(-margin)) if logistic else margin
+        g, h = w * (p - y), w * p * (1 - p) if logistic else w.copy()
+        leaves = [np.ones(len(y), bool)]
+        for _ in range(b.depth):
+            after = []
+            for rows in leaves:
+                best = (1e-9, None)
+                for f in range(x.shape[1]):
+                    for cut in np.unique(x[rows, f])[:-1]:
+                        left = rows & (x[:, f] <= cut)
+                        right = rows & ~left
+                        if min(h[left].sum(), h[right].sum()) < b.least_hessian:
+                            continue
+                        gain = sum(g[part].sum() ** 2 / (h[part].sum() + b.l2) * sign for part, sign in ((left, 1), (right, 1), (rows, -1)))
+                        if gain > best[0] + 1e-9:
+                            best = (gain, (left, right))
+                after += [rows] if best[1] is None else list(best[1])
+            leaves = after
+        for rows in leaves:
+            margin[rows] -= b.rate * g[rows].sum() / (h[rows].sum() + b.l2)
+    return 1 / (1 + np.exp(-margin)) if logistic else margin
+
+
+@pytest.mark.parametrize("logistic", [True, False])
+def test_trees_equal_plain_loops(spark, logistic):
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(250, 3)), 1)
+    y = (x[:, 0] + 0.5 * rng.normal(size=250) > 0).astype(float) if logistic else x[:, 0] ** 2 + 0.1 * rng.normal(size=250)
+    rows = spark.createDataFrame([(i, float(v), x[i].tolist()) for i, v in enumerate(y)], "id int, label double, features array<double>")
+    rules = M.Boosting(rounds=10, depth=3, rate=0.3, row_share=1.0, column_share=1.0, patience=None)
+    model = M.fit_trees(rows.withColumn("weight", F.lit(1.0)), None, rules, logistic)
+    got = np.array([r["s"] for r in rows.select("id", model.score("features").alias("s")).orderBy("id").collect()])
+    np.testing.assert_allclose(got, plain_boosting(x, y, np.ones(250), rules, logistic), atol=1e-5)
+
+
+def test_boosted_head_is_saved_and_loaded(spark, table, tmp_path):
+    names = ["x0", "x1", "x2"]
+    head = M.boosted_classifier(table, None, names, [0.0, 0.1, 0.0], M.Boosting(rounds=3, depth=2, patience=None))
+    M.save_head(head, f"{tmp_path}/boosted", spark)
+    again = M.load_head(f"{tmp_path}/boosted", spark)
+    both = again.score(head.score(table, "before"), "after")
+    assert both.where("before <> after OR before IS NULL").count() == 0 and again.names == names
+
+
+def test_no_rows_no_trees(spark, table):
+    model = M.boosted_regressor(table.where("false"), table, ["x0", "x1", "x2"], [0.0] * 3, M.Boosting(rounds=3)).model
+    assert model.trees == [] and model.base == 0.0
 
 
 def test_no_positive_rows_no_area_baseline(table):
