@@ -10,6 +10,7 @@ from . import (  # noqa: F401
     packing,
     phrases,
     pii,
+    secret_scan,
     substring_dedup,
     vector_codes,
     warc,
