@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import fire_label
@@ -9,7 +11,8 @@ from ..operators import features as X
 from ..operators import prepare as R
 from ..operators import samples as S
 from ..schema import RGB_MEAN, RGB_STD
-from ..session import stage
+from ..session import stage, staging_root
+from ..sources.tables import read_feature_list, write_feature_list
 from .registry import check
 from .views import Tables
 
@@ -315,6 +318,33 @@ def impute_train_then_zero(t: Tables):
     return _imputed(R.impute(table, train, "train_then_zero"))
 
 
+_CONTRACT = ["n_px", "avg_cont", "avg_static", "label"]
+
+
+@check(
+    "t3_feature_contract",
+    """
+SELECT img, n_px::DOUBLE AS p_0, round(avg_static, 6) AS p_1, round(avg_static, 6) AS a_0, n_px::DOUBLE AS a_1, 'gone,later' AS missing,
+       'n_px,avg_static,label,gone,later' AS aligned FROM feat""",
+)
+def feature_contract(t: Tables):
+    """Stored lists are put into the models' order; heads that disagree share what both know; names that
+    the table lacks are told."""
+    table = t.feat.withColumn("features", F.array(*[F.col(n).cast("double") for n in _CONTRACT]))
+    table = R.name_features(table, _CONTRACT)
+    folder = f"{staging_root(t.spark).rstrip('/')}/contract-{uuid.uuid4().hex}"
+    write_feature_list(t.spark, ["avg_static", "gone", "label", "n_px", "later"], f"{folder}/p")
+    write_feature_list(t.spark, ["avg_static", "other", "n_px", "avg_cont"], f"{folder}/a")
+    p_head = R.align_to_model(read_feature_list(t.spark, f"{folder}/p"), ["n_px", "avg_static", "label"])
+    p_names, a_names = R.common_features(p_head, read_feature_list(t.spark, f"{folder}/a"))
+    for head, names in (("p", p_names), ("a", a_names)):
+        own = R.name_features(table.withColumn(f"for_{head}", F.col("features")), _CONTRACT, f"for_{head}")
+        table = R.order_features(own, f"for_{head}", names)
+    told = ",".join(R.missing_features(_CONTRACT, p_head))
+    values = [F.round(F.get(F.col(f"for_{head}"), i), 6).alias(f"{head}_{i}") for head in "pa" for i in range(2)]
+    return table.select("img", *values, F.lit(told).alias("missing"), F.lit(",".join(p_head)).alias("aligned"))
+
+
 @check("t5_drop_missing_label", "SELECT img, label FROM feat WHERE label IS NOT NULL")
 def drop_missing_label(t: Tables):
     return R.drop_missing_label(t.feat, "label").select("img", "label")

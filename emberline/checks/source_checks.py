@@ -107,13 +107,12 @@ def fire_stacks(t: Tables):
     "s1_inventory",
     """
 SELECT CAST(year AS INT) AS year, 'fire_' || CAST(fire AS VARCHAR) AS fire, CAST(obs_ts AS DATE) AS obs_date, count(*) AS files
-FROM imgs WHERE year IN (1995, 1996) AND fire % 10 = 0 GROUP BY ALL""",
+FROM imgs WHERE year IN (1995, 1996) GROUP BY ALL""",
 )
 def inventory(t: Tables):
-    """Files are written below year and fire folders, one per image of every tenth fire, and listed for two years."""
+    """Files are written below year and fire folders, one per image, and those of two years are listed."""
     root = _folder(t, "raw")
-    wanted = t.img.where(F.col("fire") % 10 == 0)
-    names = wanted.select(
+    names = t.img.select(
         F.concat_ws("/", F.col("year").cast("string"), F.concat(F.lit("fire_"), F.col("fire").cast("string")),
                     F.concat(F.date_format("obs_ts", "yyyy-MM-dd"), F.lit("_"), F.col("img").cast("string"), F.lit(".tif"))).alias("name")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import count_if, is_missing, null_if_nan
 from ..schema import DOC_KEYWORDS, FILE_TYPES
+from .joins import lookup_join
 from .prepare import column_values
 from .quantiles import exact_quantiles, quantile_list
 
@@ -361,7 +362,8 @@ def histogram(
     )
     width = (F.col("hi") - F.col("lo")) / bins
     if by:
-        ranged = clean.join(ends, keys)
+        # Classes are few and may be large: rows of one class are spread over tasks.
+        ranged = lookup_join(clean, ends, keys, ["v"])
     else:
         pair = ends.select(F.struct("lo", "hi")).scalar()
         ranged = clean.withColumn("_e", pair).select("v", "_e.*")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cycle_degrees
+from ..functions import cycle_degrees, seeded_md5
 from .joins import lookup_join
 
 H, W = "height", "width"
@@ -98,7 +98,7 @@ def crop_offset(
 ) -> Column:
     """Deterministic offset in [0, room] for one attempt: both passes see the same crop."""
     attempt = F.lit(attempt) if isinstance(attempt, int) else attempt
-    digest = F.xxhash64(*keys, F.lit(seed), attempt, F.lit(axis))
+    digest = F.conv(F.substring(seeded_md5(seed, *keys, attempt, F.lit(axis)), 1, 8), 16, 10).cast("bigint")
     return F.pmod(digest, (room + 1).cast("bigint")).cast("int")
 
 

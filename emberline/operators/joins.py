@@ -30,22 +30,23 @@ def lookup_join(
     salts: int = DEFAULT_SALTS,
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Join many rows per key to few rows per key.
 
     A small table of at most ``broadcast_rows`` rows (and 16 MB) is broadcast and the big side stays
-    where it is. A larger one is shuffled: the big side spreads each key over ``salts`` partitions by
+    where it is (``stored``: it reads a stored table and is not stored again). A larger one is shuffled: the big side spreads each key over ``salts`` partitions by
     hashing ``spread`` (columns that vary within the key, so a retried task salts alike), and the
     small side is repeated per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"the big side must be kept: {how}")
-    stored = stage(small)
-    if _is_small(stored, broadcast_rows):
-        return big.join(F.broadcast(stored), list(keys), how)
+    small = small if stored else stage(small)
+    if _is_small(small, broadcast_rows):
+        return big.join(F.broadcast(small), list(keys), how)
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     left = big.withColumn("_salt", salt)
-    right = stored.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 

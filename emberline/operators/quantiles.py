@@ -2,17 +2,16 @@
 
 A first pass brackets each wanted rank with a bounded sketch; a second pass counts the values
 inside the bracket exactly and everything below it as one number. Only the bracket's values are
-shuffled and ordered, in the cells the sketch already gave.
+shuffled and ordered, in the cells the sketch already gave. Brackets are a stored table with a row
+per group, so there may be any number of groups; nothing is listed on the driver.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import null_if_nan
 from ..session import stage
@@ -20,17 +19,9 @@ from .joins import lookup_join
 from .ordering import prefix_sums
 
 ACCURACY = 5000
-#: Groups for which brackets are held by the driver; more groups take the full exact path.
-MAX_GROUPS = 20_000
 _STEPS = (-4, -2, -1, 0, 1, 2, 4)
 
 
-def _plan_target(n: int, prob: float, cuts: list[float]) -> tuple:
-    place = prob * (n - 1)
-    low = math.floor(place)
-    return (sorted(set(cuts)), low, math.ceil(place), place - low)
-
-
 def exact_quantiles(
     df: DataFrame, value: Column | str, probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -40,7 +31,6 @@ def exact_quantiles(
     pass a stored table, or one that is cheap to compute.
     """
     by, probs = list(by), [float(p) for p in probs]
-    spark = df.sparkSession
     value = F.col(value) if isinstance(value, str) else value
     values = df.select(*by, null_if_nan(value.cast("double")).alias("_v")).where(
         F.col("_v").isNotNull()
@@ -53,43 +43,11 @@ def exact_quantiles(
         F.max("_v").alias("_hi"),
         F.percentile_approx("_v", wanted, ACCURACY).alias("_cuts"),
     )
-    head = sketch.limit(MAX_GROUPS + 1).collect()
-    if len(head) > MAX_GROUPS:
-        return _full_quantiles(values, probs, by)
-
-    plan = []
-    for row in head:
-        if row["_n"] == 0:
-            continue
-        for j, prob in enumerate(probs):
-            cuts = list(row["_cuts"][j * len(_STEPS) : (j + 1) * len(_STEPS)])
-            # The sketch is off by n/ACCURACY ranks at most; close to an end, or for few values,
-            # the end itself is the safe bracket.
-            slack = 4 / ACCURACY
-            if prob <= slack or row["_n"] <= 8 * ACCURACY:
-                cuts.append(row["_lo"])
-            if prob >= 1 - slack or row["_n"] <= 8 * ACCURACY:
-                cuts.append(row["_hi"])
-            plan.append((*[row[b] for b in by], j, row["_n"], *_plan_target(row["_n"], prob, cuts)))
-    fields = [df.schema[b] for b in by]
-    schema = T.StructType(
-        [
-            *fields,
-            T.StructField("_j", T.IntegerType()),
-            T.StructField("_n", T.LongType()),
-            T.StructField("_cuts", T.ArrayType(T.DoubleType())),
-            T.StructField("_k0", T.LongType()),
-            T.StructField("_k1", T.LongType()),
-            T.StructField("_frac", T.DoubleType()),
-        ]
-    )
-    targets = spark.createDataFrame(plan, schema)
-    lists = targets.groupBy(*by).agg(
-        F.collect_list(F.struct("_j", "_n", "_cuts", "_k0", "_k1", "_frac")).alias("_targets")
-    )
-    # At most MAX_GROUPS local rows, checked above.
+    targets = F.array(*[_target(j, p) for j, p in enumerate(probs)])
+    # Stored, so that both readers below see the same brackets, whatever executors are lost.
+    lists = stage(sketch.where("_n > 0").select(*by, targets.alias("_targets")))
     if by:
-        matched = values.join(F.broadcast(lists), by)
+        matched = lookup_join(values, lists, by, ["_v"], stored=True)
     else:
         matched = values.withColumn("_targets", lists.select("_targets").scalar())
     spread = matched.select(*by, "_v", F.explode("_targets").alias("_t")).where(
@@ -108,13 +66,35 @@ def exact_quantiles(
     # What is left is a thin slice of the distinct values, stored as it is read twice below.
     counted = stage(keyed.groupBy(*by, "_j", "_key", "_at").agg(F.count(F.lit(1)).alias("_c")))
     ranked = prefix_sums(counted, ["_key"], ["_c"], by=[*by, "_j"], cell=F.col("_at"))
-    if by:
-        placed = ranked.join(F.broadcast(targets.drop("_cuts")), [*by, "_j"])
-    else:
-        placed = ranked.join(F.broadcast(targets.drop("_cuts")), ["_j"])
+    wanted_ranks = lists.select(*by, F.explode("_targets").alias("_t")).select(
+        *by, *[F.col(f"_t.{c}").alias(c) for c in ("_j", "_n", "_k0", "_k1", "_frac")]
+    )
+    placed = lookup_join(ranked, wanted_ranks, [*by, "_j"], ["_key"], stored=True)
     return _pick(placed, by, len(probs))
 
 
+def _target(j: int, prob: float) -> Column:
+    """The wanted ranks of one probability and the ascending cuts around them."""
+    n = F.col("_n")
+    place = F.lit(prob) * (n - 1)
+    own = F.slice("_cuts", j * len(_STEPS) + 1, len(_STEPS))
+    # The sketch is off by n/ACCURACY ranks at most; close to an end, or for few values, the end
+    # itself is the safe bracket.
+    slack = 4 / ACCURACY
+    few = n <= 8 * ACCURACY
+    none = F.array().cast("array<double>")
+    low = F.when(few | F.lit(prob <= slack), F.array("_lo")).otherwise(none)
+    high = F.when(few | F.lit(prob >= 1 - slack), F.array("_hi")).otherwise(none)
+    return F.struct(
+        F.lit(j).alias("_j"),
+        n.alias("_n"),
+        F.array_sort(F.array_distinct(F.concat(own, low, high))).alias("_cuts"),
+        F.floor(place).cast("bigint").alias("_k0"),
+        F.ceil(place).cast("bigint").alias("_k1"),
+        (place - F.floor(place)).alias("_frac"),
+    )
+
+
 def _pick(placed: DataFrame, by: list[str], n_probs: int) -> DataFrame:
     before, upto = F.col("upto__c") - F.col("_c"), F.col("upto__c")
 
@@ -149,40 +129,6 @@ def _aligned(n_probs: int) -> list[Column]:
     ]
 
 
-def _full_quantiles(values: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
-    """Exact path for any number of groups: order all distinct values in range cells."""
-    counted = values.groupBy(*by, F.col("_v").alias("_key")).agg(F.count(F.lit(1)).alias("_c"))
-    sizes = counted.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    counted = stage(counted)
-    ranked = prefix_sums(counted, [*by, "_key"], ["_c"])
-    starts = ranked.groupBy(*by).agg(F.min(F.col("upto__c") - F.col("_c")).alias("_start"))
-    spots = sizes.join(starts, by).withColumn(
-        "_t",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(j).alias("_j"), (F.lit(p) * (F.col("_n") - 1)).alias("_place"))
-                    for j, p in enumerate(probs)
-                ]
-            )
-        ),
-    )
-    spots = spots.select(
-        *by,
-        "_n",
-        "_start",
-        "_t._j",
-        F.floor("_t._place").alias("_k0"),
-        F.ceil("_t._place").alias("_k1"),
-        (F.col("_t._place") - F.floor("_t._place")).alias("_frac"),
-    )
-    # A group holding much of the table is spread over several tasks here.
-    placed = lookup_join(ranked, spots, by, ["_key"]).withColumn(
-        "upto__c", F.col("upto__c") - F.col("_start")
-    )
-    return _pick(placed, by, len(probs))
-
-
 def quantile_list(df: DataFrame, value: Column | str, probs: Sequence[float]) -> list[float | None]:
     """The quantiles of one column as plain numbers."""
     row = exact_quantiles(df, value, probs).first()

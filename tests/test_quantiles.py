@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from emberline.operators import joins as J
 from emberline.operators import quantiles as Q
 
 PROBS = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
@@ -33,11 +34,23 @@ def test_equal_to_numpy(spark, monkeypatch, by, accuracy):
     check(spark, data(), by)
 
 
-def test_many_groups_take_the_full_path(spark, monkeypatch):
-    monkeypatch.setattr(Q, "MAX_GROUPS", 2)
+@pytest.mark.parametrize("broadcast", [400_000, 0])
+def test_brackets_joined_by_shuffle_give_the_same(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(Q, "lookup_join", lambda *args, **kw: J.lookup_join(*args, **kw, broadcast_rows=broadcast))
+    monkeypatch.setattr(Q, "ACCURACY", 50)
     check(spark, data(), ["g"])
 
 
+def test_fifty_thousand_groups_one_of_them_hot(spark):
+    """Group 0 has a third of all rows; the others have four each."""
+    rows = spark.range(300_000).selectExpr("IF(id % 3 = 0, 0, 1 + id % 50000) AS g", "CAST(pmod(hash(id), 1000) AS DOUBLE) AS v")
+    got = Q.exact_quantiles(rows, "v", [0.5, 0.9], by=["g"]).toPandas().set_index("g").sort_index()
+    want = rows.toPandas().groupby("g")["v"]
+    assert len(got) > 33_000 and got.loc[0, "n"] >= 100_000
+    np.testing.assert_array_equal(got["n"], want.size())
+    np.testing.assert_allclose(np.stack(got["quantiles"]), np.stack([want.quantile(0.5), want.quantile(0.9)], axis=1), rtol=1e-12)
+
+
 def test_no_values(spark):
     empty = spark.createDataFrame([(None,), (float("nan"),)], "v double")
     assert Q.quantile_list(empty, "v", [0.5]) == [None]
