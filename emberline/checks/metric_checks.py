@@ -241,6 +241,20 @@ def roc_points(t: Tables):
     return _rounded(E.roc_points(t.stored_pred, "ignition", "p_ignition"), "fpr", "tpr")
 
 
+@check(
+    "e7_roc_corners",
+    f"""
+WITH {_CURVE},
+steps AS (SELECT *, tp - lag(tp, 1, 0) OVER o AS dt, fp - lag(fp, 1, 0) OVER o AS df FROM cum WINDOW o AS (ORDER BY s DESC)),
+near AS (SELECT *, lead(dt) OVER o AS nt, lead(df) OVER o AS nf, lag(s) OVER o AS higher FROM steps WINDOW o AS (ORDER BY s DESC))
+SELECT s AS threshold, round(CAST(fp AS DOUBLE) / n, 6) AS fpr, round(CAST(tp AS DOUBLE) / p, 6) AS tpr FROM near
+WHERE higher IS NULL OR nt IS NULL OR nt <> dt OR nf <> df
+UNION ALL SELECT CAST('infinity' AS DOUBLE), 0, 0""",
+)
+def roc_corners(t: Tables):
+    return _rounded(E.roc_points(t.stored_pred, "ignition", "p_ignition", corners=True), "fpr", "tpr")
+
+
 @check(
     "e8_pr_points",
     f"""

@@ -59,8 +59,10 @@ def hot_split_join(
     spread: Sequence[Column | str],
     share: float = 0.002,
     broadcast_rows: int = BROADCAST_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
-    """Look ``values`` up in ``table`` (one row per key, ``weight`` = its number of ``rows``).
+    """Look ``values`` up in ``table`` (one row per key, ``weight`` = its number of ``rows``; ``stored``:
+    it reads a stored table and is not stored again).
 
     Beyond ``broadcast_rows``, keys with at least ``share`` of all rows are broadcast: there can be
     no more than ``1/share`` of them, whatever the size of the table. All other keys take the
@@ -68,14 +70,15 @@ def hot_split_join(
     hot key.
     """
     key, values = list(key), list(values)
-    stored = stage(table.select(*key, weight, *values))
-    if _is_small(stored, broadcast_rows):
-        return rows.join(F.broadcast(stored.drop(weight)), key, "left")
-    total = stored.agg(F.sum(weight)).scalar()
+    table = table.select(*key, weight, *values)
+    table = table if stored else stage(table)
+    if _is_small(table, broadcast_rows):
+        return rows.join(F.broadcast(table.drop(weight)), key, "left")
+    total = table.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) >= total * F.lit(share)
-    hot = stored.where(is_hot).select(*key, *[F.col(v).alias(f"_hot_{v}") for v in values])
+    hot = table.where(is_hot).select(*key, *[F.col(v).alias(f"_hot_{v}") for v in values])
     hot = hot.withColumn("_is_hot", F.lit(True))
-    cold = stored.where(~is_hot).select(*key, *values).withColumn("_side", F.lit(0).cast("bigint"))
+    cold = table.where(~is_hot).select(*key, *values).withColumn("_side", F.lit(0).cast("bigint"))
     first = rows.join(F.broadcast(hot), key, "left")
     side = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*spread), F.lit(1 << 20)) + 1).otherwise(
         F.lit(0).cast("bigint")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import count_if, is_missing
 from ..session import stage
 from .joins import hot_split_join, lookup_join
-from .ordering import prefix_sums
+from .ordering import CELL, prefix_sums, range_cells, with_next
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -58,11 +58,14 @@ def _curve(counts: DataFrame, by: Sequence[str], stored: bool) -> DataFrame:
 
 
 def _curve_and_totals(
-    df: DataFrame, label: str, score: str, by: Sequence[str]
+    df: DataFrame, label: str, score: str, by: Sequence[str], ahead: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    counts = stage(score_counts(df, label, score, by))
+    """The curve with its totals, and the totals; ``ahead`` adds the counts of the next lower score."""
+    counts = range_cells(score_counts(df, label, score, by), ["score"], by)
     totals = counts.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    return _with_totals(_curve(counts, by, stored=True), totals, by), totals
+    if ahead:
+        counts = with_next(counts, ["score"], ["pos", "neg"], by, descending=True)
+    return _with_totals(_curve(counts, by, stored=True).drop(CELL), totals, by), totals
 
 
 def ranking_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
@@ -86,9 +89,17 @@ def ranking_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (
     )
 
 
-def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """ROC points for every distinct score, with the origin (threshold +infinity)."""
-    curve, totals = _curve_and_totals(df, label, score, by)
+def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = (), corners: bool = False) -> DataFrame:
+    """ROC points for every distinct score, with the origin (threshold +infinity).
+
+    With ``corners`` a point is left out if the curve goes on after it by the same step as before
+    it, so that long straight runs are only their ends; the first and last score stay.
+    """
+    curve, totals = _curve_and_totals(df, label, score, by, corners)
+    if corners:
+        start = (F.col("upto_pos") == F.col("pos")) & (F.col("upto_neg") == F.col("neg"))
+        goes_on = (F.col("next_pos") == F.col("pos")) & (F.col("next_neg") == F.col("neg"))
+        curve = curve.where(start | ~F.coalesce(goes_on, F.lit(False)))
     points = curve.select(
         *by,
         F.col("score").alias("threshold"),
@@ -134,13 +145,14 @@ def _with_totals(curve: DataFrame, totals: DataFrame, by: Sequence[str]) -> Data
     return curve.withColumn("_both", pair).select("*", "_both._p", "_both._n").drop("_both")
 
 
-def _average_ranks(pairs: DataFrame, value: str, name: str, by: Sequence[str]) -> DataFrame:
-    counted = pairs.groupBy(*by, value).agg(
-        F.sum("_c").alias("_rows"), F.count(F.lit(1)).alias("_pairs")
-    )
-    ranked = prefix_sums(counted, [value], ["_rows"], by=by)
+def _average_ranks(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Stored (by, _side, _value, _pairs, _rank) of both columns of the pairs, from one ordering pass."""
+    sides = F.array(*[F.struct(F.lit(s).alias("_side"), F.col(f"_{s}").alias("_value")) for s in "xy"])
+    each = pairs.select(*by, "_c", F.explode(sides).alias("_s")).select(*by, "_c", "_s.*")
+    counted = each.groupBy(*by, "_side", "_value").agg(F.sum("_c").alias("_rows"), F.count(F.lit(1)).alias("_pairs"))
+    ranked = prefix_sums(counted, ["_value"], ["_rows"], by=[*by, "_side"])
     rank = F.col("upto__rows") - F.col("_rows") + (F.col("_rows") + 1) / 2
-    return ranked.select(*by, value, "_pairs", rank.alias(name))
+    return stage(ranked.select(*by, "_side", "_value", "_pairs", rank.alias("_rank")))
 
 
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -155,10 +167,11 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
         .groupBy(*by, "_x", "_y")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    rx = _average_ranks(pairs, "_x", "_rx", by)
-    ry = _average_ranks(pairs, "_y", "_ry", by)
-    ranked = hot_split_join(pairs, rx, [*by, "_x"], "_pairs", ["_rx"], ["_y"])
-    ranked = hot_split_join(ranked, ry, [*by, "_y"], "_pairs", ["_ry"], ["_x"])
+    ranks = _average_ranks(pairs, by)
+    ranked = pairs
+    for side, other in ("xy", "yx"):
+        own = ranks.where(F.col("_side") == side).withColumnsRenamed({"_value": f"_{side}", "_rank": f"_r{side}"}).drop("_side")
+        ranked = hot_split_join(ranked, own, [*by, f"_{side}"], "_pairs", [f"_r{side}"], [f"_{other}"], stored=True)
     # Ranks average (n+1)/2 exactly, so the moments are taken around it for accuracy.
     sizes = pairs.groupBy(*by).agg(F.sum("_c").alias("_n"))
     centred = _with_count(ranked, sizes, by, ["_x", "_y"])
@@ -312,11 +325,12 @@ def positive_subsets(df: DataFrame, value: str) -> DataFrame:
 
 
 def evaluate_hazard(
-    df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()
+    df: DataFrame, actual: str, predicted: str, by: Sequence[str] = (), ranks: DataFrame | None = None
 ) -> DataFrame:
     """Hazard metrics in long form: original scale on all rows, log scale where hazard is real.
 
-    The log metrics use rows with actual hazard above 0 whatever was predicted.
+    The log metrics use rows with actual hazard above 0 whatever was predicted. ``ranks`` has the
+    (by, subset, rho) of the same rows where the caller has ordered them already.
     """
     tagged = positive_subsets(
         df.select(*by, F.col(actual).alias("_y"), F.col(predicted).alias("_h")).where(
@@ -337,7 +351,8 @@ def evaluate_hazard(
         "_q",
         keys,
     )
-    ranks = spearman(tagged, "_y", "_h", keys).select(*keys, "rho")
+    if ranks is None:
+        ranks = spearman(tagged, "_y", "_h", keys).select(*keys, "rho")
     on_all, on_pos = F.col("subset") == "all", F.col("subset") == "positive"
 
     def value(where: Column, column: str) -> Column:

@@ -1,13 +1,12 @@
 """Global order without a single task: range cells, prefix sums, ordinals and leads.
 
 A window over a whole table, or over one hot group, would put all of it into one task. Here the
-order is cut into cells that are each small, every cell is summed on its own, and only the cell
-totals (a few hundred rows) are accumulated in order.
+keys are dealt into ranges once; every range is a cell that is summed on its own, and only the cell
+totals (one row per cell and group) are accumulated in order. The number of cells follows the rows.
 """
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,72 +15,23 @@ from pyspark.sql import functions as F
 from ..session import stage
 
 CELL = "_cell"
-SAMPLE_PER_CELL = 24
-MAX_CELLS = 256
+#: Rows (distinct keys) of one cell: what one task orders and sums.
+CELL_ROWS = 250_000
 
 
-def default_cells(df: DataFrame) -> int:
-    """As many cells as shuffle partitions, within a range that keeps the cut expression short."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_CELLS, partitions))
-
-
-def cut_points(keys: DataFrame, order: Sequence[str], cells: int) -> list[tuple]:
-    """Up to ``cells - 1`` ascending cut tuples from a fixed-size hash sample of unique keys.
+def range_cells(
+    df: DataFrame, order: Sequence[str], by: Sequence[str] = (), cells: int | None = None, stored: bool = False
+) -> DataFrame:
+    """``df``, stored, with a cell number that never falls when the keys ``by + order`` grow.
 
-    The sample is chosen by hash value, so it depends on the keys alone: a recomputed task or a
-    second scan finds the same cuts. Its size depends on ``cells``, never on the table.
+    One pass over all groups: a cell may hold several small groups, and a large group fills several
+    cells. A table of one cell's size is one cell as it stands.
     """
-    sample = (
-        keys.select(*order)
-        .orderBy(F.xxhash64(*order), *order)
-        .limit(cells * SAMPLE_PER_CELL)
-        .collect()
-    )
-    ordered = sorted({tuple(row) for row in sample})
-    picks = {i * len(ordered) // cells for i in range(1, cells)} - {0}
-    return [ordered[i] for i in sorted(picks)]
-
-
-def _literal(value: object) -> str:
-    """SQL text of a cut value."""
-    if isinstance(value, bool) or value is None:
-        raise TypeError(f"not an order key: {value!r}")
-    if isinstance(value, int):
-        return f"{value}L"
-    if isinstance(value, float):
-        return f"CAST('{value!r}' AS DOUBLE)"
-    if isinstance(value, str):
-        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-        return f"'{escaped}'"
-    if isinstance(value, datetime.date) and not isinstance(value, datetime.datetime):
-        return f"DATE'{value.isoformat()}'"
-    raise TypeError(f"order keys are numbers, text or dates, not {type(value).__name__}")
-
-
-def _at_or_after(order: Sequence[str], cut: tuple) -> str:
-    """Lexicographic ``order >= cut``."""
-    keys = [f"`{name}`" for name in order]
-    condition = f"{keys[-1]} >= {_literal(cut[-1])}"
-    for key, value in reversed(list(zip(keys[:-1], cut[:-1]))):
-        bound = _literal(value)
-        condition = f"({key} > {bound} OR ({key} = {bound} AND {condition}))"
-    return condition
-
-
-def cell_of(order: Sequence[str], cuts: list[tuple]) -> Column:
-    """Number of cuts at or before the row's key, as a balanced tree of comparisons."""
-
-    def search(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        middle = (low + high) // 2
-        return (
-            f"CASE WHEN {_at_or_after(order, cuts[middle])} "
-            f"THEN {search(middle + 1, high)} ELSE {search(low, middle)} END"
-        )
-
-    return F.expr(search(0, len(cuts)))
+    df = df if stored else stage(df)
+    cells = cells or -(-df.count() // CELL_ROWS)
+    if cells <= 1:
+        return df.withColumn(CELL, F.lit(0))
+    return stage(df.repartitionByRange(cells, *by, *order).withColumn(CELL, F.spark_partition_id()))
 
 
 def prefix_sums(
@@ -98,14 +48,15 @@ def prefix_sums(
 
     ``df`` holds one row per ``by + order`` key (aggregate ties first, so a value shared by a third
     of the table is one row here). ``cell`` gives an order-preserving cell when the caller knows
-    one; otherwise cells come from ``cut_points`` and the keys are stored (unless ``stored`` says
-    they are) for the three readings of them. With a given ``cell`` the input is read twice: pass a stored or cheap one.
+    one; otherwise cells come from ``range_cells`` (the keys are stored unless ``stored`` says they
+    are). With a given ``cell`` the input is read twice: pass a stored or cheap one. The cell stays
+    as a column if ``df`` has it.
     """
     order, by = list(order), list(by)
-    if cell is None:
-        df = df if stored else stage(df)
-        cell = cell_of(order, cut_points(df, order, cells or default_cells(df)))
-    celled = df.withColumn(CELL, cell)
+    if cell is None and CELL not in df.columns:
+        celled = range_cells(df, order, by, cells, stored)
+    else:
+        celled = df if cell is None else df.withColumn(CELL, cell)
     sort = [F.col(name).desc() if descending else F.col(name).asc() for name in order]
     inside = (
         Window.partitionBy(*by, CELL)
@@ -135,6 +86,28 @@ def prefix_sums(
     )
 
 
+def with_next(
+    celled: DataFrame, order: Sequence[str], columns: Sequence[str], by: Sequence[str] = (), descending: bool = False
+) -> DataFrame:
+    """Add ``next_<c>``, the value of each column in the next row of the group's order, NULL at the end.
+
+    ``celled`` comes from ``range_cells``. Rows look ahead inside their cell; the last row of a cell
+    is given the first row of the next cell with rows of its group, found among the cells' ends.
+    """
+    order, by = list(order), list(by)
+    sort = [F.col(name).desc() if descending else F.col(name).asc() for name in order]
+    ahead = F.lead(F.struct(*columns)).over(Window.partitionBy(*by, CELL).orderBy(*sort))
+    first = (F.max_by if descending else F.min_by)(F.struct(*columns), F.struct(*order))
+    ends = celled.groupBy(*by, CELL).agg(first.alias("_first"))
+    cell_order = F.col(CELL).desc() if descending else F.col(CELL).asc()
+    later = F.lead("_first").over(Window.partitionBy(*(by or [F.lit(0)])).orderBy(cell_order))
+    ends = ends.select(*by, CELL, later.alias("_later"))
+    same = [F.col(f"e.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*by, CELL]]
+    found = celled.withColumn("_ahead", ahead).alias("r").join(ends.alias("e"), same, "left")
+    value = F.coalesce("_ahead", "_later")
+    return found.select(*[F.col(f"r.{c}") for c in celled.columns], *[value[c].alias(f"next_{c}") for c in columns])
+
+
 def group_ordinal(
     df: DataFrame,
     group: Sequence[str],

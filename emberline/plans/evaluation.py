@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import is_missing
 from ..models.heads import Head
 from ..operators import metrics as E
 from ..operators import scoring as H
@@ -63,9 +64,18 @@ def metric_report(predictions: DataFrame) -> DataFrame:
     errors = errors.where((F.col("scale") == "") | (F.col("metric") != "r2")).select(
         *keys, F.concat("metric", "scale").alias("metric"), "value"
     )
-    ranks = E.unpivot_metrics(
-        E.spearman(area, "actual_log_burned_area", "log_burned_area", keys), keys, ["rho"]
-    ).withColumn("metric", F.lit("spearman"))
+    # Area and hazard of all models and subsets are ranked in one ordering pass.
+    actual = predictions.withColumn(
+        "_actual", H.actual_hazard("actual_ignition", "actual_burned_area")
+    )
+    paired = [
+        (area, "burned_area", "actual_log_burned_area", "log_burned_area"),
+        (E.positive_subsets(actual.where(~is_missing("_actual") & ~is_missing("hazard_score")), "_actual"), "hazard", "_actual", "hazard_score"),
+    ]
+    columns = [[*keys, F.lit(head).alias("head"), F.col(x).cast("double").alias("_a"), F.col(y).cast("double").alias("_b")] for _, head, x, y in paired]
+    both = paired[0][0].select(*columns[0]).unionByName(paired[1][0].select(*columns[1]))
+    rhos = stage(E.spearman(both, "_a", "_b", [*keys, "head"]).select(*keys, "head", "rho"))
+    ranks = E.unpivot_metrics(rhos.where("head = 'burned_area'"), keys, ["rho"]).withColumn("metric", F.lit("spearman"))
     residuals = E.add_residual(
         predictions.where("actual_burned_area > 0"), "actual_log_burned_area", "log_burned_area"
     )
@@ -80,10 +90,8 @@ def metric_report(predictions: DataFrame) -> DataFrame:
         .withColumn("head", F.lit("burned_area"))
     )
 
-    actual = predictions.withColumn(
-        "_actual", H.actual_hazard("actual_ignition", "actual_burned_area")
-    )
-    hazard = _tag(E.evaluate_hazard(actual, "_actual", "hazard_score", by), "hazard", "all")
+    own = rhos.where("head = 'hazard'").drop("head")
+    hazard = _tag(E.evaluate_hazard(actual, "_actual", "hazard_score", by, own), "hazard", "all")
     order = ["model", "head", "subset", "metric", "value"]
     return (
         p_rows.select(*order).unionByName(a_rows.select(*order)).unionByName(hazard.select(*order))

@@ -48,25 +48,37 @@ def test_prefix_sums_over_text_and_two_columns(spark):
         assert got[(year, fire)] == running
 
 
-def test_cut_points_are_bounded_and_repeatable(spark):
-    df = spark.range(50_000).select(F.col("id").cast("double").alias("v"))
-    cuts = O.cut_points(df, ["v"], 8)
-    assert cuts == O.cut_points(df.repartition(5), ["v"], 8)
-    assert len(cuts) == 7 and cuts == sorted(cuts)
-    sizes = df.groupBy(O.cell_of(["v"], cuts).alias("c")).count().toPandas()["count"]
-    assert len(sizes) == 8 and sizes.max() < 50_000 / 8 * 2.5
-
-
-def test_cells_of_every_key_type(spark):
+def test_cells_follow_the_order_of_every_key_type(spark):
     day = datetime.date(2020, 1, 1)
     rows = [(i, float(i), f"{i:04d}", day + datetime.timedelta(days=i)) for i in range(300)]
     df = spark.createDataFrame(rows, "i bigint, d double, s string, t date")
     for name in ("i", "d", "s", "t"):
-        cell = O.cell_of([name], O.cut_points(df, [name], 5))
-        cells = [r[0] for r in df.orderBy("i").select(cell).collect()]
+        cells = [r[O.CELL] for r in O.range_cells(df, [name], cells=5).orderBy("i").collect()]
         assert cells == sorted(cells) and len(set(cells)) == 5
 
 
+def test_number_of_cells_follows_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(O, "CELL_ROWS", 1000)
+    df = spark.range(12_000).select(F.col("id").cast("double").alias("v"))
+    sizes = O.range_cells(df, ["v"]).groupBy(O.CELL).count().toPandas()["count"]
+    assert len(sizes) == 12 and sizes.max() < 3000
+    assert O.range_cells(df.limit(900), ["v"]).select(O.CELL).distinct().count() == 1
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("cells", [1, 9, 40])
+def test_next_rows_across_cells(spark, descending, cells):
+    pdf = hot_rows(400)
+    celled = O.range_cells(spark.createDataFrame(pdf), ["k"], ["g"], cells)
+    got = O.with_next(celled, ["k"], ["k", "m"], ["g"], descending).toPandas().set_index("k").sort_index()
+    ordered = pdf.sort_values("k", ascending=not descending)
+    ordered["want"] = ordered.groupby("g")["k"].shift(-1)
+    ordered["want_m"] = ordered.groupby("g")["m"].shift(-1)
+    want = ordered.set_index("k").sort_index()
+    assert got["next_k"].fillna(-1).eq(want["want"].fillna(-1)).all()
+    assert got["next_m"].fillna(-1).eq(want["want_m"].fillna(-1)).all()
+
+
 def test_group_ordinal_and_lead_with_small_chunks(spark):
     pdf = hot_rows()
     df = spark.createDataFrame(pdf)
