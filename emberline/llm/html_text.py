@@ -25,7 +25,7 @@ LEAST_PAGES, LEAST_SHARE = 5, 0.05
 MOST_SHARE = 0.5
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea iframe svg math object canvas audio video title".split())
+RAW = set("script style noscript template textarea iframe svg annotation annotation-xml object canvas audio video title".split())
 GONE = RAW | set("head nav footer aside form button select dialog menu".split())
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -55,35 +55,44 @@ NOISE = set(
 STATE = set("no not non without with has have is enabled disabled".split())
 #: Names of what stands beside a page's own article, with articles of its own.
 BESIDE = set("comment comments commentlist disqus replies respond feedback related recommended trending".split())
-#: Elements that no class or id marks as noise.
-FRAME = set("html body main article".split())
-TOKEN = re.compile(r"""<(?:!--(?:.*?-->|.*)|[!?][^>]*+>?|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>)""", re.DOTALL)
+#: Elements that no class or id marks as noise: the frame of a page, headings and parts of tables.
+FRAME = set("html body main article h1 h2 h3 h4 h5 h6 table caption thead tbody tfoot tr td th colgroup".split())
+#: Whole class, id or role names that mark surroundings inside an article or main, and the elements they mark there.
+WITHIN = set(
+    "comments comment-list commentlist comments-area disqus_thread respond replies share sharing share-buttons social-share "
+    "ad ads advert adverts advertisement adsbygoogle ad-slot newsletter-signup cookie-notice".split()
+)
+BOXES = set("div section ul ol aside fieldset details dialog".split())
+#: A quote opens a value right after "=" only.
+TOKEN = re.compile(r"""<(?:!--(?:.*?-->|.*)|[!?][^>]*+>?|(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>)""", re.DOTALL)
 NAMED = re.compile(r"""(?:^|\s)(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    """``noise``: 0 content, 1 noise by name that may hold the page's article, 2 noise with all in it."""
+    """``noise``: 0 content, 1 noise by name that may hold the page's article, 2 noise with all in it;
+    ``inner``: whether it is noise inside an article or main."""
 
-    __slots__ = ("tag", "parent", "noise", "parts")
+    __slots__ = ("tag", "parent", "noise", "inner", "parts")
 
-    def __init__(self, tag: str, parent: Node | None, noise: int):
-        self.tag, self.parent, self.noise, self.parts = tag, parent, noise, []
+    def __init__(self, tag: str, parent: Node | None, noise: int, inner: bool = False):
+        self.tag, self.parent, self.noise, self.inner, self.parts = tag, parent, noise, inner, []
 
 
 def _noise(attributes: str) -> int:
     """Names are taken one by one: a word of STATE keeps its own name from being noise, not the others."""
     found = 0
-    for name, a, b, c in NAMED.findall(attributes):
-        if name.lower() == "aria-label":
-            continue
-        for token in (a or b or c).lower().split():
-            words = WORD.findall(token)
-            if not NOISE.isdisjoint(words) and STATE.isdisjoint(words):
-                found = max(found, 1 if BESIDE.isdisjoint(words) else 2)
+    for token in _names(attributes):
+        words = WORD.findall(token)
+        if not NOISE.isdisjoint(words) and STATE.isdisjoint(words):
+            found = max(found, 1 if BESIDE.isdisjoint(words) else 2)
     return found
 
 
+def _names(attributes: str) -> list[str]:
+    return [token for name, a, b, c in NAMED.findall(attributes) if name.lower() != "aria-label" for token in (a or b or c).lower().split()]
+
+
 def parse(page: str) -> Node:
     """Element tree of a page, as forgiving as browsers about missing end tags. Contents of raw
     elements (scripts, styles, ...) and comments are left out; text stays undecoded."""
@@ -138,9 +147,11 @@ def parse(page: str) -> Node:
             end = re.compile(f"</{re.escape(tag)}[\\s/>]", re.IGNORECASE).search(page, at)
             close_at = page.find(">", end.start()) if end else -1
             at = close_at + 1 if close_at >= 0 else size
-            node.parts.append(Node(tag, node, 2))
+            node.parts.append(Node(tag, node, 2, True))
         else:
-            new = Node(tag, node, 2 if tag in GONE else _noise(attributes) if attributes and tag not in FRAME else 0)
+            named = bool(attributes) and tag in BLOCKS and tag not in FRAME
+            inner = tag in GONE or named and tag in BOXES and not WITHIN.isdisjoint(_names(attributes))
+            new = Node(tag, node, 2 if tag in GONE else _noise(attributes) if named else 0, inner)
             node.parts.append(new)
             if not attributes.endswith("/") or tag in BLOCKS:
                 node = new
@@ -243,7 +254,7 @@ def main_text(page: str | None, templates: frozenset[int] = frozenset()) -> str:
                 pending.append(part)
             elif part.tag == "br":
                 pending.append("\n")
-            elif not part.noise and part.tag not in VOID and not (removable(part) and hashes.get(id(part)) in templates):
+            elif not (part.noise if top is root else part.inner) and part.tag not in VOID and not (removable(part) and hashes.get(id(part)) in templates):
                 block = part.tag in BLOCKS
                 if block:
                     flush()
@@ -288,7 +299,7 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     counts = stage(rows.distinct().groupBy("host", "hash", "inside").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages))
     of_host = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
     enough = F.when(F.col("inside"), F.col("n") > F.col("pages") * MOST_SHARE).otherwise(F.col("n") >= F.col("pages") * least_share)
-    many = counts.where("hash <> 0").join(of_host, "host").where(enough)
+    many = sized_join(counts.where("hash <> 0"), stage(of_host), ["host"], "inner").where(enough)
     return stage(many.groupBy("host").agg(F.sort_array(F.collect_set("hash")).alias("templates")))
 
 
@@ -296,7 +307,9 @@ def extract_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share:
     """page_id, url, text, n_chars per page.
 
     Null html is an empty page; a null or odd url counts as a host without a name. Repeated rows
-    give repeated results. Text is empty if a page has none; broken markup is read as far as it
+    give repeated results. Inside an article or main only elements of their own (nav, aside, form, ...),
+    boxes that bear a whole name of ``WITHIN``, and templates are left out; formulas keep their text,
+    drawings (svg) have none. Text is empty if a page has none; broken markup is read as far as it
     goes. Other columns are ignored.
     """
     rows = pages.select("page_id", "url", "html", host_of().alias("host"))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from emberline.llm.html_text import content_key, extract_text, main_text, parse, subtree_hashes
 
 SCHEMA = "page_id long, url string, html string, text string, host string, hash long"
@@ -90,3 +92,28 @@ def test_hashes_see_content_and_structure():
     a, b, c = (parse(f"<div><span>{t}</span></div>") for t in ("x  y", "x y", "z"))
     assert set(subtree_hashes(a).values()) == set(subtree_hashes(b).values()) != set(subtree_hashes(c).values())
     assert content_key(parse("<article>a</article><p>1")) == content_key(parse("<p>2<article>a</article>"))
+
+
+@pytest.mark.parametrize(
+    ("inner", "want"),
+    [
+        ('<table><tr class="header"><th>Year</th><th>Sum</th></tr><tr><td>1</td><td>2</td></tr></table>', "Year\n\nSum\n\n1\n\n2"),
+        ('<h2 class="section-header">Results</h2><p>Text.</p>', "Results\n\nText."),
+        ('<div class="article-header"><h1>Title</h1></div><p>Text.</p>', "Title\n\nText."),
+        ('<div class="related-work"><p>Others.</p></div>', "Others."),
+        ('<div class="alert"><p>Care.</p></div>', "Care."),
+        ('<p>See <span class="search-term">this</span> now.</p>', "See this now."),
+        ("<p data-x=it's>Hello. Don't go.</p><p>Next.</p>", "Hello. Don't go.\n\nNext."),
+        ("<p title=\"a>b\" data-y='c>d'>Quoted.</p>", "Quoted."),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be.</p>", "Let x=2 be."),
+        ('<p>One.</p><div class="comments"><p>Me too!</p></div><ul class="share"><li>Tweet</li></ul><div class="ad">Buy</div>', "One."),
+        ('<ul class="menu"><li class="nav-item">Soup</li></ul><p class="notice">Open.</p>', "Soup\n\nOpen."),
+    ],
+)
+def test_names_do_not_remove_parts_of_an_article(inner, want):
+    for root in ("article", "main"):
+        assert main_text(f"<body><{root}>{inner}</{root}></body>") == want
+
+
+def test_headings_and_tables_outside_an_article_keep_their_text():
+    assert main_text('<body><h2 class="section-header">Results</h2><table class="widget"><tr class="header"><th>Year</th></tr></table></body>') == "Results\n\nYear"
