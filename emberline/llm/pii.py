@@ -3,7 +3,8 @@
 Base spans are the seeds. The words around seeds and around other strings that look like
 identifiers are lexical patterns; patterns and strings form a graph that Spark scores in turns: a
 pattern is as good as the strings it stands with, a string as good as its best pattern. Strings at
-patterns of high confidence are added as spans.
+patterns of high confidence are added as spans and are seeds of the next turn, so that patterns which
+no base span stands with are reached as well; it ends when scores have settled.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +33,14 @@ SHAPES = {
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[\x20._/-]?[0-9]{4}){2}[\x20._/-]?[0-9]{1,7}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9])(?:\([0-9]{2,4}\)|0[0-9]{1,4}|[0-9]{3})[\x20./-]?[0-9]{3,4}[\x20./-]?[0-9]{3,4}(?![0-9])|(?<![0-9])[0-9]{3}-[0-9]{4}(?![0-9])"),
 }
-#: A loose e-mail address has one of these, or "@".
-AT = re.compile(r"\bat\b|\(at\)|\[at\]", re.IGNORECASE)
+#: A text with a loose e-mail address has a sign and a dotted name after it; read by Arrow for a whole
+#: batch. It lets some texts through that have none (its classes are wider), never the other way.
+MAYBE_EMAIL = (
+    r"(?i)(?:@|\(at\)|\[at\]|\bat\b)[\s\x1c-\x1f\x{85}\p{Z}]?[a-z0-9\x{17f}\x{212a}\x{130}\x{131}-]+"
+    r"[\s\x1c-\x1f\x{85}\p{Z}]?(?:\.|\(dot\)|\[dot\]|\bdot\b)[\s\x1c-\x1f\x{85}\p{Z}]?[a-z0-9\x{17f}\x{212a}\x{130}\x{131}-]{2}"
+)
 WORDS = re.compile(r"[^\W\d_]+")
-#: Characters around a string in which its context words are looked for.
+#: A context is made of the nearest words within so many characters before and after a string.
 CONTEXT = 60
 
 
@@ -80,20 +86,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def loose_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Strings that look like an identifier and overlap no base span and no earlier one, in order."""
-    edges = [(start, end) for start, _, end in taken]
+def loose_spans(text: str, taken: list[tuple[int, int, int]], emails: bool = True) -> list[tuple[int, int, int]]:
+    """Strings that look like an identifier and overlap no base span and none of an earlier kind, in
+    order. ``emails`` false: the text is known to have no loose address."""
+    edges = sorted((start, end) for start, _, end in taken)
     out: list[tuple[int, int, int]] = []
+    digits = DIGIT.search(text) is not None
     for number, kind in enumerate(KINDS):
-        if number and not DIGIT.search(text):
-            break
-        if not number and not ("@" in text or AT.search(text)):
+        if not (digits if number else emails):
             continue
+        # Both lists are in order, so one sweep tells which strings are free. (Base spans of different
+        # kinds may overlap: what counts is how far the ones begun so far reach.)
+        fresh, at, reach = [], 0, 0
         for found in SHAPES[kind].finditer(text):
             start, end = found.span()
-            if all(end <= a or start >= b for a, b in edges):
-                edges.append((start, end))
-                out.append((start, number, end))
+            while at < len(edges) and edges[at][0] < end:
+                reach = max(reach, edges[at][1])
+                at += 1
+            if start >= reach:
+                fresh.append((start, end))
+        edges = sorted(edges + fresh)
+        out += [(start, number, end) for start, end in fresh]
     return sorted(out)
 
 
@@ -122,34 +135,46 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in text_chunks(batches):
         seeds, others = [], []
-        for text in batch.column("text").to_pylist():
+        texts = batch.column("text")
+        emails = pc.match_substring_regex(texts, MAYBE_EMAIL).to_pylist()
+        for text, email in zip(texts.to_pylist(), emails, strict=True):
             base = base_spans(text)
             seeds.append(named(text, base))
-            others.append(named(text, loose_spans(text, base)))
+            others.append(named(text, loose_spans(text, base, email)))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(seeds, kind), pa.array(others, kind)], ["doc_id", "rid", "seeds", "others"])
 
 
-def confident_patterns(mentions: DataFrame, rounds: int = 3, least_seeds: int = 3, confidence: float = 0.7) -> DataFrame:
+def confident_patterns(mentions: DataFrame, least_seeds: int = 3, confidence: float = 0.7, growth: float = 0.005) -> DataFrame:
     """Stored (pattern, kind) of high confidence.
 
     mentions: kind, value, seed, pattern. In each round a pattern's confidence for a kind is the sum
-    of its strings' scores of that kind over one more than all its strings; a string that is no
-    seed scores the best confidence among patterns with at least ``least_seeds`` different seeds.
+    of its strings' scores of that kind over one more than all its strings. Patterns with at least
+    ``least_seeds`` different seeds give other strings their confidence as score; strings of patterns
+    with at least ``confidence`` are seeds from then on. Scores and seeds only grow; the last round is
+    one in which no pattern's confidence grew by ``growth``, so that none is new.
     """
-    edges = stage(mentions.groupBy("pattern", "kind", "value").agg(F.max("seed").alias("seed")))
-    totals = edges.groupBy("pattern").agg(F.count("*").alias("strings"))
-    scores = edges.groupBy("kind", "value").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    patterns = None
-    for _ in range(rounds):
+    edges = stage(mentions.groupBy("pattern", "kind", "value").agg(F.max("seed").alias("base")))
+    totals = stage(edges.groupBy("pattern").agg(F.count("*").alias("strings")))
+    scores = edges.groupBy("kind", "value").agg(F.max(F.col("base").cast("double")).alias("score"), F.max("base").alias("seed"))
+    before = None
+    while True:
         known = edges.join(scores, ["kind", "value"])
         sums = known.groupBy("pattern", "kind").agg(F.sum("score").alias("score"), F.sum(F.col("seed").cast("long")).alias("seeds"))
         patterns = stage(
-            sums.where(F.col("seeds") >= least_seeds).join(totals, "pattern")
+            sized_join(sums.where(F.col("seeds") >= least_seeds), totals, ["pattern"], "inner")
             .select("pattern", "kind", (F.col("score") / (F.col("strings") + 1)).alias("confidence"))
         )
+        grown = patterns
+        if before is not None:
+            last = before.select("pattern", "kind", F.col("confidence").alias("last"))
+            grown = patterns.join(last, ["pattern", "kind"], "left").where(F.col("confidence") - F.coalesce("last", F.lit(0.0)) >= growth)
+        if grown.isEmpty():
+            return stage(patterns.where(F.col("confidence") >= confidence).select("pattern", "kind"))
+        before = patterns
         best = sized_join(edges, patterns, ["pattern", "kind"], "left")
-        scores = stage(best.groupBy("kind", "value").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(F.coalesce("confidence", F.lit(0.0)))).alias("score")))
-    return stage(patterns.where(F.col("confidence") >= confidence).select("pattern", "kind"))
+        score = F.when(F.col("base"), 1.0).otherwise(F.coalesce("confidence", F.lit(0.0)))
+        seed = F.col("base") | (F.coalesce("confidence", F.lit(0.0)) >= confidence)
+        scores = stage(best.groupBy("kind", "value").agg(F.max(score).alias("score"), F.max(seed).alias("seed")))
 
 
 def _joined(spans) -> F.Column:
@@ -161,19 +186,20 @@ def _equals(number: int):
     return lambda value: value == number
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, least_seeds: int = 3, confidence: float = 0.7) -> DataFrame:
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_seeds: int = 3, confidence: float = 0.7) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all), n_added per row.
 
     Null text is empty: no spans, the digest of the empty string. Places are code points, ends
     exclusive. Added spans overlap no base span. Equal rows get equal results, null ids are kept
-    as they are, other columns are ignored.
+    as they are, other columns are ignored. Texts may have any length: their strings are found in
+    sweeps. An empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("string"), text).alias("rid"), text.alias("text"))
     found = stage(map_batches(rows, _mentions, f"doc_id long, rid long, seeds array<{MENTION}>, others array<{MENTION}>"))
     each = [found.select(F.lit(seed).alias("seed"), F.explode(c).alias("m")) for seed, c in ((True, "seeds"), (False, "others"))]
     edges = each[0].union(each[1]).select("seed", "m.kind", "m.value", F.explode("m.patterns").alias("pattern"))
-    good = confident_patterns(edges, rounds, least_seeds, confidence)
+    good = confident_patterns(edges, least_seeds, confidence)
     loose = found.select("rid", F.explode("others").alias("m")).select("rid", "m.start", "m.kind", "m.end", F.explode("m.patterns").alias("pattern"))
     hits = sized_join(loose, good, ["pattern", "kind"], "left_semi").select("rid", F.struct("start", "kind", "end").alias("s")).distinct()
     added = stage(hits.groupBy("rid").agg(F.sort_array(F.collect_list("s")).alias("added")))

@@ -91,3 +91,38 @@ def test_empty_table_null_ids_repeated_rows_and_long_text(spark):
 def test_loose_addresses_do_not_need_other_signs_in_the_text():
     for address in ("jane at example.com", "jane AT example dot com", "jane(at)example.com", "jane [at] example [dot] com"):
         assert loose_spans(f"mail: {address}", []) == [(6, 0, 6 + len(address))]
+
+
+def test_accepted_strings_are_seeds_of_the_next_turn(spark):
+    """Base phones stand at pattern A; loose numbers stand at A and at B; more stand at B, then at C only."""
+    numbers = [f"(0{20 + k}) 555-{1000 + 7 * k}" for k in range(24)]
+    rng = random.Random(6)
+    noise = lambda: f"{rng.random()} "
+    texts = [f"{noise()}please dial +1 (20{k}) 555-01{k:02d} today" for k in range(8)]
+    texts += [f"{noise()}please dial {n} today" for n in numbers[:8]]
+    texts += [f"{noise()}reach us {n} anytime" for n in numbers[:16]]
+    texts += [f"{noise()}office line {n} monday" for n in numbers[8:24]]
+    texts += [f"{noise()}invoice sum {n} paid" for n in ("(111) 222-3333", "(222) 333-4444", "(333) 444-5555")]
+    got = {r.doc_id: r for r in personal_data(frame(spark, texts), confidence=0.6).collect()}
+    added = [got[i].n_added for i in range(len(texts))]
+    assert added[:8] == [0] * 8 and added[8:48] == [1] * 40 and added[48:] == [0] * 3
+
+
+def test_many_numbers_take_linear_time():
+    import time
+
+    def seconds(n):
+        text = "555-1234, " * n
+        begin = time.process_time()
+        found = loose_spans(text, base_spans(text))
+        assert len(found) == n
+        return time.process_time() - begin
+
+    seconds(1000)
+    assert seconds(80_000) < 40 * max(seconds(8_000), 0.01)
+
+
+def test_loose_spans_keep_clear_of_base_spans_of_other_kinds():
+    text = "1.2.3.4 0171 555 7713 a@b.co 10.0.0.1"
+    for start, _, end in loose_spans(text, base_spans(text)):
+        assert all(end <= a or start >= b for a, _, b in base_spans(text))
