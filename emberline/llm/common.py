@@ -46,6 +46,18 @@ def sized_join(big: DataFrame, stored: DataFrame, on: list[str], how: str, limit
     return big.join(F.broadcast(stored) if stored_bytes(stored) <= limit else stored, on, how)
 
 
+def with_row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with a 64-bit key of each row's id and text, never null, and the key's name.
+
+    Rows that share an id but not their text have keys of their own, rows equal in both share one.
+    """
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    known = [F.col(c).isNull() for c in (id_col, text_col)]
+    return docs.withColumn(name, F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), *known)), name
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character unchanged."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

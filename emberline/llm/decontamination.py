@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, Words, map_batches, query, sized_join, stage, table, text_chunks, windows
+from .common import NOT_ALNUM, Words, map_batches, query, sized_join, stage, table, text_chunks, windows, with_row_key
 
 #: Tokens of the shortest tile, and of a seed.
 LEAST = 5
@@ -196,10 +196,15 @@ def _seed_places(least: int):
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is not in a contaminated pair, all columns kept."""
-    pairs = contaminated_pairs(docs, benchmark, id_col=id_col, text_col=text_col)
-    gone = stage(pairs.select(F.col("doc_id").alias(id_col)).distinct())
-    return sized_join(docs, gone, [id_col], "left_anti")
+    """The rows of ``docs`` whose text is not in a contaminated pair, all columns kept.
+
+    Rows go by id and text: of rows that share an id only those with a contaminated text go, and rows
+    without an id are judged like others. Null texts stay, and so does an empty table.
+    """
+    keyed, key = with_row_key(docs, id_col, text_col)
+    pairs = contaminated_pairs(keyed.select(F.col(key), F.col(text_col).alias("text")), benchmark, id_col=key, text_col="text")
+    gone = stage(pairs.select(F.col("doc_id").alias(key)).distinct())
+    return sized_join(keyed, gone, [key], "left_anti").select(*docs.columns)
 
 
 @query("op7_decontamination")

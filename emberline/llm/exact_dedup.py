@@ -84,10 +84,35 @@ def _by_content(keyed: DataFrame, clashing: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; rows without an id stay as they are."""
+    """One row of each group of equal texts, that of the largest id, with all its columns.
+
+    Rows go by id and text, so a row stays whose id another text has too. Rows without an id give
+    way to equal texts that have one. Of rows equal in both, and of equal texts that all have no id,
+    any one stays. An empty table stays empty.
+    """
     marks = exact_dedup(docs, id_col, text_col)
-    gone = stage(marks.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(id_col)).distinct())
-    return sized_join(docs, gone, [id_col], "left_anti")
+    key = _content_key(F.col("doc_id"), F.col("text_sha256")).alias("key")
+    stays = F.col("kept") | F.col("keep_id").isNull()
+    marks = stage(marks.select(key, stays.alias("stays")))
+    gone = stage(marks.where("NOT stays").select("key").distinct())
+    twice = stage(marks.where("stays").groupBy("key").count().where("count > 1").select("key"))
+    name = "content_key"
+    while name in docs.columns:
+        name += "_"
+    sha = F.sha2(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), 256)
+    rows = docs.withColumn(name, _content_key(F.col(id_col), sha))
+    rows = sized_join(rows, gone.withColumnRenamed("key", name), [name], "left_anti")
+    if not twice.isEmpty():
+        again = twice.withColumnRenamed("key", name)
+        several = sized_join(rows, again, [name], "left_semi")
+        one = several.groupBy(name).agg(*[F.first(F.struct(F.col(c))).alias(c) for c in docs.columns])
+        one = one.select(name, *[F.col(f"`{c}`.`{c}`").alias(c) for c in docs.columns])
+        rows = sized_join(rows, again, [name], "left_anti").unionByName(one)
+    return rows.select(*docs.columns)
+
+
+def _content_key(id_: Column, sha: Column) -> Column:
+    return F.concat(F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("-")), F.lit(":"), sha)
 
 
 SQL = """

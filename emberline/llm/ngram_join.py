@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blob, map_batches, mix, query, sized_join, stage, stored_bytes, table, text_chunks, windows
+from .common import Words, blob, map_batches, mix, query, sized_join, stage, stored_bytes, table, text_chunks, windows, with_row_key
 from .components import components
 
 #: Text bytes whose shingles a task counts at once before it hands them on.
@@ -397,10 +397,22 @@ def _open(index: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their component, all columns kept."""
-    found = ngram_components(docs, n, num, den, id_col, text_col)
-    gone = stage(found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct())
-    return sized_join(docs, gone, [id_col], "left_anti")
+    """The rows of ``docs`` with the smallest id of their component, all columns kept.
+
+    Rows go by id and text: texts that share an id are told apart, of equally small ids the row of
+    the smallest key stays, and rows without an id give way to those with one. Rows equal in both
+    stay or go together. Empty texts stay, and so does an empty table.
+    """
+    keyed, key = with_row_key(docs, id_col, text_col)
+    found = ngram_components(keyed.select(F.col(key), F.col(text_col).alias("text")), n, num, den, key, "text")
+    linked = stage(found.select(F.col("doc_id").alias(key), F.col("component_id").alias("component")).distinct())
+    several = linked.where(F.col(key) != F.col("component")).select("component").distinct()
+    members = stage(sized_join(linked, stage(several), ["component"], "left_semi"))
+    ids = sized_join(keyed.select(key, F.col(id_col).cast("long").alias("id")), members, [key], "inner")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col(key).alias("key"))).alias("first")
+    stays = stage(ids.groupBy("component").agg(first).select(F.col("first.key").alias(key)))
+    gone = stage(sized_join(members, stays, [key], "left_anti").select(key))
+    return sized_join(keyed, gone, [key], "left_anti").select(*docs.columns)
 
 
 SQL = r"""

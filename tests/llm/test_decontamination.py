@@ -95,3 +95,19 @@ def test_empty_tables_null_and_repeated_ids(spark):
     assert sorted((r.doc_id, r.item_id, r.coverage) for r in rows) == [(3, 1, 1.0), (4, 1, 1.0)]
     assert contaminated_pairs(frame(spark, []), bench).collect() == []
     assert contaminated_pairs(frame(spark, [text]), make(spark, [])).collect() == []
+
+
+def test_decontaminated_goes_by_id_and_text(spark):
+    import random
+
+    from emberline.llm.decontamination import decontaminated
+
+    from .corpus import frame, prose
+
+    rng = random.Random(8)
+    item = prose(rng, 40, 5000)
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(3, "clean words here"), (3, prose(rng, 60) + " " + item), (None, item), (None, None), (5, "")]
+    kept = decontaminated(frame(spark, [t for _, t in rows], [i for i, _ in rows]), benchmark)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, "clean words here"), (None, None), (5, "")], key=str)
+    assert decontaminated(frame(spark, []), benchmark).collect() == []

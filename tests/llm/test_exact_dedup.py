@@ -60,3 +60,12 @@ def test_deduplicated_keeps_columns(spark):
     kept = deduplicated(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in expected(IDS, TEXTS) if r[3])
+
+
+def test_rows_go_by_id_and_text(spark):
+    rows = [(5, "alpha"), (5, "beta"), (9, "Beta"), (None, "ALPHA"), (None, "gamma"), (None, "gamma"), (7, "delta"), (7, "delta"), (2, None), (3, "")]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    kept = deduplicated(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(5, "alpha"), (9, "Beta"), (None, "gamma"), (7, "delta"), (3, "")], key=str)
+    assert deduplicated(frame(spark, [])).collect() == []

@@ -114,3 +114,21 @@ def test_near_copies_with_more_shared_shingles_per_group_than_16_bits_hold(spark
     docs = frame(spark, [" ".join(ws)], [5]).union(frame(spark, [" ".join(ws[:-1]) + " other"], [3]))
     rows = ngram_components(docs.union(frame(spark, ["a b c d e f"], [1]))).collect()
     assert sorted((r.doc_id, r.component_id) for r in rows) == [(1, 1), (3, 3), (5, 3)]
+
+
+def test_one_of_each_goes_by_id_and_text(spark):
+    import random
+
+    from emberline.llm.ngram_join import one_of_each
+
+    from .corpus import frame, prose
+
+    rng = random.Random(3)
+    a, b, c = (prose(rng, 200) for _ in range(3))
+    rows = [(4, a), (4, b), (2, a + " more"), (None, b + " more"), (None, c), (8, None), (8, ""), (6, c + " x")]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    want = [(2, a + " more"), (4, b), (6, c + " x"), (8, None), (8, "")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert one_of_each(frame(spark, [])).collect() == []
