@@ -229,8 +229,8 @@ def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
                 if rows:
                     yield _rows(rows, payloads)
 
-    # Archives are dealt out singly: a task reads whole archives one after the other.
-    spread = archives.select("path", "records").repartition(F.col("path"))
+    # As many tasks as archives, whatever adaptive execution makes of a short list.
+    spread = archives.select("path", "records").repartition(max(1, archives.count()))
     return map_batches(spread, read, schema)
 
 
