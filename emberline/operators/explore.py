@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions import count_if, is_missing, null_if_nan
 from ..schema import DOC_KEYWORDS, FILE_TYPES
 from .joins import lookup_join
-from .prepare import column_values
+from .prepare import digests, distinct_values
 from .quantiles import exact_quantiles, quantile_list
 
 # --- files --------------------------------------------------------------------------------------
@@ -232,8 +232,9 @@ def value_counts(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows beyond the first of each group of equal rows; copies collapse before the shuffle."""
-    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    """Rows beyond the first of each group of equal rows; copies collapse before the shuffle, and a
+    row travels as its 128-bit digest."""
+    groups = df.select(*digests(df, columns)).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
@@ -253,11 +254,9 @@ def matched_share(df: DataFrame, condition: Column) -> DataFrame:
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct non-missing values of each column."""
-    return (
-        column_values(df, columns)
-        .groupBy("column")
-        .agg(count_if(F.col("value").isNotNull()).alias("distinct_values"))
-    )
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    found = names.join(F.broadcast(distinct_values(df, columns)), "column", "left")
+    return found.select("column", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"))
 
 
 def coverage(df: DataFrame, date: str, year: str) -> DataFrame:

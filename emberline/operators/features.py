@@ -192,6 +192,62 @@ def rgb_prepare(
     )
 
 
+#: Rows of pixels packed into one row before an image is put together.
+STRIP_ROWS = 64
+#: Bytes of runs handled at once inside a task.
+_RUN_BYTES = 16 << 20
+
+
+def key_runs(batches: Iterator, keys: Sequence[str]) -> Iterator:
+    """Rows of equal keys, one table each, from batches that are sorted by them; runs may cross batches."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def differs(a, b):
+        same = pc.fill_null(pc.equal(a, b), False)
+        return pc.invert(pc.or_(same, pc.and_(pc.is_null(a), pc.is_null(b))))
+
+    open_parts: list = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        new = np.zeros(len(batch), bool)
+        for key in keys:
+            column = batch.column(key)
+            new[1:] |= differs(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            if open_parts:
+                new[0] |= differs(column[:1], open_parts[-1].column(key)[-1:])[0].as_py()
+        cuts = [0, *(np.flatnonzero(new[1:]) + 1).tolist(), len(batch)]
+        if open_parts and new[0]:
+            yield pa.Table.from_batches(open_parts).combine_chunks()
+            open_parts = []
+        for lo, hi in zip(cuts, cuts[1:]):
+            open_parts.append(batch.slice(lo, hi - lo))
+            if hi < len(batch):
+                yield pa.Table.from_batches(open_parts) if len(open_parts) == 1 else pa.Table.from_batches(open_parts).combine_chunks()
+                open_parts = []
+    if open_parts:
+        yield pa.Table.from_batches(open_parts).combine_chunks()
+
+
+def _batched(items: Iterator, size: Callable) -> Iterator[list]:
+    """Lists of items of about ``_RUN_BYTES`` together; a larger item stands alone."""
+    some, total = [], 0
+    for item in items:
+        if some and total + size(item) > _RUN_BYTES:
+            yield some
+            some, total = [], 0
+        some.append(item)
+        total += size(item)
+    if some:
+        yield some
+
+
+def _plain(values: Sequence) -> list:
+    return [v.as_py() if hasattr(v, "as_py") else v for v in values]
+
+
 def embed_images(
     planes: DataFrame,
     image: Sequence[str],
@@ -201,47 +257,72 @@ def embed_images(
     """Run a user's embedding function over whole images: ``(key, embedding array<float>)``.
 
     ``load()`` is called once per task and returns ``fn(array of shape (3, H, W)) -> 1-d array``.
-    A network needs its whole image, so the pixels of one image meet in one row, and a task holds
-    one image; two pixels at one place are an error. With ``max_pixels`` images are counted first
-    (keys only, reduced within tasks), and a larger one fails the job before anything is gathered.
+    Pixels are packed first: a strip of rows becomes one row of plane bytes, so an image is put
+    together from a few rows of 12 bytes a pixel and may pass what one row of Spark can hold. A
+    network needs its whole image, so a task holds one image; two pixels at one place are an error,
+    pixels that are not there are 0. With ``max_pixels`` images are counted first (keys only,
+    reduced within tasks), and a larger one fails the job before anything is gathered.
     """
     if max_pixels is not None:
         sizes = planes.groupBy(*image).agg(F.count(F.lit(1)).alias("pixels"))
         oversized = sizes.where(F.col("pixels") > max_pixels).limit(1).collect()
         if oversized:
             raise ValueError(f"image too large to embed: {oversized[0].asDict()}")
-    whole = planes.groupBy(*image).agg(
-        F.collect_list(F.struct("r", "c", "red", "green", "blue")).alias("pixels")
-    )
-    names = list(image)
-    schema = T.StructType(
+    names, colours = list(image), ("red", "green", "blue")
+    keys = [planes.schema[n] for n in names]
+    strips = T.StructType(
         [
-            *[planes.schema[n] for n in names],
-            T.StructField("embedding", T.ArrayType(T.FloatType())),
+            *keys,
+            *[T.StructField(n, T.IntegerType()) for n in ("first", "rows", "columns")],
+            *[T.StructField(n, T.BinaryType()) for n in colours],
         ]
     )
 
+    def pack(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        def packed(pixels) -> tuple:
+            r, c = (pixels.column(n).to_numpy().astype(np.int64) for n in ("r", "c"))
+            first, rows, columns = int(r.min()), int(r.max() - r.min()) + 1, int(c.max()) + 1
+            places = (r - first) * columns + c
+            if len(np.unique(places)) < len(places):
+                raise ValueError("an image has two pixels at one place")
+            planes = np.zeros((3, rows * columns), np.float32)
+            for plane, n in enumerate(colours):
+                planes[plane, places] = pixels.column(n).to_numpy()
+            return (*[pixels.column(n)[0] for n in names], first, rows, columns, *[plane.tobytes() for plane in planes])
+
+        for some in _batched(key_runs(batches, [*names, "_strip"]), lambda run: run.nbytes):
+            columns = list(zip(*map(packed, some), strict=True))
+            kinds = [*[some[0].schema.field(n).type for n in names], *[pa.int32()] * 3, *[pa.binary()] * 3]
+            yield pa.RecordBatch.from_arrays([pa.array(_plain(c), k) for c, k in zip(columns, kinds, strict=True)], strips.names)
+
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         fn = load()
-        for batch in batches:
-            vectors = []
-            lists = batch.column("pixels")
-            for k in range(batch.num_rows):
-                flat = lists[k].values
-                r = flat.field("r").to_numpy()
-                c = flat.field("c").to_numpy()
-                grid = np.zeros((3, int(r.max()) + 1, int(c.max()) + 1), dtype=np.float32)
-                places = r.astype(np.int64) * grid.shape[2] + c
-                if len(np.unique(places)) < len(places):
-                    raise ValueError("an image has two pixels at one place")
-                for plane, name in enumerate(("red", "green", "blue")):
-                    grid[plane, r, c] = flat.field(name).to_numpy(zero_copy_only=False)
-                vectors.append(np.asarray(fn(grid), dtype=np.float32).ravel().tolist())
-            columns = [batch.column(n) for n in names]
-            columns.append(pa.array(vectors, type=pa.list_(pa.float32())))
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "embedding"])
-
-    return whole.mapInArrow(run, schema)
+
+        def embedded(image) -> tuple:
+            first, rows, columns = (image.column(n).to_numpy() for n in ("first", "rows", "columns"))
+            grid = np.zeros((3, int((first + rows).max()), int(columns.max())), np.float32)
+            for plane, n in enumerate(colours):
+                for k, part in enumerate(image.column(n)):
+                    own = np.frombuffer(part.as_buffer(), np.float32).reshape(rows[k], columns[k])
+                    grid[plane, first[k] : first[k] + rows[k], : columns[k]] = own
+            vector = np.asarray(fn(grid), dtype=np.float32).ravel().tolist()
+            return (*[image.column(n)[0] for n in names], vector)
+
+        for some in _batched(key_runs(batches, names), lambda image: image.nbytes):
+            columns = list(zip(*map(embedded, some), strict=True))
+            kinds = [*[some[0].schema.field(n).type for n in names], pa.list_(pa.float32())]
+            yield pa.RecordBatch.from_arrays([pa.array(_plain(c), k) for c, k in zip(columns, kinds, strict=True)], [*names, "embedding"])
+
+    wanted = planes.select(*names, "r", "c", *[F.col(n).cast("float").alias(n) for n in colours])
+    strip = F.floor(F.col("r") / STRIP_ROWS).cast("int").alias("_strip")
+    # Shuffled and sorted by Spark, which spills; a task reads its keys one after the other.
+    pixels = wanted.select("*", strip).repartition(*names, "_strip").sortWithinPartitions(*names, "_strip")
+    packed = pixels.mapInArrow(pack, strips).repartition(*names).sortWithinPartitions(*names)
+    schema = T.StructType([*keys, T.StructField("embedding", T.ArrayType(T.FloatType()))])
+    return packed.mapInArrow(run, schema)

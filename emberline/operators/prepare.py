@@ -60,27 +60,47 @@ def column_category(name: str) -> str:
     return "other"
 
 
-def column_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Counts per (column, value as text): the common base of missing and distinct counts.
+def digests(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """Two independent 64-bit hashes ``_h1``, ``_h2`` of some columns' values, told apart from missing ones.
 
-    Each row is unpivoted and counted within its task, so neither a wide table nor a value that
-    fills a third of it makes the shuffle large.
+    Together 128 bits: what a value is compared by, whatever its length.
     """
-    names = list(columns or df.columns)
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("column"),
-                F.when(_missing_of(df, n), F.lit(None)).otherwise(_text(df, n)).alias("value"),
-            )
-            for n in names
-        ]
-    )
-    return (
-        df.select(F.explode(pairs).alias("p"))
-        .groupBy("p.column", "p.value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    parts = []
+    for name in names:
+        parts += [_text(df, name) if _nested(df, name) else F.col(name), F.col(name).isNull()]
+    return [F.xxhash64(F.lit(seed), *parts).alias(f"_h{seed}") for seed in (1, 2)]
+
+
+def column_digests(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct (column, _h1, _h2) of all values that are there.
+
+    Each row is unpivoted and made distinct within its task; a distinct value travels as 24 bytes,
+    also a whole embedding, and a value that fills a third of the table as one row per task.
+    """
+    pairs = [
+        F.when(~_missing_of(df, n), F.struct(F.lit(i).alias("column"), *digests(df, [n])))
+        for i, n in enumerate(columns)
+    ]
+    each = df.select(F.explode(F.array_compact(F.array(*pairs))).alias("p"))
+    return each.select("p.*").distinct()
+
+
+def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, distinct_values)`` of non-missing values; columns without any are not listed."""
+    names = F.array(*[F.lit(n) for n in columns])
+    counts = column_digests(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
+    return counts.select(F.element_at(names, F.col("column") + 1).alias("column"), "distinct_values")
+
+
+def missing_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, missing)`` of every column; only counts are shuffled."""
+    flags = F.array(*[F.struct(F.lit(n).alias("column"), _missing_of(df, n).alias("gone")) for n in columns])
+    each = df.select(F.explode(flags).alias("p"))
+    return each.groupBy("p.column").agg(count_if(F.col("p.gone")).alias("missing"))
+
+
+def _nested(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.ArrayType, T.StructType, T.MapType))
 
 
 def _missing_of(df: DataFrame, name: str) -> Column:
@@ -91,30 +111,21 @@ def _missing_of(df: DataFrame, name: str) -> Column:
 
 
 def _text(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, (T.ArrayType, T.StructType, T.MapType)):
+    if _nested(df, name):
         return F.to_json(F.struct(name))
     return F.col(name).cast("string")
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing and distinct counts of each column with its category."""
-    values = column_values(df, columns)
     names = list(columns or df.columns)
     category = F.lit("other")
     for wanted in ("embedding", "target", "metadata", "temporal"):
         members = [n for n in names if column_category(n) == wanted]
         if members:
             category = F.when(F.col("column").isin(members), wanted).otherwise(category)
-    return (
-        values.groupBy("column")
-        .agg(
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias(
-                "missing"
-            ),
-            count_if(F.col("value").isNotNull()).alias("distinct_values"),
-        )
-        .withColumn("category", category)
-    )
+    found = missing_values(df, names).join(F.broadcast(distinct_values(df, names)), "column", "left")
+    return found.select("column", "missing", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"), category.alias("category"))
 
 
 # --- feature contract ---------------------------------------------------------------------------

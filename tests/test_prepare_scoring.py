@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from emberline.operators import explore as E
 from emberline.operators import features as X
 from emberline.operators import prepare as R
 from emberline.operators import scoring as H
@@ -147,3 +148,31 @@ def test_too_large_an_image_fails(spark):
     planes = spark.range(20).selectExpr("1 AS img", "0 AS r", "CAST(id AS INT) AS c", "0D AS red", "0D AS green", "0D AS blue")
     with pytest.raises(Exception, match="too large"):
         X.embed_images(planes, ["img"], lambda: lambda grid: [0.0], max_pixels=10).collect()
+
+
+def test_digests_tell_values_missing_ones_and_positions_apart(spark):
+    rows = [(1, None, [1.0, None], "a"), (None, 1, [None, 1.0], "a"), (1, None, [1.0], None), (1, None, [1.0, None], "a"), (None, None, None, "")]
+    df = spark.createDataFrame(rows, "x long, y long, v array<double>, s string")
+    got = {r["column"]: r["distinct_values"] for r in E.distinct_counts(df, df.columns).collect()}
+    assert got == {"x": 1, "y": 1, "v": 3, "s": 2}
+    assert E.duplicate_rows(df, df.columns).first().asDict() == {"rows": 5, "duplicates": 1}
+    assert E.duplicate_rows(df, ["x", "y"]).first().asDict() == {"rows": 5, "duplicates": 2}
+    profile = {r["column"]: (r["missing"], r["distinct_values"]) for r in R.column_profile(df).collect()}
+    assert profile == {"x": (2, 1), "y": (4, 1), "v": (1, 3), "s": (1, 2)}
+
+
+def test_column_without_values_has_none(spark):
+    df = spark.createDataFrame([(None, float("nan")), (None, None)], "a int, b double")
+    assert {r["column"]: r["distinct_values"] for r in E.distinct_counts(df, ["a", "b"]).collect()} == {"a": 0, "b": 0}
+
+
+def test_large_images_are_embedded_from_strips(spark):
+    """One image of 1,500 x 900 pixels and one of 3 x 2 with a gap."""
+    big = spark.range(1500 * 900).selectExpr("'big' AS image", "CAST(id DIV 900 AS INT) AS r", "CAST(id % 900 AS INT) AS c", "CAST(id AS DOUBLE) AS red", "1.0D AS green", "CAST(id % 7 AS DOUBLE) AS blue")
+    small = spark.createDataFrame([("small", r, c, float(r), float(c), 2.0) for r in range(3) for c in range(2) if (r, c) != (1, 1)], big.schema)
+
+    def load():
+        return lambda grid: [*grid.shape, grid[0, -1, -1], grid[1].sum(), grid[2, 1, 1]]
+
+    got = {r["image"]: r["embedding"] for r in X.embed_images(big.union(small), ["image"], load).collect()}
+    assert got == {"big": [3, 1500, 900, 1349999, 1350000, 901 % 7], "small": [3, 3, 2, 2, 2, 0]}
