@@ -1,21 +1,23 @@
 """Best-fit packing of tokenised documents by linear grouping.
 
-Pieces of at most ``capacity`` tokens are dealt by hash into blocks of bounded size, and every
-block is packed on its own, so nothing is planned on the driver. In a block the large lengths are
-sorted into groups of equal cardinality and rounded up to the longest of their group; for those few
-sizes a linear program over bin configurations is solved by generating columns; the rounded-down
-solution is filled with the actual pieces; what is left over, and all small pieces, are added
-best-fit, largest first.
+Lengths of pieces have at most ``capacity`` values, so one histogram describes any corpus. The large
+lengths are sorted into groups of equal cardinality and rounded up to the longest of their group; for
+those few sizes a linear program over bin configurations is solved once, by generating columns, and
+its solution is rounded. Spark numbers the pieces of every size; a piece's number tells which use of
+which configuration it fills. What is left over, and all small pieces, are then added best-fit,
+largest first, to the filled sequences, which are dealt into blocks of bounded size.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, query, stage, table, text_chunks
@@ -23,23 +25,23 @@ from .common import map_batches, query, stage, table, text_chunks
 CAPACITY = 2048
 #: Pieces of one block: large enough that its last, half-empty sequences do not matter.
 BLOCK_PIECES = 32_768
-#: Sizes that large lengths are rounded up to.
-GROUPS = 24
-#: Lengths up to capacity / SMALL are left to best fit.
+#: Sizes that large lengths are rounded up to, and pieces of one size that are worth a size of their own.
+GROUPS, GROUP_PIECES = 240, 8
+#: Lengths up to capacity / SMALL are left to best fit, so a configuration has at most three pieces.
 SMALL = 4
-#: Words and parts of words remembered by a task's tokenizer, and the longest of them.
-CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 600_000, 300_000, 40
-#: A filled configuration that leaves more than capacity / TIGHT free is taken apart for best fit.
-TIGHT = 256
+#: The program is solved to within this share of its optimum.
+GAP = 2e-4
+#: Parts of words remembered by a worker's tokenizer, and the longest of them.
+CACHE_PARTS, CACHE_CHARS = 500_000, 40
 
 
 class WordEncoder:
-    """Token ids of whole texts as little-endian bytes, remembering frequent words.
+    """Token ids of whole texts as little-endian bytes, remembering frequent parts of words.
 
     The tokenizer drops white space before it forms words, so a text's ids are those of its
-    space-separated parts in order. New words of plain Latin script are normalised together, split
-    by the tokenizer's own pattern and given to its model part by part; all other words take the
-    whole tokenizer.
+    space-separated words in order. Stretches of plain Latin script are normalised together, split by
+    the tokenizer's own pattern and given to its model part by part; all other words take the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
@@ -50,12 +52,22 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        split = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]
-        self.pattern = regex.compile(split["pattern"]["Regex"])
-        self.plain = regex.compile("[!-~\u00a1-\u00ac\u00ae-\u024f]+")
+        split = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        #: Signs of a word that is not plain; the tokenizer's special tokens hold the second.
+        self.odd = re.compile("[^ !-~\u00a1-\u00ac\u00ae-\u024f]|<\\|")
+        points = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x250)]
+        # In plain stretches the normalizer only lowers letters, and the classes of the pattern are short
+        # lists; where a tokenizer does more, its own normalizer is asked.
+        own = self.tokenizer.normalizer
+        lowers = own is not None and all(own.normalize_str(chr(p)) == chr(p).lower() for p in points) and own.normalize_str(" a ") == " a "
+        self.normal = str.lower if lowers else own.normalize_str if own is not None else str
+        chars = sorted({*" ", *map(chr, points), *"".join(chr(p).lower() for p in points)})
+        for name in ("L", "N"):
+            members = regex.compile(rf"\p{{{name}}}")
+            split = split.replace(rf"\p{{{name}}}", "".join(filter(members.match, chars)))
+        self.pattern = re.compile(split)
         coder = ByteLevel(add_prefix_space=False, use_regex=False)
+        tokenize = self.tokenizer.model.tokenize
 
         class Coded(dict):
             """Visible characters that stand for a character's UTF-8 bytes."""
@@ -64,48 +76,59 @@ class WordEncoder:
                 self[point] = coder.pre_tokenize_str(chr(point))[0][0]
                 return self[point]
 
-        self.coded = Coded()
+        coded = Coded()
+
+        class Parts(dict):
+            """Ids of parts of words."""
+
+            def __missing__(self, text: str) -> bytes:
+                ids = array("I", [t.id for t in tokenize(text.translate(coded))]).tobytes()
+                if len(text) <= CACHE_CHARS:
+                    self[text] = ids
+                return ids
+
+        self.parts = Parts()
 
     def encode(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def part(self, text: str) -> bytes:
-        found = self.parts.get(text)
-        if found is None:
-            tokens = self.tokenizer.model.tokenize(text.translate(self.coded))
-            found = self.parts[text] = np.array([t.id for t in tokens], "<u4").tobytes()
-        return found
-
-    def learn(self, texts: list[list[str]]) -> None:
-        """Remember the words of some texts."""
-        known = self.known
-        new = [w for w in set().union(*texts).difference(known) if len(w) <= CACHE_CHARS]
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def plain(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, self.pattern.findall(self.normal(text))))
+
+    def text(self, text: str) -> bytes:
+        text = text.replace("\n", " ")
+        out, at = [], 0
+        for found in self.odd.finditer(text):
+            if found.start() < at:
+                continue
+            start, end = text.rfind(" ", at, found.start()) + 1 or at, text.find(" ", found.end())
+            end = len(text) if end < 0 else end
+            out += [self.plain(text[at:start]), self.encode(text[start:end])]
+            at = end
+        out.append(self.plain(text[at:] if at else text))
+        return b"".join(out)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.parts) > CACHE_PARTS:
             self.parts.clear()
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = [w for w in set().union(*texts) if len(w) <= CACHE_CHARS]
-        plain, other = [], []
-        for w in new:
-            (plain if "<|" not in w and self.plain.fullmatch(w) else other).append(w)
-        normal = self.tokenizer.normalizer.normalize_str(" ".join(plain)).split(" ") if plain else []
-        for w, form in zip(plain, normal, strict=True):
-            known[w] = b"".join(map(self.part, self.pattern.findall(form)))
-        for w in other:
-            known[w] = self.encode(w)
+        return [self.text(text) for text in texts]
+
+
+_encoders: dict[str, WordEncoder] = {}
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        self.learn(split)
-        known = self.known
-        return [b"".join([known[w] if w in known else self.encode(w) for w in words]) for words in split]
+
+def encoder(path: str) -> WordEncoder:
+    """This process's encoder; a Python worker keeps it, and what it remembers, from task to task."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: each document's ids and a closing 0, cut at ``capacity``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(tokenizer)
+        encode = encoder(tokenizer)
         for batch in text_chunks(batches):
             rows: list[tuple] = []
             texts = [text or "" for text in batch.column("text").to_pylist()]
@@ -124,67 +147,154 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
     return map_batches(rows, cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _best_column(values: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """Configuration of at most ``capacity`` with the largest total value (unbounded knapsack)."""
-    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for room in range(int(sizes.min()), capacity + 1):
-        gains = np.where(sizes <= room, best[np.maximum(room - sizes, 0)] + values, -1.0)
-        top = int(np.argmax(gains))
-        best[room], last[room] = max(best[room - 1], gains[top]), top if gains[top] > best[room - 1] + 1e-12 else -1
-    column, room = np.zeros(len(sizes), np.int64), capacity
-    while room > 0:
-        if last[room] < 0:
-            room -= 1
-        else:
-            column[last[room]] += 1
-            room -= int(sizes[last[room]])
-    return column
+def size_classes(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class of each length (-1: not large), and each class's size and number of pieces.
+
+    histogram: number of pieces by length. Classes have about as many pieces each, in falling order
+    of length; one length is never divided, a class's size is its longest length.
+    """
+    large = np.arange(capacity // SMALL + 1, capacity)[::-1]
+    counts = histogram[large]
+    large, counts = large[counts > 0], counts[counts > 0]
+    classes = np.full(capacity + 1, -1)
+    if not len(large):
+        return classes, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    total = int(counts.sum())
+    groups = max(1, min(GROUPS, total // GROUP_PIECES))
+    middle = np.cumsum(counts) - (counts + 1) // 2
+    _, of = np.unique(middle * groups // total, return_inverse=True)
+    classes[large] = of
+    sizes = np.zeros(of[-1] + 1, np.int64)
+    np.maximum.at(sizes, of, large)
+    return classes, sizes, np.bincount(of, counts).astype(np.int64)
+
+
+def best_columns(values: np.ndarray, sizes: np.ndarray, left: np.ndarray, most: int = 32) -> list[np.ndarray]:
+    """Configurations of large total value, best first: for a size, the best of up to three pieces
+    with one of it. ``left`` has the room that two pieces leave, by the numbers of their sizes."""
+    n = len(sizes)
+    capacity = int(left[0, 0] + 2 * sizes[0])
+    # The best single piece by room, and its size's number.
+    order = np.lexsort((values, sizes))
+    worth = np.maximum.accumulate(values[order])
+    opens = np.concatenate([[True], worth[1:] > worth[:-1]])
+    leader = order[np.maximum.accumulate(np.where(opens, np.arange(n), 0))]
+    place = np.searchsorted(sizes[order], np.arange(capacity + 1), "right") - 1
+    one = np.where(place >= 0, worth[place], 0.0)
+    two = np.where(left >= 0, values + one[np.maximum(left, 0)], -1.0)
+    second = two.argmax(1)
+    best = np.maximum(two[np.arange(n), second], 0.0)
+    out = []
+    for first in np.argsort(-(values + best), kind="stable")[:most].tolist():
+        column = np.zeros(n, np.int64)
+        column[first] += 1
+        if best[first] > 0:
+            column[second[first]] += 1
+            room = int(left[first, second[first]])
+            if place[room] >= 0 and one[room] > 0:
+                column[leader[place[room]]] += 1
+        out.append(column)
+    return out
 
 
 def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
-    """Bin configurations over a few sizes and how often each is used: the linear program's basic
-    optimum, rounded down. Every configuration fits ``capacity``; no size is used beyond its demand."""
+    """Bin configurations over a few sizes and how often each is used: the linear program's optimum
+    (within ``GAP``), rounded. Every configuration fits ``capacity``; no size is used beyond its
+    demand. Sizes are different, longer than capacity / SMALL and have a demand."""
+    if not len(sizes):
+        return []
     columns = np.diag(capacity // sizes).astype(float)
-    for _ in range(20 * len(sizes)):
-        value = np.linalg.solve(columns.T, np.ones(len(sizes)))
-        new = _best_column(value, sizes, capacity)
-        if value @ new <= 1 + 1e-7:
+    left = capacity - sizes[:, None] - sizes
+    inverse = np.diag(1 / columns.diagonal())
+    amount = inverse @ demand
+    for turn in range(40 * len(sizes) + 40):
+        if turn % 64 == 63:
+            inverse = np.linalg.inv(columns)
+            amount = inverse @ demand
+        value = inverse.sum(0)
+        news = best_columns(np.maximum(value, 0), sizes, left)
+        if value @ news[0] <= 1 + GAP:
             break
-        amount, step = np.linalg.solve(columns, demand), np.linalg.solve(columns, new)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            ratio = np.where(step > 1e-9, amount / step, np.inf)
-        columns[:, int(np.argmin(ratio))] = new
-    amount = np.floor(np.linalg.solve(columns, demand) + 1e-7).astype(int)
-    return [(columns[:, j].astype(int), int(n)) for j, n in enumerate(amount) if n > 0]
-
-
-def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence number and offset of each piece; sequences hold at most ``capacity`` without gaps."""
+        for new in news:
+            value = inverse.sum(0)
+            if value @ new <= 1 + GAP / 2:
+                continue
+            step = inverse @ new
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ratio = np.where(step > 1e-9, np.maximum(amount, 0) / step, np.inf)
+            out = int(np.argmin(ratio))
+            columns[:, out] = new
+            inverse[out] /= step[out]
+            others = step.copy()
+            others[out] = 0
+            inverse -= np.outer(others, inverse[out])
+            amount = amount - others * ratio[out]
+            amount[out] = ratio[out]
+    whole = columns.astype(np.int64)
+    uses = np.maximum(np.floor(amount + 1e-7), 0).astype(np.int64)
+    spare = demand.astype(np.int64) - whole @ uses
+    while (spare < 0).any():
+        # Rounding errors of the solution, if any, are taken back.
+        j = int(np.argmax((whole[spare < 0] > 0).any(0) & (uses > 0)))
+        uses[j] -= 1
+        spare += whole[:, j]
+    # Pieces that rounding left over fill configurations once more, the most wanted ones first.
+    for j in np.argsort(-(amount - np.floor(amount)), kind="stable").tolist():
+        if (whole[:, j] <= spare).all():
+            uses[j] += 1
+            spare -= whole[:, j]
+    return [(whole[:, j], int(uses[j])) for j in range(len(sizes)) if uses[j] > 0]
+
+
+class Plan:
+    """Where the pieces of each size go: number r of a size fills use t of a configuration."""
+
+    def __init__(self, histogram: np.ndarray, capacity: int = CAPACITY):
+        self.classes, sizes, counts = size_classes(histogram, capacity)
+        found = configurations(sizes, counts.astype(float), capacity)
+        self.sequences = sum(n for _, n in found)
+        taken, first = np.zeros(len(sizes), np.int64), 0
+        rules: list[list[tuple[int, int, int, int]]] = [[] for _ in sizes]
+        for column, times in found:
+            for c in np.flatnonzero(column).tolist():
+                rules[c].append((int(taken[c]), int(taken[c] + column[c] * times), first, int(column[c])))
+                taken[c] += column[c] * times
+            first += times
+        self.placed = int(taken.sum())
+        self.rules = [np.array(r, np.int64).reshape(-1, 4) for r in rules]
+
+    def sequence(self, size_class: int, numbers: np.ndarray) -> np.ndarray:
+        """Sequence of the pieces of a class with some numbers, -1 for those left over."""
+        rules = self.rules[size_class]
+        if not len(rules):
+            return np.full(len(numbers), -1)
+        at = np.searchsorted(rules[:, 0], numbers, "right") - 1
+        start, end, first, times = rules[at].T
+        return np.where(numbers < end, first + (numbers - start) // times, -1)
+
+
+def planned(plan: Plan, lengths: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sequences of some pieces, -1 for none; the pieces of class c are numbered from ``offsets[c]``."""
+    classes = plan.classes[lengths]
+    out = np.full(len(lengths), -1)
+    order = np.argsort(classes, kind="stable")
+    begin = np.searchsorted(classes[order], np.arange(len(plan.rules) + 1))
+    for c in np.flatnonzero(np.diff(begin)).tolist():
+        own = order[begin[c] : begin[c + 1]]
+        out[own] = plan.sequence(c, offsets[c] + np.arange(len(own)))
+    return out
+
+
+def fill(lengths: np.ndarray, sequence: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence (from 0) and offset of each piece; those without a sequence are placed best-fit,
+    longest first. Sequences hold at most ``capacity`` without gaps."""
     if not len(lengths):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sequence = sequence.copy()
+    have, sequence[sequence >= 0] = np.unique(sequence[sequence >= 0], return_inverse=True)
+    used = np.bincount(sequence[sequence >= 0], lengths[sequence >= 0], len(have)).astype(np.int64)
+    rooms = (capacity - used).tolist()
     order = np.argsort(-lengths, kind="stable")
-    sequence, rooms = np.full(len(lengths), -1), []
-    whole = order[lengths[order] == capacity]
-    sequence[whole] = np.arange(len(whole))
-    rooms = [0] * len(whole)
-    large = order[(lengths[order] < capacity) & (lengths[order] > capacity // SMALL)]
-    if len(large) >= 4 * GROUPS:
-        groups = np.array_split(large, GROUPS)
-        tops = np.array([int(lengths[g[0]]) for g in groups])
-        sizes, where = np.unique(tops, return_inverse=True)
-        members: list[list[int]] = [[] for _ in sizes]
-        for g, s in zip(groups, where, strict=True):
-            members[s].extend(g.tolist())
-        demand = np.array([len(m) for m in members], float)
-        for column, times in configurations(sizes, demand, capacity):
-            for _ in range(times):
-                if (column > [len(m) for m in members]).any():
-                    break
-                chosen = [members[s].pop() for s in np.flatnonzero(column).tolist() for _ in range(int(column[s]))]
-                room = capacity - int(lengths[chosen].sum())
-                if room <= capacity // TIGHT:
-                    sequence[chosen] = len(rooms)
-                    rooms.append(room)
     _best_fit(order[sequence[order] < 0], lengths, sequence, rooms, capacity)
     by = np.argsort(sequence, kind="stable")
     sums = np.cumsum(lengths[by]) - lengths[by]
@@ -194,6 +304,12 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.
     return sequence, offset
 
 
+def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence number and offset of each of some pieces in memory."""
+    plan = Plan(np.bincount(lengths, minlength=capacity + 1), capacity)
+    return fill(lengths, planned(plan, lengths, np.zeros(len(plan.rules), np.int64)), capacity)
+
+
 def _best_fit(items: np.ndarray, lengths: np.ndarray, sequence: np.ndarray, rooms: list[int], capacity: int) -> None:
     """Put each item into the fullest sequence with room for it, or open a new one."""
     free: list[list[int]] = [[] for _ in range(capacity + 1)]
@@ -228,17 +344,36 @@ def best_fit_packing(
     columns are ignored; an empty table gives an empty result.
     """
     rows = stage(pieces(docs, tokenizer, capacity, id_col, text_col))
-    blocks = max(1, -(-rows.count() // block_pieces))
+    histogram = np.zeros(capacity + 1, np.int64)
+    for r in rows.groupBy("length").count().collect():
+        histogram[r["length"]] = r["count"]
+    plan = Plan(histogram, capacity)
+    blocks = max(1, -(-int(histogram.sum()) // block_pieces))
+    key = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)).cast("int").alias("block")
+    size = F.element_at(F.array(*[F.lit(int(c)) for c in plan.classes]), F.col("length").cast("int") + 1).alias("size")
+    dealt = rows.select("*", key)
+    # Pieces of a size are numbered block by block; a block starts where the blocks before it end.
+    counts = dealt.select("block", size).where("size >= 0").groupBy("block", "size").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("size").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("block", "size", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("first"))
+
+    def fill_plan(block: pa.Table, first: pa.Table) -> pa.Table:
+        block = block.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        offsets = np.zeros(len(plan.rules), np.int64)
+        offsets[first["size"].to_numpy()] = first["first"].to_numpy()
+        return block.drop_columns(["block"]).append_column("sequence", pa.array(planned(plan, block["length"].to_numpy(), offsets)))
 
     def place(block: pa.Table) -> pa.Table:
-        block = block.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("start", "ascending")])
-        sequence, offset = pack(block["length"].to_numpy(), capacity)
+        block = block.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        sequence, offset = fill(block["length"].to_numpy(), block["sequence"].to_numpy(), capacity)
         number = (np.int64(block["block"][0].as_py()) << 32) + sequence
-        return block.drop_columns(["block"]).append_column("sequence_id", pa.array(number)).append_column("offset", pa.array(offset))
+        return block.drop_columns(["block", "sequence"]).append_column("sequence_id", pa.array(number)).append_column("offset", pa.array(offset))
 
-    key = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)).cast("int").alias("block")
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return rows.select("*", key).groupBy("block").applyInArrow(place, schema)
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    filled = dealt.groupBy("block").cogroup(starts.groupBy("block")).applyInArrow(fill_plan, f"{schema}, sequence long")
+    whole = F.when(F.col("sequence") >= 0, F.col("sequence")).otherwise(F.xxhash64("doc_id", "piece", F.lit("rest")))
+    filled = filled.withColumn("block", F.pmod(whole, F.lit(blocks)).cast("int"))
+    return filled.groupBy("block").applyInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
