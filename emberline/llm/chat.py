@@ -131,8 +131,8 @@ def clean(text: str | None) -> str:
 
 
 KEYS = ["conv_id", "block", "alone", "part"]
-#: Rows handled together in a task; each such group holds whole chunks of many conversations.
-GROUP_ROWS = 20_000
+#: Rows, and bytes of text, handled together in a task; each such group holds whole chunks of many conversations.
+GROUP_ROWS, GROUP_BYTES = 20_000, 32 << 20
 
 
 def _chunked(rows: DataFrame, chunk: int) -> DataFrame:
@@ -193,7 +193,8 @@ def format_chats(turns: DataFrame, chunk: int = CHUNK) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), "text",
         F.coalesce(F.col("turn").cast("long"), F.lit(1 << 62)).alias("number"), F.xxhash64("role", "text").alias("tie"),
     )
-    groups = max(8, -(-rows.count() // GROUP_ROWS))
+    size = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("bytes")).first()
+    groups = max(8, -(-size["rows"] // GROUP_ROWS), -(-size["bytes"] // GROUP_BYTES))
     cut = _chunked(rows, chunk).withColumn("group", F.pmod(F.xxhash64(*KEYS), F.lit(groups)))
     by = [(k, "ascending") for k in [*KEYS, "number", "tie"]]
 

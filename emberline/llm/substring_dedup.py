@@ -32,7 +32,8 @@ PARTS = 5
 MEMORY = 2_000_000
 BLOCK_BYTES = 5 << 20
 GROUP_BYTES = 16 << 20
-PLACE_BITS = 26
+#: Bits of a place in a block: more words than a text can hold.
+PLACE_BITS = 32
 
 
 class Block:
