@@ -13,12 +13,15 @@ from ..operators.joins import lookup_join
 from ..operators.samples import INDEX, index_images
 from ..schema import FIRE_BAND, IMAGE_KEY, PIXELS, STACK_PIXELS
 from ..session import stage
+from .inventory import image_inventory
 
 #: Pixel rows plus the centre of the image, which decoders may know, and the image's position.
 CENTRE = [T.StructField("lng", T.DoubleType()), T.StructField("lat", T.DoubleType())]
 POSITION = STACK_PIXELS.fields[len(PIXELS.fields) :]
 RASTER_PIXELS = T.StructType([*PIXELS.fields, *CENTRE, *POSITION])
 _BATCH = 65_536
+#: Bytes of a file that one task reads where the format can be read in strips.
+STRIP_BYTES = 64 << 20
 _IMAGE_PATH = r"/(\d{4})/([^/]+)/[^/]+$"
 
 
@@ -65,12 +68,43 @@ def _exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
+def _pixel_batches(raster, first: int, height: int, centre: tuple, batch, i: int) -> Iterator:
+    """Pixel rows of the image rows from ``first`` on; the key and position come from row i of ``batch``."""
+    import numpy as np
+    import pyarrow as pa
+
+    bands, rows, width = raster.shape
+    flat = raster.reshape(bands, rows * width).T
+    year, fire, date, index, days = (batch.column(n)[i] for n in [*IMAGE_KEY, *[f.name for f in POSITION]])
+    for start in range(0, rows * width, _BATCH):
+        part = np.ascontiguousarray(flat[start : start + _BATCH])
+        n = len(part)
+        place = np.arange(start, start + n, dtype=np.int32)
+        offsets = np.arange(0, (n + 1) * bands, bands, dtype=np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.repeat(year, n),
+                pa.repeat(fire, n),
+                pa.repeat(date, n),
+                pa.array(np.full(n, height, dtype=np.int32)),
+                pa.array(np.full(n, width, dtype=np.int32)),
+                pa.array(place // width + np.int32(first)),
+                pa.array(place % width),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(part.ravel(), pa.float32())),
+                pa.repeat(pa.scalar(centre[0], pa.float64()), n),
+                pa.repeat(pa.scalar(centre[1], pa.float64()), n),
+                pa.repeat(index, n),
+                pa.repeat(days, n),
+            ],
+            names=RASTER_PIXELS.names,
+        )
+
+
 def decode_rows(files: DataFrame, decoder: Callable[[bytes], object]) -> DataFrame:
     """``(year, fire, obs_date, day_index, fire_days, content)`` to pixel rows, each file decoded once."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
-        import pyarrow as pa
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -79,38 +113,57 @@ def decode_rows(files: DataFrame, decoder: Callable[[bytes], object]) -> DataFra
                 if isinstance(raster, tuple):
                     raster, centre = raster
                 raster = np.asarray(raster, dtype=np.float32)
-                bands, height, width = raster.shape
-                flat = raster.reshape(bands, height * width).T
-                names = [*IMAGE_KEY, *[f.name for f in POSITION]]
-                year, fire, date, index, days = (batch.column(n)[i] for n in names)
-                for start in range(0, height * width, _BATCH):
-                    part = np.ascontiguousarray(flat[start : start + _BATCH])
-                    n = len(part)
-                    place = np.arange(start, start + n, dtype=np.int32)
-                    offsets = np.arange(0, (n + 1) * bands, bands, dtype=np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.repeat(year, n),
-                            pa.repeat(fire, n),
-                            pa.repeat(date, n),
-                            pa.array(np.full(n, height, dtype=np.int32)),
-                            pa.array(np.full(n, width, dtype=np.int32)),
-                            pa.array(place // width),
-                            pa.array(place % width),
-                            pa.ListArray.from_arrays(
-                                pa.array(offsets), pa.array(part.ravel(), pa.float32())
-                            ),
-                            pa.repeat(pa.scalar(centre[0], pa.float64()), n),
-                            pa.repeat(pa.scalar(centre[1], pa.float64()), n),
-                            pa.repeat(index, n),
-                            pa.repeat(days, n),
-                        ],
-                        names=RASTER_PIXELS.names,
-                    )
+                yield from _pixel_batches(raster, 0, raster.shape[1], centre, batch, i)
 
     return files.mapInArrow(run, RASTER_PIXELS)
 
 
+def plan_strips(files: DataFrame, strip_bytes: int = STRIP_BYTES) -> DataFrame:
+    """One row per strip ``part`` of ``parts``: a file of ``size`` bytes has one per ``strip_bytes``, at least one."""
+    parts = F.greatest(F.lit(1), F.ceil(F.col("size") / strip_bytes)).cast("int")
+    return files.withColumn("parts", parts).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+
+def ingest_strips(
+    spark: SparkSession,
+    root: str,
+    years: Sequence[int],
+    reader: Callable,
+    strip_bytes: int = STRIP_BYTES,
+) -> DataFrame:
+    """As ``ingest_rasters``, for formats that can be read in strips of rows: the result is the same.
+
+    Strips are planned from the sizes in the listing and dealt out as tasks of their own, so a very
+    large file is read by many tasks, and memory is bounded by a strip. ``reader(stream, part,
+    parts)`` gets the open file, seeks as it likes and returns the rows of that part as an array
+    (bands, rows, width), the number of the first of them, the image's height, and its centre or
+    None; a part without rows gives an empty array. Files must be on a store that Arrow can open.
+    """
+    listed = stage(image_inventory(spark, root, years))
+    placed = lookup_join(listed, image_positions(listed.select(*IMAGE_KEY).distinct()), IMAGE_KEY, ["path"])
+    strips = stage(plan_strips(placed, strip_bytes))
+    # A task per strip, whatever adaptive execution makes of a short list.
+    dealt = strips.repartition(max(1, strips.count()))
+
+    def run(batches: Iterator) -> Iterator:
+        import re
+
+        import numpy as np
+        from pyarrow import fs
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                path, part, parts = (batch.column(n)[i].as_py() for n in ("path", "part", "parts"))
+                store, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                with store.open_input_file(place) as stream:
+                    raster, first, height, centre = reader(stream, part, parts)
+                raster = np.asarray(raster, dtype=np.float32)
+                if raster.size:
+                    yield from _pixel_batches(raster, first, height, centre or (None, None), batch, i)
+
+    return dealt.mapInArrow(run, RASTER_PIXELS)
+
+
 def consolidate(pixels: DataFrame) -> DataFrame:
     """The fire band as hours with 0 for no detection, as stored in consolidated tables."""
     hour = F.floor(F.coalesce(null_if_nan(F.col("bands")[FIRE_BAND].cast("double")), F.lit(0.0)) / 100)

@@ -239,6 +239,36 @@ def test_more_rounds_share_their_first_trees(spark, table):
     np.testing.assert_allclose(heads[1].model.losses[-1], scored, rtol=1e-6)
 
 
+def test_strips_of_a_file_are_read_by_tasks_of_their_own(spark, tmp_path):
+    """One file in eight tasks gives the pixels of the whole file."""
+    rng = np.random.default_rng(2)
+    images = {"2018/fire_a/2018-07-01.tif": rng.normal(size=(23, 50, 12)), "2018/fire_a/2018-07-03.tif": rng.normal(size=(23, 3, 5)), "2019/b/2019-01-01.tif": rng.normal(size=(23, 9, 9))}
+    for name, image in images.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        with open(tmp_path / name, "wb") as out:
+            np.save(out, image.astype(np.float32))
+
+    def strip(stream, part, parts):
+        """Rows of a stored array, band by band, without reading the others."""
+        import numpy as np
+
+        np.lib.format.read_magic(stream)
+        (bands, height, width), _, kind = np.lib.format.read_array_header_1_0(stream)
+        begin, first, last = stream.tell(), part * height // parts, (part + 1) * height // parts
+        out = np.zeros((bands, last - first, width), kind)
+        for band in range(bands):
+            stream.seek(begin + (band * height + first) * width * kind.itemsize)
+            out[band] = np.frombuffer(stream.read((last - first) * width * kind.itemsize), kind).reshape(-1, width)
+        return out, first, height, (1.5, 2.5)
+
+    size = (tmp_path / "2018/fire_a/2018-07-01.tif").stat().st_size
+    got = R.ingest_strips(spark, str(tmp_path), [2018, 2019], strip, strip_bytes=-(-size // 8))
+    whole = R.ingest_rasters(spark, str(tmp_path), [2018, 2019], lambda content: (np.load(__import__("io").BytesIO(content)), (1.5, 2.5)))
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())) and got.count() == 600 + 15 + 81
+    tasks = got.where("height = 50").select(F.spark_partition_id().alias("task"), "r").distinct().groupBy("task").count()
+    assert sorted(r["count"] for r in tasks.collect()) == [6, 6, 6, 6, 6, 6, 7, 7]
+
+
 def test_trees_do_not_depend_on_partitions_or_order(spark, table):
     names, medians = ["x0", "x1", "x2"], [0.0, 0.0, 0.0]
     few = M.Boosting(rounds=3, depth=3, row_share=1.0, patience=None)
