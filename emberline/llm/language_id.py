@@ -1,8 +1,9 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random +1/-1 vector. A letter n-gram is the element-wise product (binding) of
-its letters' vectors, each rotated by its place; a text is the sum (bundle) of its n-grams, a
-language the sum of its training texts. A text gets the language of the largest cosine.
+Every letter of any script has a random +1/-1 vector, drawn from its code point. A letter n-gram is
+the element-wise product (binding) of its letters' vectors, each rotated by its place; a text is the
+sum (bundle) of its n-grams, a language the sum of its training texts. A text gets the language of
+the largest cosine.
 """
 
 from __future__ import annotations
@@ -14,97 +15,128 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, query, table
+from .common import map_batches, query, table, text_chunks
 
 DIMENSIONS = 1024
-#: Symbols: 26 Latin letters, classes for all other letters by code point, and the gap between words.
-OTHERS = 10
-SYMBOLS = 26 + OTHERS + 1
-GAP = SYMBOLS - 1
-CODES = SYMBOLS**3
+#: Bits of a letter in a trigram's code; 0 is the gap between words.
+BITS = 21
+CODES = 1 << 3 * BITS
 UNKNOWN = "und"
-_made: dict[str, np.ndarray] = {}
+#: Letters whose vectors a worker remembers, and trigrams whose vectors are made at once for a batch.
+LETTERS, TRIGRAMS = 20_000, 1 << 14
+_letters: dict[int, np.ndarray] = {}
+_symbols: list[np.ndarray] = []
 
 
-def _symbols() -> np.ndarray:
-    """Symbol of each code point of the basic plane; others are looked up one by one."""
-    if "symbols" not in _made:
-        found = np.full(0x10000, GAP, np.uint8)
-        for point in range(0x10000):
-            char = chr(point)
-            if char.isalpha():
-                low = ord(char.lower()[0])
-                found[point] = low - 97 if 97 <= low <= 122 else 26 + low % OTHERS
-        _made["symbols"] = found
-    return _made["symbols"]
+def _lowered() -> np.ndarray:
+    """Code point of each basic character's small letter; 0 for what is no letter."""
+    if not _symbols:
+        low = [ord(chr(p).lower()[0]) if chr(p).isalpha() else 0 for p in range(0x10000)]
+        _symbols.append(np.array(low, np.int64))
+    return _symbols[0]
+
+
+def _letter(point: int) -> np.ndarray:
+    """The vector of a letter, the same in every process."""
+    found = _letters.get(point)
+    if found is None:
+        if len(_letters) >= LETTERS:
+            _letters.clear()
+        bits = np.random.Generator(np.random.Philox(key=[7, point])).integers(0, 2, DIMENSIONS, dtype=np.int8)
+        found = _letters[point] = 2 * bits - 1
+    return found
 
 
 def _vectors(codes: np.ndarray) -> np.ndarray:
-    """Trigram vectors: code ``(a * SYMBOLS + b) * SYMBOLS + c`` binds the rotated letters a, b, c."""
-    if "letters" not in _made:
-        letters = np.random.default_rng(7).choice(np.array([-1, 1], np.int8), (SYMBOLS, DIMENSIONS))
-        once, twice = np.roll(letters, 1, axis=1), np.roll(letters, 2, axis=1)
-        _made["letters"], _made["pairs"] = letters, (twice[:, None, :] * once[None, :, :]).reshape(-1, DIMENSIONS)
-    return _made["pairs"][codes // SYMBOLS] * _made["letters"][codes % SYMBOLS]
+    """Trigram vectors: a code has the letters a, b, c, which are bound rotated by 2, 1 and 0 places."""
+    out = np.ones((len(codes), DIMENSIONS), np.int8)
+    for place in range(3):
+        points, where = np.unique((codes >> BITS * place) & ((1 << BITS) - 1), return_inverse=True)
+        out *= np.stack([np.roll(_letter(int(p)), place) for p in points])[where]
+    return out
 
 
 def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct trigram codes of a whole text and their counts; both empty if it has no letter."""
     points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-    found = np.full(len(points), GAP, np.uint8)
     basic = points < 0x10000
-    found[basic] = _symbols()[points[basic]]
-    for i in np.flatnonzero(~basic).tolist():
-        if chr(points[i]).isalpha():
-            found[i] = 26 + int(points[i]) % OTHERS
-    if not (found != GAP).any():
+    found = np.zeros(len(points), np.int64)
+    found[basic] = _lowered()[points[basic]]
+    if not basic.all():
+        rare, where = np.unique(points[~basic], return_inverse=True)
+        found[~basic] = np.array([ord(chr(p).lower()[0]) if chr(p).isalpha() else 0 for p in rare.tolist()], np.int64)[where]
+    if not found.any():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    found = np.concatenate([[GAP], found, [GAP]])
+    found = np.concatenate([[0], found, [0]])
     keep = np.ones(len(found), bool)
-    keep[1:] = (found[1:] != GAP) | (found[:-1] != GAP)  # runs of other characters are one gap
-    found = found[keep].astype(np.int32)
-    codes = (found[:-2] * SYMBOLS + found[1:-1]) * SYMBOLS + found[2:]
+    keep[1:] = (found[1:] != 0) | (found[:-1] != 0)  # runs of other characters are one gap
+    found = found[keep]
+    codes = (found[:-2] << 2 * BITS) | (found[1:-1] << BITS) | found[2:]
     codes.sort()
     at = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
     return codes[at], np.diff(np.append(at, len(codes)))
 
 
-def profile(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Bundle of n-gram vectors, as float32."""
+def profile(codes: np.ndarray, counts: np.ndarray, known: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Bundle of n-gram vectors, as float32; ``known`` has the vectors of sorted codes, all of them among these."""
     total = np.zeros(DIMENSIONS, np.float32)
     for lo in range(0, len(codes), 512):
-        total += counts[lo : lo + 512].astype(np.float32) @ _vectors(codes[lo : lo + 512]).astype(np.float32)
+        part = codes[lo : lo + 512]
+        vectors = _vectors(part) if known is None else known[1][np.searchsorted(known[0], part)]
+        total += counts[lo : lo + 512].astype(np.float32) @ vectors.astype(np.float32)
     return total
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigram counts per language of one task's texts."""
-    sums: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for text, lang in zip(batch.column("text"), batch.column("lang"), strict=True):
-            codes, counts = trigrams(text.as_py())
-            if len(codes):
-                total = sums.setdefault(lang.as_py(), np.zeros(CODES, np.int64))
-                total[codes] += counts
-    for lang, total in sums.items():
-        codes = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(total[codes])], ["lang", "code", "n"])
+def profiles(texts: list[str | None]) -> Iterator[np.ndarray | None]:
+    """The profile of each text, None without a letter. Vectors that a batch's texts share are made once."""
+    grams = [trigrams(text) for text in texts]
+    every = np.unique(np.concatenate([codes for codes, _ in grams])) if grams else np.zeros(0, np.int64)
+    known = (every, _vectors(every)) if 0 < len(every) <= TRIGRAMS else None
+    for codes, counts in grams:
+        yield profile(codes, counts, known) if len(codes) else None
 
 
-def _bundle(rows: pa.Table) -> pa.Table:
-    vector = profile(rows["code"].to_numpy(), rows["n"].to_numpy())
-    return pa.table({"lang": pa.array([rows["lang"][0].as_py()]), "vector": pa.array([vector.astype(float).tolist()])})
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Trigram counts by language of each batch of texts."""
+    for batch in text_chunks(batches):
+        by_lang: dict[str, list] = {}
+        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
+            by_lang.setdefault(lang, []).append(trigrams(text))
+        for lang, grams in by_lang.items():
+            codes, where = np.unique(np.concatenate([c for c, _ in grams]), return_inverse=True)
+            sums = np.bincount(where, np.concatenate([n for _, n in grams]), len(codes)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(sums)], ["lang", "code", "n"])
+
+
+def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One partial prototype per language of each batch of counted trigrams; whole numbers, so their order does not matter."""
+    for batch in batches:
+        langs, codes, counts = batch.column("lang").to_pylist(), batch.column("code").to_numpy(), batch.column("n").to_numpy()
+        order = sorted(range(len(langs)), key=langs.__getitem__)
+        cuts = [i for i in range(len(order)) if not i or langs[order[i]] != langs[order[i - 1]]] + [len(order)]
+        names, sums = [], []
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            total = np.zeros(DIMENSIONS)
+            for at in range(lo, hi, 512):
+                part = np.array(order[at : min(hi, at + 512)])
+                total += counts[part].astype(float) @ _vectors(codes[part]).astype(float)
+            names.append(langs[order[lo]])
+            sums.append(total.tolist())
+        if names:
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sums, pa.list_(pa.float64()))], ["lang", "vector"])
 
 
 def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages in order of name and their unit prototypes, learned from all rows where ``train`` holds.
 
-    Rows with null language or without a letter teach nothing. What reaches the driver is one
-    vector per language; a task holds one count table per language.
+    Rows with null language or without a letter teach nothing. Trigrams are counted by language in
+    Spark and bundled where they are counted; what reaches the driver is one vector per language.
     """
     rows = docs.where(train & F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     counts = map_batches(rows, _count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    found = counts.groupBy("lang").applyInArrow(_bundle, "lang string, vector array<double>").collect()
+    parts = map_batches(counts, _bundles, "lang string, vector array<double>")
+    sums = parts.select("lang", F.posexplode("vector").alias("place", "x")).groupBy("lang", "place").agg(F.sum("x").alias("x"))
+    found = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "x"))).alias("v")).select("lang", F.col("v.x").alias("vector")).collect()
     found = sorted(found, key=lambda row: row.lang)
     matrix = np.array([row.vector for row in found], np.float64).reshape(len(found), DIMENSIONS)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -113,19 +145,18 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score per row. ``und`` with score 0 for null texts, texts without a
-    letter, or a model without languages; of equal cosines the first language by name wins."""
+    letter, or a model without languages; of equal cosines the first language by name wins. Rows that
+    repeat are judged alike, null ids are kept, other columns are ignored."""
     names, prototypes = model
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_chunks(batches):
             langs, scores = [], []
-            for text in batch.column("text"):
-                codes, counts = trigrams(text.as_py()) if names else ((), ())
-                if not len(codes):
+            for vector in profiles(batch.column("text").to_pylist()):
+                if vector is None or not names:
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                vector = profile(codes, counts)
                 cosines = prototypes @ vector / max(float(np.linalg.norm(vector)), 1e-9)
                 best = int(np.argmax(cosines))
                 langs.append(names[best])
@@ -144,17 +175,17 @@ def held_out(id_col: str = "doc_id") -> Column:
 def identified(docs: DataFrame, least: float = 0.1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language is known with a cosine of at least ``least``, all columns kept.
 
-    Prototypes come from the labelled rows of ``docs`` outside the held-out quarter.
+    Prototypes come from the labelled rows of ``docs`` outside the held-out quarter. Null texts, texts
+    without a letter, and all texts if no row has a label, go; ids, repeated rows and other columns do
+    not matter; an empty table stays empty.
     """
     names, prototypes = fit(docs, ~held_out(id_col), text_col)
-    columns = docs.columns
+    place = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_chunks(batches, text_col):
             kept = []
-            for text in batch.column(columns.index(text_col)):
-                codes, counts = trigrams(text.as_py())
-                vector = profile(codes, counts) if len(codes) else None
+            for vector in profiles(batch.column(place).to_pylist()):
                 kept.append(vector is not None and bool(len(names)) and float((prototypes @ vector).max()) >= least * float(np.linalg.norm(vector)))
             yield batch.filter(pa.array(kept, pa.bool_()))
 

@@ -11,9 +11,9 @@ import duckdb
 import numpy as np
 import pytest
 
-from emberline.llm import warc
+from emberline.llm import language_id, warc
 from emberline.llm.language_id import CODES, fit, held_out, identified, predict, profile, trigrams
-from emberline.llm.packing import CAPACITY, WordEncoder, best_fit_packing, configurations, pack, public_tokenizer
+from emberline.llm.packing import CAPACITY, SMALL, Plan, WordEncoder, best_fit_packing, configurations, pack, public_tokenizer
 from emberline.session import staging_root
 
 from .corpus import frame
@@ -47,6 +47,38 @@ def test_trigrams_and_profiles_by_hand():
     assert np.allclose(total, profile(codes, counts)) and codes.max() < CODES
 
 
+def test_every_letter_has_a_vector_of_its_own():
+    pairs = [("é", "ß"), ("а", "к"), ("α", "λ"), ("你", "好"), ("𐐨", "𐐩")]
+    for a, b in pairs:
+        x, y = (profile(*trigrams(3 * c)) for c in (a, b))
+        assert abs(x @ y) < 0.4 * np.linalg.norm(x) * np.linalg.norm(y)
+    assert trigrams("ÉA")[0].tolist() == trigrams("éa")[0].tolist()
+
+
+def test_profiles_of_a_batch_equal_single_ones(monkeypatch):
+    texts = [r[1] for r in documents(30)] + [None, "你好 мир"]
+    want = [profile(*trigrams(t)) if len(trigrams(t)[0]) else None for t in texts]
+    for most in (1 << 14, 10):
+        monkeypatch.setattr(language_id, "TRIGRAMS", most)
+        for got, one in zip(language_id.profiles(texts), want, strict=True):
+            assert (got is None and one is None) or np.array_equal(got, one)
+
+
+def test_languages_of_other_scripts_are_told_apart(spark):
+    stock = {"ru": "где наши большие книги и старые дома", "uk": "де наші великі книжки та старі будинки", "el": "που είναι τα μεγάλα βιβλία", "zh": "我们的大书在哪里呢", "ja": "わたしの大きな本はどこですか"}
+    rng = random.Random(1)
+    texts, langs = [], []
+    for lang, words in stock.items():
+        for _ in range(20):
+            start = rng.randrange(len(words))
+            texts.append((words + (" " if " " in words else "")) * 4)
+            texts[-1] = texts[-1][start : start + 40]
+            langs.append(lang)
+    docs = frame(spark, texts, langs=langs)
+    found = {r.doc_id: r.lang_pred for r in predict(docs, fit(docs, docs.doc_id % 2 == 0)).collect()}
+    assert np.mean([found[i] == lang for i, lang in enumerate(langs) if i % 2]) > 0.95
+
+
 @pytest.mark.parametrize("text", [None, "", " 12 .,", "😀"])
 def test_no_letter_is_undetermined(spark, text):
     docs = frame(spark, [text, "hello there", "bonjour"], [0, 1, 2], [None, "en", "fr"])
@@ -137,6 +169,61 @@ def test_configurations_fit_and_meet_no_more_than_the_demand():
         assert (sum(column * n for column, n in found) <= demand).all()
 
 
+def test_large_pieces_are_placed_by_configurations():
+    rng = np.random.default_rng(5)
+    lengths = np.minimum(2048, np.maximum(1, rng.lognormal(6.5, 1.2, 12_000).astype(int)))
+    plan = Plan(np.bincount(lengths, minlength=CAPACITY + 1))
+    large = int(((lengths > CAPACITY // SMALL) & (lengths < CAPACITY)).sum())
+    assert plan.placed >= 0.95 * large
+    sequence, _ = pack(lengths)
+    assert sequence.max() + 1 <= -(-int(lengths.sum()) // CAPACITY) * 1.003 + 1
+
+
+def fewest(sizes, demand, capacity):
+    """Least number of bins for a few pieces, by trying everything."""
+    pieces = sorted((s for s, d in zip(sizes.tolist(), demand, strict=True) for _ in range(int(d))), reverse=True)
+    best = [len(pieces)]
+
+    def place(k, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if k == len(pieces):
+            best[0] = len(rooms)
+            return
+        for i, room in enumerate(rooms):
+            if room >= pieces[k] and room not in rooms[:i]:
+                place(k + 1, [*rooms[:i], room - pieces[k], *rooms[i + 1 :]])
+        place(k + 1, [*rooms, capacity - pieces[k]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_the_program_reaches_the_fewest_bins_of_small_cases():
+    """Used many times over, a small case's configurations need no more bins than its best packing does."""
+    rng = np.random.default_rng(2)
+    for _ in range(12):
+        sizes = np.unique(rng.integers(26, 100, 4))
+        demand = rng.integers(1, 4, len(sizes))
+        found = configurations(sizes, 1000.0 * demand, 100)
+        placed = sum(column * n for column, n in found)
+        assert sum(n for _, n in found) <= 1000 * fewest(sizes, demand, 100) * 1.001 + 4
+        assert (placed <= 1000 * demand).all() and placed.sum() >= 1000 * demand.sum() - 12
+
+
+def test_numbers_of_pieces_fill_each_sequence_once():
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(1, 2049, 5000)
+    plan = Plan(np.bincount(lengths, minlength=CAPACITY + 1))
+    sequence, used = [], np.zeros(plan.sequences, int)
+    for c in range(len(plan.rules)):
+        own = np.sort(lengths[plan.classes[lengths] == c])
+        sequence.append(plan.sequence(c, np.arange(len(own))))
+        np.add.at(used, sequence[-1][sequence[-1] >= 0], own[sequence[-1] >= 0])
+    assert (used <= CAPACITY).all() and (used > 0).all()
+    assert sum(int((s >= 0).sum()) for s in sequence) == plan.placed
+
+
 def test_empty_table_and_null_ids(spark):
     assert best_fit_packing(frame(spark, []), public_tokenizer()).collect() == []
     rows = best_fit_packing(frame(spark, ["a", "a", None], [None, 1, 1]), public_tokenizer()).collect()
