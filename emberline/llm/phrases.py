@@ -223,11 +223,12 @@ def phrase_filter(phrases: DataFrame, size: int) -> np.ndarray:
     return np.unpackbits(out.ravel()).astype(bool)
 
 
-def scan(texts: DataFrame, phrases: DataFrame, size: int, extend: bool) -> DataFrame:
-    """Stored (pid, next, n): counts of the phrases (next null), and of the words that follow them.
+def scan(texts: DataFrame, phrases: DataFrame, size: int, extend: bool, least: int) -> DataFrame:
+    """Stored (pid, next, n): counts of the phrases (next null), and of the words that follow them ``least`` times.
 
     phrases: pid, lang, phrase of ``size`` words. Followers are looked for if ``extend``, and only
-    where the phrase of the next ``size`` words may be frequent too.
+    where the phrase of the next ``size`` words may be frequent too. One trie is broadcast at a time,
+    and given up when its scan is stored.
     """
     spark = texts.sparkSession
     chunks = max(1, -(-phrases.count() // TRIE_PHRASES))
@@ -265,9 +266,12 @@ def scan(texts: DataFrame, phrases: DataFrame, size: int, extend: bool) -> DataF
             some = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(pids[some]), pa.nulls(len(some), pa.int64()), pa.array(sums[some])], ["pid", "next", "n"])
 
-        # Shards are summed before they are stored; frequent phrases alone are asked for later.
-        found = map_batches(texts, count, "pid long, next long, n long").groupBy("pid", "next").agg(F.sum("n").alias("n"))
+        sums = map_batches(texts, count, "pid long, next long, n long").groupBy("pid", "next").agg(F.sum("n").alias("n"))
+        found = stage(sums.where(F.col("next").isNull() | (F.col("n") >= least)))
+        shared.destroy()
         out = found if out is None else out.union(found)
+    if bits is not None:
+        bits.destroy()
     return out
 
 
@@ -296,8 +300,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, text_co
         if phrases.isEmpty():
             break
         extend = size < longest
-        met = scan(texts, phrases, size, extend)
-        met = stage(met.where(F.col("next").isNull() | (F.col("n") >= least)))
+        met = scan(texts, phrases, size, extend, least)
         f = met.where("next IS NULL").select("pid", F.col("n").alias("f"))
         counted.append(stage(sized_join(phrases, stage(f), ["pid"], "inner").select("lang", "phrase", F.lit(size).alias("size"), "f").where(F.col("f") >= least)))
         if extend:
