@@ -172,9 +172,12 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def identified(docs: DataFrame, least: float = 0.1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identified(docs: DataFrame, least: float = 0.05, enough: int = 30, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language is known with a cosine of at least ``least``, all columns kept.
 
+    A text of fewer than ``enough`` letters and gaps is too short for a cosine to speak against it; it
+    stays if it has a letter.
+
     Prototypes come from the labelled rows of ``docs`` outside the held-out quarter. Null texts, texts
     without a letter, and all texts if no row has a label, go; ids, repeated rows and other columns do
     not matter; an empty table stays empty.
@@ -182,11 +185,15 @@ def identified(docs: DataFrame, least: float = 0.1, id_col: str = "doc_id", text
     names, prototypes = fit(docs, ~held_out(id_col), text_col)
     place = docs.columns.index(text_col)
 
+    def known(text: str | None, vector: np.ndarray | None) -> bool:
+        if vector is None or not names:
+            return False
+        return float((prototypes @ vector).max()) >= least * float(np.linalg.norm(vector)) or int(trigrams(text)[1].sum()) < enough
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, text_col):
-            kept = []
-            for vector in profiles(batch.column(place).to_pylist()):
-                kept.append(vector is not None and bool(len(names)) and float((prototypes @ vector).max()) >= least * float(np.linalg.norm(vector)))
+            texts = batch.column(place).to_pylist()
+            kept = [known(text, vector) for text, vector in zip(texts, profiles(texts), strict=True)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return map_batches(docs, keep, docs.schema)

@@ -97,6 +97,12 @@ def test_identified_keeps_columns_and_drops_what_has_no_language(spark):
     assert {r.doc_id for r in kept.collect()} >= {3, None} and not {r.doc_id for r in kept.collect()} & {1, 2}
 
 
+def test_identified_rejects_long_texts_of_no_known_language_only(spark):
+    english = "the cat sat on the mat and the dog lay by the door of the old house "
+    docs = frame(spark, [english * 3, english, "qqx zzv", "жщюй " * 40, "Avec."], langs=["en", "en", None, None, None])
+    assert {r.doc_id for r in identified(docs).collect()} == {0, 1, 2, 4}
+
+
 def test_no_labels_and_empty_table(spark):
     docs = frame(spark, ["words"], [1], [None])
     assert [tuple(r) for r in predict(docs, fit(docs, ~held_out())).collect()] == [(1, "und", 0.0)]
