@@ -32,7 +32,7 @@ SMALL = 4
 #: The program is solved to within this share of its optimum.
 GAP = 2e-4
 #: Parts of words remembered by a worker's tokenizer, and the longest of them.
-CACHE_PARTS, CACHE_CHARS = 500_000, 40
+CACHE_PARTS, CACHE_CHARS = 340_000, 40
 
 
 class WordEncoder:
