@@ -30,6 +30,7 @@ def lookup_join(
     salts: int = DEFAULT_SALTS,
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
+    *,
     stored: bool = False,
 ) -> DataFrame:
     """Join many rows per key to few rows per key.
@@ -37,7 +38,8 @@ def lookup_join(
     A small table of at most ``broadcast_rows`` rows (and 16 MB) is broadcast and the big side stays
     where it is (``stored``: it reads a stored table and is not stored again). A larger one is shuffled: the big side spreads each key over ``salts`` partitions by
     hashing ``spread`` (columns that vary within the key, so a retried task salts alike), and the
-    small side is repeated per salt.
+    small side is repeated per salt. The hint keeps Spark, which plans with the bytes of the files
+    before they are unpacked and repeated, from broadcasting what was found too large for that.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"the big side must be kept: {how}")
@@ -47,7 +49,7 @@ def lookup_join(
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     left = big.withColumn("_salt", salt)
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return left.join(right.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def hot_split_join(
@@ -59,6 +61,7 @@ def hot_split_join(
     spread: Sequence[Column | str],
     share: float = 0.002,
     broadcast_rows: int = BROADCAST_ROWS,
+    *,
     stored: bool = False,
 ) -> DataFrame:
     """Look ``values`` up in ``table`` (one row per key, ``weight`` = its number of ``rows``; ``stored``:
@@ -67,7 +70,7 @@ def hot_split_join(
     Beyond ``broadcast_rows``, keys with at least ``share`` of all rows are broadcast: there can be
     no more than ``1/share`` of them, whatever the size of the table. All other keys take the
     shuffle join, in which the rows already served are spread by hash instead of meeting on their
-    hot key.
+    hot key; the hint keeps Spark from broadcasting a table whose files are small.
     """
     key, values = list(key), list(values)
     table = table.select(*key, weight, *values)
@@ -83,7 +86,7 @@ def hot_split_join(
     side = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*spread), F.lit(1 << 20)) + 1).otherwise(
         F.lit(0).cast("bigint")
     )
-    joined = first.withColumn("_side", side).join(cold, [*key, "_side"], "left")
+    joined = first.withColumn("_side", side).join(cold.hint("merge"), [*key, "_side"], "left")
     return joined.select(
         *rows.columns, *[F.coalesce(F.col(f"_hot_{v}"), F.col(v)).alias(v) for v in values]
     )

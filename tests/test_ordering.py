@@ -119,3 +119,14 @@ def test_hot_split_join_agrees_with_a_plain_join(spark):
         want = pdf.groupby("g")["m"].sum()
         assert len(got) == len(pdf)
         assert (got["v"] == got["g"].map(want)).all()
+
+
+def test_tables_too_large_to_broadcast_are_not_broadcast(spark):
+    """Their files are small, which alone would have Spark broadcast them, repeated per salt."""
+    big = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 700).alias("g"))
+    small = spark.range(700).select(F.col("id").alias("g"), (F.col("id") * 2).alias("v"), F.lit(5).cast("bigint").alias("n"))
+    shuffled = [lookup_join(big, small, ["g"], ["k"], how=how, broadcast_rows=600) for how in ("inner", "left")]
+    for joined in [*shuffled, hot_split_join(big, small, ["g"], "n", ["v"], ["k"], 0.5, 600)]:
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == (0 if any(joined is s for s in shuffled) else 1)
+        assert joined.where("v = g * 2").count() == 3000
