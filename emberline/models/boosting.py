@@ -5,8 +5,9 @@ hessians of its rows by (node, feature, bin), Spark merges these histograms, and
 find the best split of each (node, feature), so only one candidate per node and feature reaches the
 driver. Sums are whole numbers of a fixed unit: trees do not depend on the order or partitions of rows.
 
-The margin of each row is stored with its bytes and carried from round to round; trees grown since it
-was last stored are applied on the fly. Validation rows travel with the others, so the first scan of
+Rows are stored in blocks, a block's columns as packed numbers, so a scan costs arithmetic and no
+conversion of rows. The margin of each row is stored with its bytes and carried from round to round;
+trees grown since it was last stored are applied on the fly. Validation rows travel with the others, so the first scan of
 a round also tells the loss after the round before, and early stopping needs no second fit.
 """
 
@@ -23,11 +24,17 @@ from pyspark.sql import functions as F
 from ..session import drop_staged, stage, staged_so_far
 
 #: Rounds after which margins are stored again.
-CARRY = 8
+CARRY = 4
 #: Cells (node x feature x bin) a task sums at once; a level with more takes several scans.
 CELLS = 1 << 22
+#: Rows and bytes of a stored block at most.
+BLOCK_ROWS, BLOCK_BYTES = 4096, 1 << 19
 #: Rows handled at once inside a task.
-BLOCK_ROWS = 2048
+SCAN_ROWS = 1 << 16
+#: Rows that are worth a task; small tables, which may lie in many files, are scanned by fewer tasks.
+TASK_ROWS = 1 << 17
+#: Row groups of stored blocks, which Spark reads whole.
+GROUP_BYTES = 16 << 20
 
 
 @dataclass
@@ -66,17 +73,37 @@ class Tree:
         self.feature, self.bin = np.full(size, -1), np.zeros(size, np.int64)
         self.threshold, self.value = np.zeros(size), np.zeros(size)
 
-    def nodes(self, columns: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-        """Node reached by each row; ``cuts`` are this tree's bins or thresholds."""
-        at = np.zeros(len(columns), np.int64)
-        rows = np.arange(len(columns))
-        for _ in range(self.depth):
-            split = self.feature[at]
-            on = split >= 0
-            if not on.any():
-                break
-            right = columns[rows[on], split[on]] > cuts[at[on]]
-            at[on] = 2 * at[on] + 1 + right
+    def descent(self, cuts: np.ndarray, last: float) -> _Descent:
+        return _Descent(self, cuts, last)
+
+
+class _Descent:
+    """A tree made ready for many rows: leaves pass all rows on to the left, down to the deepest level.
+
+    ``cuts`` are the tree's bins or thresholds, ``last`` is one that no value exceeds.
+    """
+
+    def __init__(self, tree: Tree, cuts: np.ndarray, last: float):
+        split = np.flatnonzero(tree.feature >= 0)
+        self.levels = int(split[-1] + 1).bit_length() if len(split) else 0
+        size = 2 ** (self.levels + 1) - 1
+        self.feature = np.maximum(tree.feature[:size], 0).astype(np.intp)
+        self.cut = np.where(tree.feature[:size] >= 0, cuts[:size], last).astype(type(last))
+        self.real = np.zeros(size, np.intp)
+        for level in range(self.levels):
+            children = np.arange(2 ** (level + 1) - 1, 2 ** (level + 2) - 1)
+            parent = (children - 1) // 2
+            own = (tree.feature[parent] >= 0) & (self.real[parent] == parent)
+            self.real[children] = np.where(own, children, self.real[parent])
+        self.value = tree.value[self.real]
+
+    def reached(self, columns: np.ndarray) -> np.ndarray:
+        """Where each row of ``columns`` (feature, row) ends; ``real`` and ``value`` tell the leaf and its value."""
+        n, flat = columns.shape[1], columns.reshape(-1)
+        at, rows = np.zeros(n, np.intp), np.arange(n)
+        for _ in range(self.levels):
+            right = flat.take(self.feature.take(at) * n + rows) > self.cut.take(at)
+            at += at + 1 + right
         return at
 
 
@@ -95,9 +122,13 @@ class BoostedModel:
         return len(self.trees)
 
     def margins(self, values: np.ndarray) -> np.ndarray:
+        """One per row of ``values`` (row, feature)."""
+        descents = [tree.descent(tree.threshold, np.float64(np.inf)) for tree in self.trees]
         out = np.full(len(values), self.base)
-        for tree in self.trees:
-            out += tree.value[tree.nodes(values, tree.threshold)]
+        for lo in range(0, len(values), SCAN_ROWS):
+            columns = np.ascontiguousarray(values[lo : lo + SCAN_ROWS].T, dtype=np.float64)
+            for descent in descents:
+                out[lo : lo + SCAN_ROWS] += descent.value.take(descent.reached(columns))
         return out
 
     def score(self, features: str) -> Column:
@@ -151,22 +182,44 @@ def bin_cuts(rows: DataFrame, bins: int) -> list[np.ndarray]:
     return [table[f] for f in sorted(table)]
 
 
+_BLOCK = "rid long, rows int, label binary, weight binary, held binary, margin binary, bytes binary"
+
+
 def binned(rows: DataFrame, cuts: Sequence[np.ndarray]) -> DataFrame:
-    """Stored (rid, label, weight, held, margin, bytes) from (label, weight, held, features)."""
+    """Stored blocks of consecutive rows from (label, weight, held, features): the first row's id, the number
+    of rows, and the rows' numbers column by column, features by feature as bytes."""
     shared = rows.sparkSession.sparkContext.broadcast(list(cuts))
     width = len(cuts)
+    block = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (width + 25)))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), width)
-            found = np.empty(values.shape, np.uint8)
-            for f, own in enumerate(shared.value):
-                found[:, f] = np.searchsorted(own, values[:, f], "left")
-            columns = [batch.column(c) for c in ("rid", "label", "weight", "held", "margin")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([r.tobytes() for r in found], pa.binary())], ["rid", "label", "weight", "held", "margin", "bytes"])
+        for whole in batches:
+            for lo in range(0, len(whole), block):
+                batch = whole.slice(lo, block)
+                n, rid = len(batch), batch.column("rid").to_numpy()
+                if rid[-1] - rid[0] != n - 1:
+                    raise ValueError("the numbers of a block's rows should be consecutive")
+                values = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(n, width)
+                found = np.empty((width, n), np.uint8)
+                for f, own in enumerate(shared.value):
+                    found[f] = np.searchsorted(own, values[:, f], "left")
+                label, weight = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("label", "weight"))
+                held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
+                packed = [[x.tobytes()] for x in (label, weight, held, np.zeros(n), found)]
+                arrays = [pa.array([int(rid[0])], pa.int64()), pa.array([n], pa.int32()), *[pa.array(x, pa.binary()) for x in packed]]
+                yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in _BLOCK.split(", ")])
+
+    numbered = rows.select(F.monotonically_increasing_id().alias("rid"), "label", "weight", "held", "features")
+    return _stored(numbered.mapInArrow(pack, _BLOCK))
 
-    numbered = rows.select(F.monotonically_increasing_id().alias("rid"), "label", "weight", "held", F.lit(0.0).alias("margin"), "features")
-    return stage(numbered.mapInArrow(pack, "rid long, label double, weight double, held boolean, margin double, bytes binary"))
+
+def _stored(blocks: DataFrame) -> DataFrame:
+    return stage(blocks, **{"parquet.block.size": str(GROUP_BYTES)})
+
+
+def _gathered(blocks: DataFrame, rows: int) -> DataFrame:
+    """Stored blocks, read by at most one task per ``TASK_ROWS`` rows."""
+    return blocks.coalesce(max(1, -(-rows // TASK_ROWS)))
 
 
 # --- one scan -----------------------------------------------------------------------------------
@@ -197,14 +250,24 @@ class _Scan:
     columns: np.ndarray
     losses: bool
 
-    def margins(self, batch: pa.RecordBatch, found: np.ndarray) -> np.ndarray:
-        margin = batch.column("margin").to_numpy() + 0.0
-        for tree in self.since:
-            margin += tree.value[tree.nodes(found, tree.bin)]
+    def parts(self, batches: Iterator[pa.RecordBatch]) -> Iterator[_Rows]:
+        """The rows of several blocks together."""
+        for batch in batches:
+            lo = rows = 0
+            for hi, more in enumerate(batch.column("rows").to_pylist(), 1):
+                rows += more
+                if rows >= SCAN_ROWS or hi == len(batch):
+                    yield _Rows(batch.slice(lo, hi - lo), self.width)
+                    lo, rows = hi, 0
+
+    def margins(self, rows: _Rows, since: Sequence[_Descent]) -> np.ndarray:
+        margin = rows.column("margin", np.float64) + 0.0
+        for descent in since:
+            margin += descent.value.take(descent.reached(rows.found))
         return margin
 
-    def bytes(self, batch: pa.RecordBatch) -> np.ndarray:
-        return np.frombuffer(b"".join(batch.column("bytes").to_pylist()), np.uint8).reshape(len(batch), self.width)
+    def applied(self) -> list[_Descent]:
+        return [tree.descent(tree.bin, np.uint8(255)) for tree in self.since]
 
     def derivatives(self, y: np.ndarray, w: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not self.logistic:
@@ -218,32 +281,35 @@ class _Scan:
     def sums(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(node, feature, sums): packed gradients and hessians by bin; node -1: loss and number of held rows."""
         n, m, bins = len(self.nodes), len(self.columns), self.bins
-        total = np.zeros((2, n * m * bins), np.int64)
-        place = np.full(len(self.tree.feature), -1)
+        # Rows in no node of these are summed behind the others.
+        size = (n + 1) * bins
+        total = np.zeros((2, m, size), np.int64)
+        since, here = self.applied(), self.tree.descent(self.tree.bin, np.uint8(255))
+        place = np.full(len(here.real), n)
         place[self.nodes] = np.arange(n)
+        place *= bins
         lost = held_rows = 0
-        for whole in batches:
-            for lo in range(0, len(whole), BLOCK_ROWS):
-                batch = whole.slice(lo, BLOCK_ROWS)
-                found = self.bytes(batch)
-                margin = self.margins(batch, found)
-                y, w = batch.column("label").to_numpy(), batch.column("weight").to_numpy()
-                held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
-                if self.losses:
-                    lost += int(np.rint(self.loss(y[held], margin[held]) / self.unit).astype(np.int64).sum())
-                    held_rows += int(held.sum())
-                at = place[self.tree.nodes(found, self.tree.bin)]
-                use = ~held & (at >= 0) & (_uniform(batch.column("rid").to_numpy(), self.row_seed) < self.row_share)
-                if not m or not use.any():
-                    continue
-                cell = (at[use, None] * m + np.arange(m)) * bins + found[use][:, self.columns]
-                for k, part in enumerate(self.derivatives(y[use], w[use], margin[use])):
-                    # Whole numbers below 2**53 in a block: sums of doubles are exact.
-                    units = np.repeat(np.rint(part / self.unit), m)
-                    total[k] += np.bincount(cell.ravel(), units, n * m * bins).astype(np.int64)
-        cells = total.reshape(2, n, m, bins)
-        at, column = np.nonzero(cells[1].any(2))
-        packed = [cells[:, i, j].tobytes() for i, j in zip(at, column, strict=True)]
+        for rows in self.parts(batches):
+            margin = self.margins(rows, since)
+            y, w, held = rows.column("label", np.float64), rows.column("weight", np.float64), rows.column("held", bool)
+            if self.losses:
+                lost += int(np.rint(self.loss(y[held], margin[held]) / self.unit).astype(np.int64).sum())
+                held_rows += int(held.sum())
+            if not m:
+                continue
+            use = ~held & (_uniform(rows.ids(), self.row_seed) < self.row_share)
+            cell = place.take(here.reached(rows.found))
+            for k, part in enumerate(self.derivatives(y, w, margin)):
+                units = np.where(use, np.rint(part / self.unit), 0.0)
+                # Whole numbers whose sums stay below 2**53: sums of doubles are exact.
+                step = int(2**53 // max(1.0, np.abs(units).max(initial=0.0)))
+                for c, f in enumerate(self.columns):
+                    found = cell + rows.found[f]
+                    for lo in range(0, len(units), step):
+                        total[k, c] += np.bincount(found[lo : lo + step], units[lo : lo + step], size).astype(np.int64)
+        cells = total[:, :, : n * bins].reshape(2, m, n, bins)
+        column, at = np.nonzero(cells[1].any(2))
+        packed = [cells[:, j, i].tobytes() for i, j in zip(at, column, strict=True)]
         nodes, features = self.nodes[at], self.columns[column]
         if self.losses:
             packed.append(np.array([lost, held_rows], np.int64).tobytes())
@@ -253,12 +319,29 @@ class _Scan:
         )
 
     def carried(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows with their margins after the trees so far."""
+        """The blocks with their margins after the trees so far."""
+        since = self.applied()
         for whole in batches:
-            for lo in range(0, len(whole), BLOCK_ROWS):
-                batch = whole.slice(lo, BLOCK_ROWS)
-                margin = self.margins(batch, self.bytes(batch))
-                yield batch.set_column(batch.schema.get_field_index("margin"), "margin", pa.array(margin))
+            for i in range(len(whole)):
+                batch = whole.slice(i, 1)
+                margin = self.margins(_Rows(batch, self.width), since)
+                yield batch.set_column(batch.schema.get_field_index("margin"), "margin", pa.array([margin.tobytes()], pa.binary()))
+
+
+class _Rows:
+    """The rows of some blocks; ``found`` has their bytes as (feature, row)."""
+
+    def __init__(self, blocks: pa.RecordBatch, width: int):
+        self.blocks = blocks
+        each = [np.frombuffer(b.as_buffer(), np.uint8).reshape(width, -1) for b in blocks.column("bytes")]
+        self.found = np.concatenate(each, axis=1)
+
+    def column(self, name: str, kind) -> np.ndarray:
+        return np.concatenate([np.frombuffer(b.as_buffer(), kind) for b in self.blocks.column(name)])
+
+    def ids(self) -> np.ndarray:
+        starts = zip(self.blocks.column("rid").to_pylist(), self.blocks.column("rows").to_pylist(), strict=True)
+        return np.concatenate([np.arange(first, first + n) for first, n in starts])
 
 
 _BEST = "node int, feature int, bin int, gain double, g long, h long, left_g long, left_h long"
@@ -380,7 +463,9 @@ def fit_trees(train: DataFrame, val: DataFrame | None, boosting: Boosting, logis
     cuts = bin_cuts(rows, b.bins)
     for more in held:
         rows = rows.unionByName(more)
-    data = binned(rows.withColumn("features", F.col("features").cast("array<double>")), cuts)
+    stored = binned(rows.withColumn("features", F.col("features").cast("array<double>")), cuts)
+    size = stored.agg(F.sum("rows")).first()[0]
+    data = _gathered(stored, size)
     model, since = BoostedModel(base, [], logistic), []
     for turn in range(b.rounds + 1):
         # The scan after the last round only asks for its loss.
@@ -404,9 +489,9 @@ def fit_trees(train: DataFrame, val: DataFrame | None, boosting: Boosting, logis
         model.trees.append(tree)
         since.append(tree)
         if len(since) >= CARRY:
-            data = stage(data.mapInArrow(_Scan(**{**vars(scan), "since": list(since)}).carried, data.schema))
-            since = []
-            drop_staged(spark, mark, keep=data)
+            stored = _stored(data.mapInArrow(_Scan(**{**vars(scan), "since": list(since)}).carried, data.schema))
+            data, since = _gathered(stored, size), []
+            drop_staged(spark, mark, keep=stored)
     model.grown = len(model.trees)
     if model.losses and b.patience is not None:
         model.trees = model.trees[: patience_rounds(model.losses, b.patience)[0]]

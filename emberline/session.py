@@ -55,15 +55,15 @@ def staging_root(spark: SparkSession) -> str:
     return own
 
 
-def stage(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Write ``df`` as Parquet to the staging folder and read it back.
+def stage(df: DataFrame, *partition_by: str, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet to the staging folder and read it back; ``options`` are the writer's.
 
     Cuts lineage before a fan-out of several jobs, survives lost executors, and unlike an RDD
     checkpoint keeps column pruning, pushed filters and size statistics for the readers.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/staged/{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("errorifexists").options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -287,6 +287,23 @@ def test_early_stopping_grows_patience_trees_more_than_it_keeps(spark, table):
     assert min(model.losses) == model.losses[len(model.trees) - 1]
 
 
+def test_scans_of_a_small_table_take_one_task_however_it_is_stored(spark, table, monkeypatch):
+    """Rows travel in blocks; every level of every tree reads them in as few tasks as their number asks for."""
+    from emberline.models import boosting as B
+
+    tasks, splits = [], B._splits
+
+    def seen(data, scan, b):
+        tasks.append(data.rdd.getNumPartitions())
+        assert data.count() < table.count() and data.agg(F.sum("rows")).first()[0] == table.count()
+        return splits(data, scan, b)
+
+    monkeypatch.setattr(B, "_splits", seen)
+    rows = table.repartition(9).select("features", F.col("log_burned_area").alias("label"), F.lit(1.0).alias("weight"))
+    model = B.fit_trees(rows, rows.where("false"), B.Boosting(rounds=B.CARRY + 1, depth=2, patience=None), False)
+    assert len(model.trees) == B.CARRY + 1 and set(tasks) == {1}
+
+
 def plain_boosting(x, y, w, b, logistic):
     """The same trees by plain loops over all thresholds."""
     margin = np.full(len(y), (np.average(y, weights=w) - 0.5) * 4 if logistic else np.average(y, weights=w))
