@@ -18,12 +18,13 @@ H, W = "height", "width"
 
 
 def with_image_size(pixels: DataFrame, image: Sequence[str]) -> DataFrame:
-    """Add ``height`` and ``width`` to a pixel table that lacks them (one aggregate, salted join)."""
+    """Add ``height`` and ``width`` to a pixel table that lacks them (one aggregate, one join)."""
     sizes = pixels.groupBy(*image).agg(
         (F.max("r") + 1).alias(H),
         (F.max("c") + 1).alias(W),
+        F.count(F.lit(1)).alias("_pixels"),
     )
-    return lookup_join(pixels, sizes, image, ["r", "c"])
+    return lookup_join(pixels, sizes, image, ["r", "c"], weight="_pixels")
 
 
 def _half_even(value: Column) -> Column:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..session import stage, stored_bytes
 
 DEFAULT_SALTS = 16
+#: A key with this share of all rows is hot; there are at most 500 of them.
+HOT_SHARE = 0.002
 #: A stored table of at most so many rows and bytes on disk is fit to broadcast.
 BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 16 << 20
 
@@ -32,11 +34,15 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     *,
     stored: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Join many rows per key to few rows per key.
 
     A small table of at most ``broadcast_rows`` rows (and 16 MB) is broadcast and the big side stays
-    where it is (``stored``: it reads a stored table and is not stored again). A larger one is shuffled: the big side spreads each key over ``salts`` partitions by
+    where it is (``stored``: it reads a stored table and is not stored again). A larger one is
+    shuffled. With ``weight``, a column of ``small`` that tells how many big rows (or a like measure)
+    each of its keys has and is left out of the result, ``small`` has one row per key and is shuffled
+    as it is: only hot keys are spread (see ``hot_split_join``). Without it the big side spreads each key over ``salts`` partitions by
     hashing ``spread`` (columns that vary within the key, so a retried task salts alike), and the
     small side is repeated per salt. The hint keeps Spark, which plans with the bytes of the files
     before they are unpacked and repeated, from broadcasting what was found too large for that.
@@ -45,7 +51,12 @@ def lookup_join(
         raise ValueError(f"the big side must be kept: {how}")
     small = small if stored else stage(small)
     if _is_small(small, broadcast_rows):
-        return big.join(F.broadcast(small), list(keys), how)
+        return big.join(F.broadcast(small if weight is None else small.drop(weight)), list(keys), how)
+    if weight is not None:
+        values = [c for c in small.columns if c not in (*keys, weight)]
+        found = _split_join(big, small.withColumn("_found", F.lit(True)), list(keys), weight, [*values, "_found"], spread, HOT_SHARE)
+        found = found.where("_found") if how == "inner" else found
+        return found.select(*keys, *[c for c in big.columns if c not in keys], *values)
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     left = big.withColumn("_salt", salt)
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -59,7 +70,7 @@ def hot_split_join(
     weight: str,
     values: Sequence[str],
     spread: Sequence[Column | str],
-    share: float = 0.002,
+    share: float = HOT_SHARE,
     broadcast_rows: int = BROADCAST_ROWS,
     *,
     stored: bool = False,
@@ -77,8 +88,15 @@ def hot_split_join(
     table = table if stored else stage(table)
     if _is_small(table, broadcast_rows):
         return rows.join(F.broadcast(table.drop(weight)), key, "left")
+    return _split_join(rows, table, key, weight, values, spread, share)
+
+
+def _split_join(
+    rows: DataFrame, table: DataFrame, key: list[str], weight: str, values: list[str], spread: Sequence[Column | str], share: float
+) -> DataFrame:
+    """``hot_split_join`` with a stored table that is too large to broadcast."""
     total = table.agg(F.sum(weight)).scalar()
-    is_hot = F.col(weight) >= total * F.lit(share)
+    is_hot = F.coalesce(F.col(weight) >= total * F.lit(share), F.lit(False))
     hot = table.where(is_hot).select(*key, *[F.col(v).alias(f"_hot_{v}") for v in values])
     hot = hot.withColumn("_is_hot", F.lit(True))
     cold = table.where(~is_hot).select(*key, *values).withColumn("_side", F.lit(0).cast("bigint"))

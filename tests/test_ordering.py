@@ -130,3 +130,24 @@ def test_tables_too_large_to_broadcast_are_not_broadcast(spark):
         plan = joined._jdf.queryExecution().sparkPlan().toString()
         assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == (0 if any(joined is s for s in shuffled) else 1)
         assert joined.where("v = g * 2").count() == 3000
+
+
+def test_weighed_lookups_are_shuffled_as_they_are(spark):
+    """Only hot keys are spread: the looked-up table is not repeated per salt."""
+    big = spark.createDataFrame(hot_rows()).select("g", "k", "m")
+    big = big.union(spark.createDataFrame([(None, -1, 0), (77, -2, 0)], "g bigint, k bigint, m bigint"))
+    small = spark.createDataFrame([(g, g * 10, 1000 if g == 0 else g) for g in range(30)], "g bigint, v bigint, n bigint")
+    for how in ("inner", "left"):
+        frames = [lookup_join(big, small, ["g"], ["k"], how=how, broadcast_rows=limit, weight="n") for limit in (0, 1000)]
+        assert frames[0].columns == frames[1].columns == ["g", *[c for c in big.columns if c != "g"], "v"]
+        got, want = (f.select("g", "k", "v").orderBy("k").collect() for f in frames)
+        assert got == want
+        plan = frames[0]._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "explode" not in plan
+
+
+def test_rows_of_keys_without_a_weight_are_found(spark):
+    big = spark.createDataFrame([(g, g) for g in range(10)], "g bigint, k bigint")
+    small = spark.createDataFrame([(g, g * 10, None if g == 4 else 1) for g in range(10)], "g bigint, v bigint, n bigint")
+    got = lookup_join(big, small, ["g"], ["k"], broadcast_rows=0, weight="n")
+    assert got.where("v = g * 10").count() == 10
