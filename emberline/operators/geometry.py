@@ -139,12 +139,12 @@ def best_crop(
         )
         sums.append(F.sum(F.when(inside, worth).otherwise(0.0)).alias(f"_s{i}"))
     # Equal crops must not differ by the order of addition.
-    scored = alight.groupBy(*keys).agg(*sums)
+    scored = alight.groupBy(*keys).agg(*sums, F.max(F.col(H).cast("bigint") * F.col(W)).alias("_area"))
     scores = [F.round(f"_s{i}", 9) for i in range(tries)]
     best = F.greatest(*scores) if tries > 1 else scores[0]
     pick = F.coalesce(*[F.when(s == best, F.lit(i)) for i, s in enumerate(scores)])
-    chosen = scored.select(*keys, pick.alias("_try")).where("_try > 0")
-    placed = lookup_join(pixels, chosen, keys, ["r", "c"], how="left")
+    chosen = scored.select(*keys, pick.alias("_try"), "_area").where("_try > 0")
+    placed = lookup_join(pixels, chosen, keys, ["r", "c"], how="left", weight="_area")
     attempt = F.coalesce(F.col("_try"), F.lit(0))
     offsets = placed.withColumns(
         {
