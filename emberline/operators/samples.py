@@ -117,11 +117,11 @@ def number_samples(samples: DataFrame, fire: Sequence[str] = FIRE) -> DataFrame:
     """
     sizes = samples.groupBy(*fire).agg(F.count(F.lit(1)).alias("size"))
     starts = prefix_sums(sizes, fire, ["size"]).select(
-        *fire, (F.col("upto_size") - F.col("size")).alias("_start")
+        *fire, "size", (F.col("upto_size") - F.col("size")).alias("_start")
     )
     total = sizes.agg(F.sum("size")).scalar()
     return (
-        lookup_join(samples, starts, fire, [INDEX])
+        lookup_join(samples, starts, fire, [INDEX], weight="size")
         .withColumn("sample_number", (F.col("_start") + F.col(INDEX)).cast("bigint"))
         .withColumn("n_samples", total)
         .drop("_start")
