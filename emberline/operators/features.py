@@ -173,8 +173,9 @@ def rgb_prepare(
     ranges = three.groupBy(*image).agg(
         F.least(*[F.min(f"_p{i}") for i in range(3)]).alias("_lo"),
         F.greatest(*[F.max(f"_p{i}") for i in range(3)]).alias("_hi"),
+        F.count(F.lit(1)).alias("_pixels"),
     )
-    joined = lookup_join(three, ranges, image, ["r", "c"])
+    joined = lookup_join(three, ranges, image, ["r", "c"], weight="_pixels")
     span = F.col("_hi") - F.col("_lo")
 
     def unit(i: int) -> Column:
