@@ -174,9 +174,10 @@ def consolidate(pixels: DataFrame) -> DataFrame:
 def image_positions(images: DataFrame) -> DataFrame:
     """``day_index`` and ``fire_days`` of distinct images: position in the fire, images of the fire."""
     images = stage(images)
-    sizes = images.groupBy("year", "fire").agg(F.count(F.lit(1)).alias("fire_days"))
+    days = F.count(F.lit(1))
+    sizes = images.groupBy("year", "fire").agg(days.alias("fire_days"), days.alias("_images"))
     placed = index_images(images).withColumnRenamed(INDEX, "day_index")
-    return lookup_join(placed, sizes, ["year", "fire"], ["obs_date"])
+    return lookup_join(placed, sizes, ["year", "fire"], ["obs_date"], weight="_images")
 
 
 def add_positions(pixels: DataFrame) -> DataFrame:
