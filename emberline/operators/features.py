@@ -195,12 +195,13 @@ def rgb_prepare(
 
 #: Rows of pixels packed into one row before an image is put together.
 STRIP_ROWS = 64
-#: Bytes of runs handled at once inside a task.
+#: Bytes of embeddings that leave a task together.
 _RUN_BYTES = 16 << 20
 
 
-def key_runs(batches: Iterator, keys: Sequence[str]) -> Iterator:
-    """Rows of equal keys, one table each, from batches that are sorted by them; runs may cross batches."""
+def whole_runs(batches: Iterator, keys: Sequence[str]) -> Iterator[tuple]:
+    """From batches sorted by ``keys``, batches of whole runs of equal keys, each with the places where its
+    runs begin and its length at the end. A run may cross batches; at most one is held beside a batch."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -209,44 +210,35 @@ def key_runs(batches: Iterator, keys: Sequence[str]) -> Iterator:
         same = pc.fill_null(pc.equal(a, b), False)
         return pc.invert(pc.or_(same, pc.and_(pc.is_null(a), pc.is_null(b))))
 
-    open_parts: list = []
-    for batch in batches:
-        if not len(batch):
-            continue
+    def begins(batch, before=None):
         new = np.zeros(len(batch), bool)
         for key in keys:
             column = batch.column(key)
             new[1:] |= differs(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-            if open_parts:
-                new[0] |= differs(column[:1], open_parts[-1].column(key)[-1:])[0].as_py()
-        cuts = [0, *(np.flatnonzero(new[1:]) + 1).tolist(), len(batch)]
-        if open_parts and new[0]:
-            yield pa.Table.from_batches(open_parts).combine_chunks()
-            open_parts = []
-        for lo, hi in zip(cuts, cuts[1:]):
-            open_parts.append(batch.slice(lo, hi - lo))
-            if hi < len(batch):
-                yield pa.Table.from_batches(open_parts) if len(open_parts) == 1 else pa.Table.from_batches(open_parts).combine_chunks()
-                open_parts = []
-    if open_parts:
-        yield pa.Table.from_batches(open_parts).combine_chunks()
-
-
-def _batched(items: Iterator, size: Callable) -> Iterator[list]:
-    """Lists of items of about ``_RUN_BYTES`` together; a larger item stands alone."""
-    some, total = [], 0
-    for item in items:
-        if some and total + size(item) > _RUN_BYTES:
-            yield some
-            some, total = [], 0
-        some.append(item)
-        total += size(item)
-    if some:
-        yield some
+            if before is not None:
+                new[0] |= differs(column[:1], before.column(key)[-1:])[0].as_py()
+        return np.flatnonzero(new)
 
+    def whole(parts):
+        batch = pa.concat_batches(parts) if len(parts) > 1 else parts[0]
+        return batch, np.array([0, *begins(batch), len(batch)])
 
-def _plain(values: Sequence) -> list:
-    return [v.as_py() if hasattr(v, "as_py") else v for v in values]
+    open_parts: list = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        cuts = begins(batch, open_parts[-1] if open_parts else None)
+        if not len(cuts):
+            open_parts.append(batch)
+            continue
+        last = int(cuts[-1])
+        if last:
+            open_parts.append(batch.slice(0, last))
+        if open_parts:
+            yield whole(open_parts)
+        open_parts = [batch.slice(last)]
+    if open_parts:
+        yield whole(open_parts)
 
 
 def embed_images(
@@ -258,10 +250,11 @@ def embed_images(
     """Run a user's embedding function over whole images: ``(key, embedding array<float>)``.
 
     ``load()`` is called once per task and returns ``fn(array of shape (3, H, W)) -> 1-d array``.
-    Pixels are packed first: a strip of rows becomes one row of plane bytes, so an image is put
-    together from a few rows of 12 bytes a pixel and may pass what one row of Spark can hold. A
-    network needs its whole image, so a task holds one image; two pixels at one place are an error,
-    pixels that are not there are 0. With ``max_pixels`` images are counted first (keys only,
+    Pixels are packed first: a strip of rows becomes one row of bytes, so an image is put together
+    from a few rows of 20 bytes a pixel and may pass what one row of Spark can hold. Only pixels that
+    are there are packed, and many small images at once. A
+    network needs its whole image, so a task holds one image; two pixels at one place and pixels
+    without a place are errors, pixels that are not there are 0. With ``max_pixels`` images are counted first (keys only,
     reduced within tasks), and a larger one fails the job before anything is gathered.
     """
     if max_pixels is not None:
@@ -271,33 +264,25 @@ def embed_images(
             raise ValueError(f"image too large to embed: {oversized[0].asDict()}")
     names, colours = list(image), ("red", "green", "blue")
     keys = [planes.schema[n] for n in names]
-    strips = T.StructType(
-        [
-            *keys,
-            *[T.StructField(n, T.IntegerType()) for n in ("first", "rows", "columns")],
-            *[T.StructField(n, T.BinaryType()) for n in colours],
-        ]
-    )
+    parts = {"r": "int32", "c": "int32", **dict.fromkeys(colours, "float32")}
+    strips = T.StructType([*keys, *[T.StructField(n, T.BinaryType()) for n in parts]])
 
     def pack(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def packed(pixels) -> tuple:
-            r, c = (pixels.column(n).to_numpy().astype(np.int64) for n in ("r", "c"))
-            first, rows, columns = int(r.min()), int(r.max() - r.min()) + 1, int(c.max()) + 1
-            places = (r - first) * columns + c
-            if len(np.unique(places)) < len(places):
-                raise ValueError("an image has two pixels at one place")
-            planes = np.zeros((3, rows * columns), np.float32)
-            for plane, n in enumerate(colours):
-                planes[plane, places] = pixels.column(n).to_numpy()
-            return (*[pixels.column(n)[0] for n in names], first, rows, columns, *[plane.tobytes() for plane in planes])
-
-        for some in _batched(key_runs(batches, [*names, "_strip"]), lambda run: run.nbytes):
-            columns = list(zip(*map(packed, some), strict=True))
-            kinds = [*[some[0].schema.field(n).type for n in names], *[pa.int32()] * 3, *[pa.binary()] * 3]
-            yield pa.RecordBatch.from_arrays([pa.array(_plain(c), k) for c, k in zip(columns, kinds, strict=True)], strips.names)
+        for pixels, cuts in whole_runs(batches, [*names, "_strip"]):
+            packed = []
+            for n, kind in parts.items():
+                column = pixels.column(n)
+                if n in ("r", "c") and (column.null_count or (len(column) and column.to_numpy().min() < 0)):
+                    raise ValueError("a pixel has no place in its image")
+                values = np.ascontiguousarray(column.to_numpy(zero_copy_only=False), kind)
+                # Packed like the values of a list: the bytes of a strip follow those of the strip before.
+                ends = pa.py_buffer((cuts * values.itemsize).astype(np.int32))
+                packed.append(pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, ends, pa.py_buffer(values)]))
+            first = pa.array(cuts[:-1])
+            yield pa.RecordBatch.from_arrays([*[pixels.column(n).take(first) for n in names], *packed], strips.names)
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -305,22 +290,46 @@ def embed_images(
 
         fn = load()
 
-        def embedded(image) -> tuple:
-            first, rows, columns = (image.column(n).to_numpy() for n in ("first", "rows", "columns"))
-            grid = np.zeros((3, int((first + rows).max()), int(columns.max())), np.float32)
-            for plane, n in enumerate(colours):
-                for k, part in enumerate(image.column(n)):
-                    own = np.frombuffer(part.as_buffer(), np.float32).reshape(rows[k], columns[k])
-                    grid[plane, first[k] : first[k] + rows[k], : columns[k]] = own
-            vector = np.asarray(fn(grid), dtype=np.float32).ravel().tolist()
-            return (*[image.column(n)[0] for n in names], vector)
-
-        for some in _batched(key_runs(batches, names), lambda image: image.nbytes):
-            columns = list(zip(*map(embedded, some), strict=True))
-            kinds = [*[some[0].schema.field(n).type for n in names], pa.list_(pa.float32())]
-            yield pa.RecordBatch.from_arrays([pa.array(_plain(c), k) for c, k in zip(columns, kinds, strict=True)], [*names, "embedding"])
-
-    wanted = planes.select(*names, "r", "c", *[F.col(n).cast("float").alias(n) for n in colours])
+        def values_of(column, kind: str) -> tuple:
+            """All values of a column of packed bytes, and where the values of each row begin."""
+            size = np.dtype(kind).itemsize
+            _, ends, content = column.buffers()
+            at = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1] // size
+            return np.frombuffer(content, kind, count=int(at[-1])), at
+
+        def embedded(keyed, vectors: list, rows: list):
+            ends = np.cumsum([0, *map(len, vectors)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(vectors)))
+            return pa.RecordBatch.from_arrays([*[keyed.column(n).take(pa.array(rows)) for n in names], lists], [*names, "embedding"])
+
+        for packed, cuts in whole_runs(batches, names):
+            r, at = values_of(packed.column("r"), "int32")
+            c, _ = values_of(packed.column("c"), "int32")
+            colour = [values_of(packed.column(n), "float32")[0] for n in colours]
+            vectors, rows, held = [], [], 0
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                own = slice(at[lo], at[hi])
+                y, x = r[own], c[own]
+                height, width = int(y.max()) + 1, int(x.max()) + 1
+                places = y.astype(np.int64) * width + x
+                seen = np.zeros(height * width, bool)
+                seen[places] = True
+                if np.count_nonzero(seen) < len(places):
+                    raise ValueError("an image has two pixels at one place")
+                grid = np.zeros((3, height * width), np.float32)
+                for plane, values in enumerate(colour):
+                    grid[plane, places] = values[own]
+                vector = np.asarray(fn(grid.reshape(3, height, width)), dtype=np.float32).ravel()
+                vectors.append(vector)
+                rows.append(lo)
+                held += vector.nbytes
+                if held > _RUN_BYTES:
+                    yield embedded(packed, vectors, rows)
+                    vectors, rows, held = [], [], 0
+            if rows:
+                yield embedded(packed, vectors, rows)
+
+    wanted = planes.select(*names, F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), *[F.col(n).cast("float").alias(n) for n in colours])
     strip = F.floor(F.col("r") / STRIP_ROWS).cast("int").alias("_strip")
     # Shuffled and sorted by Spark, which spills; a task reads its keys one after the other.
     pixels = wanted.select("*", strip).repartition(*names, "_strip").sortWithinPartitions(*names, "_strip")

@@ -176,3 +176,36 @@ def test_large_images_are_embedded_from_strips(spark):
 
     got = {r["image"]: r["embedding"] for r in X.embed_images(big.union(small), ["image"], load).collect()}
     assert got == {"big": [3, 1500, 900, 1349999, 1350000, 901 % 7], "small": [3, 3, 2, 2, 2, 0]}
+
+
+def test_runs_of_keys_leave_whole():
+    """Runs that cross batches are put together, many short ones leave in one batch."""
+    import pyarrow as pa
+
+    keys = [1, 1, 2, None, None, None, None, 3, 4, 4, 5]
+    table = pa.table({"k": pa.array(keys, pa.int64()), "v": pa.array(range(len(keys)))})
+    for size in (1, 2, 3, 20):
+        got = list(X.whole_runs(iter(table.to_batches(max_chunksize=size)), ["k"]))
+        runs = [batch.slice(lo, hi - lo).to_pydict() for batch, cuts in got for lo, hi in zip(cuts[:-1], cuts[1:])]
+        assert [run["k"][0] for run in runs] == [1, 2, None, 3, 4, 5]
+        assert [v for run in runs for v in run["v"]] == list(range(len(keys)))
+    assert len(got) == 2
+
+
+def test_many_sparse_images_are_embedded(spark):
+    """Three pixels an image, some of them in different strips; an empty value is passed on."""
+    rows = [(i, r, c, float(i), None if i == 7 else 1.0, 2.0) for i in range(500) for r, c in ((0, 3), (i % 90, 1), (i % 90 + 1, 0))]
+    planes = spark.createDataFrame(rows, "img bigint, r int, c int, red double, green double, blue double")
+
+    def load():
+        return lambda grid: [*grid.shape, grid[0].sum(), grid[1, 0, 3], (grid[2] != 0).sum()]
+
+    got = {r["img"]: r["embedding"] for r in X.embed_images(planes, ["img"], load).collect()}
+    assert len(got) == 500
+    for i, vector in got.items():
+        assert vector[:4] == [3, i % 90 + 2, 4, 3 * i] and vector[5] == 3
+        assert vector[4] == 1 or i == 7 and vector[4] != vector[4]
+    for bad in ([(1, None, 0)], [(1, 0, -1)], [(1, 0, 0), (1, 0, 0)]):
+        frame = spark.createDataFrame([(*b, 1.0, 1.0, 1.0) for b in bad], planes.schema)
+        with pytest.raises(Exception, match="place"):
+            X.embed_images(frame, ["img"], load).collect()
