@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import count_if, detection_hour, zero_if_missing
 from ..operators import samples as S
+from ..operators.joins import unless_large
 from ..schema import FOLD_YEARS
 from ..session import stage
 
@@ -50,7 +51,7 @@ class Tables:
 
     @cached_property
     def px(self) -> DataFrame:
-        line, orders = self.read("lineitem"), self.read("orders")
+        line, orders = self.read("lineitem"), unless_large(self.read("orders"))
         hhmm = (F.col("l_partkey") % 24) * 100 + F.col("l_suppkey") % 60
         seen = (F.col("l_returnflag") == "R") & (F.col("l_quantity") > 30)
         return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(

@@ -24,6 +24,15 @@ def _is_small(stored: DataFrame, rows: int) -> bool:
     return stored.count() <= rows and stored_bytes(stored) <= BROADCAST_BYTES
 
 
+def unless_large(table: DataFrame) -> DataFrame:
+    """A table read from files for an equi-join: past ``BROADCAST_ROWS`` rows it is kept from being broadcast.
+
+    Spark plans with the bytes of the files, of which a few columns of many short rows have hardly any,
+    while the driver has to hold the unpacked rows and their hash table.
+    """
+    return table if _is_small(table, BROADCAST_ROWS) else table.hint("merge")
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,

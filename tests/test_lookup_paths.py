@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import emberline.operators.joins as J
+from emberline.checks.views import SCHEMAS, Tables
 from emberline.operators import features as X
 from emberline.operators import geometry as G
 from emberline.operators import samples as S
@@ -42,6 +43,23 @@ def test_image_sizes(spark, both):
     check(both(lambda: G.with_image_size(pixels(spark), ["img"])))
 
 
+def test_pixel_view_does_not_broadcast_many_orders(spark, tmp_path, monkeypatch):
+    """The files of the orders are far below Spark's limit, their rows are not below the library's."""
+    day = "TIMESTAMP_NTZ '1995-01-02 00:00:00'"
+    line = f"id % 7, id, id % 5, 1, double(id), 10.0D, 0.05D, 0.0D, 'R', 'O', {day}"
+    orders = f"id, id * 3, 'O', 1.0D, {day}, '1'"
+    for name, row, n in (("lineitem", line, 40), ("orders", orders, 6)):
+        names = [c.split()[0] for c in SCHEMAS[name].split(", ")]
+        rows = spark.range(n).selectExpr(f"struct({row}) AS s").select("s.*").toDF(*names)
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    want = sorted(map(str, Tables(spark, str(tmp_path)).px.collect()))
+    monkeypatch.setattr(J, "BROADCAST_ROWS", 5)
+    px = Tables(spark, str(tmp_path)).px
+    assert sorted(map(str, px.collect())) == want and len(want) == 35
+    plan = px._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_rgb_planes(spark, both):
     check(both(lambda: X.rgb_prepare(pixels(spark), ["img"], ["x", "y", "z"])))
 
