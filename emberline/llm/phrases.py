@@ -33,16 +33,19 @@ class Trie:
     """Double-array trie of phrases of ``depth`` words, one root per language.
 
     The child of state s by word w is ``base[s] + w``, if ``check`` of that place is s. Words are
-    numbered from 1 in the order of their hashes, roots are the first places. ``number`` gives an
-    accepting state's phrase.
+    numbered from 1, those in most phrases first, so that states with many children need little
+    room; ``rank`` has the numbers in the order of the hashes. Roots are the first places. An
+    accepting state has no child, its ``base`` is the number of its phrase.
     """
 
     def __init__(self, langs: list[str], hashes: np.ndarray):
         """langs: language of each phrase; hashes: phrase x word."""
         self.depth = hashes.shape[1]
         self.roots = {lang: at for at, lang in enumerate(sorted(set(langs)))}
-        self.words = np.unique(hashes)
-        codes = np.searchsorted(self.words, hashes) + 1
+        self.words, codes = np.unique(hashes, return_inverse=True)
+        self.rank = np.empty(len(self.words), np.int32)
+        self.rank[np.argsort(-np.bincount(codes.ravel()), kind="stable")] = np.arange(1, len(self.words) + 1)
+        codes = self.rank[codes.reshape(hashes.shape)].astype(np.int64)
         node = np.array([self.roots[lang] for lang in langs], np.int64)
         count, width = len(self.roots), len(self.words) + 1
         parents, letters = [], []
@@ -60,15 +63,14 @@ class Trie:
         self.base, self.check = np.zeros(size + width, np.int32), np.full(size + width, -1, np.int32)
         self.base[slot] = bases
         self.check[slot[roots:]] = slot[parent]
-        self.number = np.full(size + width, -1, np.int32)
-        self.number[slot[node]] = np.arange(len(langs))
+        self.base[slot[node]] = np.arange(len(langs))
 
     def codes(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of words, 0 for words the trie has not."""
         if not len(self.words):
             return np.zeros(len(hashes), np.int32)
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at + 1, 0).astype(np.int32)
+        return np.where(self.words[at] == hashes, self.rank[at], np.int32(0))
 
     def advance(self, roots: np.ndarray, codes: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word positions at which a phrase begins, and its number.
@@ -86,7 +88,20 @@ class Trie:
             to = self.base[state] + word
             on = (word > 0) & (self.check[to] == state)
             at, state = at[on], to[on]
-        return at, self.number[state]
+        return at, self.base[state]
+
+
+def _fit(free: np.ndarray, own: np.ndarray, length: int, rng: np.random.Generator) -> int:
+    """A base below ``length`` under which the letters ``own`` are free, -1 if wider and wider windows have none."""
+    for window in (64, 256, 1024, 4096):
+        at = np.arange(window) + rng.integers(0, max(1, length - window))
+        seen, more = 0, 4
+        while len(at) and seen < len(own):
+            at = at[free[at[:, None] + own[seen : seen + more]].all(1)]
+            seen, more = seen + more, min(2 * more, max(4, (1 << 18) // max(1, len(at))))
+        if len(at):
+            return int(at[0])
+    return -1
 
 
 def place_rows(begin: np.ndarray, letter: np.ndarray, roots: int, width: int) -> tuple[np.ndarray, int]:
@@ -94,27 +109,27 @@ def place_rows(begin: np.ndarray, letter: np.ndarray, roots: int, width: int) ->
 
     The children of state s have the letters ``letter[begin[s]:begin[s + 1]]``. States with many
     children are placed first, one by one; those with few are placed together: each proposes a base,
-    and the first of those that want one place gets it.
+    and the first of those that want one place gets it, until few find room that way. The array grows
+    by a quarter when a state's windows are full.
     """
     rng = np.random.default_rng(7)
     sizes = np.diff(begin)
-    length = 2 * len(letter) + width + roots
+    length = max(4096, len(letter) + len(letter) // 2 + width + roots)
     free = np.ones(length + width, bool)
     free[:roots] = False
     bases = np.zeros(len(sizes), np.int64)
-    for s in np.flatnonzero(sizes > 12)[np.argsort(-sizes[sizes > 12], kind="stable")].tolist():
-        own, tries = letter[begin[s] : begin[s + 1]], 0
-        while True:
-            wanted = rng.integers(0, length, 64)
-            good = np.flatnonzero(free[wanted[:, None] + own].all(1))
-            if len(good):
-                bases[s] = wanted[good[0]]
-                free[bases[s] + own] = False
-                break
-            tries += 1
-            if tries % 16 == 0:
-                length += length // 2
+
+    def place(states: np.ndarray) -> None:
+        nonlocal free, length
+        for s in states.tolist():
+            own = letter[begin[s] : begin[s + 1]]
+            while (at := _fit(free, own, length, rng)) < 0:
+                length += length // 4
                 free = np.concatenate([free, np.ones(length + width - len(free), bool)])
+            bases[s] = at
+            free[at + own] = False
+
+    place(np.flatnonzero(sizes > 12)[np.argsort(-sizes[sizes > 12], kind="stable")])
     for size in range(12, 0, -1):
         left = np.flatnonzero(sizes == size)
         while len(left):
@@ -128,10 +143,11 @@ def place_rows(begin: np.ndarray, letter: np.ndarray, roots: int, width: int) ->
             good[asking] = (owner[places[asking]] == asking[:, None] + 1).all(1)
             bases[left[good]] = wanted[good]
             free[places[good].ravel()] = False
-            if 8 * int(good.sum()) < len(left):
-                length += length // 2
-                free = np.concatenate([free, np.ones(length + width - len(free), bool)])
+            few = 8 * int(good.sum()) < len(left)
             left = left[~good]
+            if few:
+                place(left)
+                break
     return bases, length
 
 
@@ -144,7 +160,7 @@ class Shard:
         self.words = words = Words(batch.column("text").take(pa.array(order)), lower=True, separators=SEPARATORS)
         self.langs = [langs[i] for i in order]
         self.hashes = words.hashes
-        piece = np.cumsum(BREAKS[words.data], dtype=np.int64)[words.starts] if len(words.starts) else np.zeros(0, np.int64)
+        piece = np.cumsum(BREAKS[words.data], dtype=np.uint32)[words.starts] if len(words.starts) else np.zeros(0, np.uint32)
         self.linked = np.zeros(len(piece), bool)
         self.linked[:-1] = piece[1:] == piece[:-1]
         ends = words.first[1:]
@@ -223,6 +239,36 @@ def phrase_filter(phrases: DataFrame, size: int) -> np.ndarray:
     return np.unpackbits(out.ravel()).astype(bool)
 
 
+def _summed(counts: DataFrame, *keys: str) -> DataFrame:
+    """Sums of the shards' counts ``n``. A key stands once in a shard, so rows are dealt out before they are
+    added: adding up a task's few shards first hardly saves rows, but holds them all in a hash table."""
+    return counts.repartition(*keys).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def _met(shard: Shard, trie: Trie, sums: np.ndarray, bits: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Add the shard's phrases to ``sums``, and give (number, hash, count) of the words that follow them.
+
+    bits: packed filter of phrases that may be frequent, None if no followers are wanted. Nothing but
+    the result outlives the call, so a task holds the arrays of one shard only.
+    """
+    size = trie.depth
+    roots = shard.per_word([trie.roots.get(lang, -1) for lang in shard.langs], np.int32)
+    at, number = trie.advance(roots, trie.codes(shard.hashes), shard.linked)
+    sums += np.bincount(number, minlength=len(sums))
+    if bits is not None and len(at):
+        on = shard.linked[at + (size - 1)]
+        at, number = at[on], number[on]
+    if bits is None or not len(at):
+        return number[:0], shard.hashes[:0], at[:0]
+    langs = shard.per_word([_language(lang) for lang in shard.langs], np.uint64)
+    places = _places(windows(shard.hashes, size)[at + 1], langs[at])
+    on = (bits[places >> 3] << (places & 7).astype(np.uint8) & 0x80).astype(bool)
+    at, number = at[on], number[on]
+    after, code = np.unique(shard.hashes[at + size], return_inverse=True)
+    pairs, n = np.unique(number.astype(np.int64) * max(1, len(after)) + code, return_counts=True)
+    return pairs // max(1, len(after)), after[pairs % max(1, len(after))], n
+
+
 def scan(texts: DataFrame, phrases: DataFrame, size: int, extend: bool, least: int) -> DataFrame:
     """Stored (pid, next, n): counts of the phrases (next null), and of the words that follow them ``least`` times.
 
@@ -244,29 +290,15 @@ def scan(texts: DataFrame, phrases: DataFrame, size: int, extend: bool, least: i
 
         def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             trie, pids = shared.value
-            known = np.unpackbits(bits.value).astype(bool) if extend else None
             sums = np.zeros(len(pids), np.int64)
             for batch in text_chunks(batches):
-                shard = Shard(batch)
-                roots = shard.per_word([trie.roots.get(lang, -1) for lang in shard.langs], np.int32)
-                at, number = trie.advance(roots, trie.codes(shard.hashes), shard.linked)
-                sums += np.bincount(number, minlength=len(pids))
-                if not extend:
-                    continue
-                on = shard.linked[at + (size - 1)]
-                at, number = at[on], number[on]
-                langs = shard.per_word([_language(lang) for lang in shard.langs], np.uint64)
-                on = known[_places(windows(shard.hashes, size)[at + 1], langs[at])] if len(at) else np.zeros(0, bool)
-                at, number = at[on], number[on]
-                after, code = np.unique(shard.hashes[at + size], return_inverse=True)
-                pairs, n = np.unique(number.astype(np.int64) * max(1, len(after)) + code, return_counts=True)
-                if len(pairs):
-                    columns = [pa.array(pids[pairs // len(after)]), _signed(after[pairs % len(after)]), pa.array(n)]
-                    yield pa.RecordBatch.from_arrays(columns, ["pid", "next", "n"])
+                number, after, n = _met(Shard(batch), trie, sums, bits.value if extend else None)
+                if len(number):
+                    yield pa.RecordBatch.from_arrays([pa.array(pids[number]), _signed(after), pa.array(n)], ["pid", "next", "n"])
             some = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(pids[some]), pa.nulls(len(some), pa.int64()), pa.array(sums[some])], ["pid", "next", "n"])
 
-        sums = map_batches(texts, count, "pid long, next long, n long").groupBy("pid", "next").agg(F.sum("n").alias("n"))
+        sums = _summed(map_batches(texts, count, "pid long, next long, n long"), "pid", "next")
         found = stage(sums.where(F.col("next").isNull() | (F.col("n") >= least)))
         shared.destroy()
         out = found if out is None else out.union(found)
@@ -288,7 +320,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, text_co
     are counts. On the driver: one trie of at most about ``TRIE_PHRASES`` phrases at a time.
     """
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
-    counts = map_batches(texts, _count_words, "lang string, word string, hash long, n long").groupBy("lang", "word", "hash").agg(F.sum("n").alias("n"))
+    counts = _summed(map_batches(texts, _count_words, "lang string, word string, hash long, n long"), "lang", "word", "hash")
     words = stage(counts.where((F.col("n") >= least) | F.col("word").isNull()))
     totals = stage(words.where("word IS NULL").select("lang", "n"))
     words = words.where("word IS NOT NULL")

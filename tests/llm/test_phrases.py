@@ -109,3 +109,15 @@ def test_trie_holds_its_phrases_and_no_others():
         at, number = trie.advance(np.full(len(text), trie.roots[lang], np.int32), trie.codes(text), linked)
         want = [(i, have[lang, *text[i : i + 3].tolist()]) for i in range(len(text) - 2) if linked[i] and linked[i + 1] and (lang, *text[i : i + 3].tolist()) in have]
         assert list(zip(at.tolist(), number.tolist(), strict=True)) == want and want
+
+
+def test_trie_of_words_with_very_many_followers_stays_small():
+    """First words with hundreds of followers each must not make the array sparse."""
+    rng = np.random.default_rng(6)
+    ranks = np.minimum(rng.zipf(1.3, (400_000, 2)), 20_000)
+    hashes = np.unique((ranks.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), axis=0)
+    trie = Trie(["en"] * len(hashes), hashes)
+    assert len(trie.base) < 16 * len(hashes)
+    text = hashes[rng.permutation(len(hashes))[:5000]].ravel()
+    at, number = trie.advance(np.zeros(len(text), np.int32), trie.codes(text), np.arange(len(text)) % 2 == 0)
+    assert at.tolist() == list(range(0, len(text), 2)) and (hashes[number].ravel() == text).all()
