@@ -17,6 +17,8 @@ from .registry import check
 from .views import Tables
 
 BAND = 5
+#: Images that are files at a time: each takes a block of the disk, and the driver has the list of them.
+FILES = 200_000
 #: Rows and columns of the images; the places of the pixel view are folded into them.
 SIDE = 8
 
@@ -110,15 +112,29 @@ SELECT CAST(year AS INT) AS year, 'fire_' || CAST(fire AS VARCHAR) AS fire, CAST
 FROM imgs WHERE year IN (1995, 1996) GROUP BY ALL""",
 )
 def inventory(t: Tables):
-    """Files are written below year and fire folders, one per image, and those of two years are listed."""
-    root = _folder(t, "raw")
+    """Files are written below year and fire folders, one per image, and those of two years are listed.
+
+    The fires are dealt out to parts of about ``FILES`` images. A part's files are gone when its inventory
+    is stored, so neither the disk nor the driver's listing holds the files of all fires. A fire's days are in one part.
+    """
     names = t.img.select(
         F.concat_ws("/", F.col("year").cast("string"), F.concat(F.lit("fire_"), F.col("fire").cast("string")),
                     F.concat(F.date_format("obs_ts", "yyyy-MM-dd"), F.lit("_"), F.col("img").cast("string"), F.lit(".tif"))).alias("name")
     )
-    _touch(names, root)
-    listed = I.image_inventory(t.spark, root, [1995, 1996])
-    return listed.groupBy("year", "fire", "obs_date").agg(F.count(F.lit(1)).alias("files"))
+    names, stored = stage(names), _folder(t, "listed")
+    parts = max(1, -(-names.count() // FILES))
+    part = F.pmod(F.xxhash64(F.substring_index("name", "/", 2)), F.lit(parts))
+    for k in range(parts):
+        root = _folder(t, "raw")
+        path = t.spark._jvm.org.apache.hadoop.fs.Path(root)
+        store = path.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        _touch(names.where(part == k), root)
+        listed = I.image_inventory(t.spark, root, [1995, 1996])
+        counted = listed.groupBy("year", "fire", "obs_date").agg(F.count(F.lit(1)).alias("files"))
+        counted.write.mode("append").parquet(stored)
+        store.delete(path, True)
+    return t.spark.read.schema(counted.schema).parquet(stored)
 
 
 def _touch(names, root: str) -> None:
