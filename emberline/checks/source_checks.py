@@ -19,6 +19,10 @@ from .views import Tables
 BAND = 5
 #: Images that are files at a time: each takes a block of the disk, and the driver has the list of them.
 FILES = 200_000
+#: Shares of a part's folders, each written by one task.
+TASKS = 32
+#: Ending of the folder beside the raw files that holds what the next part may take.
+SPARE = "-spare"
 #: Rows and columns of the images; the places of the pixel view are folded into them.
 SIDE = 8
 
@@ -123,38 +127,141 @@ def inventory(t: Tables):
     )
     names, stored = stage(names), _folder(t, "listed")
     parts = max(1, -(-names.count() // FILES))
-    part = F.pmod(F.xxhash64(F.substring_index("name", "/", 2)), F.lit(parts))
+    folder = F.xxhash64(F.substring_index("name", "/", 2))
+    names = names.withColumn("part", F.pmod(folder, F.lit(parts)).cast("int"))
+    # A folder is one task's: stored by part, so that a part reads its own names only.
+    dealt = names.repartition("part", F.pmod(F.shiftright(folder, 32), F.lit(TASKS)))
+    names = stage(dealt.sortWithinPartitions("part", "name"), "part")
+    root = _folder(t, "raw")
+    path, spare = (t.spark._jvm.org.apache.hadoop.fs.Path(p) for p in (root, root + SPARE))
+    store = path.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
     for k in range(parts):
-        root = _folder(t, "raw")
-        path = t.spark._jvm.org.apache.hadoop.fs.Path(root)
-        store = path.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
         store.mkdirs(path)
-        _touch(names.where(part == k), root)
+        part = names.where(F.col("part") == k).select("name")
+        _touch(part, root)
         listed = I.image_inventory(t.spark, root, [1995, 1996])
         counted = listed.groupBy("year", "fire", "obs_date").agg(F.count(F.lit(1)).alias("files"))
         counted.write.mode("append").parquet(stored)
+        _clear(part, root)
         store.delete(path, True)
+    _empty(t.spark, root)
+    store.delete(spare, True)
     return t.spark.read.schema(counted.schema).parquet(stored)
 
 
+def _uri(root: str) -> str:
+    return root if "://" in root or root.startswith("file:") else f"file://{root}"
+
+
 def _touch(names, root: str) -> None:
-    """Write one small file per name, each from the task that has the name."""
-    uri = root if "://" in root or root.startswith("file:") else f"file://{root}"
+    """Write one small file per name, each from the task that has the name; folders are made when their first name comes.
+
+    Disks take long to make files where many were deleted a moment before. So on a mounted disk the folders and
+    files that ``_clear`` has put beside ``root`` are taken, by whichever task is first, before new ones are made.
+    """
+    uri, beside = _uri(root), SPARE
 
     def write(batches):
+        import os
+        import random
+
         from pyarrow import fs
+        from pyspark import TaskContext
 
         store, place = fs.FileSystem.from_uri(uri)
+        mounted = isinstance(store, fs.LocalFileSystem)
+        unused = sorted(os.listdir(place + beside)) if mounted and os.path.isdir(place + beside) else []
+        random.Random(TaskContext.get().taskAttemptId()).shuffle(unused)
+        unused.sort(key=lambda name: name.startswith("left-"))  # taken first: they have the most files
+        made, files = None, []
+
+        def enter(folder: str) -> None:
+            store.create_dir(os.path.dirname(folder), recursive=True)
+            while unused and not os.path.exists(folder):
+                try:
+                    os.rename(f"{place}{beside}/{unused.pop()}", folder)
+                except FileNotFoundError:  # another task has taken it
+                    continue
+                files.extend(f"{folder}/{name}" for name in os.listdir(folder))
+                return
+            store.create_dir(folder, recursive=True)
+
         for batch in batches:
             for name in batch.column("name").to_pylist():
-                store.create_dir(f"{place}/{name.rpartition('/')[0]}", recursive=True)
-                with store.open_output_stream(f"{place}/{name}") as out:
-                    out.write(struct.pack("<i", len(name)))
+                folder, content = name.rpartition("/")[0], struct.pack("<i", len(name))
+                if folder != made:
+                    enter(f"{place}/{folder}")
+                    made = folder
+                if not files:
+                    with store.open_output_stream(f"{place}/{name}") as out:
+                        out.write(content)
+                    continue
+                os.rename(files.pop(), f"{place}/{name}")
+                with open(f"{place}/{name}", "r+b") as out:
+                    out.write(content)
+                    out.truncate()
             yield batch
+        if files:
+            os.makedirs(left := f"{place}{beside}/left-{TaskContext.get().taskAttemptId()}")
+            for i, name in enumerate(files):
+                os.rename(name, f"{left}/{i}")
 
     names.mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()
 
 
+def _clear(names, root: str) -> None:
+    """Take the fire folders of the names away, each by a task that has it: beside ``root`` on a mounted disk, elsewhere for good."""
+    uri, beside = _uri(root), SPARE
+
+    def clear(batches):
+        import os
+        import uuid
+
+        from pyarrow import fs
+
+        store, place = fs.FileSystem.from_uri(uri)
+        mounted = isinstance(store, fs.LocalFileSystem)
+        if mounted:
+            store.create_dir(place + beside)
+        for batch in batches:
+            for folder in {name.rpartition("/")[0] for name in batch.column("name").to_pylist()}:
+                there = f"{place}/{folder}"
+                if "/" not in folder or store.get_file_info(there).type != fs.FileType.Directory:
+                    continue
+                if not mounted:
+                    store.delete_dir(there)
+                    continue
+                for i, name in enumerate(os.listdir(there)):
+                    os.rename(f"{there}/{name}", f"{there}/{i}")
+                os.rename(there, f"{place}{beside}/{uuid.uuid4().hex}")
+            yield batch
+
+    names.mapInArrow(clear, "name string").write.format("noop").mode("overwrite").save()
+
+
+def _empty(spark, root: str) -> None:
+    """Delete the folders beside ``root`` that no part has taken, by many tasks."""
+    uri, beside, tasks = _uri(root), SPARE, TASKS
+
+    def empty(batches):
+        import os
+        import shutil
+        import zlib
+
+        from pyarrow import fs
+
+        store, place = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            if isinstance(store, fs.LocalFileSystem) and os.path.isdir(place + beside):
+                for share in batch.column("id").to_pylist():
+                    for name in os.listdir(place + beside):
+                        if zlib.crc32(name.encode()) % tasks == share:
+                            shutil.rmtree(f"{place}{beside}/{name}", ignore_errors=True)
+            yield batch
+
+    spark.range(0, tasks, 1, tasks).mapInArrow(empty, "id bigint").write.format("noop").mode("overwrite").save()
+
+
 @check("s5_csv_round_trip", "SELECT img, ignition, p_ignition, log_pred FROM pred")
 def csv_round_trip(t: Tables):
     path = _folder(t, "csv")
