@@ -101,7 +101,8 @@ def fire_stacks(t: Tables):
     images = stage(_contents(t))
     placed = R.image_positions(images.select(*IMAGE_KEY))
     folder = _folder(t, "stacks")
-    R.write_fire_stacks(R.decode_rows(images.join(placed, IMAGE_KEY), _decoder()), f"{folder}/pixels", f"{folder}/fires")
+    files = R.deal_images(images.join(placed, IMAGE_KEY), images.count())
+    R.write_fire_stacks(R.decode_rows(files, _decoder()), f"{folder}/pixels", f"{folder}/fires", dealt=True)
     stacks = R.read_fire_stacks(t.spark, f"{folder}/pixels")
     fires = t.spark.read.parquet(f"{folder}/fires").select("year", "fire", "lng")
     hours = F.sum(F.col("bands")[FIRE_BAND].cast("double")).alias("hours")

@@ -100,20 +100,70 @@ def _pixel_batches(raster, first: int, height: int, centre: tuple, batch, i: int
         )
 
 
+def _packed_images(images: list, batch):
+    """Pixel rows of several whole images in one batch; ``images`` has the row of ``batch``, raster and centre of each."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows, rasters, centres = zip(*images, strict=True)
+    bands = rasters[0].shape[0]
+    height, width = (np.array([x.shape[k] for x in rasters], dtype=np.int32) for k in (1, 2))
+    sizes = height.astype(np.int64) * width
+    total, ends = int(sizes.sum()), np.cumsum(sizes)
+    of = np.repeat(np.arange(len(images)), sizes)
+    place, wide = np.arange(total) - (ends - sizes)[of], width[of]
+    values = np.concatenate([x.reshape(bands, -1).T for x in rasters]).ravel()
+    offsets = np.arange(0, (total + 1) * bands, bands, dtype=np.int32)
+    whose = pa.array(np.array(rows)[of])
+    year, fire, date, index, days = (batch.column(n).take(whose) for n in [*IMAGE_KEY, *[f.name for f in POSITION]])
+    lng, lat = (pa.array([c[k] for c in centres], pa.float64()).take(pa.array(of)) for k in (0, 1))
+    return pa.RecordBatch.from_arrays(
+        [
+            year,
+            fire,
+            date,
+            pa.array(height[of]),
+            pa.array(wide),
+            pa.array((place // wide).astype(np.int32)),
+            pa.array((place % wide).astype(np.int32)),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.float32())),
+            lng,
+            lat,
+            index,
+            days,
+        ],
+        names=RASTER_PIXELS.names,
+    )
+
+
 def decode_rows(files: DataFrame, decoder: Callable[[bytes], object]) -> DataFrame:
-    """``(year, fire, obs_date, day_index, fire_days, content)`` to pixel rows, each file decoded once."""
+    """``(year, fire, obs_date, day_index, fire_days, content)`` to pixel rows, each file decoded once.
+
+    Small images leave a task together, since a batch of few rows costs as much as one of many.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
 
         for batch in batches:
+            few, pixels = [], 0
             for i in range(batch.num_rows):
                 raster = decoder(batch.column("content")[i].as_py())
                 centre = (None, None)
                 if isinstance(raster, tuple):
                     raster, centre = raster
                 raster = np.asarray(raster, dtype=np.float32)
-                yield from _pixel_batches(raster, 0, raster.shape[1], centre, batch, i)
+                size = raster.shape[1] * raster.shape[2]
+                if few and (pixels + size > _BATCH // 4 or few[0][1].shape[0] != raster.shape[0]):
+                    yield _packed_images(few, batch)
+                    few, pixels = [], 0
+                if size > _BATCH // 4:
+                    yield from _pixel_batches(raster, 0, raster.shape[1], centre, batch, i)
+                elif size:
+                    few.append((i, raster, centre))
+                    pixels += size
+            if few:
+                yield _packed_images(few, batch)
 
     return files.mapInArrow(run, RASTER_PIXELS)
 
@@ -188,29 +238,44 @@ def add_positions(pixels: DataFrame) -> DataFrame:
 
 #: Images and rows of pixels that go to one partition of stored stacks together.
 _STACK_DAYS, _STACK_ROWS = 8, 64
+#: Images that a task decodes on average where images are dealt out, and years whose files it writes at once.
+_TASK_IMAGES, _OPEN_YEARS = 16_384, 16
+
+
+def deal_images(files: DataFrame, images: int) -> DataFrame:
+    """The ``images`` files of ``decode_rows`` dealt out as ``write_fire_stacks`` deals out pixels, in order.
+
+    For images of at most 64 rows, whose pixels stay together there: a file is far smaller than its pixels.
+    """
+    tasks = max(files.sparkSession.sparkContext.defaultParallelism, -(-images // _TASK_IMAGES))
+    few = F.expr(f"day_index div {_STACK_DAYS}")
+    return files.repartition(tasks, "year", "fire", few).sortWithinPartitions(*IMAGE_KEY)
 
 
-def write_fire_stacks(pixels: DataFrame, path: str, fires_path: str | None = None) -> None:
+def write_fire_stacks(pixels: DataFrame, path: str, fires_path: str | None = None, dealt: bool = False) -> None:
     """Write consolidated pixels, clustered by fire, day and place, partitioned by year.
 
     Partitions hold a few images of a fire, and of large images a band of rows, so a very large
     fire, or even a single very large image, becomes several files, and readers prune by fire and
     day. Ingested pixels carry their positions, so each is decoded and shuffled once; the centres
-    of the fires for ``fires_path`` come from what was written.
+    of the fires for ``fires_path`` come from what was written. ``dealt`` pixels, decoded from what
+    ``deal_images`` gave, are clustered and in order already and are written where they are.
     """
     order = ["year", "fire", "obs_date", "r", "c"]
     placed = pixels if "day_index" in pixels.columns else add_positions(pixels)
     centre = [f.name for f in CENTRE if f.name in pixels.columns]
     together = [F.expr(f"day_index div {_STACK_DAYS}"), F.expr(f"r div {_STACK_ROWS}")]
-    (
-        consolidate(placed)
-        .select(*STACK_PIXELS.names, *centre)
-        .repartition("year", "fire", *together)
-        .sortWithinPartitions(*order)
-        .write.partitionBy("year")
-        .mode("errorifexists")
-        .parquet(path)
-    )
+    stacks = consolidate(placed).select(*STACK_PIXELS.names, *centre)
+    if not dealt:
+        stacks = stacks.repartition("year", "fire", *together).sortWithinPartitions(*order)
+    conf, name = pixels.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    try:
+        if dealt:  # else Spark sorts all pixels by year once more
+            conf.set(name, _OPEN_YEARS)
+        stacks.write.partitionBy("year").mode("errorifexists").parquet(path)
+    finally:
+        conf.set(name, before)
     if fires_path:
         fire_centres(pixels.sparkSession.read.parquet(path)).write.mode("errorifexists").parquet(fires_path)
 
